@@ -20,7 +20,8 @@ def _raw(spark, sf_dir, with_payload=False):
 
 
 def _gated(spark, sf_dir):
-    return gates.document_gate(documents.read_documents(_raw(spark, sf_dir)))
+    calls = feed.landing(spark, sf_dir)
+    return gates.document_gate(documents.classify(calls, with_payload=False, keep_parts=True))
 
 
 def raw_classify(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import BUSINESS_ZONE, SOURCE_NAME, SUCCESS_ROOT
 from ..functions import clock
-from ..functions.once import once
+from ..functions.once import once, spread
 from ..operators import dimensions
 from ..schemas import POPULATION, WEATHER
 
@@ -221,7 +221,7 @@ def documents(events: DataFrame) -> DataFrame:
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(table(spark, sf_dir, "events"))
+    return documents(spread(table(spark, sf_dir, "events")))
 
 
 # ---- the same records as typed rows, for queries that start after parsing ------------

@@ -1,4 +1,4 @@
-"""Columns that are computed once per row, whatever is built on top of them."""
+"""Columns computed once per row, and rows spread over the cores."""
 
 from __future__ import annotations
 
@@ -15,3 +15,13 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
     return df.select(*kept, F.inline(F.array(row)))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores when the scan has fewer partitions than cores.
+
+    For work that is heavy per row on a small input; a scan with enough partitions,
+    as at scale, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -46,103 +46,142 @@ DOCUMENT_SCHEMA = (
 )
 
 
+# What :func:`read_documents` adds to each document.
+PARTS = ("well_formed", "is_envelope", "outcome", "city", "population_state", "population", "weather")
+
+
 def _only(items: Column) -> Column:
     """The element of a one-element array, otherwise NULL."""
     return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
 
 
 def _any_field(record: Column, fields: tuple[str, ...]) -> Column:
-    return F.coalesce(*[text.leaf(record[name]) for name in fields]).isNotNull()
+    return F.coalesce(*[record[name] for name in fields]).isNotNull()
+
+
+def _cleaned(record: Column, fields: tuple[str, ...]) -> Column:
+    """The record with every leaf stripped; NULL when no field has a text."""
+    leaves = F.struct(*[text.leaf(record[name]).alias(name) for name in fields])
+    return F.when(record.isNotNull(), leaves)
+
 
+def _population_state(block: Column) -> Column:
+    """``missing``, ``not_object``, ``no_record`` or ``ok`` for the population block."""
+    first = F.get(block, F.lit(0))
+    has_text = F.coalesce(text.leaf(first["_VALUE"]).isNotNull(), F.lit(False))
+    has_records = F.coalesce(first["LIVE_PPLTN_STTS"].isNotNull(), F.lit(False))
+    return (
+        F.when(F.coalesce(F.size(block), F.lit(0)) > 1, "not_object")
+        .when(has_records, "ok")
+        .when(has_text, "not_object")
+        .otherwise("missing")
+    )
 
-def parse_xml(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
-    """Add ``root``, ``well_formed`` and the parsed ``doc`` to documents.
 
-    The reader ignores the root's name and anything after it, so both are read
-    off the text.
+def _typed_population(part: Column) -> Column:
+    """Cleaned texts next to their parsed values, so that gates and loads share them."""
+    rates = {
+        "male_ratio": part["MALE_PPLTN_RATE"],
+        "female_ratio": part["FEMALE_PPLTN_RATE"],
+        "resident_ratio": part["RESNT_PPLTN_RATE"],
+        "non_resident_ratio": part["NON_RESNT_PPLTN_RATE"],
+    }
+    junk = F.lit(False)
+    for value in rates.values():
+        junk = junk | numbers.ratio_is_junk(value)
+    return F.struct(
+        part["PPLTN_TIME"].alias("time_text"),
+        clock.parse_minute(part["PPLTN_TIME"]).alias("observed_at"),
+        part["AREA_CONGEST_LVL"].alias("congestion_level"),
+        part["AREA_CONGEST_MSG"].alias("congestion_message"),
+        part["AREA_PPLTN_MIN"].alias("min_text"),
+        part["AREA_PPLTN_MAX"].alias("max_text"),
+        numbers.strict_int(part["AREA_PPLTN_MIN"]).alias("population_min"),
+        numbers.strict_int(part["AREA_PPLTN_MAX"]).alias("population_max"),
+        *[numbers.ratio(value).alias(name) for name, value in rates.items()],
+        junk.alias("ratio_is_junk"),
+    )
+
+
+def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
+    """Parse XML documents and name their parts, see :data:`PARTS`.
+
+    The reader ignores the root's name and anything after its end, so both are read
+    off the text.  A part is NULL unless it is there exactly once and holds elements.
     """
     body = F.col(xml)
     root = F.nullif(F.regexp_extract(body, r"<([A-Za-z_][^\s/>]*)", 1), F.lit(""))
     parsed = once(df, root=root, doc=F.from_xml(body, DOCUMENT_SCHEMA, {"mode": "PERMISSIVE"}))
-    tail = F.substring(text.strip(body), -200, 200)
+
+    tail = text.strip(F.substring(body, -400, 400))
     closed = (
         tail.endswith(F.concat(F.lit("</"), F.col("root"), F.lit(">")))
         | tail.endswith(F.lit("/>")) | tail.endswith(F.lit("-->"))
     )
     well_formed = F.coalesce(F.col("doc._corrupt_record").isNull() & closed, F.lit(False))
-    return once(parsed, well_formed=well_formed)
-
-
-def records(parsed: DataFrame) -> DataFrame:
-    """Name the parts of a parsed document: ``city``, ``population``, ``weather``.
-
-    A part is NULL unless it is there exactly once and holds elements.
-    """
-    envelope = F.col("well_formed") & F.col("root").eqNullSafe(SUCCESS_ROOT)
-    with_city = once(parsed, is_envelope=envelope, city=F.when(envelope, _only(F.col("doc.CITYDATA"))))
-    with_parts = once(
-        with_city,
-        population=_only(_only(F.col("city.LIVE_PPLTN_STTS"))["LIVE_PPLTN_STTS"]),
-        weather=_only(_only(F.col("city.WEATHER_STTS"))["WEATHER_STTS"]),
+    envelope = well_formed & F.col("root").eqNullSafe(SUCCESS_ROOT)
+    city = F.when(envelope, _only(F.col("doc.CITYDATA")))
+    opened = once(parsed, well_formed=well_formed, is_envelope=envelope, _city=city)
+
+    result = F.col("doc.RESULT")
+    code = F.when(F.col("is_envelope"), result["RESULT.CODE"]).otherwise(F.col("doc.CODE"))
+    message = F.when(F.col("is_envelope"), result["RESULT.MESSAGE"]).otherwise(F.col("doc.MESSAGE"))
+    raw_city = F.col("_city")
+    area_code, area_name = text.leaf(raw_city["AREA_CD"]), text.leaf(raw_city["AREA_NM"])
+    # An empty element is no object: something has to be in it.
+    filled = (
+        F.coalesce(area_code, area_name).isNotNull()
+        | raw_city["LIVE_PPLTN_STTS"].isNotNull()
+        | raw_city["WEATHER_STTS"].isNotNull()
+    )
+    block = raw_city["LIVE_PPLTN_STTS"]
+    named = once(
+        opened,
+        outcome=F.when(
+            F.col("well_formed"),
+            F.struct(text.leaf(code).alias("code"), text.leaf(message).alias("message")),
+        ),
+        city=F.when(F.coalesce(filled, F.lit(False)), F.struct(area_code.alias("area_code"), area_name.alias("area_name"))),
+        population_state=_population_state(block),
+        population=_cleaned(_only(_only(block)["LIVE_PPLTN_STTS"]), POPULATION_FIELDS),
+        weather=_cleaned(_only(_only(raw_city["WEATHER_STTS"])["WEATHER_STTS"]), WEATHER_FIELDS),
     )
     population, weather = F.col("population"), F.col("weather")
-    return once(
-        with_parts,
-        population=F.when(_any_field(population, POPULATION_FIELDS), population),
+    typed = once(
+        named,
+        population=F.when(_any_field(population, POPULATION_FIELDS), _typed_population(population)),
         weather=F.when(_any_field(weather, WEATHER_FIELDS), weather),
     )
+    return typed.drop("root", "doc", "_city")
 
 
-def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
-    return records(parse_xml(df, xml))
-
-
-def city_is_object() -> Column:
-    """True when the city element holds anything, so it is not an empty element."""
-    city = F.col("city")
-    return F.coalesce(
-        F.coalesce(text.leaf(city["AREA_CD"]), text.leaf(city["AREA_NM"])).isNotNull()
-        | city["LIVE_PPLTN_STTS"].isNotNull()
-        | city["WEATHER_STTS"].isNotNull(),
-        F.lit(False),
-    )
-
-
-def classify(landing: DataFrame, with_payload: bool = True) -> DataFrame:
+def classify(landing: DataFrame, with_payload: bool = True, keep_parts: bool = False) -> DataFrame:
     """Landing rows to raw rows: every call is kept, with its outcome.
 
-    ``with_payload`` also stores the canonical JSON form and its fingerprint.
+    ``with_payload`` also stores the canonical JSON form and its fingerprint;
+    ``keep_parts`` keeps the parsed parts, for gates in the same pass.
     """
     read = read_documents(landing)
-    envelope = F.col("is_envelope")
-    code = F.when(envelope, text.leaf(F.col("doc.RESULT.`RESULT.CODE`"))).otherwise(
-        text.leaf(F.col("doc.CODE"))
-    )
-    message = F.when(envelope, text.leaf(F.col("doc.RESULT.`RESULT.MESSAGE`"))).otherwise(
-        text.leaf(F.col("doc.MESSAGE"))
-    )
-    success = envelope & (F.col("http_status") == 200) & (code == SUCCESS_CODE) & city_is_object()
+    code, city = F.col("outcome.code"), F.col("city")
+    success = (F.col("http_status") == 200) & (code == SUCCESS_CODE) & city.isNotNull()
     payload = xml_to_json(F.col("payload_xml")) if with_payload else F.lit(None).cast("string")
-    return (
-        read.withColumn("payload", payload)
-        .select(
-            F.col("raw_id").cast("bigint").alias("raw_id"),
-            "source_name",
-            text.leaf(F.col("city.AREA_CD")).alias("area_code"),
-            F.coalesce(text.leaf(F.col("city.AREA_NM")), F.col("request_area_name")).alias("area_name"),
-            "requested_at",
-            "received_at",
-            F.col("http_status").cast("int").alias("http_status"),
-            F.when(F.col("well_formed"), code).alias("result_code"),
-            F.when(F.col("well_formed"), message).alias("result_message"),
-            "payload_xml",
-            "payload",
-            text.fingerprint(F.col("payload")).alias("payload_hash"),
-            F.coalesce(success, F.lit(False)).alias("is_success"),
-            F.when(~F.col("well_formed"), F.lit("xml_parse_failed")).alias("error_message"),
-            clock.local_time(F.col("requested_at"), "UTC").cast("date").alias("ingest_date"),
-        )
-        .select(*RAW.columns)
+    return read.withColumn("payload", payload).select(
+        F.col("raw_id").cast("bigint").alias("raw_id"),
+        "source_name",
+        city["area_code"].alias("area_code"),
+        F.coalesce(city["area_name"], F.col("request_area_name")).alias("area_name"),
+        "requested_at",
+        "received_at",
+        F.col("http_status").cast("int").alias("http_status"),
+        code.alias("result_code"),
+        F.col("outcome.message").alias("result_message"),
+        "payload_xml",
+        "payload",
+        text.fingerprint(F.col("payload")).alias("payload_hash"),
+        F.coalesce(F.col("is_envelope") & success, F.lit(False)).alias("is_success"),
+        F.when(~F.col("well_formed"), F.lit("xml_parse_failed")).alias("error_message"),
+        clock.local_time(F.col("requested_at"), "UTC").cast("date").alias("ingest_date"),
+        *(PARTS if keep_parts else ()),
     )
 
 
@@ -157,12 +196,12 @@ def headers(valid: DataFrame, stamp: Column) -> DataFrame:
     """One header per accepted document, timed by the population clock."""
     return valid.select(
         F.col("raw_id").alias("ingestion_id"),
-        text.leaf(F.col("city.AREA_CD")).alias("area_code"),
-        text.leaf(F.col("city.AREA_NM")).alias("area_name"),
-        clock.parse_minute(F.col("population.PPLTN_TIME")).alias("observed_at"),
+        F.col("city.area_code").alias("area_code"),
+        F.col("city.area_name").alias("area_name"),
+        F.col("population.observed_at").alias("observed_at"),
         F.col("requested_at").alias("collected_at"),
-        text.leaf(F.col("doc.RESULT.`RESULT.CODE`")).alias("result_code"),
-        text.leaf(F.col("doc.RESULT.`RESULT.MESSAGE`")).alias("result_message"),
+        F.col("outcome.code").alias("result_code"),
+        F.col("outcome.message").alias("result_message"),
         "is_success",
         stamp.alias("loaded_at"),
         "ingest_date",
@@ -170,10 +209,7 @@ def headers(valid: DataFrame, stamp: Column) -> DataFrame:
 
 
 def _call_context() -> list[Column]:
-    return [
-        text.leaf(F.col("city.AREA_NM")).alias("area_name"),
-        F.col("requested_at").alias("collected_at"),
-    ]
+    return [F.col("city.area_name").alias("area_name"), F.col("requested_at").alias("collected_at")]
 
 
 def populations(valid: DataFrame, stamp: Column, with_call: bool = False) -> DataFrame:
@@ -186,22 +222,18 @@ def populations(valid: DataFrame, stamp: Column, with_call: bool = False) -> Dat
     at most one snapshot, so it is unique without a sequence.
     """
     part = F.col("population")
-    observed = clock.parse_minute(part["PPLTN_TIME"])
+    same_name = (
+        "congestion_level", "congestion_message", "population_min", "population_max",
+        "male_ratio", "female_ratio", "resident_ratio", "non_resident_ratio",
+    )
     return valid.select(
         F.col("raw_id").alias("population_snapshot_id"),
         F.col("raw_id").alias("ingestion_id"),
-        text.leaf(F.col("city.AREA_CD")).alias("area_code"),
-        observed.alias("observed_at"),
-        text.leaf(part["AREA_CONGEST_LVL"]).alias("congestion_level"),
-        text.leaf(part["AREA_CONGEST_MSG"]).alias("congestion_message"),
-        numbers.strict_int(part["AREA_PPLTN_MIN"]).alias("population_min"),
-        numbers.strict_int(part["AREA_PPLTN_MAX"]).alias("population_max"),
-        numbers.ratio(part["MALE_PPLTN_RATE"]).alias("male_ratio"),
-        numbers.ratio(part["FEMALE_PPLTN_RATE"]).alias("female_ratio"),
-        numbers.ratio(part["RESNT_PPLTN_RATE"]).alias("resident_ratio"),
-        numbers.ratio(part["NON_RESNT_PPLTN_RATE"]).alias("non_resident_ratio"),
+        F.col("city.area_code").alias("area_code"),
+        part["observed_at"].alias("observed_at"),
+        *[part[name].alias(name) for name in same_name],
         stamp.alias("loaded_at"),
-        clock.date_key(clock.local_time(observed)).alias("date_key"),
+        clock.date_key(clock.local_time(part["observed_at"])).alias("date_key"),
         *(_call_context() if with_call else []),
     )
 
@@ -228,21 +260,19 @@ def weathers(valid: DataFrame, stamp: Column, with_call: bool = False) -> DataFr
     }
     return valid.where(part.isNotNull()).select(
         F.col("raw_id").alias("ingestion_id"),
-        text.leaf(F.col("city.AREA_CD")).alias("area_code"),
+        F.col("city.area_code").alias("area_code"),
         clock.parse_minute(part["WEATHER_TIME"]).alias("observed_at"),
         number["temperature_c"],
         F.lit(None).cast("decimal(5,2)").alias("feels_like_c"),
         number["humidity_pct"],
-        text.leaf(part["PRECPT_TYPE"]).alias("precipitation_type"),
+        part["PRECPT_TYPE"].alias("precipitation_type"),
         number["precipitation_mm"],
         number["wind_speed_mps"],
         F.lit(None).cast("decimal(6,2)").alias("wind_direction_deg"),
         number["pm10"],
         number["pm25"],
-        text.leaf(part["AIR_IDX"]).alias("air_quality_index"),
-        text.join_lines(*[text.leaf(part[m]) for m in ("AIR_MSG", "PCP_MSG", "UV_MSG")]).alias(
-            "weather_description"
-        ),
+        part["AIR_IDX"].alias("air_quality_index"),
+        text.join_lines(part["AIR_MSG"], part["PCP_MSG"], part["UV_MSG"]).alias("weather_description"),
         stamp.alias("loaded_at"),
         "ingest_date",
         *(_call_context() if with_call else []),

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import SOURCE_NAME, SUCCESS_CODE
-from ..functions import clock, numbers, text
+from ..functions import clock, numbers
 from ..functions.once import once
-from .documents import WEATHER_NUMBERS, city_is_object
+from .documents import WEATHER_NUMBERS
 
 
 class GateError(Exception):
@@ -30,54 +30,34 @@ def _with_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return listed.withColumn("reason", F.get(F.col("reasons"), F.lit(0)))
 
 
-def _range_rules(part: Column, blank) -> dict[str, Column]:
-    low, high = part["AREA_PPLTN_MIN"], part["AREA_PPLTN_MAX"]
-    low_int, high_int = numbers.strict_int(low), numbers.strict_int(high)
-    given = part.isNotNull() & ~blank(low) & ~blank(high)
-    return {
-        "population_not_int": given & (low_int.isNull() | high_int.isNull()),
-        "population_range": low_int > high_int,
-    }
-
-
 def document_rules(source_name: str = SOURCE_NAME) -> dict[str, Column]:
-    """Rules over the output of ``documents.read_documents`` on raw rows."""
-    city, block, part = F.col("city"), F.col("city.LIVE_PPLTN_STTS"), F.col("population")
-    parsed, envelope = F.col("well_formed"), F.col("is_envelope")
-    is_object = envelope & city_is_object()
-
-    def blank(value):
-        return text.leaf(value).isNull()
-
-    block_has_text = F.exists(block, lambda b: text.leaf(b["_VALUE"]).isNotNull())
-    block_has_record = F.exists(block, lambda b: b["LIVE_PPLTN_STTS"].isNotNull())
-    block_filled = block_has_text | block_has_record
-    block_is_object = (F.size(block) == 1) & block_has_record
-    required = ("PPLTN_TIME", "AREA_CONGEST_LVL", "AREA_PPLTN_MIN", "AREA_PPLTN_MAX")
+    """Rules over raw rows with the parts of ``documents.read_documents``."""
+    parsed, envelope, part = F.col("well_formed"), F.col("is_envelope"), F.col("population")
+    city, state = F.col("city"), F.col("population_state")
+    no_payload = F.col("payload_xml").isNull()
+    needed = ("time_text", "congestion_level", "min_text", "max_text")
     key_missing = F.lit(False)
-    for name in required:
-        key_missing = key_missing | blank(part[name])
-    rates = ("MALE_PPLTN_RATE", "FEMALE_PPLTN_RATE", "RESNT_PPLTN_RATE", "NON_RESNT_PPLTN_RATE")
-    junk_rate = F.lit(False)
-    for name in rates:
-        junk_rate = junk_rate | numbers.ratio_is_junk(part[name])
-    time = part["PPLTN_TIME"]
+    for name in needed:
+        key_missing = key_missing | part[name].isNull()
+    given = part["min_text"].isNotNull() & part["max_text"].isNotNull()
+    low, high = part["population_min"], part["population_max"]
     return {
         "wrong_source": ~F.col("source_name").eqNullSafe(source_name),
-        "payload_missing": F.col("payload_xml").isNull(),
-        "xml_parse_failed": F.col("payload_xml").isNotNull() & ~parsed,
+        "payload_missing": no_payload,
+        "xml_parse_failed": ~no_payload & ~parsed,
         "not_success": ~_true(F.col("is_success")),
         "envelope_missing": parsed & ~envelope,
-        "bad_result_code": envelope & ~text.leaf(F.col("doc.RESULT.`RESULT.CODE`")).eqNullSafe(SUCCESS_CODE),
-        "citydata_missing": envelope & ~city_is_object(),
-        "citydata_key_missing": is_object
-        & (blank(city["AREA_NM"]) | blank(city["AREA_CD"]) | ~_true(block_filled)),
-        "population_container": is_object & block_filled & ~block_is_object,
-        "population_object": is_object & block_is_object & part.isNull(),
+        "bad_result_code": envelope & ~F.col("outcome.code").eqNullSafe(SUCCESS_CODE),
+        "citydata_missing": envelope & city.isNull(),
+        "citydata_key_missing": city.isNotNull()
+        & (city["area_name"].isNull() | city["area_code"].isNull() | (state == "missing")),
+        "population_container": city.isNotNull() & (state == "not_object"),
+        "population_object": city.isNotNull() & (state == "ok") & part.isNull(),
         "population_key_missing": part.isNotNull() & key_missing,
-        **_range_rules(part, blank),
-        "population_time": ~blank(time) & clock.parse_minute(time).isNull(),
-        "ratio_not_number": part.isNotNull() & junk_rate,
+        "population_not_int": given & (low.isNull() | high.isNull()),
+        "population_range": low > high,
+        "population_time": part["time_text"].isNotNull() & part["observed_at"].isNull(),
+        "ratio_not_number": part["ratio_is_junk"],
     }
 
 
@@ -94,6 +74,8 @@ def json_rules() -> dict[str, Column]:
         key_missing = key_missing | part[name].isNull()
     given = F.col("well_formed") & city.isNotNull()
     time = part["PPLTN_TIME"]
+    low, high = part["AREA_PPLTN_MIN"], part["AREA_PPLTN_MAX"]
+    low_int, high_int = numbers.strict_int(low), numbers.strict_int(high)
     return {
         "payload_missing": F.col("payload").isNull(),
         "json_parse_failed": F.col("payload").isNotNull() & ~F.col("well_formed"),
@@ -102,7 +84,8 @@ def json_rules() -> dict[str, Column]:
         "citydata_key_missing": given & (city["AREA_NM"].isNull() | city["AREA_CD"].isNull()),
         "population_container": given & ~_true(F.size(people) > 0),
         "population_key_missing": part.isNotNull() & key_missing,
-        **_range_rules(part, lambda value: value.isNull()),
+        "population_not_int": low.isNotNull() & high.isNotNull() & (low_int.isNull() | high_int.isNull()),
+        "population_range": low_int > high_int,
         "population_time": time.isNotNull() & clock.parse_iso(time).isNull(),
     }
 
@@ -114,7 +97,7 @@ def json_gate(read: DataFrame) -> DataFrame:
 def weather_rules() -> dict[str, Column]:
     """Rules of the optional weather record; they never touch the population."""
     part = F.col("weather")
-    time = text.leaf(part["WEATHER_TIME"])
+    time = part["WEATHER_TIME"]
     junk = F.lit(False)
     for source, target in WEATHER_NUMBERS.values():
         junk = junk | numbers.weather_number_is_junk(part[source], target)
