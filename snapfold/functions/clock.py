@@ -34,10 +34,10 @@ def from_local(wall_clock: Column, zone: str = BUSINESS_ZONE) -> Column:
     return F.convert_timezone(F.lit(zone), F.current_timezone(), ntz).cast("timestamp")
 
 
-def parse_minute(text: Column, zone: str = BUSINESS_ZONE) -> Column:
+def parse_minute(text: Column, zone: str = BUSINESS_ZONE, clean: bool = False) -> Column:
     """``YYYY-MM-DD HH:MM`` local text as an instant, NULL when it is no such text."""
-    clock = F.call_function("try_to_timestamp", strip(text), F.lit(MINUTE_PATTERN))
-    return from_local(clock, zone)
+    stripped = text if clean else strip(text)
+    return from_local(F.call_function("try_to_timestamp", stripped, F.lit(MINUTE_PATTERN)), zone)
 
 
 def parse_iso(text: Column, zone: str = BUSINESS_ZONE) -> Column:

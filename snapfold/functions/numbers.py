@@ -8,38 +8,43 @@ from ..fixed_values import RATIO_NULL_TEXTS, WEATHER_NULL_TEXTS
 from .text import strip
 
 
+# ``clean`` says that the text is stripped already, as leaves of a read document are.
+
+
+def _cut(text: Column, clean: bool) -> Column:
+    return text if clean else strip(text)
+
+
 def _parse(text: Column, null_texts: tuple[str, ...], target: str) -> Column:
-    stripped = strip(text)
-    return F.when(~stripped.isin(*null_texts), stripped.try_cast(target))
+    return F.when(~text.isin(*null_texts), text.try_cast(target))
 
 
 def _is_junk(text: Column, null_texts: tuple[str, ...], target: str) -> Column:
-    stripped = strip(text)
-    bad = ~stripped.isin(*null_texts) & stripped.try_cast(target).isNull()
+    bad = ~text.isin(*null_texts) & text.try_cast(target).isNull()
     return F.coalesce(bad, F.lit(False))
 
 
-def weather_number(text: Column, target: str) -> Column:
+def weather_number(text: Column, target: str, clean: bool = False) -> Column:
     """Weather number as ``decimal(p,s)``; sentinels and junk give NULL."""
-    return _parse(text, WEATHER_NULL_TEXTS, target)
+    return _parse(_cut(text, clean), WEATHER_NULL_TEXTS, target)
 
 
-def weather_number_is_junk(text: Column, target: str) -> Column:
-    return _is_junk(text, WEATHER_NULL_TEXTS, target)
+def weather_number_is_junk(text: Column, target: str, clean: bool = False) -> Column:
+    return _is_junk(_cut(text, clean), WEATHER_NULL_TEXTS, target)
 
 
-def ratio(text: Column, target: str = "decimal(5,2)") -> Column:
+def ratio(text: Column, target: str = "decimal(5,2)", clean: bool = False) -> Column:
     """Population ratio; its sentinels differ from the weather ones."""
-    return _parse(text, RATIO_NULL_TEXTS, target)
+    return _parse(_cut(text, clean), RATIO_NULL_TEXTS, target)
 
 
-def ratio_is_junk(text: Column, target: str = "decimal(5,2)") -> Column:
-    return _is_junk(text, RATIO_NULL_TEXTS, target)
+def ratio_is_junk(text: Column, target: str = "decimal(5,2)", clean: bool = False) -> Column:
+    return _is_junk(_cut(text, clean), RATIO_NULL_TEXTS, target)
 
 
-def strict_int(text: Column) -> Column:
+def strict_int(text: Column, clean: bool = False) -> Column:
     """Whole number or NULL: ``'12.0'`` is not a whole number, ``' +5 '`` is."""
-    return strip(text).try_cast("int")
+    return _cut(text, clean).try_cast("int")
 
 
 def unscaled(value: Column, digits: int) -> Column:

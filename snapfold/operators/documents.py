@@ -88,17 +88,17 @@ def _typed_population(part: Column) -> Column:
     }
     junk = F.lit(False)
     for value in rates.values():
-        junk = junk | numbers.ratio_is_junk(value)
+        junk = junk | numbers.ratio_is_junk(value, clean=True)
     return F.struct(
         part["PPLTN_TIME"].alias("time_text"),
-        clock.parse_minute(part["PPLTN_TIME"]).alias("observed_at"),
+        clock.parse_minute(part["PPLTN_TIME"], clean=True).alias("observed_at"),
         part["AREA_CONGEST_LVL"].alias("congestion_level"),
         part["AREA_CONGEST_MSG"].alias("congestion_message"),
         part["AREA_PPLTN_MIN"].alias("min_text"),
         part["AREA_PPLTN_MAX"].alias("max_text"),
-        numbers.strict_int(part["AREA_PPLTN_MIN"]).alias("population_min"),
-        numbers.strict_int(part["AREA_PPLTN_MAX"]).alias("population_max"),
-        *[numbers.ratio(value).alias(name) for name, value in rates.items()],
+        numbers.strict_int(part["AREA_PPLTN_MIN"], clean=True).alias("population_min"),
+        numbers.strict_int(part["AREA_PPLTN_MAX"], clean=True).alias("population_max"),
+        *[numbers.ratio(value, clean=True).alias(name) for name, value in rates.items()],
         junk.alias("ratio_is_junk"),
     )
 
@@ -122,6 +122,11 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
     envelope = well_formed & F.col("root").eqNullSafe(SUCCESS_ROOT)
     city = F.when(envelope, _only(F.col("doc.CITYDATA")))
     opened = once(parsed, well_formed=well_formed, is_envelope=envelope, _city=city)
+    opened = once(
+        opened,
+        population=_only(_only(F.col("_city.LIVE_PPLTN_STTS"))["LIVE_PPLTN_STTS"]),
+        weather=_only(_only(F.col("_city.WEATHER_STTS"))["WEATHER_STTS"]),
+    )
 
     result = F.col("doc.RESULT")
     code = F.when(F.col("is_envelope"), result["RESULT.CODE"]).otherwise(F.col("doc.CODE"))
@@ -143,8 +148,8 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
         ),
         city=F.when(F.coalesce(filled, F.lit(False)), F.struct(area_code.alias("area_code"), area_name.alias("area_name"))),
         population_state=_population_state(block),
-        population=_cleaned(_only(_only(block)["LIVE_PPLTN_STTS"]), POPULATION_FIELDS),
-        weather=_cleaned(_only(_only(raw_city["WEATHER_STTS"])["WEATHER_STTS"]), WEATHER_FIELDS),
+        population=_cleaned(F.col("population"), POPULATION_FIELDS),
+        weather=_cleaned(F.col("weather"), WEATHER_FIELDS),
     )
     population, weather = F.col("population"), F.col("weather")
     typed = once(
@@ -255,13 +260,13 @@ def weathers(valid: DataFrame, stamp: Column, with_call: bool = False) -> DataFr
     """
     part = F.col("weather")
     number = {
-        name: numbers.weather_number(part[source], target).alias(name)
+        name: numbers.weather_number(part[source], target, clean=True).alias(name)
         for name, (source, target) in WEATHER_NUMBERS.items()
     }
     return valid.where(part.isNotNull()).select(
         F.col("raw_id").alias("ingestion_id"),
         F.col("city.area_code").alias("area_code"),
-        clock.parse_minute(part["WEATHER_TIME"]).alias("observed_at"),
+        clock.parse_minute(part["WEATHER_TIME"], clean=True).alias("observed_at"),
         number["temperature_c"],
         F.lit(None).cast("decimal(5,2)").alias("feels_like_c"),
         number["humidity_pct"],

@@ -100,9 +100,9 @@ def weather_rules() -> dict[str, Column]:
     time = part["WEATHER_TIME"]
     junk = F.lit(False)
     for source, target in WEATHER_NUMBERS.values():
-        junk = junk | numbers.weather_number_is_junk(part[source], target)
+        junk = junk | numbers.weather_number_is_junk(part[source], target, clean=True)
     return {
-        "weather_time": part.isNotNull() & (time.isNull() | clock.parse_minute(time).isNull()),
+        "weather_time": part.isNotNull() & (time.isNull() | clock.parse_minute(time, clean=True).isNull()),
         "weather_number": part.isNotNull() & junk,
     }
 
