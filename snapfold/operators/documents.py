@@ -166,9 +166,11 @@ def classify(landing: DataFrame, with_payload: bool = True, keep_parts: bool = F
     ``with_payload`` also stores the canonical JSON form and its fingerprint;
     ``keep_parts`` keeps the parsed parts, for gates in the same pass.
     """
-    read = read_documents(landing)
     code, city = F.col("outcome.code"), F.col("city")
-    success = (F.col("http_status") == 200) & (code == SUCCESS_CODE) & city.isNotNull()
+    success = (
+        F.col("is_envelope") & (F.col("http_status") == 200) & (code == SUCCESS_CODE) & city.isNotNull()
+    )
+    read = once(read_documents(landing), is_success=F.coalesce(success, F.lit(False)))
     payload = xml_to_json(F.col("payload_xml")) if with_payload else F.lit(None).cast("string")
     return read.withColumn("payload", payload).select(
         F.col("raw_id").cast("bigint").alias("raw_id"),
@@ -183,7 +185,7 @@ def classify(landing: DataFrame, with_payload: bool = True, keep_parts: bool = F
         "payload_xml",
         "payload",
         text.fingerprint(F.col("payload")).alias("payload_hash"),
-        F.coalesce(F.col("is_envelope") & success, F.lit(False)).alias("is_success"),
+        "is_success",
         F.when(~F.col("well_formed"), F.lit("xml_parse_failed")).alias("error_message"),
         clock.local_time(F.col("requested_at"), "UTC").cast("date").alias("ingest_date"),
         *(PARTS if keep_parts else ()),
