@@ -113,11 +113,9 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
     root = F.nullif(F.regexp_extract(body, r"<([A-Za-z_][^\s/>]*)", 1), F.lit(""))
     parsed = once(df, root=root, doc=F.from_xml(body, DOCUMENT_SCHEMA, {"mode": "PERMISSIVE"}))
 
-    tail = text.strip(F.substring(body, -400, 400))
-    closed = (
-        tail.endswith(F.concat(F.lit("</"), F.col("root"), F.lit(">")))
-        | tail.endswith(F.lit("/>")) | tail.endswith(F.lit("-->"))
-    )
+    end_tag = F.concat(F.lit("</"), F.col("root"), F.lit(">"))
+    tail = text.strip(F.substring(body, -400, 400))  # only looked at when the cheap test fails
+    closed = body.endswith(end_tag) | tail.endswith(end_tag) | tail.endswith("/>") | tail.endswith("-->")
     well_formed = F.coalesce(F.col("doc._corrupt_record").isNull() & closed, F.lit(False))
     envelope = well_formed & F.col("root").eqNullSafe(SUCCESS_ROOT)
     city = F.when(envelope, _only(F.col("doc.CITYDATA")))
@@ -148,16 +146,16 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
         ),
         city=F.when(F.coalesce(filled, F.lit(False)), F.struct(area_code.alias("area_code"), area_name.alias("area_name"))),
         population_state=_population_state(block),
-        population=_cleaned(F.col("population"), POPULATION_FIELDS),
-        weather=_cleaned(F.col("weather"), WEATHER_FIELDS),
-    )
+    ).drop("root", "doc", "_city")
+
+    # Small steps on purpose: a generated method past 8000 bytes is never compiled by the JVM.
     population, weather = F.col("population"), F.col("weather")
+    cleaned = once(named, population=_cleaned(population, POPULATION_FIELDS))
     typed = once(
-        named,
-        population=F.when(_any_field(population, POPULATION_FIELDS), _typed_population(population)),
-        weather=F.when(_any_field(weather, WEATHER_FIELDS), weather),
+        cleaned, population=F.when(_any_field(population, POPULATION_FIELDS), _typed_population(population))
     )
-    return typed.drop("root", "doc", "_city")
+    cleaned = once(typed, weather=_cleaned(weather, WEATHER_FIELDS))
+    return once(cleaned, weather=F.when(_any_field(weather, WEATHER_FIELDS), weather))
 
 
 def classify(landing: DataFrame, with_payload: bool = True, keep_parts: bool = False) -> DataFrame:

@@ -17,6 +17,7 @@ def local_session(cores: str = "8", memory: str = "20g", **settings: str) -> Spa
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores.replace("*", "8"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)
