@@ -53,7 +53,7 @@ def upsert_locations(stored: DataFrame, arrivals: DataFrame) -> DataFrame:
     """
     rule = RULES["dim_location"]
     merged = upsert(stored, arrivals, rule["keys"], changed=rule["changed"], keep=rule["keep"])
-    top = stored.agg(F.coalesce(F.max("location_id"), F.lit(0)).alias("_top"))
-    fresh = merged.where("location_id IS NULL").drop("location_id").crossJoin(F.broadcast(top))  # one row
-    numbered = dense_ids(fresh, "area_code", "location_id", F.col("_top") + 1).drop("_top")
+    after_last = stored.agg(F.coalesce(F.max("location_id"), F.lit(0)) + 1).scalar()
+    fresh = merged.where("location_id IS NULL").drop("location_id")
+    numbered = dense_ids(fresh, "area_code", "location_id", after_last)
     return merged.where("location_id IS NOT NULL").unionByName(numbered)

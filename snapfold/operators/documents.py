@@ -47,7 +47,7 @@ DOCUMENT_SCHEMA = (
 
 
 # What :func:`read_documents` adds to each document.
-PARTS = ("well_formed", "is_envelope", "outcome", "city", "population_state", "population", "weather")
+PARTS = ("has_payload", "well_formed", "is_envelope", "outcome", "city", "population_state", "population", "weather")
 
 
 def _only(items: Column) -> Column:
@@ -119,7 +119,9 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
     well_formed = F.coalesce(F.col("doc._corrupt_record").isNull() & closed, F.lit(False))
     envelope = well_formed & F.col("root").eqNullSafe(SUCCESS_ROOT)
     city = F.when(envelope, _only(F.col("doc.CITYDATA")))
-    opened = once(parsed, well_formed=well_formed, is_envelope=envelope, _city=city)
+    opened = once(
+        parsed, has_payload=body.isNotNull(), well_formed=well_formed, is_envelope=envelope, _city=city
+    )
     opened = once(
         opened,
         population=_only(_only(F.col("_city.LIVE_PPLTN_STTS"))["LIVE_PPLTN_STTS"]),

@@ -34,7 +34,7 @@ def document_rules(source_name: str = SOURCE_NAME) -> dict[str, Column]:
     """Rules over raw rows with the parts of ``documents.read_documents``."""
     parsed, envelope, part = F.col("well_formed"), F.col("is_envelope"), F.col("population")
     city, state = F.col("city"), F.col("population_state")
-    no_payload = F.col("payload_xml").isNull()
+    no_payload = ~F.col("has_payload")
     needed = ("time_text", "congestion_level", "min_text", "max_text")
     key_missing = F.lit(False)
     for name in needed:

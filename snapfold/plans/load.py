@@ -31,16 +31,18 @@ class Parsed:
 
 
 def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder: str | None = None) -> Parsed:
-    """Parse and gate raw rows.
+    """Parse and gate raw rows; rows that still carry their parts are not parsed again.
 
-    With a ``folder`` the parsed rows are written there once, and everything after
-    reads those columns instead of parsing the documents again.
+    With a ``folder`` the parts are written there once, and everything after reads
+    those columns instead of parsing the documents again.
     """
-    gated = gates.document_gate(documents.read_documents(raw), source_name)
-    gated = gated.drop("payload_xml", "payload")
+    if not set(documents.PARTS) <= set(raw.columns):
+        raw = documents.read_documents(raw)
+    parts = raw.drop("payload_xml", "payload")
     if folder:
-        gated.write.mode("overwrite").parquet(folder)
-        gated = raw.sparkSession.read.schema(gated.schema).parquet(folder)
+        parts.write.mode("overwrite").parquet(folder)
+        parts = raw.sparkSession.read.schema(parts.schema).parquet(folder)
+    gated = gates.document_gate(parts, source_name)
     valid = gates.accepted(gated)
     weather_gated = gates.weather_gate(valid)
     populations, broken = integrity.split(documents.populations(valid, stamp, with_call=True), POPULATION)
@@ -92,7 +94,7 @@ def rebuild(
 
 def _next_raw_id(tables: MedallionTables, batch_id: int) -> int:
     """The highest raw id of earlier batches; a replay must not see its own rows."""
-    if not tables._exists(tables.path(RAW.name)):
+    if not tables.exists(tables.path(RAW.name)):
         return 0
     earlier = tables.spark.read.parquet(tables.path(RAW.name)).where(F.col("batch_id") < batch_id)
     return earlier.agg(F.coalesce(F.max("raw_id"), F.lit(0))).first()[0]
@@ -108,14 +110,18 @@ def run_batch(
     """One collection run for all its areas: raw, staging, dimensions, facts, audits, marts.
 
     Safe to repeat with the same ``batch_id``.  Dimensions load before both facts.
-    Returns the quarantine, the refused rows and the two audits of this batch.
+    Writes and returns the quarantine, the refused rows and the two audits of this batch.
     """
     if "raw_id" not in landing.columns:
         landing = number_calls(landing, after=_next_raw_id(tables, batch_id))
     calls = integrity.with_defaults(landing, RAW)
-    raw = tables.append(RAW.name, documents.classify(calls), batch_id)
+    parsed_folder = f"{tables.root}/_parsed/{batch_id}"
+    classified = documents.classify(calls, keep_parts=True)
+    classified.write.mode("overwrite").parquet(parsed_folder)
+    classified = tables.spark.read.schema(classified.schema).parquet(parsed_folder)
+    tables.append(RAW.name, classified.select(*RAW.columns), batch_id)
 
-    parsed = parse(raw, stamp, source_name, f"{tables.root}/_parsed/{batch_id}")
+    parsed = parse(classified, stamp, source_name)
     tables.merge(HEADER.name, parsed.headers, batch_id)
     tables.merge(POPULATION.name, parsed.populations, batch_id)
     tables.merge(WEATHER.name, parsed.weathers, batch_id)
@@ -132,13 +138,16 @@ def run_batch(
     weather_days = tables.merge(FACT_WEATHER.name, weather, batch_id)
     days = sorted({*city_days, *weather_days})
     refresh_marts(tables, days, batch_id)
-    return {
+    reports = {
         "quarantine": gates.rejected(parsed.gated).select("raw_id", "reason", "reasons"),
         "weather_quarantine": gates.rejected(parsed.weather_gated).select("raw_id", "reason", "reasons"),
         "broken_rows": parsed.broken_rows,
         "audit_city": _audit(tables, FACT_CITY.name, POPULATION.name, city, days),
         "audit_weather": _audit(tables, FACT_WEATHER.name, WEATHER.name, weather, days),
     }
+    saved = {name: tables.write_report(name, rows, batch_id) for name, rows in reports.items()}
+    tables.delete(parsed_folder)
+    return saved
 
 
 def _dims(tables: MedallionTables) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -32,12 +32,22 @@ class MedallionTables:
         hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
         return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
 
-    def _exists(self, path: str) -> bool:
+    def exists(self, path: str) -> bool:
         fs, hadoop_path = self._file_system(path)
         return fs.exists(hadoop_path)
 
+    def delete(self, path: str) -> None:
+        fs, hadoop_path = self._file_system(path)
+        fs.delete(hadoop_path, True)
+
+    def write_report(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Keep a batch's report; the same batch again replaces it."""
+        folder = f"{self.root}/reports/{name}/batch_id={batch_id}"
+        rows.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
+
     def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        if not self._exists(self.path(name)):
+        if not self.exists(self.path(name)):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
 
@@ -58,7 +68,7 @@ class MedallionTables:
     ) -> None:
         """Overwrite the partitions that ``rows`` holds, by way of the staged folder."""
         staged = self._staged(name, batch_id)
-        if not self._exists(f"{staged}/_SUCCESS"):
+        if not self.exists(f"{staged}/_SUCCESS"):
             fresh = rows()
             if partition:
                 # Rebalancing splits a hot partition over several writers.
@@ -73,8 +83,7 @@ class MedallionTables:
         if partition:
             writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
         writer.parquet(self.path(name))
-        fs, hadoop_path = self._file_system(staged)
-        fs.delete(hadoop_path, True)
+        self.delete(staged)
 
     def _is_empty_folder(self, folder: str) -> bool:
         fs, hadoop_path = self._file_system(folder)
