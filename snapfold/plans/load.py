@@ -12,7 +12,7 @@ from ..operators.upsert import RULES, latest
 from ..schemas import (
     DIM_LOCATION, FACT_CITY, FACT_WEATHER, HEADER, POPULATION, RAW, TABLES, WEATHER,
 )
-from ..session import scratch_folder
+from ..session import saved, scratch_folder
 from ..sources.landing import number_calls
 from ..sources.tables import MedallionTables
 from . import marts
@@ -40,8 +40,7 @@ def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder:
         raw = documents.read_documents(raw)
     parts = raw.drop("payload_xml", "payload")
     if folder:
-        parts.write.mode("overwrite").parquet(folder)
-        parts = raw.sparkSession.read.schema(parts.schema).parquet(folder)
+        parts = saved(parts, folder)
     gated = gates.document_gate(parts, source_name)
     valid = gates.accepted(gated)
     weather_gated = gates.weather_gate(valid)
@@ -74,12 +73,16 @@ def rebuild(
 
     Facts come from the per-ingestion rows, never from deduplicated staging: staging
     keeps the last arrival, the facts the last collection.  ``cut`` writes the parsed
-    rows to the shared scratch folder first, so documents are parsed once.
+    rows and the dimension to the shared scratch folder, so each is computed once.
     """
-    folder = scratch_folder(raw.sparkSession, "parsed") if cut else None
-    parsed = parse(raw, stamp, source_name, folder)
+    folder = scratch_folder(raw.sparkSession, "rebuild") if cut else None
+    parsed = parse(raw, stamp, source_name, f"{folder}/parts" if cut else None)
     arrivals = dimensions.location_arrivals(parsed.populations, stamp)
+    if cut:
+        arrivals = saved(arrivals, f"{folder}/areas")
     dim_location = dimensions.upsert_locations(_empty(raw, DIM_LOCATION.name), arrivals)
+    if cut:
+        dim_location = saved(dim_location, f"{folder}/dim_location")
     city = facts.city_fact_rows(parsed.populations, dim_location, stamp)
     weather = facts.weather_fact_rows(parsed.weathers, dim_location, stamp)
     return {
@@ -116,9 +119,7 @@ def run_batch(
         landing = number_calls(landing, after=_next_raw_id(tables, batch_id))
     calls = integrity.with_defaults(landing, RAW)
     parsed_folder = f"{tables.root}/_parsed/{batch_id}"
-    classified = documents.classify(calls, keep_parts=True)
-    classified.write.mode("overwrite").parquet(parsed_folder)
-    classified = tables.spark.read.schema(classified.schema).parquet(parsed_folder)
+    classified = saved(documents.classify(calls, keep_parts=True), f"{parsed_folder}/calls")
     tables.append(RAW.name, classified.select(*RAW.columns), batch_id)
 
     parsed = parse(classified, stamp, source_name)
@@ -126,7 +127,7 @@ def run_batch(
     tables.merge(POPULATION.name, parsed.populations, batch_id)
     tables.merge(WEATHER.name, parsed.weathers, batch_id)
 
-    arrivals = dimensions.location_arrivals(parsed.populations, stamp)
+    arrivals = saved(dimensions.location_arrivals(parsed.populations, stamp), f"{parsed_folder}/areas")
     tables.replace_partitions(
         DIM_LOCATION.name, batch_id, None,
         lambda: dimensions.upsert_locations(tables.read(DIM_LOCATION.name), arrivals),

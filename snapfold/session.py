@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", memory: str = "20g", **settings: str) -> SparkSession:
@@ -37,3 +37,12 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="snapfold-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, folder: str) -> DataFrame:
+    """Write a DataFrame to a shared folder and read it back, which cuts its lineage.
+
+    What reads it more than once does not compute it again, and its true size is known.
+    """
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
