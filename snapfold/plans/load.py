@@ -146,9 +146,9 @@ def run_batch(
         "audit_city": _audit(tables, FACT_CITY.name, POPULATION.name, city, days),
         "audit_weather": _audit(tables, FACT_WEATHER.name, WEATHER.name, weather, days),
     }
-    saved = {name: tables.write_report(name, rows, batch_id) for name, rows in reports.items()}
+    written = {name: tables.write_report(name, rows, batch_id) for name, rows in reports.items()}
     tables.delete(parsed_folder)
-    return saved
+    return written
 
 
 def _dims(tables: MedallionTables) -> tuple[DataFrame, DataFrame, DataFrame]:
