@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import clock
 from ..operators.documents import classify
 from ..plans import marts
 from ..plans.load import rebuild
@@ -49,7 +50,7 @@ def area_class_rollup(spark, sf_dir):
 def hourly_from_documents(spark, sf_dir):
     """The population mart straight from raw documents: classify, gate, fold, aggregate."""
     raw = classify(feed.landing(spark, sf_dir), with_payload=False, keep_parts=True)
-    built = rebuild(raw, F.lit("2024-02-02").cast("timestamp"))
+    built = rebuild(raw, clock.utc_instant(F.lit("2024-02-02")))
     location, date, hour = feed.dims(spark, sf_dir)
     mart = marts.population_hourly(built["fact_city_snapshot"], built["dim_location"], date, hour)
     return plain(mart.drop("location_id"))

@@ -108,7 +108,7 @@ def dim_hour(spark, sf_dir):
 
 def dim_location_upsert(spark, sf_dir):
     """Customers as areas: three segments stored, buyers arrive, some renamed or reactivated."""
-    first, second = F.lit("2024-01-01").cast("timestamp"), F.lit("2024-02-02").cast("timestamp")
+    first, second = (clock.utc_instant(F.lit(day)) for day in ("2024-01-01", "2024-02-02"))
     customer = _table(spark, sf_dir, "customer")
     code = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
     old = customer.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE")).select(
@@ -201,7 +201,7 @@ def event_upsert(spark, sf_dir):
         F.col("user_id").alias("staging_id"),
         F.concat(F.lit("area "), F.col("user_id").cast("string")).alias("area_code"),
         F.col("event_type").alias("event_name"),
-        F.date_trunc("day", at).alias("event_start_at"),
+        clock.utc_instant(F.date_trunc("day", F.col("ts").cast("timestamp_ntz"))).alias("event_start_at"),
         at.alias("event_end_at"),
         F.col("props").alias("venue_name"),
         F.col("event_id").cast("string").alias("source_event_id"),
@@ -308,7 +308,7 @@ def star_join(spark, sf_dir):
 
 def rebuild_fact(spark, sf_dir):
     """City facts from the raw documents alone."""
-    stamped = F.lit("2024-02-02").cast("timestamp")
+    stamped = clock.utc_instant(F.lit("2024-02-02"))
     raw = classify(feed.landing(spark, sf_dir), with_payload=False, keep_parts=True)
     built = rebuild(raw, stamped)
     named = built[FACT_CITY.name].join(

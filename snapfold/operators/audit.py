@@ -127,10 +127,12 @@ def load_status(
     ``arrivals`` are the fact rows the batch offered.  An ingestion whose key is held
     by a newer fact has been superseded, which is not a fault.
     """
-    # A key's winner has a location and a time, so the pair spreads like the facts do.
-    held = facts.select("location_id", "observed_at").withColumn("superseded", F.lit(True))
+    # Keys first, then rows: a key with many arrivals is one row in the first join, and
+    # the keys that facts lack are few and spread by the lookup.
+    key = ["location_id", "observed_at"]
+    lost = arrivals.select(*key).distinct().join(facts.select(*key), key, "left_anti")
     offered = (
-        arrivals.join(held, ["location_id", "observed_at"], "left_semi")
+        lookup(arrivals.select("source_ingestion_id", *key), lost, key, "left_anti")
         .groupBy(F.col("source_ingestion_id").alias("ingestion_id"))
         .agg(F.lit(True).alias("superseded"))
     )

@@ -31,7 +31,8 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
 
     Only a local session may do without the setting; it then uses a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    name = "spark.checkpoint.dir"
+    base = spark.conf.get(name, None) or spark.sparkContext.getConf().get(name)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import BUSINESS_ZONE, SOURCE_NAME
-from ..operators.lookup import broadcast_limit, planned_bytes
+from ..operators.lookup import broadcast_limit, lookup, planned_bytes
 
 
 def business_today() -> Column:
@@ -36,7 +36,8 @@ def active_locations(
 
 def requests_of(feed: DataFrame, active: DataFrame) -> DataFrame:
     """Feed rows whose requested area is active."""
-    return feed.join(active.select("request_area_name").distinct(), "request_area_name", "left_semi")
+    names = active.select("request_area_name").distinct()
+    return lookup(feed, names, ["request_area_name"], "left_semi")
 
 
 def valid_at_request(feed: DataFrame, config: DataFrame, day: Column, salts: int = 32) -> DataFrame:

@@ -12,5 +12,9 @@ from snapfold.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     return local_session(
-        "8", "8g", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))}
+        "8", "8g",
+        **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.shuffle.partitions": "3",
+        },
     )
