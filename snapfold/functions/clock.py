@@ -1,7 +1,8 @@
 """Business-zone clock: texts to instants, instants to local date and hour keys.
 
 Every function goes through ``timestamp_ntz`` and names both zones, so results do
-not depend on the session time zone.
+not depend on the session time zone, but for the hour that a session zone with
+clock changes repeats in autumn.  UTC sessions have no such hour.
 """
 
 from __future__ import annotations
