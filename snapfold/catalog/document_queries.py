@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import clock, numbers, text
 from ..operators import documents, gates
 from . import feed
-from .oracle import BASE, FACTS, KST, REJECTED, ROWS, date_key, stamp, with_ctes
+from .oracle import BASE, KST, ROWS, date_key, stamp, with_ctes
 from .shape import plain
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..fixed_values import BUSINESS_ZONE, EXPECTED_AREAS, SOURCE_NAME
 from ..functions import clock
 from ..operators import audit, dimensions, facts, integrity
 from ..operators.documents import classify, headers
@@ -37,7 +38,7 @@ def _config(spark, sf_dir):
     )
     customer = _table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return customer.join(span, F.col("c_custkey") == F.col("o_custkey")).select(
-        F.lit("seoul_realtime_city").alias("source_name"),
+        F.lit(SOURCE_NAME).alias("source_name"),
         F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("source_area_code"),
         F.col("c_name").alias("source_area_name"),
         F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("analysis_area_code"),
@@ -66,7 +67,7 @@ def active_locations(spark, sf_dir):
 
 
 def area_count_gate(spark, sf_dir):
-    return count_gate(_active(spark, sf_dir), 8)
+    return count_gate(_active(spark, sf_dir), EXPECTED_AREAS)
 
 
 def active_requests(spark, sf_dir):
@@ -113,7 +114,7 @@ def dim_location_upsert(spark, sf_dir):
     code = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
     old = customer.where(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE")).select(
         code.alias("area_code"), F.col("c_name").alias("area_name"),
-        F.lit("segment").alias("area_category"), F.lit("Asia/Seoul").alias("timezone_name"),
+        F.lit("segment").alias("area_category"), F.lit(BUSINESS_ZONE).alias("timezone_name"),
         (F.col("c_acctbal") > -500).alias("is_active"), first.alias("created_at"), first.alias("updated_at"),
     )
     stored = integrity.conform(

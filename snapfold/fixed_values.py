@@ -9,7 +9,6 @@ SUCCESS_ROOT = "SeoulRtd.citydata"
 ERROR_ROOT = "RESULT"
 SUCCESS_CODE = "INFO-000"
 SOURCE_NAME = "seoul_realtime_city"
-JSON_SOURCE_NAME = "test_dummy"
 
 # Clocks: the feed's texts are local time of this zone, instants are stored.
 BUSINESS_ZONE = "Asia/Seoul"

@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+from .fixed_values import BUSINESS_ZONE, SOURCE_NAME
+
 
 @dataclass(frozen=True)
 class Reference:
@@ -76,7 +78,7 @@ RAW = Table(
     "is_success boolean, error_message string, ingest_date date",
     key=("raw_id",),
     required=("source_name", "area_name", "requested_at", "received_at", "is_success"),
-    defaults={"source_name": "'seoul_realtime_city'", "received_at": "current_timestamp()"},
+    defaults={"source_name": f"'{SOURCE_NAME}'", "received_at": "current_timestamp()"},
     partition="ingest_date",
 )
 
@@ -187,7 +189,7 @@ DIM_LOCATION = Table(
         "longitude_range": "longitude BETWEEN -180 AND 180",
     },
     defaults={
-        "timezone_name": "'Asia/Seoul'",
+        "timezone_name": f"'{BUSINESS_ZONE}'",
         "is_active": "true",
         "created_at": "current_timestamp()",
         "updated_at": "current_timestamp()",
