@@ -16,7 +16,6 @@ from ..fixed_values import SUCCESS_CODE, SUCCESS_ROOT
 from ..functions import clock, numbers, text
 from ..functions.once import once
 from ..functions.xml_json import xml_to_json
-from ..schemas import RAW
 
 POPULATION_FIELDS = (
     "PPLTN_TIME", "AREA_CONGEST_LVL", "AREA_CONGEST_MSG", "AREA_PPLTN_MIN", "AREA_PPLTN_MAX",
