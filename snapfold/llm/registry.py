@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import byte_cnn, quality_rules, sentencepiece_fst, simhash_covering, spaced_seeds, toxicity_ordinal
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op4_simhash_covering": simhash_covering.op4_simhash_covering,
+    "op6_byte_cnn": byte_cnn.op6_byte_cnn,
+    "op8_toxicity_ordinal": toxicity_ordinal.op8_toxicity_ordinal,
+    "op9_sentencepiece_fst": sentencepiece_fst.op9_sentencepiece_fst,
+    "op10_spaced_seeds": spaced_seeds.op10_spaced_seeds,
 }
 ORACLE: dict[str, str] = {}
 
