@@ -97,24 +97,22 @@ class Transducer:
         self.arcs = {t: i for i, (t, k) in enumerate(zip(self.text, self.kind, strict=True)) if k == NORMAL}
         self.bytes = {int(t[3:5], 16): i for i, (t, k) in enumerate(zip(self.text, self.kind, strict=True)) if k == BYTE}
         self.unknown = self.kind.index(UNKNOWN)
-        self.longest = max(map(len, self.arcs))
+        self.joints = {t[k - 1:k + 1] for t in self.arcs for k in range(1, len(t))}
+        self.trie: dict = {}
+        for t, i in self.arcs.items():
+            node = self.trie
+            for letter in t:
+                node = node.setdefault(letter, {})
+            node[None] = i
         if any(SPACE in t.lstrip(SPACE) for t in self.arcs):
             raise ValueError("a piece runs over a word start")
-        held = sorted({c for t in self.arcs for c in t} - {SPACE})
-        inner = "".join(map(re.escape, held))
-        # a word with the spaces before it, spaces alone, or one character that no piece holds
-        self.cut = re.compile(f"{SPACE}*[{inner}]+|{SPACE}+|.", re.DOTALL).findall
         self.raw = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(SPACE, " ").encode()
                     for t, k in zip(self.text, self.kind, strict=True)]
         self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.pairs: list[dict[int, bool]] = [{} for _ in self.text]  # as many as neighbours occur
         self.origins: dict[str, tuple[float, str, str]] = {}
 
-    def normalise(self, text: str) -> str:
-        if self.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        return (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
-
     def merged(self, symbols: list[str]) -> tuple[list[str], tuple[str, str] | None]:
         """Join the neighbours whose joint piece scores highest, the leftmost of equals, to the end.
 
@@ -148,9 +146,10 @@ class Transducer:
         It is infinite if some merge over their border comes before the merges beside it; those are
         undone from the latest to the earliest.
         """
-        found = self.pairs.get((left, right))
+        row = self.pairs[left]
+        found = row.get(right)
         if found is None:
-            found = self.pairs[left, right] = self._meets(self.text[left], self.text[right])
+            found = row[right] = self._meets(self.text[left], self.text[right])
         return found
 
     def _meets(self, a: str, b: str) -> bool:
@@ -169,44 +168,113 @@ class Transducer:
             else:  # an equal merge over the border lies further left, so it would come first
                 before, b = made_b[0] + 0.5, made_b[1]
 
-    def shortest_path(self, word: str) -> tuple[int, ...]:
-        """Piece ids of the least path through one word's lattice."""
-        if len(word) == 1 and word not in self.arcs:
-            raw = word.encode("utf-8", "replace")
-            return tuple(self.bytes[b] for b in raw) if len(self.bytes) == 256 else (self.unknown,)
-        size, arcs, score = len(word), self.arcs, self.score
-        back: list[tuple[int, int]] = [(0, -1)] * (size + 1)  # where the last arc began, and its piece
-        cost = [0.0] + [math.inf] * size
-        for end in range(1, size + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = arcs.get(word[start:end])
-                if piece is None:
-                    continue
-                if not self.merges:
-                    if (new := cost[start] - score[piece]) < cost[end]:
+    def arcs_from(self, word: str, start: int) -> list[tuple[int, int]]:
+        """(end, piece) of the arcs that leave a place of the lattice, shortest first."""
+        out, node = [], self.trie
+        for end in range(start, len(word)):
+            node = node.get(word[end])
+            if node is None:
+                break
+            if None in node:
+                out.append((end + 1, node[None]))
+        return out
+
+    def least_sum(self, word: str) -> list[int] | None:
+        """The least path where weights sit on arcs (unigram), by relaxation from left to right."""
+        size = len(word)
+        cost, back = [0.0] + [math.inf] * size, [(0, -1)] * (size + 1)
+        for start in range(size):
+            if cost[start] < math.inf:
+                for end, piece in self.arcs_from(word, start):
+                    new = cost[start] - self.score[piece]
+                    if new < cost[end]:
                         cost[end], back[end] = new, (start, piece)
-                elif start == 0 or self.meets(back[start][1], piece):
-                    cost[end], back[end] = 0.0, (start, piece)
-                    break
-        if cost[size] == math.inf:  # a letter that only longer pieces hold
-            return tuple(i for c in word for i in self.shortest_path(c))
+        if cost[size] == math.inf:
+            return None
         out = []
         while size:
             size, piece = back[size]
             out.append(piece)
-        return tuple(out[::-1])
+        return out[::-1]
+
+    def finite(self, word: str) -> list[int] | None:
+        """The only path of finite weight where weights sit on neighbours (BPE), depth first.
+
+        One finite path at most leads to a place, so a place that was left for good is not tried again.
+        """
+        size, path, places, open_ = len(word), [], [0], {}
+        while places:
+            start = places[-1]
+            if start == size:
+                return path
+            arcs = open_.get(start)
+            if arcs is None:
+                arcs = open_[start] = self.arcs_from(word, start)
+            while arcs:
+                end, piece = arcs.pop()
+                if end in open_ and not open_[end]:
+                    continue
+                if not path or self.meets(path[-1], piece):
+                    path.append(piece)
+                    places.append(end)
+                    break
+            else:
+                places.pop()
+                if path:
+                    path.pop()
+        return None
+
+    def shortest_path(self, word: str) -> tuple[int, ...]:
+        """Piece ids of the least path through one word's lattice."""
+        found = (self.finite if self.merges else self.least_sum)(word)
+        if found is not None:
+            return tuple(found)
+        if len(word) > 1:  # a letter that only longer pieces hold
+            return tuple(i for c in word for i in self.shortest_path(c))
+        raw = word.encode("utf-8", "replace")
+        return tuple(self.bytes[b] for b in raw) if len(self.bytes) == 256 else (self.unknown,)
+
+    def path(self, word: str) -> tuple[int, ...]:
+        """Ids of a word with the spaces before it; parts between cuts are remembered."""
+        joints, parts = self.joints, self.parts
+        # no piece holds the two letters at such a border, so every path passes it
+        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joints]
+        if not cuts:
+            return self.shortest_path(word)
+        if len(parts) >= REMEMBERED:
+            parts.clear()
+        ids: tuple[int, ...] = ()
+        for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True):
+            part = parts.get(word[a:b])
+            if part is None:
+                part = parts[word[a:b]] = self.shortest_path(word[a:b])
+            ids += part
+        return ids
 
     def encode(self, text: str) -> list[int]:
+        if self.squeeze:
+            text = re.sub(" +", " ", text).strip(" ")
+        if not text:
+            return []
+        text = text.replace(SPACE, " ")
         out: list[int] = []
-        words = self.words
-        for word in self.cut(self.normalise(text)):
-            ids = words.get(word)
-            if ids is None:
-                if len(words) >= REMEMBERED:
-                    words.clear()
-                    self.pairs.clear()
-                ids = words[word] = self.shortest_path(word)
+        words, spaces = self.words, int(self.prefix)
+        for word in text.split(" "):
+            if not word:
+                spaces += 1
+                continue
+            if spaces == 1:
+                ids = words.get(word)
+                if ids is None:
+                    if len(words) >= REMEMBERED:
+                        words.clear()
+                    ids = words[word] = self.path(SPACE + word)
+            else:
+                ids = self.path(SPACE * spaces + word)
             out += ids
+            spaces = 1
+        if spaces > 1:
+            out += self.path(SPACE * (spaces - 1))
         return out
 
     def decode(self, ids: list[int]) -> str:
