@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Characters that one step inside a Python task holds at once, whatever a batch brings.
@@ -30,3 +32,17 @@ def slices(texts: Sequence[str | None], budget: int = CHARS_AT_ONCE) -> Iterator
         held += size
     if start < len(texts):
         yield start, len(texts)
+
+
+def parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """A batch in parts of about ``CHARS_AT_ONCE`` bytes of text, with the texts of each."""
+    column = batch.column(text)
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start, held = 0, 0
+    for at, size in enumerate(sizes):
+        if at > start and held + size > CHARS_AT_ONCE:
+            yield batch.slice(start, at - start), column.slice(start, at - start).to_pylist()
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield batch.slice(start), column.slice(start).to_pylist()

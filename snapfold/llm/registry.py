@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from . import byte_cnn, quality_rules, sentencepiece_fst, simhash_covering, spaced_seeds, toxicity_ordinal
+from . import (
+    byte_cnn,
+    line_dedup,
+    quality_rules,
+    sentencepiece_fst,
+    simhash_covering,
+    spaced_seeds,
+    toxicity_ordinal,
+)
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op4_simhash_covering": simhash_covering.op4_simhash_covering,
     "op6_byte_cnn": byte_cnn.op6_byte_cnn,
@@ -12,7 +21,9 @@ QUERIES = {
     "op9_sentencepiece_fst": sentencepiece_fst.op9_sentencepiece_fst,
     "op10_spaced_seeds": spaced_seeds.op10_spaced_seeds,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+}
 
 
 def queries() -> dict:

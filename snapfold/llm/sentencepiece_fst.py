@@ -23,6 +23,7 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,7 +33,7 @@ from . import common
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 300_000  # words a task keeps; past that it forgets all and goes on
+REMEMBERED = 200_000  # words a task keeps; past that it forgets all and goes on
 
 # Fixed values of the model format: field numbers and kinds.
 PIECES, TRAINER, NORMALISER = 1, 2, 3
@@ -106,8 +107,8 @@ class Transducer:
             node[None] = i
         if any(SPACE in t.lstrip(SPACE) for t in self.arcs):
             raise ValueError("a piece runs over a word start")
-        self.raw = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(SPACE, " ").encode()
-                    for t, k in zip(self.text, self.kind, strict=True)]
+        self.raw = np.array([bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(SPACE, " ").encode()
+                             for t, k in zip(self.text, self.kind, strict=True)], object)
         self.words: dict[str, tuple[int, ...]] = {}
         self.parts: dict[str, tuple[int, ...]] = {}
         self.pairs: list[dict[int, bool]] = [{} for _ in self.text]  # as many as neighbours occur
@@ -277,9 +278,8 @@ class Transducer:
             out += self.path(SPACE * (spaces - 1))
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        raw = self.raw
-        body = b"".join([raw[i] for i in ids])
+    def decode(self, ids: np.ndarray) -> str:
+        body = b"".join(self.raw[ids])
         return (body[1:] if self.prefix and body[:1] == b" " else body).decode("utf-8", "replace")
 
 
@@ -301,41 +301,50 @@ def _sent(spark: SparkSession, model: str) -> str:
     return model.rsplit("/", 1)[-1]
 
 
-def _with_column(df: DataFrame, source: str, target: str, kind: T.DataType, arrow: pa.DataType, step) -> DataFrame:
-    """``df`` with a column made from another in Arrow batches; a column of that name is replaced."""
-    kept = [c for c in df.columns if c != target]
-    rest = df.select(*[F.col(f"`{c}`") for c in kept])
-    if source not in kept:
-        raise ValueError(f"{source} cannot be replaced by itself")
+def encode(df: DataFrame, text: str = "text", target: str = "token_ids", round_trip: str | None = None,
+           model: str = MODEL) -> DataFrame:
+    """All columns, and the token ids of a text column.
+
+    ``round_trip`` names one more column, if given: whether decoding the ids gives the text.  Columns of
+    these names are replaced.
+    """
+    name = _sent(df.sparkSession, model)
+    new = [T.StructField(target, T.ArrayType(T.IntegerType()))]
+    if round_trip:
+        new.append(T.StructField(round_trip, T.BooleanType()))
+    rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in (target, round_trip)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _compiled(name)
         for batch in batches:
-            values = batch.column(source).to_pylist()
-            for a, b in common.slices(values):
-                part = batch.slice(a, b - a)
-                made = pa.array([None if v is None else step(v) for v in values[a:b]], arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns, made], [*kept, target])
+            for part, texts in common.parts(batch, text):
+                ids = [None if t is None else np.array(machine.encode(t), np.int32) for t in texts]
+                made = [pa.array(ids, pa.list_(pa.int32()))]
+                if round_trip:
+                    made.append(pa.array([None if t is None else machine.decode(i) == t for t, i in zip(texts, ids, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *[f.name for f in new]])
 
-    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(target, kind)]))
+    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, *new]))
 
 
-def encode(df: DataFrame, text: str = "text", target: str = "token_ids", model: str = MODEL) -> DataFrame:
-    """All columns, and the token ids of a text column."""
+def decode(df: DataFrame, ids: str = "token_ids", target: str = "decoded", model: str = MODEL) -> DataFrame:
+    """All columns, and the text that a column of token ids stands for; a column of that name is replaced."""
     name = _sent(df.sparkSession, model)
-    return _with_column(df, text, target, T.ArrayType(T.IntegerType()), pa.list_(pa.int32()),
-                        lambda value: _compiled(name).encode(value))
+    rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c != target])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = _compiled(name)
+        for batch in batches:
+            rows = (row.values.to_numpy() if row.is_valid else None for row in batch.column(ids))
+            made = pa.array([None if row is None else machine.decode(row) for row in rows], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, target])
 
-def decode(df: DataFrame, ids: str = "token_ids", target: str = "decoded", model: str = MODEL) -> DataFrame:
-    """All columns, and the text that a column of token ids stands for."""
-    name = _sent(df.sparkSession, model)
-    return _with_column(df, ids, target, T.StringType(), pa.string(), lambda value: _compiled(name).decode(value))
+    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField(target, T.StringType())]))
 
 
 def op9_sentencepiece_fst(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the number of tokens, a digest of their ids, and whether decoding gives the text."""
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs)).select(
-        "doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    return encode(docs, round_trip="round_trip").select(
+        "doc_id", F.greatest(F.size("token_ids"), F.lit(0)).cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"), "round_trip")

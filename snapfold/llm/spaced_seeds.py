@@ -167,9 +167,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_colum
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-                for a, b in common.slices(texts):
-                    hits = [(ids[a + t], *rest) for t, *rest in sent.value.search(texts[a:b])]
+                for part, texts in common.parts(batch, "text"):
+                    ids = part.column(0)
+                    hits = [(ids[t].as_py(), *rest) for t, *rest in sent.value.search(texts)]
                     columns = list(zip(*hits, strict=True)) or [()] * 5
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], FOUND.names)
 
@@ -188,10 +188,9 @@ def keep_clean(text_rows: DataFrame, benchmark: DataFrame, settings: Settings =
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column("text").to_pylist()
-                for a, b in common.slices(texts):
-                    hit = {t for t, *_ in sent.value.search(texts[a:b])}
-                    yield batch.slice(a, b - a).filter(pa.array([i not in hit for i in range(b - a)]))
+                for part, texts in common.parts(batch, "text"):
+                    hit = {t for t, *_ in sent.value.search(texts)}
+                    yield part.filter(pa.array([i not in hit for i in range(len(texts))], pa.bool_()))
 
         kept = kept.mapInArrow(clean, kept.schema)
     return kept
