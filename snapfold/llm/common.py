@@ -6,11 +6,14 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Characters that one step inside a Python task holds at once, whatever a batch brings.
 CHARS_AT_ONCE = 2_000_000
 
+BITMAP = 32768  # bits in one bitmap of Spark's own
+MOST_BITMAPS = 2048  # 8 MB: the bound of what flag() broadcasts
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -46,3 +49,22 @@ def parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, li
         held += size
     if start < len(sizes):
         yield batch.slice(start), column.slice(start).to_pylist()
+
+
+def flag(rows: DataFrame, wanted: DataFrame, hashed: str, name: str) -> DataFrame:
+    """``rows`` with a boolean: False where the hash is surely not in ``wanted``, else mostly in it.
+
+    One bit per hash in bitmaps of bounded size, sent to all tasks, so that what surely does not meet
+    ``wanted`` need not be shuffled to it.  Both sides have the column ``hashed`` (long).
+    """
+    count, bitmaps = wanted.count(), 1
+    while bitmaps * BITMAP < 16 * count and bitmaps < MOST_BITMAPS:
+        bitmaps *= 2
+    bucket = F.pmod(F.shiftright(hashed, 15), F.lit(bitmaps))
+    marks = wanted.groupBy(bucket.alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.pmod(F.col(hashed), F.lit(BITMAP))).alias("__marks"))
+    found = rows.withColumn("__bucket", bucket).join(F.broadcast(marks), "__bucket", "left")
+    byte = F.expr(f"conv(hex(substring(__marks, int(pmod({hashed}, {BITMAP}) div 8) + 1, 1)), 16, 10)").cast("int")
+    found = found.withColumn("__byte", byte)
+    bit = F.expr(f"shiftright(__byte, int(pmod({hashed}, 8))) & 1") == 1
+    return found.withColumn(name, F.coalesce(bit, F.lit(False))).drop("__bucket", "__marks", "__byte")

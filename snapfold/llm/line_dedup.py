@@ -36,8 +36,6 @@ from . import common
 MIN_WORDS = 8
 SPACES = " \t\n\x0b\x0c\r"
 BLOCK = 32  # words whose hashes are summed at once
-BITMAP = 32768  # bits in one bitmap of Spark's own
-MOST_BITMAPS = 2048  # 8 MB: the bound of what sift() broadcasts
 
 
 def lines_of(docs: DataFrame, text: str, id_column: str) -> DataFrame:
@@ -58,21 +56,9 @@ def _halves() -> Column:
 
 
 def sift(lines: DataFrame, contents: DataFrame) -> DataFrame:
-    """``lines`` whose (h1, h2) is in ``contents``, with the columns of both.
-
-    Bitmaps of the hashes, of bounded size, go to all tasks first, so that few lines are shuffled.
-    """
-    count = contents.count()
-    bitmaps = 1
-    while bitmaps * BITMAP < 16 * count and bitmaps < MOST_BITMAPS:
-        bitmaps *= 2
-    bucket = F.pmod(F.shiftright("h1", 15), F.lit(bitmaps))
-    bit = F.pmod("h1", F.lit(BITMAP))
-    marks = contents.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("marks"))
-    byte = F.conv(F.hex(F.expr(f"substring(marks, int(pmod(h1, {BITMAP}) div 8) + 1, 1)")), 16, 10).cast("int")
-    found = lines.withColumn("bucket", bucket).join(F.broadcast(marks), "bucket")
-    found = found.withColumn("byte", byte).where(F.expr("shiftright(byte, int(pmod(h1, 8))) & 1") == 1)
-    return found.drop("bucket", "byte", "marks").join(contents, ["h1", "h2"])
+    """``lines`` whose (h1, h2) is in ``contents``, with the columns of both; few others are shuffled."""
+    likely = common.flag(lines, contents, "h1", "likely").where("likely").drop("likely")
+    return likely.join(contents, ["h1", "h2"])
 
 
 def _xor(parts: Column, field: str) -> Column:

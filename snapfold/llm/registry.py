@@ -4,25 +4,34 @@ from __future__ import annotations
 
 from . import (
     byte_cnn,
+    html_blocks,
     line_dedup,
     quality_rules,
+    secret_scan,
     sentencepiece_fst,
     simhash_covering,
     spaced_seeds,
     toxicity_ordinal,
+    warc,
 )
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_html_blocks": html_blocks.op3_html_blocks,
     "op4_simhash_covering": simhash_covering.op4_simhash_covering,
+    "op5_secret_scan": secret_scan.op5_secret_scan,
     "op6_byte_cnn": byte_cnn.op6_byte_cnn,
+    "op7_warc": warc.op7_warc,
     "op8_toxicity_ordinal": toxicity_ordinal.op8_toxicity_ordinal,
     "op9_sentencepiece_fst": sentencepiece_fst.op9_sentencepiece_fst,
     "op10_spaced_seeds": spaced_seeds.op10_spaced_seeds,
 }
 ORACLE = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op3_html_blocks": html_blocks.OP3_SQL,
+    "op5_secret_scan": secret_scan.OP5_SQL,
+    "op7_warc": warc.OP7_SQL,
 }
 
 

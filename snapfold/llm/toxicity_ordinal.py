@@ -2,13 +2,13 @@
 
 ``P(grade > k) = sigmoid(weights . features - threshold_k)`` with ascending thresholds: all grades share
 one weight per feature and differ in their threshold only.  Features are sparse: the distinct words of a
-text in lower case, hashed to buckets.  An L1 penalty keeps the words that matter and zeroes the rest,
-so that a long text does not gather noise.  The output is the expected severity, the sum of the
-``P(grade > k)``.
+text in lower case and their beginnings (insults are inflected and compounded at the end), hashed to
+buckets.  An L1 penalty keeps the features that matter and zeroes the rest, so that a long text does not
+gather noise.  The output is the expected severity, the sum of the ``P(grade > k)``.
 
 ``labels`` only says toxic or not, so severity grades are made on the training rows: 0 where not toxic,
-else one more for every threshold in ``grade_at`` that the number of the text's telling words reaches.  A
-word is telling if its share among toxic texts is ``telling`` times that among others.
+else one more for every threshold in ``grade_at`` that the number of the text's telling features reaches.
+A feature is telling if its share among toxic texts is ``telling`` times that among others.
 
 Training sees a bounded sample: ``rows_per_class`` documents of either label, drawn by a hash of the id.
 
@@ -34,12 +34,13 @@ from . import common
 BUCKETS = 1 << 20
 REMEMBERED = 300_000
 WORD = re.compile(r"[^\W\d_]+")
+BEGINNINGS = (4, 5)
 
 
 @dataclass(frozen=True)
 class Settings:
-    rows_per_class: int = 4000
-    grade_at: tuple[int, ...] = (3, 6)
+    rows_per_class: int = 3000
+    grade_at: tuple[int, ...] = (6, 12)
     telling: float = 20.0
     least_rows: int = 3  # texts of the sample that a feature must occur in
     penalty: float = 0.0005
@@ -47,11 +48,18 @@ class Settings:
     toxic_at: float = 0.5  # P(grade > 0) from which a text counts as toxic
 
 
-def word_buckets(text: str | None) -> list[int]:
-    """The distinct buckets of a text's words."""
-    if not text:
-        return []
-    return sorted({zlib.crc32(w.encode("utf-8", "replace")) % BUCKETS for w in set(WORD.findall(text.lower()))})
+def features(word: str) -> set[int]:
+    """Buckets of a word and of its beginnings."""
+    names = {word, *(f"^{word[:k]}" for k in BEGINNINGS if len(word) >= k)}
+    return {zlib.crc32(name.encode("utf-8", "replace")) % BUCKETS for name in names}
+
+
+def text_features(text: str | None) -> bytes:
+    """The distinct buckets of a text, as 32-bit numbers."""
+    found: set[int] = set()
+    for word in set(WORD.findall(text.lower())) if text else ():
+        found |= features(word)
+    return np.array(sorted(found), np.int32).tobytes()
 
 
 class CumulativeLink:
@@ -59,23 +67,20 @@ class CumulativeLink:
 
     def __init__(self, weights: dict[int, float], thresholds: np.ndarray, toxic_at: float) -> None:
         self.weights, self.thresholds, self.toxic_at = weights, thresholds, toxic_at
-        self.words: dict[str, float] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
 
     def logit(self, text: str) -> float:
-        """Sum of the weights of a text's distinct buckets; a word's weight is remembered."""
-        known, out, used = self.words, 0.0, set()
+        """Sum of the weights of a text's distinct buckets; a word's weighted buckets are remembered."""
+        known, used = self.words, set()
         if len(known) > REMEMBERED:
             known.clear()
         for word in set(WORD.findall(text.lower())):
-            weight = known.get(word)
-            if weight is None:
-                weight = known[word] = self.weights.get(zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS, 0.0)
-            if weight:
-                bucket = zlib.crc32(word.encode("utf-8", "replace")) % BUCKETS
-                if bucket not in used:
-                    used.add(bucket)
-                    out += weight
-        return out
+            buckets = known.get(word)
+            if buckets is None:
+                buckets = known[word] = tuple(b for b in features(word) if b in self.weights)
+            if buckets:
+                used.update(buckets)
+        return sum(self.weights[b] for b in sorted(used))
 
     def grades(self, texts: list[str | None]) -> pd.DataFrame:
         has = np.array([bool(t and WORD.search(t)) for t in texts], bool)
@@ -97,7 +102,7 @@ def sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> list:
     for toxic in (0, 1):
         part = marked.where(F.col("__toxic") == toxic).orderBy(*order).limit(settings.rows_per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
-    buckets = pandas_udf(lambda texts: texts.map(word_buckets), "array<int>")
+    buckets = pandas_udf(lambda texts: texts.map(text_features), "binary")
     # at most 2 x rows_per_class ids: small enough to be sent to every task
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen.withColumnRenamed("doc_id", "__id")), F.col("doc_id") == F.col("__id"))
     found = rows.select("doc_id", "__toxic", buckets("text").alias("buckets")).dropDuplicates(["doc_id"])
@@ -109,8 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     toxic = np.array([r["__toxic"] for r in rows], np.int64)
     if not toxic.any() or toxic.all():
         return CumulativeLink({}, np.zeros(0), settings.toxic_at)
-    sizes = np.array([len(r.buckets) for r in rows])
-    flat = np.concatenate([np.array(r.buckets, np.int64) for r in rows])
+    each = [np.frombuffer(r.buckets, np.int32) for r in rows]
+    sizes, flat = np.array([len(e) for e in each]), np.concatenate(each)
     row = np.repeat(np.arange(len(rows)), sizes)
     seen, column, count = np.unique(flat, return_inverse=True, return_counts=True)
     use = count[column] >= settings.least_rows
