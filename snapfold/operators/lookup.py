@@ -4,37 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-SALTS = 32
 
-
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, an upper bound for scans and filters."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-
-
-def lookup(
-    facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
-) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join ``facts`` with a dimension that is unique on ``on``.
 
-    A dimension within the broadcast limit is left to Spark, which broadcasts it.
-    A larger one is copied ``salts`` times and the facts spread over the copies, so
-    an area that holds a third of the facts still spreads over ``salts`` tasks.
-    ``how`` may be anything that keeps fact rows: inner, left, left_semi, left_anti.
+    Adaptive execution chooses the way: a dimension whose true size is within the broadcast limit is
+    broadcast, and past it the tasks of a key that holds many facts are split, each part meeting the
+    key's one row.  ``how`` may be anything that keeps fact rows: inner, left, left_semi, left_anti.
     """
-    on = list(on)
-    if planned_bytes(dim) <= broadcast_limit(dim):
-        return facts.join(dim, on, how)
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns]), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    joined = facts.withColumn("_salt", spread).join(
-        dim.withColumn("_salt", copies), [*on, "_salt"], how
-    )
-    return joined.drop("_salt")
+    return facts.join(dim, list(on), how)

@@ -59,6 +59,22 @@ def upsert(
     return old.join(new, same_key, "full_outer").select(*[resolved(c) for c in stored.columns])
 
 
+def latest_keeping(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: Sequence[str], arrival: str
+) -> DataFrame:
+    """:func:`latest`, with the ``keep`` columns of each key's first arrival.
+
+    So what a key was first inserted with does not depend on how its arrivals fall into batches.
+    The first arrivals are a partial aggregation, one row per key and task.
+    """
+    if not keep:
+        return latest(df, keys, order)
+    first = df.groupBy(*keys).agg(F.min(F.struct(arrival, *[F.col(c).alias(f"_first_{c}") for c in keep])).alias("_first"))
+    newest = latest(df, keys, order)
+    joined = newest.join(first, list(keys))
+    return joined.select(*[F.col(f"_first._first_{c}").alias(c) if c in keep else F.col(c) for c in df.columns])
+
+
 def fold(
     stored: DataFrame,
     arrivals: DataFrame,
@@ -67,9 +83,20 @@ def fold(
     guard: str | None = None,
     keep: Sequence[str] = (),
     changed: Sequence[str] = (),
+    arrival: str | None = None,
 ) -> DataFrame:
-    """``latest`` and ``upsert`` in one go; ``order`` columns must be stored columns."""
-    return upsert(stored, latest(arrivals, keys, order), keys, guard, keep, changed)
+    """``latest`` and ``upsert`` in one go; ``order`` columns must be stored columns.
+
+    ``arrival`` names the column that tells which arrival came first, for the ``keep`` columns.
+    """
+    newest = latest_keeping(arrivals, keys, order, keep if arrival else (), arrival or "")
+    return upsert(stored, newest, keys, guard, keep, changed)
+
+
+def folded(rows: DataFrame, name: str) -> DataFrame:
+    """All arrivals of a table in one fold onto nothing."""
+    rule = RULES[name]
+    return latest_keeping(rows, rule["keys"], rule["order"], rule.get("keep", ()) if rule.get("arrival") else (), rule.get("arrival", ""))
 
 
 # How each table takes its arrivals.  Unguarded tables keep the last arrival, the
@@ -80,6 +107,7 @@ RULES: dict[str, dict] = {
         "keys": ("area_code", "observed_at"),
         "order": ("ingestion_id",),
         "keep": ("population_snapshot_id",),
+        "arrival": "ingestion_id",
     },
     "realtime_weather_snapshot": {"keys": ("ingestion_id",), "order": ("observed_at", "area_code")},
     "dim_location": {
@@ -92,17 +120,20 @@ RULES: dict[str, dict] = {
         "order": ("collected_at", "source_ingestion_id"),
         "guard": "collected_at",
         "keep": ("city_snapshot_id", "dw_loaded_at"),
+        "arrival": "source_ingestion_id",
     },
     "fact_weather_snapshot": {
         "keys": ("location_id", "observed_at"),
         "order": ("collected_at", "source_ingestion_id"),
         "guard": "collected_at",
         "keep": ("weather_snapshot_id", "dw_loaded_at"),
+        "arrival": "source_ingestion_id",
     },
     "subway_station_daily": {
         "keys": ("usage_date", "line_name", "station_id"),
         "order": ("raw_id",),
         "keep": ("subway_usage_id",),
+        "arrival": "raw_id",
     },
     "realtime_event": {
         "keys": ("staging_id", "event_name", "event_start_at"),

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import SOURCE_NAME
 from ..operators import audit, dimensions, documents, facts, gates, integrity
-from ..operators.upsert import RULES, latest
+from ..operators.upsert import folded
 from ..schemas import (
-    DIM_LOCATION, FACT_CITY, FACT_WEATHER, HEADER, POPULATION, RAW, TABLES, WEATHER,
+    DIM_LOCATION, FACT_CITY, FACT_WEATHER, HEADER, POPULATION, RAW, TABLES, WEATHER, Table,
 )
 from ..session import saved, scratch_folder
 from ..sources.landing import number_calls
@@ -27,7 +27,7 @@ class Parsed:
     headers: DataFrame
     populations: DataFrame
     weathers: DataFrame
-    broken_rows: DataFrame  # accepted by the gates, refused by a table rule
+    broken_rows: DataFrame  # (ingestion_id, table_name, violations): accepted by the gates, refused by a table rule
 
 
 def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder: str | None = None) -> Parsed:
@@ -44,26 +44,21 @@ def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder:
     gated = gates.document_gate(parts, source_name)
     valid = gates.accepted(gated)
     weather_gated = gates.weather_gate(valid)
-    populations, broken = integrity.split(documents.populations(valid, stamp, with_call=True), POPULATION)
-    weathers, broken_weather = integrity.split(
-        documents.weathers(gates.accepted(weather_gated), stamp, with_call=True), WEATHER
-    )
-    refused = [
-        rows.select("ingestion_id", F.lit(name).alias("table_name"), "violations")
-        for name, rows in ((POPULATION.name, broken), (WEATHER.name, broken_weather))
-    ]
-    return Parsed(
-        gated, weather_gated, documents.headers(valid, stamp), populations, weathers,
-        refused[0].unionByName(refused[1]),
-    )
+    headers, no_header = _kept(documents.headers(valid, stamp), HEADER)
+    populations, no_population = _kept(documents.populations(valid, stamp, with_call=True), POPULATION)
+    weathers, no_weather = _kept(documents.weathers(gates.accepted(weather_gated), stamp, with_call=True), WEATHER)
+    refused = no_header.unionByName(no_population).unionByName(no_weather)
+    return Parsed(gated, weather_gated, headers, populations, weathers, refused)
 
 
-def _empty(df: DataFrame, name: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([], TABLES[name].schema)
+def _kept(rows: DataFrame, table: Table, ingestion: str = "ingestion_id") -> tuple[DataFrame, DataFrame]:
+    """Rows that keep a table's rules, and what the others break."""
+    kept, broken = integrity.split(rows, table)
+    return kept, broken.select(F.col(ingestion).alias("ingestion_id"), F.lit(table.name).alias("table_name"), "violations")
 
 
-def _latest(rows: DataFrame, name: str) -> DataFrame:
-    return latest(rows, RULES[name]["keys"], RULES[name]["order"])
+def _empty(df: DataFrame, name: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], TABLES[name].schema)
 
 
 def rebuild(
@@ -83,15 +78,15 @@ def rebuild(
     dim_location = dimensions.upsert_locations(_empty(raw, DIM_LOCATION.name), arrivals)
     if cut:
         dim_location = saved(dim_location, f"{folder}/dim_location")
-    city = facts.city_fact_rows(parsed.populations, dim_location, stamp)
-    weather = facts.weather_fact_rows(parsed.weathers, dim_location, stamp)
+    city, _ = _kept(facts.city_fact_rows(parsed.populations, dim_location, stamp), FACT_CITY, "source_ingestion_id")
+    weather, _ = _kept(facts.weather_fact_rows(parsed.weathers, dim_location, stamp), FACT_WEATHER, "source_ingestion_id")
     return {
-        HEADER.name: _latest(parsed.headers, HEADER.name),
-        POPULATION.name: _latest(parsed.populations.select(*POPULATION.columns), POPULATION.name),
-        WEATHER.name: _latest(parsed.weathers.select(*WEATHER.columns), WEATHER.name),
+        HEADER.name: folded(parsed.headers, HEADER.name),
+        POPULATION.name: folded(parsed.populations.select(*POPULATION.columns), POPULATION.name),
+        WEATHER.name: folded(parsed.weathers.select(*WEATHER.columns), WEATHER.name),
         DIM_LOCATION.name: dim_location,
-        FACT_CITY.name: _latest(city, FACT_CITY.name),
-        FACT_WEATHER.name: _latest(weather, FACT_WEATHER.name),
+        FACT_CITY.name: folded(city, FACT_CITY.name),
+        FACT_WEATHER.name: folded(weather, FACT_WEATHER.name),
     }
 
 
@@ -115,36 +110,41 @@ def run_batch(
     Safe to repeat with the same ``batch_id``.  Dimensions load before both facts.
     Writes and returns the quarantine, the refused rows and the two audits of this batch.
     """
+    tables.finish_staged()
     if "raw_id" not in landing.columns:
         landing = number_calls(landing, after=_next_raw_id(tables, batch_id))
     calls = integrity.with_defaults(landing, RAW)
     parsed_folder = f"{tables.root}/_parsed/{batch_id}"
     classified = saved(documents.classify(calls, keep_parts=True), f"{parsed_folder}/calls")
-    tables.append(RAW.name, classified.select(*RAW.columns), batch_id)
+    stored, broken_calls = _kept(classified, RAW, "raw_id")
+    tables.append(RAW.name, stored.select(*RAW.columns), batch_id)
 
-    parsed = parse(classified, stamp, source_name)
+    parsed = parse(stored, stamp, source_name)
     tables.merge(HEADER.name, parsed.headers, batch_id)
     tables.merge(POPULATION.name, parsed.populations, batch_id)
-    tables.merge(WEATHER.name, parsed.weathers, batch_id)
+    weather_staged = tables.merge(WEATHER.name, parsed.weathers, batch_id)
 
     arrivals = saved(dimensions.location_arrivals(parsed.populations, stamp), f"{parsed_folder}/areas")
-    tables.replace_partitions(
-        DIM_LOCATION.name, batch_id, None,
-        lambda: dimensions.upsert_locations(tables.read(DIM_LOCATION.name), arrivals),
+    tables.replace_table(
+        DIM_LOCATION.name, batch_id, lambda: dimensions.upsert_locations(tables.read(DIM_LOCATION.name), arrivals)
     )
     dim_location = tables.read(DIM_LOCATION.name)
-    city = facts.city_fact_rows(parsed.populations, dim_location, stamp)
-    weather = facts.weather_fact_rows(parsed.weathers, dim_location, stamp)
+    city, broken_city = _kept(
+        facts.city_fact_rows(parsed.populations, dim_location, stamp), FACT_CITY, "source_ingestion_id")
+    weather, broken_weather = _kept(
+        facts.weather_fact_rows(parsed.weathers, dim_location, stamp), FACT_WEATHER, "source_ingestion_id")
     city_days = tables.merge(FACT_CITY.name, city, batch_id)
     weather_days = tables.merge(FACT_WEATHER.name, weather, batch_id)
-    days = sorted({*city_days, *weather_days})
-    refresh_marts(tables, days, batch_id)
+    refresh_marts(tables, sorted({*city_days, *weather_days}), batch_id)
+    refused = parsed.broken_rows
+    for broken in (broken_calls, broken_city, broken_weather):
+        refused = refused.unionByName(broken)
     reports = {
         "quarantine": gates.rejected(parsed.gated).select("raw_id", "reason", "reasons"),
         "weather_quarantine": gates.rejected(parsed.weather_gated).select("raw_id", "reason", "reasons"),
-        "broken_rows": parsed.broken_rows,
-        "audit_city": _audit(tables, FACT_CITY.name, POPULATION.name, city, days),
-        "audit_weather": _audit(tables, FACT_WEATHER.name, WEATHER.name, weather, days),
+        "broken_rows": refused,
+        "audit_city": _audit(tables, FACT_CITY, POPULATION, city, city_days, city_days),
+        "audit_weather": _audit(tables, FACT_WEATHER, WEATHER, weather, weather_days, weather_staged),
     }
     written = {name: tables.write_report(name, rows, batch_id) for name, rows in reports.items()}
     tables.delete(parsed_folder)
@@ -157,36 +157,41 @@ def _dims(tables: MedallionTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
-def _audit(tables, fact_name: str, staging_name: str, offered: DataFrame, days: list) -> DataFrame:
-    """Audit the ingestions of a batch, with the partitions it touched."""
+def _audit(
+    tables: MedallionTables, fact: Table, staging: Table, offered: DataFrame, days: list, staged: list
+) -> DataFrame:
+    """Audit the ingestions of a batch, with the partitions it touched in the fact and in staging."""
     ids = offered.select(F.col("source_ingestion_id").alias("ingestion_id")).distinct()
-    stored = tables.read(fact_name).where(F.col("date_key").isin(days))
+    stored = tables.within(tables.read(fact.name), fact.partition, days)
     batch_facts = stored.join(ids, stored["source_ingestion_id"] == ids["ingestion_id"], "left_semi")
-    staging = tables.read(staging_name)
-    if "date_key" in staging.columns:
-        staging = staging.where(F.col("date_key").isin(days)).drop("date_key")
-    check = audit.audit_city if fact_name == FACT_CITY.name else audit.audit_weather
-    not_gated = audit.CITY_NOT_GATED if fact_name == FACT_CITY.name else ()
-    measured = check(ids, batch_facts, staging, *_dims(tables))
+    beside = tables.within(tables.read(staging.name), staging.partition, staged).drop(staging.partition)
+    check = audit.audit_city if fact is FACT_CITY else audit.audit_weather
+    not_gated = audit.CITY_NOT_GATED if fact is FACT_CITY else ()
+    measured = check(ids, batch_facts, beside, *_dims(tables))
     return audit.load_status(measured, offered, stored, not_gated)
 
 
 def refresh_marts(tables: MedallionTables, days: list, batch_id: int) -> None:
-    """Recompute the marts for the given days only."""
+    """Recompute the groups behind the marts, for the given days only."""
     if not days:
         return
-    city = tables.read(FACT_CITY.name).where(F.col("date_key").isin(days))
-    weather = tables.read(FACT_WEATHER.name).where(F.col("date_key").isin(days))
-    dims = _dims(tables)
+    city = tables.within(tables.read(FACT_CITY.name), "date_key", days)
+    weather = tables.within(tables.read(FACT_WEATHER.name), "date_key", days)
     builders = {
-        marts.MARTS[0]: lambda: marts.population_hourly(city, *dims),
-        marts.MARTS[1]: lambda: marts.weather_hourly(weather, *dims),
-        marts.MARTS[2]: lambda: marts.population_weather_hourly(city, weather, *dims),
+        marts.MARTS[0]: lambda: marts.population_groups(city),
+        marts.MARTS[1]: lambda: marts.weather_groups(weather),
+        marts.MARTS[2]: lambda: marts.population_weather_groups(city, weather),
     }
     for name, rows in builders.items():
         tables.replace_partitions(name, batch_id, "date_key", rows)
 
 
+def read_mart(tables: MedallionTables, name: str) -> DataFrame:
+    """A stored mart with today's labels: groups are stored on keys, so a renamed area is renamed in all hours."""
+    groups = tables.spark.read.parquet(tables.path(name))
+    return marts.labelled(groups, _dims(tables))
+
+
 def seed_calendar(tables: MedallionTables, first: str, last: str) -> None:
     """Write the two static dimensions, once, before the first batch."""
     spark = tables.spark

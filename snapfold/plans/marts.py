@@ -27,8 +27,9 @@ def with_labels(rows: DataFrame, dim_location, dim_date, dim_hour) -> DataFrame:
     return dated.join(F.broadcast(hours), "hour_key")  # 24 rows by its key
 
 
-def _labelled(grouped: DataFrame, dims: Sequence[DataFrame], measures: Sequence[str]) -> DataFrame:
-    return with_labels(grouped, *dims).select(*LABELS, *measures)
+def labelled(grouped: DataFrame, dims: Sequence[DataFrame]) -> DataFrame:
+    """A mart: groups on the hour keys with their labels in front."""
+    return with_labels(grouped, *dims).select(*LABELS, *[c for c in grouped.columns if c not in HOUR_KEYS])
 
 
 def population_measures() -> list[Column]:
@@ -50,8 +51,7 @@ def population_groups(facts: DataFrame) -> DataFrame:
 
 
 def population_hourly(facts: DataFrame, dim_location, dim_date, dim_hour) -> DataFrame:
-    grouped = population_groups(facts)
-    return _labelled(grouped, (dim_location, dim_date, dim_hour), grouped.columns[3:])
+    return labelled(population_groups(facts), (dim_location, dim_date, dim_hour))
 
 
 def weather_measures() -> list[Column]:
@@ -80,17 +80,13 @@ def weather_groups(facts: DataFrame) -> DataFrame:
 
 
 def weather_hourly(facts: DataFrame, dim_location, dim_date, dim_hour) -> DataFrame:
-    grouped = weather_groups(facts)
-    return _labelled(grouped, (dim_location, dim_date, dim_hour), grouped.columns[3:])
+    return labelled(weather_groups(facts), (dim_location, dim_date, dim_hour))
 
 
-def population_weather_hourly(city_facts, weather_facts, dim_location, dim_date, dim_hour) -> DataFrame:
+def population_weather_groups(city_facts: DataFrame, weather_facts: DataFrame) -> DataFrame:
     """Population hours with the weather of the same hour; weather-only hours drop out.
 
-    The two groupings are joined before the labels: both are already partitioned by
-    the hour keys, and the labels are looked up once.  A weather group counts only if
-    its own star join would keep it, which the population side's join decides since
-    both share the keys.
+    Both groupings are already partitioned by the hour keys, so they meet without a shuffle.
     """
     weather = weather_groups(weather_facts)
     population = population_groups(city_facts).withColumnsRenamed(
@@ -101,8 +97,16 @@ def population_weather_hourly(city_facts, weather_facts, dim_location, dim_date,
     )
     both = population.join(weather, list(HOUR_KEYS), "left")
     stamps = ["latest_population_fact_loaded_at", "latest_weather_fact_loaded_at"]
-    measures = [c for c in both.columns if c not in (*HOUR_KEYS, *stamps)]
-    return _labelled(both, (dim_location, dim_date, dim_hour), [*measures, *stamps])
+    return both.select(*[c for c in both.columns if c not in stamps], *stamps)
+
+
+def population_weather_hourly(city_facts, weather_facts, dim_location, dim_date, dim_hour) -> DataFrame:
+    """Both marts in one; labels are looked up once, after the groups have met.
+
+    A weather group counts only if its own star join would keep it, which the population side's
+    join decides since both share the keys.
+    """
+    return labelled(population_weather_groups(city_facts, weather_facts), (dim_location, dim_date, dim_hour))
 
 
 def _midpoint_sums() -> list[Column]:

@@ -204,7 +204,9 @@ FACT_CITY = Table(
     "source_ingestion_id bigint, dw_loaded_at timestamp, dw_updated_at timestamp",
     key=("location_id", "observed_at"),
     other_keys=(("city_snapshot_id",),),
-    required=("location_id", "date_key", "hour_key", "observed_at", "collected_at", "source_ingestion_id"),
+    required=(
+        "city_snapshot_id", "location_id", "date_key", "hour_key", "observed_at", "collected_at", "source_ingestion_id",
+    ),
     checks=_POPULATION_CHECKS,
     references=_DIM_REFERENCES,
     partition="date_key",
@@ -217,7 +219,9 @@ FACT_WEATHER = Table(
     "source_ingestion_id bigint, dw_loaded_at timestamp, dw_updated_at timestamp",
     key=("location_id", "observed_at"),
     other_keys=(("weather_snapshot_id",),),
-    required=("location_id", "date_key", "hour_key", "observed_at", "collected_at", "source_ingestion_id"),
+    required=(
+        "weather_snapshot_id", "location_id", "date_key", "hour_key", "observed_at", "collected_at", "source_ingestion_id",
+    ),
     checks=_WEATHER_CHECKS,
     references=_DIM_REFERENCES,
     partition="date_key",

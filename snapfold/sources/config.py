@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import BUSINESS_ZONE, SOURCE_NAME
-from ..operators.lookup import broadcast_limit, lookup, planned_bytes
+from ..operators.lookup import lookup
 
 
 def business_today() -> Column:
@@ -40,18 +40,11 @@ def requests_of(feed: DataFrame, active: DataFrame) -> DataFrame:
     return lookup(feed, names, ["request_area_name"], "left_semi")
 
 
-def valid_at_request(feed: DataFrame, config: DataFrame, day: Column, salts: int = 32) -> DataFrame:
+def valid_at_request(feed: DataFrame, config: DataFrame, day: Column) -> DataFrame:
     """Feed rows with the configuration that was valid on the day of the request.
 
-    The area name is an equality, the interval a filter on the matched pairs.  A
-    configuration past the broadcast limit is copied per salt, so a hot area spreads.
+    The area name is an equality, the interval a filter on the matched pairs.
     """
     rows = config.where("is_active").withColumnRenamed("source_area_name", "request_area_name").drop("source_name")
-    on = ["request_area_name"]
-    if planned_bytes(rows) > broadcast_limit(rows):
-        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in feed.columns]), F.lit(salts)).cast("int")
-        feed = feed.withColumn("_salt", spread)
-        rows = rows.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on.append("_salt")
-    joined = feed.withColumn("_day", day).join(rows, on)
-    return joined.where(_valid_on(F.col("_day"))).drop("_day", "_salt")
+    joined = lookup(feed.withColumn("_day", day), rows, ["request_area_name"])
+    return joined.where(_valid_on(F.col("_day"))).drop("_day")

@@ -2,8 +2,12 @@
 
 A merge rewrites only the partitions its batch touches, in two writes: the merged
 rows go to a staged folder first, then over the partitions.  A job that dies in
-between is finished from the staged folder on the next try, so a failure never
+between is finished from the staged folder before the next batch, so a failure never
 leaves rows lost.  Merges are idempotent, which makes replays harmless.
+
+A table without partitions is a row of whole snapshots, ``v=<batch>``; the newest one
+that was written to its end is the table, so it is never half replaced.  Once a table
+has been written, its absence is an error, not an empty table.
 """
 
 from __future__ import annotations
@@ -46,13 +50,39 @@ class MedallionTables:
         rows.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame:
-        if not self.exists(self.path(name)):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.fieldNames())
+    def _children(self, folder: str) -> list[str]:
+        """Names of the folders in a folder; none if it does not exist."""
+        fs, hadoop_path = self._file_system(folder)
+        if not fs.exists(hadoop_path):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+
+    def _mark(self, name: str) -> None:
+        fs, hadoop_path = self._file_system(f"{self.root}/_written/{name}")
+        fs.mkdirs(hadoop_path)
+
+    def snapshots(self, name: str) -> list[int]:
+        """Batches that left a whole snapshot of a table without partitions, oldest first."""
+        found = [int(c[2:]) for c in self._children(self.path(name)) if c.startswith("v=")]
+        return sorted(n for n in found if self.exists(f"{self.path(name)}/v={n}/_SUCCESS"))
+
+    def _folder(self, name: str) -> str | None:
+        """Where a table's rows are now; None if it was never written."""
+        if name in TABLES and not TABLES[name].partition and self._children(self.path(name)):
+            versions = self.snapshots(name)
+            if versions:
+                return f"{self.path(name)}/v={versions[-1]}"
+        elif self.exists(self.path(name)):
+            return self.path(name)
+        if self.exists(f"{self.root}/_written/{name}"):
+            raise FileNotFoundError(f"table {name} was written to {self.path(name)}, and is gone")
+        return None
 
     def read(self, name: str) -> DataFrame:
-        return self._read(name, TABLES[name].schema)
+        schema, folder = TABLES[name].schema, self._folder(name)
+        if folder is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
 
     def append(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
         """Add a batch's rows, none merged; the same batch again replaces itself."""
@@ -63,51 +93,72 @@ class MedallionTables:
         ).parquet(folder)
         return self.spark.read.schema(table.schema).parquet(folder).select(*table.columns)
 
-    def replace_partitions(
-        self, name: str, batch_id: int, partition: str | None, rows: Callable[[], DataFrame]
-    ) -> None:
+    def replace_table(self, name: str, batch_id: int, rows: Callable[[], DataFrame]) -> None:
+        """Write the next snapshot of a table without partitions; the one before it stays.
+
+        A batch that left a snapshot already is not computed again.
+        """
+        if batch_id in self.snapshots(name):
+            return
+        rows().write.mode("overwrite").parquet(f"{self.path(name)}/v={batch_id}")
+        self._mark(name)
+        for old in self.snapshots(name)[:-2]:
+            self.delete(f"{self.path(name)}/v={old}")
+
+    def replace_partitions(self, name: str, batch_id: int, partition: str, rows: Callable[[], DataFrame]) -> None:
         """Overwrite the partitions that ``rows`` holds, by way of the staged folder."""
         staged = self._staged(name, batch_id)
         if not self.exists(f"{staged}/_SUCCESS"):
-            fresh = rows()
-            if partition:
-                # Rebalancing splits a hot partition over several writers.
-                fresh = fresh.hint("rebalance", F.col(partition))
-                fresh.write.mode("overwrite").partitionBy(partition).parquet(staged)
-            else:
-                fresh.write.mode("overwrite").parquet(staged)
-        if partition and self._is_empty_folder(staged):
+            # Rebalancing splits a hot partition over several writers.
+            fresh = rows().hint("rebalance", F.col(partition))
+            fresh.write.mode("overwrite").partitionBy(partition).parquet(staged)
+        self._move_in(name, staged, partition)
+
+    def _move_in(self, name: str, staged: str, partition: str) -> None:
+        if not self._children(staged):  # no partition, so no row
+            self.delete(staged)
             return
-        saved = self.spark.read.parquet(staged)
-        writer = saved.write.mode("overwrite")
-        if partition:
-            writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition)
-        writer.parquet(self.path(name))
+        reader = self.spark.read
+        if name in TABLES:  # a folder whose partitions are all NULL does not tell the column's type
+            reader = reader.schema(TABLES[name].schema)
+        writer = reader.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(partition).parquet(self.path(name))
+        self._mark(name)
         self.delete(staged)
 
-    def _is_empty_folder(self, folder: str) -> bool:
-        fs, hadoop_path = self._file_system(folder)
-        return not any(s.isDirectory() for s in fs.listStatus(hadoop_path))
+    def finish_staged(self) -> None:
+        """Move in what earlier batches staged to the end and did not move in, oldest batch first.
+
+        What they did not finish staging is computed again when they are repeated.
+        """
+        found = [(int(batch), name) for name in self._children(f"{self.root}/_staged")
+                 for batch in self._children(f"{self.root}/_staged/{name}")]
+        for batch, name in sorted(found):
+            if self.exists(f"{self._staged(name, batch)}/_SUCCESS"):
+                self._move_in(name, self._staged(name, batch), TABLES[name].partition if name in TABLES else "date_key")
 
     def touched(self, rows: DataFrame, partition: str) -> list:
-        """The partitions a batch falls into: calendar days, so a bounded list."""
+        """The partitions a batch falls into, NULL among them: calendar days, so a bounded list."""
         return [r[0] for r in rows.select(partition).distinct().collect()]
 
+    @staticmethod
+    def within(rows: DataFrame, partition: str, days: list) -> DataFrame:
+        """The rows of some partitions; the scan is pruned, and NULL is a partition like the others."""
+        wanted = F.col(partition).isin([d for d in days if d is not None])
+        return rows.where(wanted | F.col(partition).isNull() if None in days else wanted)
+
     def merge(self, name: str, arrivals: DataFrame, batch_id: int) -> list:
-        """Fold a batch of arrivals into a table; gives the partitions touched."""
+        """Fold a batch of arrivals into a partitioned table; gives the partitions touched."""
         table: Table = TABLES[name]
         rule = RULES[name]
-        days = self.touched(arrivals, table.partition) if table.partition else []
+        days = self.touched(arrivals, table.partition)
 
         def merged() -> DataFrame:
-            stored = self.read(name)
-            if table.partition:
-                stored = stored.where(F.col(table.partition).isin(days))
             return fold(
-                stored, arrivals.select(*table.columns), rule["keys"], rule["order"],
-                rule.get("guard"), rule.get("keep", ()), rule.get("changed", ()),
+                self.within(self.read(name), table.partition, days), arrivals.select(*table.columns), rule["keys"],
+                rule["order"], rule.get("guard"), rule.get("keep", ()), rule.get("changed", ()), rule.get("arrival"),
             )
 
-        if days or not table.partition:
+        if days:
             self.replace_partitions(name, batch_id, table.partition, merged)
         return days

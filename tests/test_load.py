@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from makers import call, document, landing, people, sky
@@ -9,7 +10,7 @@ from snapfold.operators import documents, facts, integrity
 from snapfold.operators.lookup import lookup
 from snapfold.operators.upsert import fold, latest, upsert
 from snapfold.plans import load, marts
-from snapfold.schemas import SUBWAY, TABLES
+from snapfold.schemas import POPULATION, SUBWAY, TABLES
 from snapfold.session import scratch_folder
 from snapfold.sources import landing as source
 from snapfold.sources.tables import MedallionTables
@@ -66,15 +67,11 @@ def test_fold_equals_one_row_upserts(spark):
         order = ["collected", "arrival"] if guarded else ["arrival"]
         guard = "collected" if guarded else None
         empty = frame(old).where("false")
-        stored = fold(empty, frame(old), ["key"], order, guard, keep=["first"])
-        merged = fold(stored, frame(new), ["key"], order, guard, keep=["first"])
+        stored = fold(empty, frame(old), ["key"], order, guard, keep=["first"], arrival="arrival")
+        merged = fold(stored, frame(new), ["key"], order, guard, keep=["first"], arrival="arrival")
         expected = sequential(sequential({}, old, guarded), new, guarded)
-        # ``first`` of a batch insert is its winner's; the database keeps the earliest arrival.
-        known = {k for _, k, _, _ in old}
         for row in merged.collect():
-            arrival, collected, value, first = expected.pop(row.key)
-            assert (row.arrival, row.collected, row.value) == (arrival, collected, value)
-            assert (row.first < 100) == (row.key in known)
+            assert (row.arrival, row.collected, row.value, row.first) == expected.pop(row.key)
         assert not expected
 
 
@@ -95,19 +92,27 @@ def test_change_only_upsert(spark):
     ]
 
 
-def test_salted_lookup_equals_the_plain_join(spark):
-    facts_ = spark.range(3000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 40).alias("k"), "id")
-    dim = spark.range(30).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
-    plain = {how: rows_of(lookup(facts_, dim, ["k"], how), "*") for how in ("inner", "left", "left_semi", "left_anti")}
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16b")
+def test_lookup_of_a_hot_key_is_split(spark):
+    facts_ = spark.range(0, 400_000, 1, 8).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 400).alias("k"), F.md5(F.col("id").cast("string")).alias("v"))
+    dim = spark.range(300).select(F.col("id").alias("k"), F.concat(F.lit("n"), "id").alias("name"))
+    plain = {how: lookup(facts_, dim, ["k"], how).count() for how in ("inner", "left", "left_semi", "left_anti")}
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    old = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        for how, expected in plain.items():
-            salted = lookup(facts_, dim, ["k"], how)
-            assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
-            assert rows_of(salted, "*") == expected
+        for how, count in plain.items():
+            joined = lookup(facts_, dim, ["k"], how)
+            assert joined.count() == count
+        joined = lookup(facts_, dim, ["k"])
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for name, value in old.items():
+            spark.conf.set(name, value)
 
 
 def test_rules_split_rows(spark):
@@ -158,7 +163,7 @@ def test_batches_follow_the_arrival_rules(spark):
     second = run(spark, tables, 1, [call(5, doc("30", name="New name"), at="2024-02-29 15:35:00")], "2024-03-02 00:00:00")
     staged = {r.area_code: r for r in tables.read("realtime_population_snapshot").collect()}
     assert (staged["POI001"].ingestion_id, staged["POI001"].population_min) == (5, 30)
-    assert staged["POI001"].population_snapshot_id == 2
+    assert staged["POI001"].population_snapshot_id == 1  # its first ingestion's
     city = {r.location_id: r for r in tables.read("fact_city_snapshot").collect()}
     kept = city[names["POI001"].location_id]
     assert (kept.source_ingestion_id, kept.population_min) == (2, 20)
@@ -175,11 +180,11 @@ def test_batches_follow_the_arrival_rules(spark):
     assert str(kept.dw_loaded_at) == "2024-03-01 00:00:00" and str(kept.dw_updated_at) == "2024-03-03 00:00:00"
 
     # Marts follow.
-    hourly = spark.read.parquet(tables.path("city_population_hourly")).orderBy("area_code").collect()
+    hourly = load.read_mart(tables, "city_population_hourly").orderBy("area_code").collect()
     assert [(r.area_code, r.snapshot_count, r.avg_population_min, r.normal_count) for r in hourly] == [
         ("POI001", 1, Decimal("40.00"), 1), ("POI002", 1, Decimal("100.00"), 1),
     ]
-    merged = {r.area_code: r for r in spark.read.parquet(tables.path("city_population_weather_hourly")).collect()}
+    merged = {r.area_code: r for r in load.read_mart(tables, "city_population_weather_hourly").collect()}
     assert merged["POI001"].weather_snapshot_count == 1 and merged["POI002"].weather_snapshot_count is None
 
 
@@ -213,6 +218,67 @@ def test_a_merge_is_finished_from_its_staged_rows(spark):
     assert rows_of(tables.read(name), "*") == good
 
 
+def test_a_null_partition_is_merged_like_the_others(spark):
+    """Headers without a day: stored ones stay, the first batch may have no other, a replay changes nothing."""
+    tables = warehouse(spark)
+    schema = TABLES["realtime_city_header"].schema
+
+    def header(number, day):
+        return (number, "POI001", "Station", DAY, DAY, "INFO-000", "ok", True, DAY, day)
+
+    for _ in range(2):
+        tables.merge("realtime_city_header", spark.createDataFrame([header(1, None)], schema), 0)
+        tables.merge("realtime_city_header", spark.createDataFrame([header(2, None), header(10, DAY.date())], schema), 1)
+        tables.merge("realtime_city_header", spark.createDataFrame([header(3, None), header(11, DAY.date())], schema), 2)
+        assert rows_of(tables.read("realtime_city_header"), "ingestion_id") == [(1,), (10,), (11,), (2,), (3,)]
+
+
+def test_a_lost_dimension_is_an_error_and_a_half_written_one_is_not_read(spark):
+    tables = warehouse(spark)
+    run(spark, tables, 0, [call(1, document(area="POI002"))])
+    run(spark, tables, 1, [call(2, document(area="POI001"))])
+    good = rows_of(tables.read("dim_location"), "area_code", "location_id")
+    assert good == [("POI001", 2), ("POI002", 1)]
+    half = f"{tables.path('dim_location')}/v=7"
+    tables.read("dim_location").where("false").write.parquet(half)
+    tables.delete(f"{half}/_SUCCESS")
+    assert rows_of(tables.read("dim_location"), "area_code", "location_id") == good
+    tables.delete(tables.path("dim_location"))
+    with pytest.raises(FileNotFoundError):
+        tables.read("dim_location")
+
+
+def test_what_another_batch_staged_is_finished_first(spark):
+    tables = warehouse(spark)
+    run(spark, tables, 0, [call(1, document())])
+    name = "fact_city_snapshot"
+    good = rows_of(tables.read(name), "*")
+    tables.read(name).write.partitionBy("date_key").parquet(tables._staged(name, 5))
+    tables.read(name).where("false").write.mode("overwrite").parquet(tables.path(name))
+    later = document(area="POI009", inner=people(PPLTN_TIME="2024-03-01 09:00"))
+    run(spark, tables, 6, [call(2, later, at="2024-03-01 00:10:00")])
+    assert set(good) < set(rows_of(tables.read(name), "*"))
+
+
+def test_marts_follow_a_rename_that_comes_on_another_day(spark):
+    tables = warehouse(spark)
+    run(spark, tables, 0, [call(1, document(name="Old"))])
+    run(spark, tables, 1, [call(2, document(name="New", inner=people(PPLTN_TIME="2024-03-02 09:00")), at="2024-03-02 00:10:00")])
+    for name in marts.MARTS[:1] + marts.MARTS[2:]:
+        assert {r.area_name for r in load.read_mart(tables, name).collect()} == {"New"}
+
+
+def test_off_minute_rows_are_refused_not_raised(spark):
+    dim = spark.createDataFrame([("POI001", 1)], "area_code string, location_id long")
+    rows = [(1, "POI001", datetime(2024, 1, 1, 0, 0, 30)), (2, "POI001", datetime(2024, 1, 1, 0, 1))]
+    view = integrity.conform(spark.createDataFrame(rows, "ingestion_id long, area_code string, observed_at timestamp"), POPULATION)
+    view = view.withColumn("collected_at", F.col("observed_at")).withColumn("area_name", F.lit("x"))
+    found = facts.city_fact_rows(view, dim, at("2024-01-02"))
+    kept, broken = integrity.split(found, TABLES["fact_city_snapshot"])
+    assert [r.source_ingestion_id for r in kept.collect()] == [2]
+    assert [(r.source_ingestion_id, r.violations) for r in broken.collect()] == [(1, ["city_snapshot_id_required"])]
+
+
 def test_rebuild_equals_the_batches(spark):
     rng = random.Random(3)
     calls = []
@@ -234,8 +300,9 @@ def test_rebuild_equals_the_batches(spark):
     ):
         by_area[kind] = rows_of(fact.join(dim, "location_id"), "area_code", *same)
     assert by_area["batches"] == by_area["rebuilt"]
-    staging = rows_of(tables.read("realtime_population_snapshot"), "area_code", "observed_at", "ingestion_id")
-    assert staging == rows_of(rebuilt["realtime_population_snapshot"], "area_code", "observed_at", "ingestion_id")
+    staged = ("area_code", "observed_at", "ingestion_id", "population_snapshot_id")
+    staging = rows_of(tables.read("realtime_population_snapshot"), *staged)
+    assert staging == rows_of(rebuilt["realtime_population_snapshot"], *staged)
 
 
 def write_calls(folder, calls):
