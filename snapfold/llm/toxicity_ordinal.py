@@ -42,6 +42,7 @@ class Settings:
     rows_per_class: int = 3000
     grade_at: tuple[int, ...] = (6, 12)
     telling: float = 20.0
+    deviations: float = 5.0  # by how many a feature's shares in the two classes must differ
     least_rows: int = 3  # texts of the sample that a feature must occur in
     penalty: float = 0.0005
     rounds: int = 300
@@ -123,6 +124,12 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     among = [np.bincount(column[toxic[row] == k], minlength=len(seen)) for k in (0, 1)]
     share = [(a + 0.5) / ((toxic == k).sum() + 1) for k, a in enumerate(among)]
     telling = share[1] >= settings.telling * share[0]
+    # features whose shares in the classes differ by chance alone say nothing, and only slow the fit
+    sizes = [(toxic == k).sum() for k in (0, 1)]
+    pooled = (among[0] + among[1]) / len(rows)
+    spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-9) * (1 / sizes[0] + 1 / sizes[1]))
+    use = (np.abs(among[1] / sizes[1] - among[0] / sizes[0]) >= settings.deviations * spread)[column]
+    row, column = row[use], column[use]
     hits = np.bincount(row[telling[column]], minlength=len(rows))
     grade = toxic * (1 + sum((hits >= at).astype(np.int64) for at in settings.grade_at))
     weights, thresholds = _proximal(row, column, len(seen), grade, settings)
@@ -132,8 +139,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
 def _proximal(row: np.ndarray, column: np.ndarray, width: int, grade: np.ndarray, settings: Settings) -> tuple:
     """Accelerated proximal gradient on the mean of the K binary losses "grade > k", L1 on the weights.
 
-    Classes are weighed alike.  The thresholds start at the grades' frequencies; every grade k is
-    above grade k - 1, so their order holds at the optimum.
+    Classes are weighed alike.  Every feature has a step of its own: with binary features, the row sizes
+    summed over a feature's rows bound the curvature along it, so rare features move as fast as common ones.
+    The thresholds start at the grades' frequencies and are kept in order.
     """
     levels = np.arange(grade.max())
     over = (grade[:, None] > levels[None, :]).astype(np.float64)
@@ -141,15 +149,16 @@ def _proximal(row: np.ndarray, column: np.ndarray, width: int, grade: np.ndarray
     mean = np.clip((over * weigh[:, None]).sum(axis=0), 1e-3, 1 - 1e-3)
     w, cut = np.zeros(width), np.sort(np.log((1 - mean) / mean))
     ahead_w, ahead_cut, pace = w.copy(), cut.copy(), 1.0
-    size = np.bincount(row, minlength=len(grade))
-    step = 4.0 / max(1.0, len(levels) * float((weigh * size).sum()))
+    size = weigh * (1 + np.bincount(row, minlength=len(grade)))
+    step = 4.0 / np.maximum(1e-9, len(levels) * np.bincount(column, weights=size[row], minlength=width))
+    cut_step = 4.0 / size.sum()
     for _ in range(settings.rounds):
         z = np.bincount(row, weights=ahead_w[column], minlength=len(grade))
         error = (1 / (1 + np.exp(np.clip(ahead_cut[None, :] - z[:, None], -50, 50))) - over) * weigh[:, None]
         slope = np.bincount(column, weights=error.sum(axis=1)[row], minlength=width)
         new_w = ahead_w - step * slope
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - step * settings.penalty, 0)
-        new_cut = np.sort(ahead_cut + step * error.sum(axis=0))
+        new_cut = np.sort(ahead_cut + cut_step * error.sum(axis=0))
         new_pace = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
         gain = (pace - 1) / new_pace
         ahead_w, ahead_cut = new_w + gain * (new_w - w), new_cut + gain * (new_cut - cut)
