@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import clock, numbers, text
 from ..operators import documents, gates
 from . import feed
-from .oracle import BASE, KST, ROWS, date_key, stamp, with_ctes
+from .oracle import BASE, KST, REJECTED, ROWS, date_key, stamp, with_ctes
 from .shape import plain
 
 
@@ -29,6 +29,39 @@ def raw_classify(spark, sf_dir):
     return plain(raw.drop("payload_xml", "payload", "received_at"))
 
 
+#: What is put around or into each document, by its number's last digit; and whether it is still one document.
+EDGES = (
+    ("as it is", True), ("long tail of white space", True), ("comment and instruction around", True),
+    ("spaced end tag", True), ("second root", False), ("second root of the same name", False), ("text behind", False),
+    ("text that ends like a comment", False), ("other root behind a comment", False), ("repeated field", True),
+)
+
+
+def document_edges(spark, sf_dir):
+    """Every document with something around its root, or with a field twice: is it one, and is it accepted."""
+    xml = F.col("payload_xml")
+    calls = feed.landing(spark, sf_dir).withColumn("edge", F.col("raw_id") % len(EDGES))
+    end = F.lit("</SeoulRtd.citydata>")
+    area = F.regexp_extract(xml, "<AREA_CD>[^<]*</AREA_CD>", 0)
+    changed = (
+        F.when(F.col("edge") == 1, F.concat(xml, F.lit("\n" * 600)))
+        .when(F.col("edge") == 2, F.concat(
+            F.regexp_replace(xml, r"\A(<\?xml[^>]*>\n)?", "$1<!-- <foo> -->\n<?style a='<b>'?>"), F.lit("<!-- end --><?x y?>\n")))
+        .when(F.col("edge") == 3, F.replace(xml, end, F.lit("</SeoulRtd.citydata \n>")))
+        .when(F.col("edge") == 4, F.concat(xml, F.lit("<x/>")))
+        .when(F.col("edge") == 5, F.concat(xml, F.lit("<SeoulRtd.citydata></SeoulRtd.citydata>")))
+        .when(F.col("edge") == 6, F.concat(xml, F.lit("garbage")))
+        .when(F.col("edge") == 7, F.concat(xml, F.lit("<!-- a --> garbage -->")))
+        .when(F.col("edge") == 8, F.concat(xml, F.lit("<!-- b --><y></y>")))
+        .when((F.col("edge") == 9) & (area != ""), F.replace(xml, area, F.concat(area, area)))
+        .otherwise(xml)
+    )
+    gated = gates.document_gate(documents.classify(
+        calls.withColumn("payload_xml", changed).drop("edge"), with_payload=False, keep_parts=True))
+    return gated.select("raw_id", "well_formed", (F.size("reasons") == 0).alias("accepted"),
+                        F.array_contains("reasons", "field_repeated").alias("field_repeated"))
+
+
 def raw_history(spark, sf_dir):
     return documents.call_history(_raw(spark, sf_dir))
 
@@ -202,7 +235,7 @@ def desc_join(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        raw_classify, raw_history, gate_reasons, gate_reason_counts, gate_valid, xml_extract_population,
+        raw_classify, document_edges, raw_history, gate_reasons, gate_reason_counts, gate_valid, xml_extract_population,
         xml_extract_weather, weather_gate, weather_skipped, missing_raw, json_extract, json_reasons,
         payload_hash, decimal_parse, float_parse, int_parse, time_keys, desc_join,
     )
@@ -298,6 +331,10 @@ def _parse_case(null_count: int, junk: str) -> str:
 
 
 ORACLE = {
+    "document_edges": with_ctes(BASE, f"""
+SELECT raw_id, k NOT IN (3, 51, 55) AND raw_id % {len(EDGES)} NOT IN (4, 5, 6, 7, 8) AS well_formed,
+       k NOT IN ({REJECTED}) AND raw_id % {len(EDGES)} < 4 AS accepted,
+       k NOT IN (3, 7, 17, 19, 51, 55) AND raw_id % {len(EDGES)} = 9 AS field_repeated FROM d"""),
     "raw_classify": with_ctes(_RAW, "SELECT * FROM raw"),
     "raw_history": with_ctes(_RAW, """
 SELECT http_status, result_code, is_success, error_message, count(*) AS calls FROM raw GROUP BY ALL"""),

@@ -27,26 +27,38 @@ WEATHER_FIELDS = (
 )
 
 
-def _record(fields: tuple[str, ...]) -> str:
-    return "struct<" + ",".join(f"{name}:string" for name in fields) + ">"
+def _record(fields: tuple[str, ...], kind: str = "string") -> str:
+    return "struct<" + ",".join(f"{name}:{kind}" for name in fields) + ">"
 
 
 def _block(name: str, fields: tuple[str, ...]) -> str:
-    # Arrays at both levels: with a plain struct the reader keeps the last repeat silently.
+    # Arrays at every level: of a plain field the reader keeps the last repeat silently.
     # ``_VALUE`` takes text found where an element was expected.
-    return f"{name}:array<struct<_VALUE:string,{name}:array<{_record(fields)}>>>"
+    return f"{name}:array<struct<_VALUE:string,{name}:array<{_record(fields, 'array<string>')}>>>"
 
 
 DOCUMENT_SCHEMA = (
     "RESULT struct<`RESULT.CODE`:string,`RESULT.MESSAGE`:string>, "
-    "CITYDATA array<struct<_VALUE:string,AREA_CD:string,AREA_NM:string,"
+    "CITYDATA array<struct<_VALUE:string,AREA_CD:array<string>,AREA_NM:array<string>,"
     f"{_block('LIVE_PPLTN_STTS', POPULATION_FIELDS)},{_block('WEATHER_STTS', WEATHER_FIELDS)}>>, "
     "CODE string, MESSAGE string, _corrupt_record string"
 )
 
 
 # What :func:`read_documents` adds to each document.
-PARTS = ("has_payload", "well_formed", "is_envelope", "outcome", "city", "population_state", "population", "weather")
+PARTS = (
+    "has_payload", "well_formed", "is_envelope", "outcome", "city", "population_state", "field_repeated",
+    "weather_repeated", "population", "weather",
+)
+
+# What may stand before and after the root: white space, comments, instructions.  Each is taken as a
+# whole and never given back, so ``--> garbage -->`` is no comment.
+_BETWEEN = r"(?:\s++|<!--(?>(?s:.*?)--)>|<\?(?>(?s:.*?)\?>))*+"
+_DOCTYPE = r"(?:<!DOCTYPE[^>\[]*+(?:\[[^\]]*+\]\s*+)?>)?+"
+_NAME = r"([A-Za-z_:][^\s/>]*+)"
+ROOT_START = rf"\A\x{{FEFF}}?{_BETWEEN}{_DOCTYPE}{_BETWEEN}<{_NAME}"
+ROOT_END = rf"</([^\s<>]++)\s*+>{_BETWEEN}\z"
+EMPTY_ROOT = rf"{ROOT_START}[^<>]*/>{_BETWEEN}\z"
 
 
 def _only(items: Column) -> Column:
@@ -59,11 +71,35 @@ def _any_field(record: Column, fields: tuple[str, ...]) -> Column:
 
 
 def _cleaned(record: Column, fields: tuple[str, ...]) -> Column:
-    """The record with every leaf stripped; NULL when no field has a text."""
-    leaves = F.struct(*[text.leaf(record[name]).alias(name) for name in fields])
+    """The record with every leaf stripped; a repeated leaf has no text."""
+    leaves = F.struct(*[text.leaf(_only(record[name])).alias(name) for name in fields])
     return F.when(record.isNotNull(), leaves)
 
 
+def _repeated(record: Column, fields: tuple[str, ...]) -> Column:
+    """Whether some leaf of the record is there more than once."""
+    most = F.greatest(F.lit(0), *[F.size(record[name]) for name in fields])
+    return F.coalesce(record.isNotNull() & (most > 1), F.lit(False))
+
+
+def _closed(body: Column, root: Column) -> Column:
+    """Whether the text ends with the end of the root it began with, and nothing but white space or comments.
+
+    A second root of the same name ends the text as well, so where the name opens again its depth must
+    not come back to zero before the end.
+    """
+    ended = (F.regexp_extract(body, ROOT_END, 1) == root) | body.rlike(EMPTY_ROOT)
+    opened = F.concat(F.lit("<"), root)
+    several = F.length(body) - F.length(F.replace(body, opened, F.lit(""))) > F.length(opened)
+    tags = F.regexp_extract_all(body, F.concat(F.lit(r"<(/?)\Q"), root, F.lit(r"\E(?=[\s>])")), F.lit(1))
+    depth = F.aggregate(
+        tags, F.struct(F.lit(0).alias("now"), F.lit(0).alias("ends")),
+        lambda state, tag: F.struct(
+            (state["now"] + F.when(tag == "/", -1).otherwise(1)).alias("now"),
+            (state["ends"] + F.when((tag == "/") & (state["now"] == 1), 1).otherwise(0)).alias("ends")))
+    return ended & F.when(several, depth["ends"] == 1).otherwise(True)
+
+
 def _population_state(block: Column) -> Column:
     """``missing``, ``not_object``, ``no_record`` or ``ok`` for the population block."""
     first = F.get(block, F.lit(0))
@@ -109,13 +145,10 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
     off the text.  A part is NULL unless it is there exactly once and holds elements.
     """
     body = F.col(xml)
-    root = F.nullif(F.regexp_extract(body, r"<([A-Za-z_][^\s/>]*)", 1), F.lit(""))
+    root = F.nullif(F.regexp_extract(body, ROOT_START, 1), F.lit(""))
     parsed = once(df, root=root, doc=F.from_xml(body, DOCUMENT_SCHEMA, {"mode": "PERMISSIVE"}))
 
-    end_tag = F.concat(F.lit("</"), F.col("root"), F.lit(">"))
-    tail = text.strip(F.substring(body, -400, 400))  # only looked at when the cheap test fails
-    closed = body.endswith(end_tag) | tail.endswith(end_tag) | tail.endswith("/>") | tail.endswith("-->")
-    well_formed = F.coalesce(F.col("doc._corrupt_record").isNull() & closed, F.lit(False))
+    well_formed = F.coalesce(F.col("doc._corrupt_record").isNull() & _closed(body, F.col("root")), F.lit(False))
     envelope = well_formed & F.col("root").eqNullSafe(SUCCESS_ROOT)
     city = F.when(envelope, _only(F.col("doc.CITYDATA")))
     opened = once(
@@ -131,7 +164,7 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
     code = F.when(F.col("is_envelope"), result["RESULT.CODE"]).otherwise(F.col("doc.CODE"))
     message = F.when(F.col("is_envelope"), result["RESULT.MESSAGE"]).otherwise(F.col("doc.MESSAGE"))
     raw_city = F.col("_city")
-    area_code, area_name = text.leaf(raw_city["AREA_CD"]), text.leaf(raw_city["AREA_NM"])
+    area_code, area_name = text.leaf(_only(raw_city["AREA_CD"])), text.leaf(_only(raw_city["AREA_NM"]))
     # An empty element is no object: something has to be in it.
     filled = (
         F.coalesce(area_code, area_name).isNotNull()
@@ -147,6 +180,8 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
         ),
         city=F.when(F.coalesce(filled, F.lit(False)), F.struct(area_code.alias("area_code"), area_name.alias("area_name"))),
         population_state=_population_state(block),
+        field_repeated=_repeated(raw_city, ("AREA_CD", "AREA_NM")) | _repeated(F.col("population"), POPULATION_FIELDS),
+        weather_repeated=_repeated(F.col("weather"), WEATHER_FIELDS),
     ).drop("root", "doc", "_city")
 
     # Small steps on purpose: a generated method past 8000 bytes is never compiled by the JVM.

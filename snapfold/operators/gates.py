@@ -51,6 +51,7 @@ def document_rules(source_name: str = SOURCE_NAME) -> dict[str, Column]:
         "citydata_missing": envelope & city.isNull(),
         "citydata_key_missing": city.isNotNull()
         & (city["area_name"].isNull() | city["area_code"].isNull() | (state == "missing")),
+        "field_repeated": F.col("field_repeated"),
         "population_container": city.isNotNull() & (state == "not_object"),
         "population_object": city.isNotNull() & (state == "ok") & part.isNull(),
         "population_key_missing": part.isNotNull() & key_missing,
@@ -102,6 +103,7 @@ def weather_rules() -> dict[str, Column]:
     for source, target in WEATHER_NUMBERS.values():
         junk = junk | numbers.weather_number_is_junk(part[source], target, clean=True)
     return {
+        "weather_repeated": F.col("weather_repeated"),
         "weather_time": part.isNotNull() & (time.isNull() | clock.parse_minute(time, clean=True).isNull()),
         "weather_number": part.isNotNull() & junk,
     }

@@ -140,3 +140,34 @@ def test_json_feed(spark):
     assert reasons == {1: "population_container", 2: "citydata_missing", 3: "json_parse_failed"}
     row = documents.json_populations(gates.accepted(checked)).first()
     assert (row.area_code, row.population_max, str(row.observed_at)) == ("YONGSAN", 42000, "2026-09-14 02:00:00")
+
+
+def test_acceptance_equals_the_strict_parser(spark):
+    """Whether a text is one document: the reader plus what is read off the text, beside expat."""
+    good = document()
+    root = "SeoulRtd.citydata"
+    texts = [
+        good, good + "\n" * 500, good + "<x/>", good + "garbage -->", good + good, f"{good}<{root}/>", good + "<!-- a --> b -->",
+        good + "<!-- a -- b -->", good + "<!-- a --><!-- b -->\n<?p q?>", "<!-- <foo> -->" + good, "<?style <b>?>" + good, "\n " + good,
+        good.replace(f"</{root}>", f"</{root} >"), "x" + good, f"<!DOCTYPE {root}>" + good, "<a/>", "<a b='c'/> ", "<a/><b/>", "<a><a></a></a>",
+        "<a><a/></a>", "<a></a><a></a>", "", " ", "<a>", "</a>", "<a></b>", "<?xml version='1.0'?>" + good, good + "<!-- open", "<ab></ab><a></a>",
+        "<a><ab></ab></a>", "<!-- " + "c" * 100_000 + " -->" + good + "<!-- " + "-c" * 100_000 + " -->",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "raw_id long, payload_xml string")
+    found = documents.read_documents(df).select("raw_id", "well_formed", xml_json.xml_to_json("payload_xml").isNotNull().alias("strict"))
+    assert [(r.raw_id, r.well_formed) for r in found.orderBy("raw_id").collect()] == [
+        (r.raw_id, r.strict) for r in found.orderBy("raw_id").collect()]
+
+
+def test_repeated_fields_are_refused(spark):
+    twice = people() + "<X/>"
+    cases = {
+        "field_repeated": document(inner=people().replace("</LIVE_PPLTN_STTS>", "<AREA_PPLTN_MIN>1</AREA_PPLTN_MIN></LIVE_PPLTN_STTS>")),
+        "citydata_key_missing": document(city="<AREA_CD>a</AREA_CD><AREA_CD>b</AREA_CD><AREA_NM>n</AREA_NM><LIVE_PPLTN_STTS>" + people() + "</LIVE_PPLTN_STTS>"),
+        None: document(inner=twice),
+    }
+    rows = [call(i, xml) for i, xml in enumerate(cases.values())]
+    gated = gates.document_gate(documents.classify(landing(spark, rows), with_payload=False, keep_parts=True))
+    found = {r.raw_id: r.reasons for r in gated.collect()}
+    assert [(found[i] or [None])[0] for i in range(3)] == list(cases)
+    assert "field_repeated" in found[1]
