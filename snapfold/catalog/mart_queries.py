@@ -89,7 +89,7 @@ ph AS (
     min(population_min) AS min_population_min, max(population_max) AS peak_population_max,
     {_level('여유')} AS relaxed_count, {_level('보통')} AS normal_count, {_level('약간 붐빔')} AS slightly_crowded_count,
     {_level('붐빔')} AS crowded_count, {_level('매우 붐빔')} AS very_crowded_count,
-    {stamp('max(collected_at)')} AS latest_fact_loaded_at
+    {stamp('max(first_collected)')} AS latest_fact_loaded_at
   FROM city GROUP BY {_HOUR})"""
 
 
@@ -112,7 +112,7 @@ wh AS (
     max(rain_cents) / 100.0::DOUBLE AS max_precipitation_mm,
     count(*) FILTER (WHERE precipitation_type = '없음') AS no_precipitation_count,
     count(*) FILTER (WHERE precipitation_type <> '없음') AS precipitation_observed_count,
-    {stamp('max(collected_at)')} AS latest_weather_fact_loaded_at
+    {stamp('max(first_collected)')} AS latest_weather_fact_loaded_at
   FROM weather GROUP BY {_HOUR}),
 wm AS (SELECT wh.*, t.precipitation_type AS dominant_precipitation_type, a.air_quality_index AS dominant_air_quality_index
   FROM wh LEFT JOIN {_top('precipitation_type')} t USING ({_HOUR})

@@ -78,14 +78,21 @@ def winner(source: str, keys: str, order: str) -> str:
 
 LATE_FIRST = "collected_at DESC, ingestion_id DESC"
 
+
+def arrivals(rows: str) -> str:
+    """Rows with what their key's first arrival was loaded at, which updates keep."""
+    first = "first_value(collected_at) OVER (PARTITION BY area_code, observed_at ORDER BY ingestion_id)"
+    return f"(SELECT *, {first} AS first_collected FROM {rows})"
+
+
 FACTS = f"""{ROWS},
 loc AS (SELECT n_nationkey + 1 AS location_id, 'POI' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS area_code,
                n_name AS area_name, n_regionkey FROM nation),
-pop_last AS {winner('pop', 'area_code, observed_at', LATE_FIRST)},
+pop_last AS {winner(arrivals('pop'), 'area_code, observed_at', LATE_FIRST)},
 city AS (SELECT l.location_id, {date_key('p.observed_at ' + KST)} AS date_key,
                 hour(p.observed_at {KST}) AS hour_key, p.*
          FROM pop_last p JOIN loc l ON l.area_code = p.area_code),
-wea_last AS {winner('wea', 'area_code, observed_at', LATE_FIRST)},
+wea_last AS {winner(arrivals('wea'), 'area_code, observed_at', LATE_FIRST)},
 weather AS (SELECT l.location_id, {date_key('w.observed_at ' + KST)} AS date_key,
                    hour(w.observed_at {KST}) AS hour_key, w.*
             FROM wea_last w JOIN loc l ON l.area_code = w.area_code),

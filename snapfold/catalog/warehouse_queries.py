@@ -9,11 +9,14 @@ from ..functions import clock
 from ..operators import audit, dimensions, facts, integrity
 from ..operators.documents import classify, headers
 from ..operators.gates import accepted, area_count_gate as count_gate, document_gate
-from ..operators.upsert import RULES, fold, latest
+from ..operators.upsert import RULES, fold, folded, latest
+from ..plans import load
 from ..plans.load import rebuild
 from ..plans.marts import with_labels
-from ..schemas import DIM_LOCATION, EVENT, FACT_CITY, SUBWAY, Reference
+from ..schemas import DIM_LOCATION, EVENT, FACT_CITY, HEADER, SUBWAY, TABLES, Reference
+from ..session import scratch_folder
 from ..sources import config as areas
+from ..sources.tables import MedallionTables
 from . import feed
 from .oracle import FACTS, KST, ROWS, date_key, stamp, winner, with_ctes
 from .shape import plain
@@ -237,8 +240,7 @@ def _city_arrivals(spark, sf_dir):
 
 
 def city_facts(spark, sf_dir):
-    rule = RULES[FACT_CITY.name]
-    return latest(_city_arrivals(spark, sf_dir), rule["keys"], rule["order"])
+    return folded(_city_arrivals(spark, sf_dir), FACT_CITY.name)
 
 
 def _weather_arrivals(spark, sf_dir, broken=False):
@@ -247,8 +249,7 @@ def _weather_arrivals(spark, sf_dir, broken=False):
 
 
 def weather_facts(spark, sf_dir, broken=False):
-    rule = RULES["fact_weather_snapshot"]
-    return latest(_weather_arrivals(spark, sf_dir, broken), rule["keys"], rule["order"])
+    return folded(_weather_arrivals(spark, sf_dir, broken), "fact_weather_snapshot")
 
 
 def _population_staging(spark, sf_dir):
@@ -257,6 +258,47 @@ def _population_staging(spark, sf_dir):
     return latest(rows, rule["keys"], rule["order"])
 
 
+def _batches(spark, sf_dir, rows, name):
+    """Rows merged in three batches, by arrival, onto a stored table; some fall into no partition."""
+    stored = MedallionTables(spark, scratch_folder(spark, "merge"))
+    partition = TABLES[name].partition
+    day = F.when(F.col("ingestion_id") % 7 != 0, F.col(partition)) if partition == "ingest_date" else F.col(partition)
+    third = _table(spark, sf_dir, "events").count() // 3 + 1
+    rows = rows.withColumn(partition, day)
+    for batch in range(3):
+        stored.merge(name, rows.where((F.col("ingestion_id") / third).cast("int") == batch), batch)
+    return stored.read(name)
+
+
+def population_merge(spark, sf_dir):
+    """Population staging after three batches: the last arrival of each key under its first arrival's id."""
+    rows = feed.population_rows(_events(spark, sf_dir))
+    return plain(_batches(spark, sf_dir, rows, "realtime_population_snapshot"))
+
+
+def header_merge(spark, sf_dir):
+    """Headers after three batches; every seventh has no day, and lies in the NULL partition."""
+    rows = feed.header_rows(_events(spark, sf_dir)).withColumn("ingest_date", F.col("collected_at").cast("date"))
+    return plain(_batches(spark, sf_dir, integrity.conform(rows, HEADER), HEADER.name).drop("result_code", "result_message", "loaded_at"))
+
+
+def mart_after_rename(spark, sf_dir):
+    """A stored hourly mart read after all areas were renamed, with no fact of theirs touched."""
+    stored = MedallionTables(spark, scratch_folder(spark, "rename"))
+    stored.merge(FACT_CITY.name, _city_arrivals(spark, sf_dir), 0)
+    days = [r[0] for r in stored.read(FACT_CITY.name).select("date_key").distinct().collect()]
+    dims = feed.dims(spark, sf_dir)
+    for name, rows in zip(("dim_date", "dim_hour"), dims[1:]):
+        integrity.conform(rows, TABLES[name]).write.parquet(stored.path(name))
+    for batch, title in enumerate(("old ", "new ")):
+        named = dims[0].withColumn("area_name", F.concat(F.lit(title), "area_name"))
+        stored.replace_table(DIM_LOCATION.name, batch, lambda: integrity.conform(named, DIM_LOCATION))
+        if batch == 0:
+            load.refresh_marts(stored, days, 0)
+    mart = load.read_mart(stored, "city_population_hourly")
+    return plain(mart.select("location_id", "area_code", "area_name", "date_key", "hour_key", "snapshot_count", "peak_population_max"))
+
+
 def staging_view(spark, sf_dir):
     view = facts.population_view(_population_staging(spark, sf_dir), feed.header_rows(_events(spark, sf_dir)))
     return plain(view)
@@ -390,7 +432,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         active_locations, area_count_gate, active_requests, feed_valid_at_request, dim_date, dim_hour,
-        dim_location_upsert, upsert_unguarded, upsert_guarded, upsert_idempotent, check_rules, subway_upsert,
+        dim_location_upsert, upsert_unguarded, upsert_guarded, upsert_idempotent, population_merge,
+        header_merge, mart_after_rename, check_rules, subway_upsert,
         event_upsert, dup_check, orphan_check, staging_view, header_payload_scan, surrogate_lookup,
         lookup_misses, guarded_fact, guarded_weather_fact, star_join, rebuild_fact, reference_audit,
         audit_city, audit_weather, audit_violations, audit_status, reconcile,
@@ -460,6 +503,7 @@ def _city_columns(alias: str, location: str = "location_id") -> str:
 
 
 _STAMPS = f", {stamp('c.collected_at')} AS dw_loaded_at, {stamp('c.collected_at')} AS dw_updated_at"
+_KEPT_STAMPS = f", {stamp('c.first_collected')} AS dw_loaded_at, {stamp('c.collected_at')} AS dw_updated_at"
 
 _FAULTY = """
 faulty AS (SELECT * EXCLUDE (hour_key, population_min),
@@ -560,6 +604,20 @@ SELECT location_id, area_code, area_name, NULL, NULL, NULL, 'Asia/Seoul', true,
     "upsert_unguarded": _line_upsert("true"),
     "upsert_guarded": _line_upsert(_GUARDED),
     "upsert_idempotent": _line_upsert(_GUARDED),
+    "population_merge": with_ctes(FACTS, f"""
+SELECT min(ingestion_id) OVER (PARTITION BY area_code, observed_at) AS population_snapshot_id, ingestion_id, area_code,
+       {stamp('observed_at')} AS observed_at, congestion_level, congestion_message, population_min, population_max,
+       CAST(male_ratio AS DOUBLE) AS male_ratio, CAST(female_ratio AS DOUBLE) AS female_ratio,
+       CAST(resident_ratio AS DOUBLE) AS resident_ratio, CAST(non_resident_ratio AS DOUBLE) AS non_resident_ratio,
+       {stamp('collected_at')} AS loaded_at, {date_key('observed_at ' + KST)} AS date_key
+FROM pop QUALIFY row_number() OVER (PARTITION BY area_code, observed_at ORDER BY ingestion_id DESC) = 1"""),
+    "header_merge": with_ctes(ROWS, f"""
+SELECT ingestion_id, area_code, area_name, {stamp('observed_at')} AS observed_at, {stamp('collected_at')} AS collected_at,
+       true AS is_success, CASE WHEN ingestion_id % 7 <> 0 THEN strftime(collected_at, '%Y-%m-%d') END AS ingest_date FROM pop"""),
+    "mart_after_rename": with_ctes(FACTS, """
+SELECT c.location_id, c.area_code, 'new ' || l.area_name AS area_name, date_key, CAST(hour_key AS INTEGER) AS hour_key,
+       count(*) AS snapshot_count, max(population_max) AS peak_population_max
+FROM city c JOIN loc l ON l.location_id = c.location_id GROUP BY ALL"""),
     "check_rules": with_ctes(_SUBWAY, """
 SELECT raw_id, boardings, alightings, 'line_name_required' AS violation FROM subway WHERE line_name IS NULL
 UNION ALL SELECT raw_id, boardings, alightings, 'boardings_not_negative' FROM subway WHERE boardings < 0
@@ -597,14 +655,14 @@ c AS (SELECT l.location_id, {date_key('p.observed_at ' + KST)} AS date_key, hour
         f"SELECT {_city_columns('c')}{_STAMPS} FROM c"),
     "lookup_misses": with_ctes(FACTS, """
 SELECT ingestion_id, p.area_code FROM pop p JOIN loc l ON l.area_code = p.area_code WHERE l.location_id > 20"""),
-    "guarded_fact": with_ctes(FACTS, f"SELECT {_city_columns('c')}{_STAMPS} FROM city c"),
+    "guarded_fact": with_ctes(FACTS, f"SELECT {_city_columns('c')}{_KEPT_STAMPS} FROM city c"),
     "guarded_weather_fact": with_ctes(FACTS, f"""
 SELECT location_id * 4294967296 + CAST(epoch(c.observed_at) AS BIGINT) // 60 AS weather_snapshot_id, location_id, date_key,
        CAST(hour_key AS INTEGER) AS hour_key, {stamp('c.observed_at')} AS observed_at, {stamp('c.collected_at')} AS collected_at,
        temp_cents / 100.0::DOUBLE AS temperature_c, CAST(NULL AS DOUBLE) AS feels_like_c, CAST(humidity AS DOUBLE) AS humidity_pct,
        precipitation_type, rain_cents / 100.0::DOUBLE AS precipitation_mm, wind_tenths / 10.0::DOUBLE AS wind_speed_mps,
        CAST(NULL AS DOUBLE) AS wind_direction_deg, CAST(pm10 AS DOUBLE) AS pm10, pm25_cents / 100.0::DOUBLE AS pm25,
-       air_quality_index, weather_description, ingestion_id AS source_ingestion_id{_STAMPS} FROM weather c"""),
+       air_quality_index, weather_description, ingestion_id AS source_ingestion_id{_KEPT_STAMPS} FROM weather c"""),
     "star_join": with_ctes(FACTS, f"""
 SELECT location_id * 4294967296 + CAST(epoch(observed_at) AS BIGINT) // 60 AS city_snapshot_id, area_code, area_name,
        strftime(observed_at {KST}, '%Y-%m-%d') AS full_date, strftime(observed_at {KST}, '%H:00') AS hour_label, population_max
