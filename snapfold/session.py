@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "8", memory: str = "20g", **settings: str) -> SparkSession:
+def local_session(cores: str = "8", memory: str = "8g", **settings: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")

@@ -2,11 +2,13 @@ import hashlib
 import json
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from makers import call, document, element, landing, people, sky
 from snapfold.functions import xml_json
-from snapfold.operators import documents, gates
+from snapfold.operators import documents, facts, gates
+from snapfold.sources import landing as source
 
 BAD = {
     "not xml": ("hello", ["xml_parse_failed", "not_success"]),
@@ -171,3 +173,20 @@ def test_repeated_fields_are_refused(spark):
     found = {r.raw_id: r.reasons for r in gated.collect()}
     assert [(found[i] or [None])[0] for i in range(3)] == list(cases)
     assert "field_repeated" in found[1]
+
+
+def test_area_counts_and_record_files(spark, tmp_path):
+    active = spark.range(3)
+    assert gates.require_area_count(active, 3) is active
+    for areas, expected in ((active, 8), (active.limit(0), 3)):
+        with pytest.raises(gates.GateError):
+            gates.require_area_count(areas, expected)
+    (tmp_path / "many.xml").write_text("<all><row><A>1</A></row><row><A>2</A></row></all>")
+    assert sorted(r.A for r in source.read_records(spark, str(tmp_path), "row", "A string").collect()) == ["1", "2"]
+
+
+def test_weather_view_takes_successful_calls_only(spark):
+    at = F.lit("2024-03-01").cast("timestamp")
+    header = spark.createDataFrame([(1, True), (2, False)], "ingestion_id long, is_success boolean").withColumn("collected_at", at)
+    weather = spark.createDataFrame([(1, 3), (2, 4), (5, 6)], "ingestion_id long, pm10 int")
+    assert [(r.ingestion_id, r.pm10) for r in facts.weather_view(weather, header).collect()] == [(1, 3)]
