@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import clock, numbers, text
 from ..operators import documents, gates
+from ..plans import load
+from ..session import scratch_folder
+from ..sources.tables import MedallionTables
 from . import feed
 from .oracle import BASE, KST, REJECTED, ROWS, date_key, stamp, with_ctes
 from .shape import plain
@@ -146,6 +149,19 @@ def json_extract(spark, sf_dir):
     return plain(documents.json_populations(gates.accepted(_json_gated(spark, sf_dir))))
 
 
+def json_load(spark, sf_dir):
+    """The JSON feed staged in two batches, the later half first: population rows beside their headers."""
+    tables = MedallionTables(spark, scratch_folder(spark, "json"))
+    raw = json_documents(spark, sf_dir).drop("area_code").withColumn("area_code", F.lit("GANGNAM"))
+    half = feed.table(spark, sf_dir, "events").count() // 2
+    for batch, part in enumerate(("raw_id >= {}", "raw_id < {}")):
+        load.run_json_batch(tables, raw.where(part.format(half)), batch, F.col("collected_at"))
+    header = tables.read("realtime_city_header").select("ingestion_id", "area_name", "collected_at")
+    rows = tables.read("realtime_population_snapshot").join(header, "ingestion_id")
+    return plain(rows.select("ingestion_id", "area_code", "area_name", "observed_at", "collected_at", "congestion_level",
+                             "population_min", "population_max", "male_ratio", "date_key"))
+
+
 def json_reasons(spark, sf_dir):
     gated = gates.rejected(_json_gated(spark, sf_dir))
     return gated.select("raw_id", F.explode("reasons").alias("violated"))
@@ -236,7 +252,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         raw_classify, document_edges, raw_history, gate_reasons, gate_reason_counts, gate_valid, xml_extract_population,
-        xml_extract_weather, weather_gate, weather_skipped, missing_raw, json_extract, json_reasons,
+        xml_extract_weather, weather_gate, weather_skipped, missing_raw, json_extract, json_load, json_reasons,
         payload_hash, decimal_parse, float_parse, int_parse, time_keys, desc_join,
     )
 }
@@ -371,6 +387,13 @@ SELECT raw_id AS ingestion_id, poi AS area_code, place AS area_name, {stamp("dat
        cents + k AS population_max, k + 0.25::DOUBLE AS male_ratio, CAST(NULL AS DOUBLE) AS female_ratio,
        CAST(NULL AS DOUBLE) AS resident_ratio, CAST(NULL AS DOUBLE) AS non_resident_ratio
 FROM d WHERE k NOT IN (3, 11, 17, 19, 23, 25, 31, 37, 41, 51)"""),
+    "json_load": with_ctes(f"""{BASE},
+ok AS (SELECT *, date_trunc('second', requested_at) AS observed_at, raw_id < (SELECT count(*) // 2 FROM events) AS second
+       FROM d WHERE k NOT IN (3, 11, 17, 19, 23, 25, 31, 37, 41, 51))""", f"""
+SELECT raw_id AS ingestion_id, poi AS area_code, place AS area_name, {stamp('observed_at')} AS observed_at,
+       {stamp('requested_at')} AS collected_at, event_type AS congestion_level, cents AS population_min,
+       cents + k AS population_max, k + 0.25::DOUBLE AS male_ratio, {date_key('observed_at ' + KST)} AS date_key
+FROM ok QUALIFY row_number() OVER (PARTITION BY poi, observed_at ORDER BY second DESC, raw_id DESC) = 1"""),
     "json_reasons": with_ctes(BASE, """
 SELECT raw_id, violated FROM d JOIN (VALUES (3, 'json_parse_failed'), (11, 'not_success'), (17, 'citydata_missing'),
   (19, 'citydata_key_missing'), (23, 'population_container'), (25, 'population_container'),

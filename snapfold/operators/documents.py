@@ -338,7 +338,7 @@ def read_json_documents(df: DataFrame, payload: str = "payload") -> DataFrame:
     return once(parsed, city=city, population=F.get(city["LIVE_PPLTN_STTS"], F.lit(0)))
 
 
-def json_populations(valid: DataFrame) -> DataFrame:
+def json_populations(valid: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Snapshots of the JSON feed; the payload's area wins over the call's."""
     part = F.col("population")
     return valid.select(
@@ -359,4 +359,26 @@ def json_populations(valid: DataFrame) -> DataFrame:
                 ("non_resident_ratio", "NON_RESNT_PPLTN_RATE"),
             )
         ],
+        *keep,
     )
+
+
+def json_headers(valid: DataFrame, stamp: Column) -> DataFrame:
+    """One header per accepted JSON document; this feed tells no result."""
+    return json_populations(valid).select(
+        "ingestion_id", "area_code", "area_name", "observed_at", "collected_at",
+        F.lit(None).cast("string").alias("result_code"),
+        F.lit(None).cast("string").alias("result_message"),
+        F.lit(True).alias("is_success"),
+        stamp.alias("loaded_at"),
+        clock.local_time(F.col("collected_at"), "UTC").cast("date").alias("ingest_date"),
+    )
+
+
+def json_snapshots(valid: DataFrame, stamp: Column) -> DataFrame:
+    """The population staging rows of accepted JSON documents."""
+    local = clock.local_time(F.col("observed_at"))
+    rows = json_populations(valid.withColumn("message", F.col("population")["AREA_CONGEST_MSG"]), keep=("message",))
+    return rows.withColumnRenamed("message", "congestion_message").withColumns({
+        "population_snapshot_id": F.col("ingestion_id"), "loaded_at": stamp, "date_key": clock.date_key(local),
+    })

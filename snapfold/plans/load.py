@@ -151,6 +151,29 @@ def run_batch(
     return written
 
 
+def run_json_batch(tables: MedallionTables, raw: DataFrame, batch_id: int, stamp: Column) -> dict[str, DataFrame]:
+    """Stage one run of the array-shaped JSON feed: headers first, then their population snapshots.
+
+    ``raw`` holds raw_id, area_code, area_name, received_at, is_success and payload.  Safe to repeat
+    with the same ``batch_id``.  Writes and returns the quarantine and the refused rows.
+    """
+    tables.finish_staged()
+    folder = f"{tables.root}/_parsed/json-{batch_id}"
+    gated = saved(gates.json_gate(documents.read_json_documents(raw)).drop("payload", "doc"), folder)
+    valid = gates.accepted(gated)
+    headers, no_header = _kept(documents.json_headers(valid, stamp), HEADER)
+    snapshots, no_snapshot = _kept(integrity.conform(documents.json_snapshots(valid, stamp), POPULATION), POPULATION)
+    tables.merge(HEADER.name, headers, batch_id)
+    tables.merge(POPULATION.name, snapshots, batch_id)
+    reports = {
+        "json_quarantine": gates.rejected(gated).select("raw_id", "reason", "reasons"),
+        "json_broken_rows": no_header.unionByName(no_snapshot),
+    }
+    written = {name: tables.write_report(name, rows, batch_id) for name, rows in reports.items()}
+    tables.delete(folder)
+    return written
+
+
 def _dims(tables: MedallionTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
         tables.read("dim_location"), tables.read("dim_date"), tables.read("dim_hour"),
