@@ -142,10 +142,13 @@ def _written(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"]), s["start"], s["end"])), ",")
 
 
+def _count(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(common.table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k - 1]}")
-              for k in range(1, BASE + 1)]
+    counts = [_count(k).alias(f"n_{KINDS[k - 1]}") for k in range(1, BASE + 1)]
     return found.select("doc_id", *counts, F.sha2(_written("base"), 256).alias("base_sha256"), _written("spans").alias("spans"))
 
 
