@@ -1,5 +1,9 @@
 """Queries beside their SQL at the smallest scale; tools/check.py runs them all."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -33,3 +37,12 @@ def test_every_query_has_sql():
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_without_the_optional_package():
+    script = (
+        "import sys; sys.modules['snapfold.llm'] = None; import __spark_entry__ as e; from snapfold.catalog import registry; "
+        "assert set(e.queries()) == set(registry.queries()) == set(e.oracle_sql())"
+    )
+    done = subprocess.run([sys.executable, "-c", script], cwd=Path(entry.__file__).parent, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
