@@ -55,10 +55,11 @@ def flag(rows: DataFrame, wanted: DataFrame, hashed: str, name: str) -> DataFram
     """``rows`` with a boolean: False where the hash is surely not in ``wanted``, else mostly in it.
 
     One bit per hash in bitmaps of bounded size, sent to all tasks, so that what surely does not meet
-    ``wanted`` need not be shuffled to it.  Both sides have the column ``hashed`` (long).
+    ``wanted`` need not be shuffled to it.  Both sides have the column ``hashed`` (long).  With more hashes
+    than the bound has room for, more rows pass, and nothing else changes.
     """
     count, bitmaps = wanted.count(), 1
-    while bitmaps * BITMAP < 16 * count and bitmaps < MOST_BITMAPS:
+    while bitmaps * BITMAP < 64 * count and bitmaps < MOST_BITMAPS:
         bitmaps *= 2
     bucket = F.pmod(F.shiftright(hashed, 15), F.lit(bitmaps))
     marks = wanted.groupBy(bucket.alias("__bucket")).agg(
@@ -68,3 +69,8 @@ def flag(rows: DataFrame, wanted: DataFrame, hashed: str, name: str) -> DataFram
     found = found.withColumn("__byte", byte)
     bit = F.expr(f"shiftright(__byte, int(pmod({hashed}, 8))) & 1") == 1
     return found.withColumn(name, F.coalesce(bit, F.lit(False))).drop("__bucket", "__marks", "__byte")
+
+
+def likely(rows: DataFrame, wanted: DataFrame, hashed: str) -> DataFrame:
+    """``rows`` without those that are surely not in ``wanted``."""
+    return flag(rows, wanted, hashed, "__likely").where("__likely").drop("__likely")

@@ -57,8 +57,7 @@ def _halves() -> Column:
 
 def sift(lines: DataFrame, contents: DataFrame) -> DataFrame:
     """``lines`` whose (h1, h2) is in ``contents``, with the columns of both; few others are shuffled."""
-    likely = common.flag(lines, contents, "h1", "likely").where("likely").drop("likely")
-    return likely.join(contents, ["h1", "h2"])
+    return common.likely(lines, contents, "h1").join(contents, ["h1", "h2"])
 
 
 def _xor(parts: Column, field: str) -> Column:
@@ -106,16 +105,22 @@ def near_links(lines: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
     """(h1, h2, near): the earliest place of a content that is one edit from this one."""
     keys = contents.where("halves is not null").select("h1", "h2", F.inline("halves"))
     shared = keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi").select("key")
-    likely = keys.join(saved(shared, f"{folder}/shared"), "key").groupBy("h1", "h2").agg(
+    shared = saved(shared, f"{folder}/shared")
+    found = common.likely(keys, shared, "key").join(shared, "key").groupBy("h1", "h2").agg(
         F.max("late").alias("late"), F.max(~F.col("late")).alias("early"))
-    likely = saved(likely.join(contents.select("h1", "h2", "first"), ["h1", "h2"]), f"{folder}/likely")
-    rows = sift(lines, likely).where(F.struct("doc", "line").eqNullSafe(F.col("first"))).drop("first")
+    found = saved(found, f"{folder}/halved")
+    found = sift(contents.select("h1", "h2", "first"), found)
+    found = saved(found.withColumn("spot", F.xxhash64("first.doc", "first.line")), f"{folder}/likely")
+    # the words of each such content, from the line that has it first
+    rows = common.likely(lines.withColumn("spot", F.xxhash64("doc", "line")), found, "spot")
+    rows = rows.drop("spot").join(found.drop("spot"), ["h1", "h2"])
+    rows = rows.where(F.struct("doc", "line").eqNullSafe(F.col("first"))).drop("first")
     rows = saved(rows.dropDuplicates(["h1", "h2"]), f"{folder}/rows")
 
     emitted = variants(rows)
     joint = emitted.groupBy("key", "size").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi")
     joint = saved(joint.select("key", "size"), f"{folder}/joint")
-    met = saved(emitted.join(joint, ["key", "size"]), f"{folder}/met")
+    met = saved(common.likely(emitted, joint, "key").join(joint, ["key", "size"]), f"{folder}/met")
     rank = F.struct("doc", "line", "h1", "h2", "place")
     same = saved(met.groupBy("key", "size", "place").agg(F.min(rank).alias("same")), f"{folder}/same")
     whole = F.min(F.when(F.col("place") < 0, rank))
@@ -147,7 +152,8 @@ def dropped_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id"
         F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves"))
     contents = saved(contents, f"{folder}/contents")
     near = saved(near_links(lines, contents, folder), f"{folder}/near")
-    copied = contents.select("h1", "h2", "first", "times").join(near, ["h1", "h2"], "left").where("times > 1 or near is not null")
+    several = common.flag(contents.select("h1", "h2", "first", "times"), near, "h1", "linked").where("times > 1 or linked")
+    copied = several.join(near, ["h1", "h2"], "left").where("times > 1 or near is not null")
     copied = saved(copied.select("h1", "h2", F.least("first", F.coalesce("near", "first")).alias("first")), f"{folder}/copied")
     return sift(lines, copied).where(F.col("first") < F.struct("doc", "line")).select("doc", "line", "first")
 
