@@ -25,6 +25,7 @@ from pyspark.sql.functions import pandas_udf
 from . import common
 
 UNKNOWN = "und"
+SLOTS = 64  # parts that a language's sample is drawn in first
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -157,12 +158,17 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", id_column: str
     part = settings.windows_per_row
     cut = F.transform(F.sequence(F.lit(0), F.lit(part - 1)), lambda i: F.substring(
         t, (F.lit(1) + F.floor(i * F.length(t) / F.lit(part))).cast("int"), F.lit(settings.window)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", F.xxhash64("cut"))
+    order = (F.xxhash64("id"), F.col("id"), F.xxhash64("cut"))
+    # twice, so that no task gathers a common language from all others
+    slot = Window.partitionBy("lang", F.pmod(F.xxhash64("id"), F.lit(SLOTS))).orderBy(*order)
+    place = Window.partitionBy("lang").orderBy(*order)
     rows = (
         docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
         .where(F.col("lang").isNotNull() & t.rlike(r"\p{L}"))
         .select("id", "lang", cut.alias("cut"))
-        .withColumn("place", F.row_number().over(order))
+        .withColumn("place", F.row_number().over(slot))
+        .where(F.col("place") <= settings.rows_per_language)
+        .withColumn("place", F.row_number().over(place))
         .where(F.col("place") <= settings.rows_per_language)
         .select("lang", "cut", "id").collect()
     )
