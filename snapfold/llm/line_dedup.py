@@ -166,14 +166,18 @@ def per_document(docs: DataFrame, text: str = "text", id_column: str = "doc_id")
 
 def dedup_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """All rows and columns, the text without the lines that go; rows left without a word go too."""
-    gone = per_document(docs, text, id_column).select(F.col(id_column).alias("__doc"), F.col("dropped").alias("__dropped"))
+    gone = per_document(docs, text, id_column).select(
+        F.col(id_column).alias("__doc"), F.col("dropped").alias("__dropped"), F.xxhash64(id_column).alias("__hash"))
     gone = saved(gone, scratch_folder(docs.sparkSession, "lines-gone"))
-    found = docs.join(gone, docs[id_column].eqNullSafe(gone["__doc"]), "left")
+    # rows that surely lose no line are not shuffled
+    rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column])), gone, "__hash", "__touched").drop("__hash")
+    touched = rows.where("__touched").join(gone.drop("__hash"), F.col(id_column).eqNullSafe(F.col("__doc")), "left")
     lines = F.split(F.col(text), "\n")
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__dropped", i)), "\n")
     new = F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(left)
-    found = once(found, __left=new).where("__dropped is null or __left rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
-    return found.select(*[F.col("__left").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    touched = once(touched, __left=new).where("__dropped is null or __left rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
+    changed = touched.select(*[F.col("__left").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return rows.where("not __touched").drop("__touched").unionByName(changed)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

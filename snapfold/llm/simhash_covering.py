@@ -195,10 +195,16 @@ def keep_first(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -
 
     Of rows that share the least id one stays; rows without an id cannot be named and all stay.
     """
-    kept = group(docs, text, id_column).where(F.col(id_column) == F.col("component_id"))
-    kept = kept.select(F.col(id_column).alias("__kept")).distinct()
-    found = docs.join(kept, docs[id_column] == kept["__kept"]).drop("__kept").dropDuplicates([id_column])
-    return found.unionByName(docs.where(docs[id_column].isNull()))
+    named = group(docs, text, id_column).where(F.col(id_column).isNotNull())
+    # only ids that go, or stand on several rows, need their rows looked at; the others are not shuffled
+    special = named.groupBy(F.col(id_column).alias("__id")).agg(
+        F.max(F.col(id_column) != F.col("component_id")).alias("__goes"), F.count("*").alias("__rows"))
+    special = special.where("__goes or __rows > 1").select("__id", "__goes", F.xxhash64("__id").alias("__hash"))
+    special = saved(special, scratch_folder(docs.sparkSession, "simhash-special"))
+    rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column])), special, "__hash", "__special").drop("__hash")
+    looked_at = rows.where("__special").join(special.drop("__hash"), F.col(id_column) == F.col("__id"), "left")
+    stay = looked_at.where("__goes is null or not __goes").drop("__id", "__goes").dropDuplicates([id_column])
+    return rows.where("not __special").unionByName(stay).drop("__special")
 
 
 def op4_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:
