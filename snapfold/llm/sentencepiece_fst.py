@@ -278,10 +278,6 @@ class Transducer:
             out += self.path(SPACE * (spaces - 1))
         return out
 
-    def forget(self) -> None:
-        self.words.clear()
-        self.parts.clear()
-
     def decode(self, ids: np.ndarray) -> str:
         body = b"".join(self.raw[ids])
         return (body[1:] if self.prefix and body[:1] == b" " else body).decode("utf-8", "replace")
@@ -327,7 +323,6 @@ def encode(df: DataFrame, text: str = "text", target: str = "token_ids", round_t
                 if round_trip:
                     made.append(pa.array([None if t is None else machine.decode(i) == t for t, i in zip(texts, ids, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *[f.name for f in new]])
-        machine.forget()  # the worker may live on for tasks that have no use for it
 
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, *new]))
 
