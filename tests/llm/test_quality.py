@@ -62,6 +62,25 @@ def test_bands():
     assert not judged(half)[-1] and judged(half)[-2] > 0.5
 
 
+def test_bands_part_labelled_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = op.op2_quality_rules(spark, sf).join(common.table(spark, sf, "labels"), "doc_id").where("not base_failed").collect()
+    kept = lambda label: [r.kept for r in rows if r.quality == label and r.n_words >= 200]
+    bad, clean = kept(0), kept(1)
+    assert len(bad) > 5 and sum(bad) < 0.2 * len(bad)
+    assert len(clean) > 50 and sum(clean) > 0.99 * len(clean)
+
+
+def test_a_list_of_words_in_a_long_text_shows_in_its_chunks():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9)))
+    prose = " ".join(word() for _ in range(5000))
+    few = [word() for _ in range(150)]
+    some = " | ".join(rng.choice(few) for _ in range(2500))
+    got = judged(prose + " " + some)
+    assert judged(prose)[-1] and 0.25 <= got[-3] < 0.5 and not got[5] and not got[-1]
+
+
 def test_query_equals_plain_counts(spark):
     texts = {r.doc_id: r.text for r in common.table(spark, SF, "documents").collect()}
     rows = op.op2_quality_rules(spark, SF).collect()
