@@ -2,8 +2,9 @@
 
 A line is its sequence of words.  Two lines are copies if their words are equal, or if both have at
 least ``min_words`` words and one word inserted, deleted or replaced makes them equal.  A line goes if a
-copy of it stands earlier in the corpus, by (document id, line number); whether that copy goes itself
-does not matter.
+copy of it stands earlier in the corpus, by (document, line number); whether that copy goes itself
+does not matter.  A document is its id and its text, the text named by a 128-bit hash: documents are in the
+order of their ids, and different texts under one id, or without one, in the order of that hash.
 
 Lines one edit apart have an equal variant: the lines without the edited word.  So every line emits its
 own key and one for each word left out, and equal keys are joined.  Two steps keep this small and exact:
@@ -20,9 +21,9 @@ so leaving out a word takes the sums before and behind it; sums over blocks of w
 growing with the square of a long line.
 
 Defined results: null texts have no lines and stay null; lines without a word are never dropped; texts
-and lines are read whole; rows that share an id share its line numbers, so of equal lines at the same place
-all stay; a null id comes before all others; an empty table gives no rows; extra columns are kept by
-``dedup_lines`` and not read otherwise.
+and lines are read whole; rows equal in id and text are one document, get equal verdicts and all stay; a null
+id comes before all others; an empty table gives no rows; extra columns are kept by ``dedup_lines`` and not
+read otherwise.
 """
 
 from __future__ import annotations
@@ -36,13 +37,20 @@ from . import common
 MIN_WORDS = 8
 SPACES = " \t\n\x0b\x0c\r"
 BLOCK = 32  # words whose hashes are summed at once
+PLACE = ("doc", "t1", "t2", "line")  # where a line stands: the document's id, the hash of its text, the line's number
+
+
+def text_hash(text: str) -> list[Column]:
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
 def lines_of(docs: DataFrame, text: str, id_column: str) -> DataFrame:
-    """(doc, line, words, h1, h2) of every line with a word; the hashes name its content."""
-    rows = docs.select(F.col(id_column).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("line", "body"))
+    """(doc, t1, t2, line, words, h1, h2) of every line with a word; h1 and h2 name its content."""
+    t1, t2 = text_hash(text)
+    rows = docs.select(F.col(id_column).alias("doc"), t1.alias("t1"), t2.alias("t2"), F.col(text).alias("body"))
+    rows = rows.select("doc", "t1", "t2", F.posexplode(F.split("body", "\n")).alias("line", "body"))
     rows = once(rows, words=F.split(F.btrim("body", F.lit(SPACES)), r"[\x20\x09-\x0D]+")).where("words[0] != ''")
-    return rows.select("doc", "line", "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
+    return rows.select(*PLACE, "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
 
 
 def _halves() -> Column:
@@ -65,7 +73,7 @@ def _xor(parts: Column, field: str) -> Column:
 
 
 def variants(lines: DataFrame) -> DataFrame:
-    """(h1, h2, doc, line, key, size, place): each line whole (place -1), and without one word.
+    """(h1, h2, doc, t1, t2, line, key, size, place): each line whole (place -1), and without one word.
 
     ``early`` and ``late`` say in which halves a word may be left out.
     """
@@ -80,7 +88,7 @@ def variants(lines: DataFrame) -> DataFrame:
     around = F.transform("sums", lambda _, k: F.struct(
         _xor(F.slice("sums", F.lit(1), k), "a").alias("a"), _xor(F.slice("sums", k + 2, F.size("sums")), "b").alias("b")))
     rows = once(rows, whole=_xor(F.col("sums"), "a"), around=around)
-    rows = rows.select("h1", "h2", "doc", "line", "early", "late", "whole", "around", n.alias("n"),
+    rows = rows.select("h1", "h2", *PLACE, "early", "late", "whole", "around", n.alias("n"),
                        F.posexplode("blocks").alias("k", "block"))
     rows = once(rows, mine=F.element_at("around", F.col("k") + 1))
     left_out = F.transform("block", lambda _, i: F.struct(
@@ -91,7 +99,7 @@ def variants(lines: DataFrame) -> DataFrame:
                       | (F.col("early") & (v["place"] < F.floor(F.col("n") / 2))))
     own = F.struct(F.col("whole").alias("key"), F.col("n").alias("size"), F.lit(-1).alias("place"))
     all_ = F.when(F.col("k") == 0, F.concat(F.array(own), wanted)).otherwise(wanted)
-    return rows.select("h1", "h2", "doc", "line", F.inline(all_).alias("key", "size", "place"))
+    return rows.select("h1", "h2", *PLACE, F.inline(all_).alias("key", "size", "place"))
 
 
 def _without(words: str, place: str) -> Column:
@@ -110,27 +118,28 @@ def near_links(lines: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
         F.max("late").alias("late"), F.max(~F.col("late")).alias("early"))
     found = saved(found, f"{folder}/halved")
     found = sift(contents.select("h1", "h2", "first"), found)
-    found = saved(found.withColumn("spot", F.xxhash64("first.doc", "first.line")), f"{folder}/likely")
+    found = saved(found.withColumn("spot", F.xxhash64(*[f"first.{c}" for c in PLACE])), f"{folder}/likely")
     # the words of each such content, from the line that has it first
-    rows = common.likely(lines.withColumn("spot", F.xxhash64("doc", "line")), found, "spot")
+    rows = common.likely(lines.withColumn("spot", F.xxhash64(*PLACE)), found, "spot")
     rows = rows.drop("spot").join(found.drop("spot"), ["h1", "h2"])
-    rows = rows.where(F.struct("doc", "line").eqNullSafe(F.col("first"))).drop("first")
+    rows = rows.where(F.struct(*PLACE).eqNullSafe(F.col("first"))).drop("first")
     rows = saved(rows.dropDuplicates(["h1", "h2"]), f"{folder}/rows")
 
     emitted = variants(rows)
     joint = emitted.groupBy("key", "size").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi")
     joint = saved(joint.select("key", "size"), f"{folder}/joint")
     met = saved(common.likely(emitted, joint, "key").join(joint, ["key", "size"]), f"{folder}/met")
-    rank = F.struct("doc", "line", "h1", "h2", "place")
+    rank = F.struct(*PLACE, "h1", "h2", "place")
+    to = F.struct(*[f"to.{c}" for c in PLACE])
     same = saved(met.groupBy("key", "size", "place").agg(F.min(rank).alias("same")), f"{folder}/same")
     whole = F.min(F.when(F.col("place") < 0, rank))
     part = F.min(F.when(F.col("place") >= 0, rank))
     other = saved(met.groupBy("key", "size").agg(whole.alias("whole"), part.alias("part")), f"{folder}/other")
     found = met.join(same, ["key", "size", "place"]).join(other, ["key", "size"]).select(
-        "h1", "h2", "place", F.struct("doc", "line").alias("own"),
+        "h1", "h2", "place", F.struct(*PLACE).alias("own"),
         F.when(F.col("place") < 0, F.col("part")).otherwise(
             F.when(F.col("whole") < F.col("same"), F.col("whole")).otherwise(F.col("same"))).alias("to"))
-    found = found.where(F.struct("to.doc", "to.line") < F.col("own")).groupBy("h1", "h2").agg(
+    found = found.where(to < F.col("own")).groupBy("h1", "h2").agg(
         F.min(F.struct("to", "place")).alias("link"))
     found = saved(found.select("h1", "h2", "link.place", "link.to"), f"{folder}/found")
 
@@ -140,38 +149,46 @@ def near_links(lines: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
         there, (F.col("to.h1") == F.col("t1")) & (F.col("to.h2") == F.col("t2")))
     one_edit = (_without("words", "place") == _without("their", "there")) & (
         (F.col("place") == F.col("there")) | (F.col("place") < 0) | (F.col("there") < 0))
-    return found.where(one_edit).select("h1", "h2", F.struct("to.doc", "to.line").alias("near"))
+    return found.where(one_edit).select("h1", "h2", to.alias("near"))
 
 
 def dropped_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc, line, first): each line that goes, and where its earliest copy stands."""
+    """(doc, t1, t2, line, first): each line that goes, and where its earliest copy stands."""
     folder = scratch_folder(docs.sparkSession, "lines")
     lines = lines_of(docs, text, id_column)
     halves = F.when(F.size("words") >= min_words, _halves())
     contents = once(lines, halves=halves).groupBy("h1", "h2").agg(
-        F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves"))
+        F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves"))
     contents = saved(contents, f"{folder}/contents")
     near = saved(near_links(lines, contents, folder), f"{folder}/near")
     several = common.flag(contents.select("h1", "h2", "first", "times"), near, "h1", "linked").where("times > 1 or linked")
     copied = several.join(near, ["h1", "h2"], "left").where("times > 1 or near is not null")
     copied = saved(copied.select("h1", "h2", F.least("first", F.coalesce("near", "first")).alias("first")), f"{folder}/copied")
-    return sift(lines, copied).where(F.col("first") < F.struct("doc", "line")).select("doc", "line", "first")
+    return sift(lines, copied).where(F.col("first") < F.struct(*PLACE)).select(*PLACE, "first")
 
 
 def per_document(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
-    """(id, dropped: the sorted numbers of the lines that go, from 0) of documents that lose a line."""
-    gone = dropped_lines(docs, text, id_column).select("doc", "line").distinct()
-    return gone.groupBy(F.col("doc").alias(id_column)).agg(F.sort_array(F.collect_list("line")).alias("dropped"))
+    """(id, __t1, __t2, dropped: the sorted numbers of the lines that go, from 0) of documents that lose a line."""
+    gone = dropped_lines(docs, text, id_column).select(*PLACE).distinct()
+    return gone.groupBy(F.col("doc").alias(id_column), F.col("t1").alias("__t1"), F.col("t2").alias("__t2")).agg(
+        F.sort_array(F.collect_list("line")).alias("dropped"))
+
+
+def _same(id_column: str, t1: Column, t2: Column) -> Column:
+    """Whether a row is the document (__doc, __t1, __t2)."""
+    return F.col(id_column).eqNullSafe(F.col("__doc")) & (t1 == F.col("__t1")) & (t2 == F.col("__t2"))
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """All rows and columns, the text without the lines that go; rows left without a word go too."""
     gone = per_document(docs, text, id_column).select(
-        F.col(id_column).alias("__doc"), F.col("dropped").alias("__dropped"), F.xxhash64(id_column).alias("__hash"))
+        F.col(id_column).alias("__doc"), "__t1", "__t2", F.col("dropped").alias("__dropped"),
+        F.xxhash64(id_column, "__t1").alias("__hash"))
     gone = saved(gone, scratch_folder(docs.sparkSession, "lines-gone"))
+    t1, t2 = text_hash(text)
     # rows that surely lose no line are not shuffled
-    rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column])), gone, "__hash", "__touched").drop("__hash")
-    touched = rows.where("__touched").join(gone.drop("__hash"), F.col(id_column).eqNullSafe(F.col("__doc")), "left")
+    rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column], t1)), gone, "__hash", "__touched").drop("__hash")
+    touched = rows.where("__touched").join(gone.drop("__hash"), _same(id_column, t1, t2), "left")
     lines = F.split(F.col(text), "\n")
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__dropped", i)), "\n")
     new = F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(left)
@@ -184,10 +201,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its lines with a word, how many go, and their numbers."""
     docs = common.table(spark, sf_dir, "documents")
     word_lines = F.size(F.filter(F.split("text", "\n"), lambda b: b.rlike(r"[^\x20\x09-\x0D]")))
-    gone = per_document(docs)
+    gone = per_document(docs).withColumnRenamed("doc_id", "__doc")
+    t1, t2 = text_hash("text")
+    rows = docs.select("doc_id", t1.alias("own1"), t2.alias("own2"), F.greatest(F.coalesce(word_lines, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"))
     # documents and verdicts are narrow here, one row each
-    return docs.select("doc_id", F.greatest(F.coalesce(word_lines, F.lit(0)), F.lit(0)).cast("long").alias("n_lines")).join(
-        gone, "doc_id", "left").select(
+    return rows.join(gone, _same("doc_id", F.col("own1"), F.col("own2")), "left").select(
         "doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
         F.coalesce(F.array_join(F.col("dropped").cast("array<string>"), ","), F.lit("")).alias("dropped_lines"))
 

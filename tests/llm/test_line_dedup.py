@@ -88,3 +88,22 @@ def test_edges_of_input(spark):
     assert kept.where("text is null").count() == 1
     assert got(df.limit(0)) == set() and op.dedup_lines(df.limit(0)).count() == 0
     assert op.dropped_lines(spark.createDataFrame([(None, "q w"), (1, "q w")], "doc_id long, text string")).count() == 1
+
+
+def test_texts_that_share_an_id_or_have_none_are_judged_for_themselves(spark, tmp_path):
+    rows = [(None, "only one here\nsaid twice"), (None, "said twice\nonly two here"), (None, "said twice\nonly two here"),
+            (7, "only three here\nthe same"), (7, "the same\nonly four here"), (8, "only five here\nsaid twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r.doc_id, r.text.split("\n")) for r in op.dedup_lines(docs).collect()]
+    lines = [(i, line) for i, text in kept for line in text]
+    assert lines.count((None, "only one here")) == 1 and lines.count((None, "only two here")) == 2
+    assert all((i, f"only {n} here") in lines for i, n in [(7, "three"), (7, "four"), (8, "five")])
+    # of lines that stand in several documents those of one stay: a document's repeated rows agree
+    assert [x for x in lines if x[1] == "the same"] == [(7, "the same")]
+    assert [x for x in lines if x[1] == "said twice"] in ([(None, "said twice")], [(None, "said twice")] * 2)
+    assert len(kept) == 6
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = [(r.doc_id, r.n_lines, r.n_dropped) for r in op.op1_line_dedup(spark, str(tmp_path)).collect()]
+    assert len(found) == 6 and {n for _, n, _ in found} == {2}
+    assert sum(n for _, _, n in found) == 12 - len(lines) and sum(n for i, _, n in found if i is None) in (1, 2)
