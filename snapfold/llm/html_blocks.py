@@ -27,7 +27,7 @@ from . import common
 WINDOW = 3
 SURGE = 80
 
-RAW = "script|style|title|textarea|noscript|template|iframe|svg|math|object|canvas|select|head"
+RAW = "script|style|title|textarea|noscript|template|iframe|svg|math|object|canvas|select"
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-z][a-z0-9:-]*)([^>]*)>|</?[a-z][^>]*\Z|<\Z",
@@ -54,7 +54,7 @@ def left_out(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element is never main text."""
     if tag in LEFT_OUT or tag == "header" and not inside:
         return True
-    if not attributes.strip(" /\t\n"):
+    if tag == "head" or not attributes.strip(" /\t\n"):  # a head has no text but in elements, and may lack its end
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)

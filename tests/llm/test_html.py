@@ -26,6 +26,7 @@ PAGES = {
     "left-out element not closed": ("<nav><a>no</a><article><p>One</p></article>", "One"),
     "hidden": ("<article><p hidden>no</p><p style='display: none'>no</p><p aria-hidden=true>no</p>a < b</article>", "a < b"),
     "quotes with signs in attributes": ('<article><p title="a>b">One</p><p title="x>Two</p></article>', None),
+    "head not closed": (f'<html><head class="site-nav"><meta charset=utf-8><title>t</title><style>p {{}}</style><body><p>{BODY}</p></body></html>', BODY),
     "nothing": ("", ""), "menu only": ("<nav><ul><li><a>x</a></li></ul></nav>", ""), "white space": (" \n ", ""),
 }
 
