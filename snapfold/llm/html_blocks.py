@@ -4,8 +4,14 @@ Markup is stripped so that every block-level tag ends a line; what is never main
 forms and the like, by element, role or name) is taken out.  The lengths of ``WINDOW`` lines in a row
 are summed, link text counting nothing.  A surge is where that sum leaves zero, a dive where it returns
 to it.  A stretch from surge to dive is text if its greatest sum reaches ``SURGE``, and all lines from the
-first such surge to the last such dive are kept, short ones and all; on a page with an ``article`` or
-``main`` element only lines inside it count, and any length there is text.
+first such surge to the last such dive are kept, short ones and all.
+
+An ``article`` or ``main`` element has its own lines, apart from those of elements of this kind inside it, and so
+has the rest of the page.  The sums run over each of them.  The one with the most text in stretches is the story,
+where marked text counts ``WEIGHT`` times.  If the rest of the page is, its lines are the result and the marked
+elements are teasers.  Else all marked elements with text are kept, and widened: outside their stretches, and in
+elements around them, by the lines that are no links for the most part.  If nothing on the page reaches ``SURGE``,
+such lines of all marked elements are the result.
 
 Defined results: a null, empty or textless page has the empty text; a page that was cut off in the middle of
 a tag loses the broken tag, and one cut off inside a left-out element loses its rest; pages are read whole,
@@ -26,6 +32,7 @@ from . import common
 
 WINDOW = 3
 SURGE = 80
+WEIGHT = 2  # of text in an article or main element beside text outside
 
 RAW = "script|style|title|textarea|noscript|template|iframe|svg|math|object|canvas|select"
 TOKEN = re.compile(
@@ -74,10 +81,11 @@ def left_out(tag: str, attributes: str, inside: bool) -> bool:
     return False
 
 
-def lines(html: str) -> Iterator[tuple[str, int, bool]]:
-    """(text, characters outside links, inside an article) of every line; left-out parts give empty ones."""
+def lines(html: str) -> Iterator[tuple[str, int, tuple[int, ...]]]:
+    """(text, characters outside links, numbers of the articles around it) of every line; left-out parts give empty ones."""
     held: list[str] = []
-    at = inside = links = plain = 0
+    at = links = plain = marked = 0
+    inside: tuple[int, ...] = ()
     skipped, depth = "", 0
     for found in TOKEN.finditer(html):
         if not skipped and found.start() > at:
@@ -108,7 +116,7 @@ def lines(html: str) -> Iterator[tuple[str, int, bool]]:
         if tag == "a":
             links = max(0, links + (-1 if closes else 1))
         if tag in BLOCKS:
-            yield "".join(held), plain, bool(inside)
+            yield "".join(held), plain, inside
             held, plain = [], 0
             if tag != "br":
                 links = 0
@@ -116,35 +124,49 @@ def lines(html: str) -> Iterator[tuple[str, int, bool]]:
             skipped, depth = tag, 1
             continue
         if tag in CORE:
-            inside = max(0, inside + (-1 if closes else 1))
+            marked += not closes
+            inside = inside[:-1] if closes else (*inside, marked)
     if not skipped and at < len(html):
         held.append(html[at:])
         plain += 0 if links else len(html) - at
-    yield "".join(held), plain, bool(inside)
+    yield "".join(held), plain, inside
 
 
-def main_text(html: str | None) -> str:
-    if not html:
-        return ""
-    rows = [(" ".join(unescape(t).split()), n, i) for t, n, i in lines(html)]
-    cored = any(i for _, _, i in rows)
-    # link text counts nothing in the sums, but an article's lines all count
-    sizes = [(len(t) if cored else min(n, len(t))) if i or not cored else 0 for t, n, i in rows]
-    least, stretches, start, peak, total = 1 if cored else SURGE, [], None, 0, 0
-    for at in range(len(rows) + WINDOW):
-        total += sizes[at] if at < len(rows) else 0
+def stretches(sizes: list[int]) -> list[tuple[int, int]]:
+    """(first line, line after the last) from each surge to its dive, of those that are text."""
+    found, start, peak, total = [], 0, 0, 0
+    for at in range(len(sizes) + WINDOW):
+        before = total
+        total += sizes[at] if at < len(sizes) else 0
         total -= sizes[at - WINDOW] if at >= WINDOW else 0
-        if total and start is None:  # the surge
+        if total and not before:  # the surge
             start, peak = at, 0
         peak = max(peak, total)
-        if not total and start is not None:  # the dive: the stretch's last line has left the window
-            if peak >= least:
-                stretches.append((start, at - WINDOW + 1))
-            start = None
-    if not stretches:
+        if before and not total and peak >= SURGE:  # the dive: the stretch's last line has left the window
+            found.append((start, at - WINDOW + 1))
+    return found
+
+
+def main_text(html: str | None) -> str:
+    if not html:
         return ""
-    first, last = stretches[0][0], stretches[-1][1]
-    return " ".join(t for t, _, i in rows[first:last] if t and (i or not cored))
+    rows, owned = [], {}
+    for text, plain, inside in lines(html):
+        text = " ".join(unescape(text).split())
+        owned.setdefault(inside, []).append(len(rows))
+        rows.append((text, min(plain, len(text)), inside))
+    weights, kept = {}, set()
+    for inside, mine in owned.items():
+        sizes = [rows[at][1] for at in mine]
+        if found := stretches(sizes):
+            weights[inside] = (WEIGHT if inside else 1) * sum(sum(sizes[a:b]) for a, b in found)
+            kept.update(mine[found[0][0]:found[-1][1]])
+    story = max(weights, key=weights.get, default=None)
+    if story == ():
+        return " ".join(rows[at][0] for at in owned[()] if at in kept and rows[at][0])
+    # the marked elements with text and those around them, or all of them
+    wide = {inside[:k] for inside in weights for k in range(1, len(inside) + 1)} or owned.keys() - {()}
+    return " ".join(t for at, (t, n, inside) in enumerate(rows) if t and inside in wide and (at in kept or 2 * n >= len(t)))
 
 
 def text_of(html: Column) -> Column:

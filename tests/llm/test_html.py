@@ -27,6 +27,17 @@ PAGES = {
     "hidden": ("<article><p hidden>no</p><p style='display: none'>no</p><p aria-hidden=true>no</p>a < b</article>", "a < b"),
     "quotes with signs in attributes": ('<article><p title="a>b">One</p><p title="x>Two</p></article>', None),
     "head not closed": (f'<html><head class="site-nav"><meta charset=utf-8><title>t</title><style>p {{}}</style><body><p>{BODY}</p></body></html>', BODY),
+    "story in a div, teasers in articles": (
+        f"<body><div><h1>My title</h1><p>{BODY}</p><p>Short.</p><p>{BODY}</p></div>"
+        + "<article><h2><a href=x>More</a></h2><p>A teaser of some words</p></article>" * 4 + f"<article><p>{BODY}</p></article></body>",
+        f"My title {BODY} Short. {BODY}"),
+    "story and teasers in articles": (
+        f"<article><h1>T</h1><p>{BODY}</p><p>End.</p></article><article class=card><h2>A teaser</h2><p>of some words</p></article>",
+        f"T {BODY} End."),
+    "links inside an article": (
+        f"<article><ul><li><a href=x>Home</a><li><a href=y>News</a></ul><h1>T</h1><p>One</p><p>{BODY} <a href=z>more</a></p>"
+        + "<p><a href=x>Read this as well, it is long enough to be text if links counted</a></p>" * 4 + "</article>", f"T One {BODY} more"),
+    "main around an article": (f"<main><h1>T</h1><ul><li><a>x</a></ul><article><p>{BODY}</p></article><p>End.</p></main>", f"T {BODY} End."),
     "nothing": ("", ""), "menu only": ("<nav><ul><li><a>x</a></li></ul></nav>", ""), "white space": (" \n ", ""),
 }
 
