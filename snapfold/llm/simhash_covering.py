@@ -175,9 +175,8 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
     return dealt.mapInArrow(find, "a long, b long").distinct()
 
 
-def group(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
-          words: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Id, fingerprint (hex) and component_id of every row."""
+def _grouped(docs: DataFrame, text: str, id_column: str, words: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """(id, fp, component_id, root: a print that names the component) of every row."""
     folder = scratch_folder(docs.sparkSession, "simhash")
     rows = saved(docs.select(F.col(id_column).alias("id"), fingerprint(F.col(text), words).alias("fp")), f"{folder}/rows")
     prints = saved(rows.groupBy("fp").agg(F.min("id").alias("id")), f"{folder}/prints")
@@ -185,25 +184,37 @@ def group(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     named = prints.join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
     named = saved(named, f"{folder}/named")
     first = saved(named.groupBy("root").agg(F.min("id").alias("component_id")), f"{folder}/first")
-    of_print = saved(named.join(first, "root").select("fp", "component_id"), f"{folder}/components")
-    return rows.join(of_print, "fp").select(
+    of_print = saved(named.join(first, "root").select("fp", "component_id", "root"), f"{folder}/components")
+    return rows.join(of_print, "fp")
+
+
+def group(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
+          words: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+    """Id, fingerprint (hex) and component_id of every row."""
+    return _grouped(docs, text, id_column, words, radius, tile).select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """One row per component, that of the least id, with all columns.
 
-    Of rows that share the least id one stays; rows without an id cannot be named and all stay.
+    Rows are judged by id and fingerprint, so different texts under one id each speak for their component.  Of a
+    component's rows that share the least id one stays; rows without an id cannot be named and all stay.
     """
-    named = group(docs, text, id_column).where(F.col(id_column).isNotNull())
+    folder = scratch_folder(docs.sparkSession, "simhash-special")
+    named = _grouped(docs, text, id_column).where("id is not null").groupBy("id", "fp", "root").agg(
+        F.first(F.col("id") == F.col("component_id")).alias("__stays"), F.count("*").alias("rows"))
+    named = saved(named, f"{folder}/named")
     # only ids that go, or stand on several rows, need their rows looked at; the others are not shuffled
-    special = named.groupBy(F.col(id_column).alias("__id")).agg(
-        F.max(F.col(id_column) != F.col("component_id")).alias("__goes"), F.count("*").alias("__rows"))
-    special = special.where("__goes or __rows > 1").select("__id", "__goes", F.xxhash64("__id").alias("__hash"))
-    special = saved(special, scratch_folder(docs.sparkSession, "simhash-special"))
+    special = named.groupBy("id").agg(F.min("__stays").alias("stays"), F.sum("rows").alias("rows"))
+    special = saved(special.where("not stays or rows > 1").select(F.xxhash64("id").alias("__hash")), f"{folder}/special")
     rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column])), special, "__hash", "__special").drop("__hash")
-    looked_at = rows.where("__special").join(special.drop("__hash"), F.col(id_column) == F.col("__id"), "left")
-    stay = looked_at.where("__goes is null or not __goes").drop("__id", "__goes").dropDuplicates([id_column])
+    rows = rows.withColumn("__special", F.col("__special") & F.col(id_column).isNotNull())
+    verdicts = named.select(F.col("id").alias("__id"), F.col("fp").alias("__print"), F.col("root").alias("__root"), "__stays")
+    looked_at = rows.where("__special").withColumn("__fp", fingerprint(F.col(text))).join(
+        common.likely(verdicts.withColumn("__hash", F.xxhash64("__id")), special, "__hash").drop("__hash"),
+        (F.col(id_column) == F.col("__id")) & (F.col("__fp") == F.col("__print")))
+    stay = looked_at.where("__stays").dropDuplicates([id_column, "__root"]).drop("__fp", "__id", "__print", "__root", "__stays")
     return rows.where("not __special").unionByName(stay).drop("__special")
 
 

@@ -100,3 +100,11 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, k) for k in range(101, 160)] + [(5, 5)]
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{k: 100 for k in range(101, 160)}}
+
+
+def test_texts_that_share_an_id_each_speak_for_their_component(spark):
+    text = lambda n: " ".join(f"{n}word{k * n}" for k in range(60))
+    rows = [(1, text(3)), (2, text(3)), (2, text(5)), (3, text(5)), (4, text(7)), (4, text(11)), (4, text(11))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in op.keep_first(docs).collect())
+    assert kept == sorted([(1, text(3)), (2, text(5)), (4, text(7)), (4, text(11))])
