@@ -6,6 +6,7 @@ from . import (
     byte_cnn,
     html_blocks,
     line_dedup,
+    periodic_runs,
     quality_rules,
     secret_scan,
     sentencepiece_fst,
@@ -26,12 +27,14 @@ QUERIES = {
     "op8_toxicity_ordinal": toxicity_ordinal.op8_toxicity_ordinal,
     "op9_sentencepiece_fst": sentencepiece_fst.op9_sentencepiece_fst,
     "op10_spaced_seeds": spaced_seeds.op10_spaced_seeds,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
 }
 ORACLE = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op3_html_blocks": html_blocks.OP3_SQL,
     "op5_secret_scan": secret_scan.OP5_SQL,
     "op7_warc": warc.OP7_SQL,
+    "op11_periodic_runs": periodic_runs.OP11_SQL,
 }
 
 
