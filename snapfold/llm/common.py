@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -74,3 +75,32 @@ def flag(rows: DataFrame, wanted: DataFrame, hashed: str, name: str) -> DataFram
 def likely(rows: DataFrame, wanted: DataFrame, hashed: str) -> DataFrame:
     """``rows`` without those that are surely not in ``wanted``."""
     return flag(rows, wanted, hashed, "__likely").where("__likely").drop("__likely")
+
+
+class Bits:
+    """A bitmap over 64-bit hashes: what it does not hold was surely not put in.
+
+    At most ``MOST_BITMAPS`` bitmaps, so 8 MB; with more hashes than that has room for, more pass.
+    """
+
+    def __init__(self, marks: np.ndarray) -> None:
+        self.marks = marks  # a power of two of bytes
+
+    @classmethod
+    def of(cls, keys: DataFrame) -> Bits:
+        """The bitmap of the only column (long) of ``keys``, built by tasks."""
+        name, count, bitmaps = keys.columns[0], keys.count(), 1
+        while bitmaps * BITMAP < 64 * count and bitmaps < MOST_BITMAPS:
+            bitmaps *= 2
+        bucket = F.shiftrightunsigned(name, 15).bitwiseAND(F.lit(bitmaps - 1))
+        rows = keys.groupBy(bucket.alias("bucket")).agg(
+            F.bitmap_construct_agg(F.col(name).bitwiseAND(F.lit(BITMAP - 1))).alias("marks")).collect()
+        marks = np.zeros((bitmaps, BITMAP // 8), np.uint8)
+        for row in rows:
+            marks[row.bucket, :len(row.marks)] = np.frombuffer(row.marks, np.uint8)
+        return cls(marks.reshape(-1))
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key (uint64) may be in."""
+        place = keys & np.uint64(8 * len(self.marks) - 1)
+        return (self.marks[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (
     byte_cnn,
+    collocations,
     html_blocks,
     line_dedup,
     periodic_runs,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_sentencepiece_fst": sentencepiece_fst.op9_sentencepiece_fst,
     "op10_spaced_seeds": spaced_seeds.op10_spaced_seeds,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op13_collocations": collocations.op13_collocations,
 }
 ORACLE = {
     "op1_line_dedup": line_dedup.OP1_SQL,
@@ -35,6 +37,7 @@ ORACLE = {
     "op5_secret_scan": secret_scan.OP5_SQL,
     "op7_warc": warc.OP7_SQL,
     "op11_periodic_runs": periodic_runs.OP11_SQL,
+    "op13_collocations": collocations.OP13_SQL,
 }
 
 
