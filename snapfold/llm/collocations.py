@@ -33,8 +33,6 @@ from . import common
 
 UNKNOWN = "und"
 PIECES = re.compile(rb"[.,;:!?\n\x0b\x0c\r]+")
-REMEMBERED = 300_000  # word hashes that a task remembers
-PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
@@ -46,30 +44,7 @@ class Settings:
     top: int = 2000  # of each language
 
 
-class _Hashes(dict):
-    """XXH64 of words from a seed, remembered."""
-
-    def __init__(self, seed: int) -> None:
-        super().__init__()
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def _longer(keys: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
-    """Keys of the phrases of ``size`` words, from those one word shorter at the same place."""
-    last = words[size - 1:]
-    return ((keys[:len(last)] ^ (keys[:len(last)] >> np.uint64(29))) * PRIME) ^ last
-
-
-def cut(texts: list[str | None], hashes: _Hashes, settings: Settings) -> Counter:
+def cut(texts: list[str | None], hashes: common.WordHashes, settings: Settings) -> Counter:
     """How often each (chunk, whether its piece ends with it) is in the texts."""
     words: list[bytes] = []
     edges = [0]
@@ -83,8 +58,8 @@ def cut(texts: list[str | None], hashes: _Hashes, settings: Settings) -> Counter
     overlap, hashed, edge = settings.words - 1, hashes.of(words), np.array(edges)
     window = hashed
     for size in range(2, overlap + 1):
-        window = _longer(window, hashed, size)
-    at = np.flatnonzero(((window * PRIME) >> np.uint64(32)) % np.uint64(settings.modulus) == 0)
+        window = common.longer(window, hashed, size)
+    at = np.flatnonzero((common.mixed(window) >> np.uint64(32)) % np.uint64(settings.modulus) == 0)
     piece = np.searchsorted(edge, at, "right") - 1
     at = at[(at > edge[piece]) & (at + overlap < edge[piece + 1])]  # inside its piece, and not at an end of it
     begins = np.concatenate((edge[:-1], at))
@@ -99,7 +74,7 @@ def parse(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Set
     """The dictionary: (lang, chunk, closed: whether its piece ends with it, n: how often it is in the parse)."""
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(0)
+        hashes = common.WordHashes(0)
         for batch in batches:
             for part, texts in common.parts(batch, "text"):
                 langs = part.column("lang").to_pylist()
@@ -119,7 +94,7 @@ def parse(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Set
 class _Places:
     """The words of some chunks of one language, with the phrases that begin at each."""
 
-    def __init__(self, chunks: list[bytes], closed: np.ndarray, n: np.ndarray, hashes: _Hashes, overlap: int) -> None:
+    def __init__(self, chunks: list[bytes], closed: np.ndarray, n: np.ndarray, hashes: common.WordHashes, overlap: int) -> None:
         self.words = b" ".join(chunks).split(b" ")
         sizes = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
         ends = np.repeat(np.cumsum(sizes), sizes)
@@ -131,7 +106,7 @@ class _Places:
     def keys(self, size: int) -> np.ndarray:
         found = self.hashed
         for s in range(2, size + 1):
-            found = _longer(found, self.hashed, s)
+            found = common.longer(found, self.hashed, s)
         return found
 
     def at(self, size: int) -> np.ndarray:
@@ -151,7 +126,7 @@ def _counted(dictionary: DataFrame, settings: Settings, schema: str, count) -> D
     overlap = settings.words - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[str, _Hashes] = {}
+        hashes: dict[str, common.WordHashes] = {}
         for batch in batches:
             for part, chunks in common.parts(batch, "chunk"):
                 langs = np.array(part.column("lang").to_pylist(), object)
@@ -160,7 +135,7 @@ def _counted(dictionary: DataFrame, settings: Settings, schema: str, count) -> D
                     own = np.flatnonzero(langs == name)
                     if name not in hashes:
                         # as Spark hashes (lang, word)
-                        hashes[name] = _Hashes(xxhash.xxh64_intdigest(name.encode("utf-8", "replace"), 42))
+                        hashes[name] = common.WordHashes(xxhash.xxh64_intdigest(name.encode("utf-8", "replace"), 42))
                     places = _Places([chunks[i] for i in own], closed[own], n[own], hashes[name], overlap)
                     yield from count(name, places)
 

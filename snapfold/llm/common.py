@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Characters that one step inside a Python task holds at once, whatever a batch brings.
@@ -15,6 +16,9 @@ CHARS_AT_ONCE = 2_000_000
 BITMAP = 32768  # bits in one bitmap of Spark's own
 MOST_BITMAPS = 2048  # 8 MB: the bound of what flag() broadcasts
 
+REMEMBERED = 300_000  # word hashes that a task remembers
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,6 +29,34 @@ def raw_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
+class WordHashes(dict):
+    """XXH64 of words from a seed, remembered within a bound."""
+
+    def __init__(self, seed: int) -> None:
+        super().__init__()
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh64_intdigest(word, self.seed)
+        return found
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if len(self) > REMEMBERED:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mixed(keys: np.ndarray) -> np.ndarray:
+    """Well-spread bits of 64-bit keys, one to one."""
+    return (keys ^ (keys >> np.uint64(29))) * _PRIME
+
+
+def longer(keys: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
+    """Keys of the sequences of ``size`` words, from those one word shorter that begin at the same place."""
+    last = words[size - 1:]
+    return mixed(keys[:len(last)]) ^ last
+
+
 def slices(texts: Sequence[str | None], budget: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``budget`` characters each, one text at least."""
     start, held = 0, 0

@@ -13,6 +13,7 @@ from . import (
     sentencepiece_fst,
     simhash_covering,
     spaced_seeds,
+    suffix_tree,
     toxicity_ordinal,
     warc,
 )
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_sentencepiece_fst": sentencepiece_fst.op9_sentencepiece_fst,
     "op10_spaced_seeds": spaced_seeds.op10_spaced_seeds,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_suffix_tree": suffix_tree.op12_suffix_tree,
     "op13_collocations": collocations.op13_collocations,
 }
 ORACLE = {

@@ -62,7 +62,7 @@ def test_equal_to_plain_counts(spark):
 def test_chunks_hold_every_phrase_once():
     rng = random.Random(5)
     for words, modulus in product((2, 3, 5), (1, 2, 8)):
-        s, hashes = op.Settings(words=words, modulus=modulus), op._Hashes(0)
+        s, hashes = op.Settings(words=words, modulus=modulus), common.WordHashes(0)
         texts = [" ".join(rng.choice("abcde") for _ in range(rng.randrange(40))) + rng.choice([".", ""]) for _ in range(50)]
         chunks = op.cut(texts, hashes, s)
         names = list(chunks)
@@ -81,7 +81,7 @@ def test_chunks_hold_every_phrase_once():
 def test_copies_share_chunks():
     rng = random.Random(6)
     passage = " ".join(f"x{rng.randrange(1000)}" for _ in range(400))
-    once, often = op.cut([passage], op._Hashes(0), op.Settings()), op.cut([f"other {i} words {passage}" for i in range(50)], op._Hashes(0), op.Settings())
+    once, often = op.cut([passage], common.WordHashes(0), op.Settings()), op.cut([f"other {i} words {passage}" for i in range(50)], common.WordHashes(0), op.Settings())
     assert len(often) < len(once) + 110 and max(often.values()) == 50
 
 
