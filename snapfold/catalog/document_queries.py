@@ -37,7 +37,9 @@ EDGES = (
     ("as it is", True), ("long tail of white space", True), ("comment and instruction around", True),
     ("spaced end tag", True), ("second root", False), ("second root of the same name", False), ("text behind", False),
     ("text that ends like a comment", False), ("other root behind a comment", False), ("repeated field", True),
+    ("comment that names the root", True), ("CDATA that names the root", True), ("quoted > in the DOCTYPE", True),
 )
+ACCEPTED_EDGES = (0, 1, 2, 3, 10, 11, 12)
 
 
 def document_edges(spark, sf_dir):
@@ -57,6 +59,10 @@ def document_edges(spark, sf_dir):
         .when(F.col("edge") == 7, F.concat(xml, F.lit("<!-- a --> garbage -->")))
         .when(F.col("edge") == 8, F.concat(xml, F.lit("<!-- b --><y></y>")))
         .when((F.col("edge") == 9) & (area != ""), F.replace(xml, area, F.concat(area, area)))
+        .when(F.col("edge") == 10, F.replace(xml, end, F.concat(F.lit("<!-- <SeoulRtd.citydata> -->"), end)))
+        .when(F.col("edge") == 11, F.replace(xml, end, F.concat(F.lit("<X><![CDATA[</SeoulRtd.citydata>]]></X>"), end)))
+        .when(F.col("edge") == 12, F.regexp_replace(
+            xml, r"\A(<\?xml[^>]*>\n)?", "$1<!DOCTYPE SeoulRtd.citydata SYSTEM \"a>b\">\n"))
         .otherwise(xml)
     )
     gated = gates.document_gate(documents.classify(
@@ -129,7 +135,7 @@ def json_documents(spark, sf_dir):
     return feed.base(feed.table(spark, sf_dir, "events")).select(
         "raw_id",
         F.when(k == 3, "{broken").when(k != 51, body).alias("payload"),
-        F.lit("GANGNAM").alias("area_code"),
+        F.lit("FEED").alias("area_code"),
         F.lit("elsewhere").alias("area_name"),
         F.col("requested_at").alias("received_at"),
         (k != 11).alias("is_success"),
@@ -152,7 +158,7 @@ def json_extract(spark, sf_dir):
 def json_load(spark, sf_dir):
     """The JSON feed staged in two batches, the later half first: population rows beside their headers."""
     tables = MedallionTables(spark, scratch_folder(spark, "json"))
-    raw = json_documents(spark, sf_dir).drop("area_code").withColumn("area_code", F.lit("GANGNAM"))
+    raw = json_documents(spark, sf_dir).drop("area_code").withColumn("area_code", F.lit("FEED"))
     half = feed.table(spark, sf_dir, "events").count() // 2
     for batch, part in enumerate(("raw_id >= {}", "raw_id < {}")):
         load.run_json_batch(tables, raw.where(part.format(half)), batch, F.col("collected_at"))
@@ -349,7 +355,7 @@ def _parse_case(null_count: int, junk: str) -> str:
 ORACLE = {
     "document_edges": with_ctes(BASE, f"""
 SELECT raw_id, k NOT IN (3, 51, 55) AND raw_id % {len(EDGES)} NOT IN (4, 5, 6, 7, 8) AS well_formed,
-       k NOT IN ({REJECTED}) AND raw_id % {len(EDGES)} < 4 AS accepted,
+       k NOT IN ({REJECTED}) AND raw_id % {len(EDGES)} IN {ACCEPTED_EDGES} AS accepted,
        k NOT IN (3, 7, 17, 19, 51, 55) AND raw_id % {len(EDGES)} = 9 AS field_repeated FROM d"""),
     "raw_classify": with_ctes(_RAW, "SELECT * FROM raw"),
     "raw_history": with_ctes(_RAW, """

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import document_queries, mart_queries, stream_queries, warehouse_queries
+from . import document_queries, mart_queries, stream_queries, table_queries, warehouse_queries
 
-MODULES = (document_queries, warehouse_queries, mart_queries, stream_queries)
+MODULES = (document_queries, warehouse_queries, table_queries, mart_queries, stream_queries)
 
 
 def queries() -> dict:

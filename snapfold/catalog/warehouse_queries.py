@@ -289,7 +289,7 @@ def mart_after_rename(spark, sf_dir):
     days = [r[0] for r in stored.read(FACT_CITY.name).select("date_key").distinct().collect()]
     dims = feed.dims(spark, sf_dir)
     for name, rows in zip(("dim_date", "dim_hour"), dims[1:]):
-        integrity.conform(rows, TABLES[name]).write.parquet(stored.path(name))
+        stored.put_table(name, -1, integrity.conform(rows, TABLES[name]))
     for batch, title in enumerate(("old ", "new ")):
         named = dims[0].withColumn("area_name", F.concat(F.lit(title), "area_name"))
         stored.replace_table(DIM_LOCATION.name, batch, lambda: integrity.conform(named, DIM_LOCATION))

@@ -53,8 +53,12 @@ PARTS = (
 
 # What may stand before and after the root: white space, comments, instructions.  Each is taken as a
 # whole and never given back, so ``--> garbage -->`` is no comment.
-_BETWEEN = r"(?:\s++|<!--(?>(?s:.*?)--)>|<\?(?>(?s:.*?)\?>))*+"
-_DOCTYPE = r"(?:<!DOCTYPE[^>\[]*+(?:\[[^\]]*+\]\s*+)?>)?+"
+_COMMENT, _INSTRUCTION, _QUOTED = r"<!--(?>(?s:.*?)--)>", r"<\?(?>(?s:.*?)\?>)", r""""[^"]*+"|'[^']*+'"""
+_BETWEEN = rf"(?:\s++|{_COMMENT}|{_INSTRUCTION})*+"
+_SUBSET = rf"\[(?:{_COMMENT}|{_INSTRUCTION}|{_QUOTED}|[^\]\"'])*+\]\s*+"
+_DOCTYPE = rf"(?:<!DOCTYPE(?:{_QUOTED}|[^>\[\"'])*+(?:{_SUBSET})?>)?+"
+# What holds no tags, whatever it looks like.
+_NO_TAGS = rf"{_COMMENT}|{_INSTRUCTION}|<!\[CDATA\[(?>(?s:.*?)\]\]>)"
 _NAME = r"([A-Za-z_:][^\s/>]*+)"
 ROOT_START = rf"\A\x{{FEFF}}?{_BETWEEN}{_DOCTYPE}{_BETWEEN}<{_NAME}"
 ROOT_END = rf"</([^\s<>]++)\s*+>{_BETWEEN}\z"
@@ -91,7 +95,8 @@ def _closed(body: Column, root: Column) -> Column:
     ended = (F.regexp_extract(body, ROOT_END, 1) == root) | body.rlike(EMPTY_ROOT)
     opened = F.concat(F.lit("<"), root)
     several = F.length(body) - F.length(F.replace(body, opened, F.lit(""))) > F.length(opened)
-    tags = F.regexp_extract_all(body, F.concat(F.lit(r"<(/?)\Q"), root, F.lit(r"\E(?=[\s>])")), F.lit(1))
+    tag = F.concat(F.lit(r"<(/?)\Q"), root, F.lit(r"\E(?=[\s>])(?![^<>]*+(?<=/)>)"))
+    tags = F.regexp_extract_all(F.regexp_replace(body, _NO_TAGS, ""), tag, F.lit(1))
     depth = F.aggregate(
         tags, F.struct(F.lit(0).alias("now"), F.lit(0).alias("ends")),
         lambda state, tag: F.struct(

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import SOURCE_NAME
 from ..operators import audit, dimensions, documents, facts, gates, integrity
-from ..operators.upsert import folded
+from ..operators.upsert import RULES, fold, folded
 from ..schemas import (
-    DIM_LOCATION, FACT_CITY, FACT_WEATHER, HEADER, POPULATION, RAW, TABLES, WEATHER, Table,
+    DIM_DATE, DIM_HOUR, DIM_LOCATION, FACT_CITY, FACT_WEATHER, HEADER, POPULATION, RAW, TABLES, WEATHER, Table,
 )
 from ..session import saved, scratch_folder
 from ..sources.landing import number_calls
@@ -44,16 +45,21 @@ def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder:
     gated = gates.document_gate(parts, source_name)
     valid = gates.accepted(gated)
     weather_gated = gates.weather_gate(valid)
-    headers, no_header = _kept(documents.headers(valid, stamp), HEADER)
-    populations, no_population = _kept(documents.populations(valid, stamp, with_call=True), POPULATION)
-    weathers, no_weather = _kept(documents.weathers(gates.accepted(weather_gated), stamp, with_call=True), WEATHER)
+    headers, no_header = _kept(documents.headers(valid, stamp), HEADER, parents={RAW.name: parts.select("raw_id")})
+    staged = {HEADER.name: headers.select("ingestion_id")}
+    populations, no_population = _kept(documents.populations(valid, stamp, with_call=True), POPULATION, parents=staged)
+    weathers, no_weather = _kept(
+        documents.weathers(gates.accepted(weather_gated), stamp, with_call=True), WEATHER, parents=staged)
     refused = no_header.unionByName(no_population).unionByName(no_weather)
     return Parsed(gated, weather_gated, headers, populations, weathers, refused)
 
 
-def _kept(rows: DataFrame, table: Table, ingestion: str = "ingestion_id") -> tuple[DataFrame, DataFrame]:
+def _kept(
+    rows: DataFrame, table: Table, ingestion: str = "ingestion_id",
+    parents: Mapping[str, DataFrame] | None = None, stored: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Rows that keep a table's rules, and what the others break."""
-    kept, broken = integrity.split(rows, table)
+    kept, broken = integrity.enforce(rows, table, parents, stored)
     return kept, broken.select(F.col(ingestion).alias("ingestion_id"), F.lit(table.name).alias("table_name"), "violations")
 
 
@@ -90,14 +96,6 @@ def rebuild(
     }
 
 
-def _next_raw_id(tables: MedallionTables, batch_id: int) -> int:
-    """The highest raw id of earlier batches; a replay must not see its own rows."""
-    if not tables.exists(tables.path(RAW.name)):
-        return 0
-    earlier = tables.spark.read.parquet(tables.path(RAW.name)).where(F.col("batch_id") < batch_id)
-    return earlier.agg(F.coalesce(F.max("raw_id"), F.lit(0))).first()[0]
-
-
 def run_batch(
     tables: MedallionTables,
     landing: DataFrame,
@@ -109,35 +107,46 @@ def run_batch(
 
     Safe to repeat with the same ``batch_id``.  Dimensions load before both facts.
     Writes and returns the quarantine, the refused rows and the two audits of this batch.
+    A run is refused while another owner's holds the tables' lease.
     """
-    tables.finish_staged()
+    with tables.lease():
+        return _run_batch(tables, landing, batch_id, stamp, source_name)
+
+
+def _run_batch(
+    tables: MedallionTables, landing: DataFrame, batch_id: int, stamp: Column, source_name: str
+) -> dict[str, DataFrame]:
     if "raw_id" not in landing.columns:
-        landing = number_calls(landing, after=_next_raw_id(tables, batch_id))
+        landing = number_calls(landing, after=tables.highest(RAW.name, batch_id))
     calls = integrity.with_defaults(landing, RAW)
     parsed_folder = f"{tables.root}/_parsed/{batch_id}"
     classified = saved(documents.classify(calls, keep_parts=True), f"{parsed_folder}/calls")
     stored, broken_calls = _kept(classified, RAW, "raw_id")
-    tables.append(RAW.name, stored.select(*RAW.columns), batch_id)
+    tables.append(RAW.name, stored.select(*RAW.columns), batch_id, mark="raw_id")
 
     parsed = parse(stored, stamp, source_name)
     tables.merge(HEADER.name, parsed.headers, batch_id)
-    tables.merge(POPULATION.name, parsed.populations, batch_id)
+    populations, twice = _kept(parsed.populations, POPULATION, stored=tables.read(POPULATION.name))
+    tables.merge(POPULATION.name, populations, batch_id)
     weather_staged = tables.merge(WEATHER.name, parsed.weathers, batch_id)
 
-    arrivals = saved(dimensions.location_arrivals(parsed.populations, stamp), f"{parsed_folder}/areas")
+    arrivals, broken_areas = integrity.split(
+        saved(dimensions.location_arrivals(parsed.populations, stamp), f"{parsed_folder}/areas"), DIM_LOCATION)
     tables.replace_table(
         DIM_LOCATION.name, batch_id, lambda: dimensions.upsert_locations(tables.read(DIM_LOCATION.name), arrivals)
     )
-    dim_location = tables.read(DIM_LOCATION.name)
+    dims = dict(zip((DIM_LOCATION.name, DIM_DATE.name, DIM_HOUR.name), _dims(tables)))
     city, broken_city = _kept(
-        facts.city_fact_rows(parsed.populations, dim_location, stamp), FACT_CITY, "source_ingestion_id")
+        facts.city_fact_rows(parsed.populations, dims[DIM_LOCATION.name], stamp), FACT_CITY, "source_ingestion_id", dims)
     weather, broken_weather = _kept(
-        facts.weather_fact_rows(parsed.weathers, dim_location, stamp), FACT_WEATHER, "source_ingestion_id")
+        facts.weather_fact_rows(parsed.weathers, dims[DIM_LOCATION.name], stamp), FACT_WEATHER, "source_ingestion_id", dims)
     city_days = tables.merge(FACT_CITY.name, city, batch_id)
     weather_days = tables.merge(FACT_WEATHER.name, weather, batch_id)
     refresh_marts(tables, sorted({*city_days, *weather_days}), batch_id)
+    broken_areas = broken_areas.select(
+        F.lit(None).cast("bigint").alias("ingestion_id"), F.lit(DIM_LOCATION.name).alias("table_name"), "violations")
     refused = parsed.broken_rows
-    for broken in (broken_calls, broken_city, broken_weather):
+    for broken in (broken_calls, twice, broken_areas, broken_city, broken_weather):
         refused = refused.unionByName(broken)
     reports = {
         "quarantine": gates.rejected(parsed.gated).select("raw_id", "reason", "reasons"),
@@ -151,13 +160,38 @@ def run_batch(
     return written
 
 
+def load_rows(
+    tables: MedallionTables, name: str, rows: DataFrame, batch_id: int, parents: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Load arrivals of any table: defaults, all its rules, then its upsert.  Safe to repeat with the same ``batch_id``.
+
+    Gives the refused rows' keys with the names of the rules they break, which are kept as a report.
+    """
+    table, rule = TABLES[name], RULES[name]
+    rows = integrity.conform(integrity.with_defaults(rows, table), table)
+    kept, broken = integrity.enforce(rows, table, parents, tables.read(name))
+    refused = tables.write_report(f"refused_{name}", broken.select(*table.key, "violations"), batch_id)
+    if table.partition:
+        tables.merge(name, kept, batch_id)
+    else:
+        tables.replace_table(name, batch_id, lambda: fold(
+            tables.read(name), kept, rule["keys"], rule.get("order") or table.columns, rule.get("guard"),
+            rule.get("keep", ()), rule.get("changed", ()), rule.get("arrival")))
+    return refused
+
+
 def run_json_batch(tables: MedallionTables, raw: DataFrame, batch_id: int, stamp: Column) -> dict[str, DataFrame]:
     """Stage one run of the array-shaped JSON feed: headers first, then their population snapshots.
 
     ``raw`` holds raw_id, area_code, area_name, received_at, is_success and payload.  Safe to repeat
     with the same ``batch_id``.  Writes and returns the quarantine and the refused rows.
+    A run is refused while another owner's holds the tables' lease.
     """
-    tables.finish_staged()
+    with tables.lease():
+        return _run_json_batch(tables, raw, batch_id, stamp)
+
+
+def _run_json_batch(tables: MedallionTables, raw: DataFrame, batch_id: int, stamp: Column) -> dict[str, DataFrame]:
     folder = f"{tables.root}/_parsed/json-{batch_id}"
     gated = saved(gates.json_gate(documents.read_json_documents(raw)).drop("payload", "doc"), folder)
     valid = gates.accepted(gated)
@@ -176,7 +210,7 @@ def run_json_batch(tables: MedallionTables, raw: DataFrame, batch_id: int, stamp
 
 def _dims(tables: MedallionTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     return (
-        tables.read("dim_location"), tables.read("dim_date"), tables.read("dim_hour"),
+        tables.read(DIM_LOCATION.name), tables.read(DIM_DATE.name), tables.read(DIM_HOUR.name),
     )
 
 
@@ -200,23 +234,22 @@ def refresh_marts(tables: MedallionTables, days: list, batch_id: int) -> None:
         return
     city = tables.within(tables.read(FACT_CITY.name), "date_key", days)
     weather = tables.within(tables.read(FACT_WEATHER.name), "date_key", days)
-    builders = {
-        marts.MARTS[0]: lambda: marts.population_groups(city),
-        marts.MARTS[1]: lambda: marts.weather_groups(weather),
-        marts.MARTS[2]: lambda: marts.population_weather_groups(city, weather),
+    groups = {
+        marts.MARTS[0]: marts.population_groups(city),
+        marts.MARTS[1]: marts.weather_groups(weather),
+        marts.MARTS[2]: marts.population_weather_groups(city, weather),
     }
-    for name, rows in builders.items():
-        tables.replace_partitions(name, batch_id, "date_key", rows)
+    for name, rows in groups.items():
+        tables.replace_partitions(name, batch_id, "date_key", days, rows)
 
 
 def read_mart(tables: MedallionTables, name: str) -> DataFrame:
     """A stored mart with today's labels: groups are stored on keys, so a renamed area is renamed in all hours."""
-    groups = tables.spark.read.parquet(tables.path(name))
-    return marts.labelled(groups, _dims(tables))
+    return marts.labelled(tables.read_derived(name), _dims(tables))
 
 
 def seed_calendar(tables: MedallionTables, first: str, last: str) -> None:
     """Write the two static dimensions, once, before the first batch."""
     spark = tables.spark
-    dimensions.dim_date_between(spark, first, last).write.mode("overwrite").parquet(tables.path("dim_date"))
-    dimensions.dim_hour(spark).write.mode("overwrite").parquet(tables.path("dim_hour"))
+    tables.put_table(DIM_DATE.name, -1, dimensions.dim_date_between(spark, first, last))
+    tables.put_table(DIM_HOUR.name, -1, dimensions.dim_hour(spark))

@@ -31,6 +31,7 @@ class Table:
     references: tuple[Reference, ...] = ()
     defaults: dict[str, str] = field(default_factory=dict)
     partition: str | None = None
+    moving: bool = False  # the key does not tell the partition, so it may arrive for another one
 
     @property
     def schema(self) -> T.StructType:
@@ -101,6 +102,7 @@ HEADER = Table(
     required=("area_code", "area_name", "collected_at", "is_success"),
     references=(Reference(("ingestion_id",), "raw_api_response", ("raw_id",)),),
     partition="ingest_date",
+    moving=True,
 )
 
 POPULATION = Table(
@@ -125,6 +127,7 @@ WEATHER = Table(
     checks=_WEATHER_CHECKS,
     references=(Reference(("ingestion_id",), "realtime_city_header", ("ingestion_id",)),),
     partition="ingest_date",
+    moving=True,
 )
 
 # Named by the table contract only; the feed has no loader for the next two.

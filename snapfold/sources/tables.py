@@ -1,48 +1,58 @@
-"""The medallion tables as partitioned Parquet folders.
+"""The medallion tables: Parquet folders under versioned manifests.
 
-A merge rewrites only the partitions its batch touches, in two writes: the merged
-rows go to a staged folder first, then over the partitions.  A job that dies in
-between is finished from the staged folder before the next batch, so a failure never
-leaves rows lost.  Merges are idempotent, which makes replays harmless.
+A merge writes the partitions that its batch touches to a new folder and commits them by one manifest, with
+the key index if the table has one.  Until then nothing has changed for readers; a job that dies before leaves
+files that no manifest names, and its batch is repeated.  Merges are idempotent, which makes replays harmless.
+The newest versions are kept, so a table can be read as of a batch.
 
-A table without partitions is a row of whole snapshots, ``v=<batch>``; the newest one
-that was written to its end is the table, so it is never half replaced.  Once a table
-has been written, its absence is an error, not an empty table.
+Where a key does not tell its partition, a key index stands beside the table: key and partition, in slices of
+the key.  A merge reads the slices of its batch and takes in the partitions that hold its keys now, so a key
+that arrives for another partition moves there and stays one row.
+
+Once a table has been written, its absence is an error, not an empty table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.upsert import RULES, fold
 from ..schemas import TABLES, Table
+from .manifest import Folders, History, Lease, Manifest
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+WHOLE = ""  # the only part of a table without partitions
+KEEP_VERSIONS = 20
+KEYS_IN_A_SLICE = 20  # bits of a whole-number key; other keys are dealt by hash
+HASH_SLICES = 256
+LEASE_SECONDS = 6 * 3600
 
 
 class MedallionTables:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, keep_versions: int = KEEP_VERSIONS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_versions = keep_versions
+        self.folders = Folders(spark)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _staged(self, name: str, batch_id: int) -> str:
-        return f"{self.root}/_staged/{name}/{batch_id}"
-
-    def _file_system(self, path: str):
-        jvm = self.spark._jvm
-        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+    def history(self, name: str) -> History:
+        return History(self.folders, f"{self.path(name)}/_versions")
 
     def exists(self, path: str) -> bool:
-        fs, hadoop_path = self._file_system(path)
-        return fs.exists(hadoop_path)
+        return self.folders.exists(path)
 
     def delete(self, path: str) -> None:
-        fs, hadoop_path = self._file_system(path)
-        fs.delete(hadoop_path, True)
+        self.folders.delete(path)
+
+    def lease(self, owner: str | None = None, seconds: float = LEASE_SECONDS) -> Lease:
+        """The right to write to these tables; another owner's run is refused until it is given back or runs out."""
+        return Lease(self.folders, f"{self.root}/_lease.json", owner or self.spark.sparkContext.applicationId, seconds)
 
     def write_report(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
         """Keep a batch's report; the same batch again replaces it."""
@@ -50,92 +60,104 @@ class MedallionTables:
         rows.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
-    def _children(self, folder: str) -> list[str]:
-        """Names of the folders in a folder; none if it does not exist."""
-        fs, hadoop_path = self._file_system(folder)
-        if not fs.exists(hadoop_path):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
-
-    def _mark(self, name: str) -> None:
-        fs, hadoop_path = self._file_system(f"{self.root}/_written/{name}")
-        fs.mkdirs(hadoop_path)
-
-    def snapshots(self, name: str) -> list[int]:
-        """Batches that left a whole snapshot of a table without partitions, oldest first."""
-        found = [int(c[2:]) for c in self._children(self.path(name)) if c.startswith("v=")]
-        return sorted(n for n in found if self.exists(f"{self.path(name)}/v={n}/_SUCCESS"))
-
-    def _folder(self, name: str) -> str | None:
-        """Where a table's rows are now; None if it was never written."""
-        if name in TABLES and not TABLES[name].partition and self._children(self.path(name)):
-            versions = self.snapshots(name)
-            if versions:
-                return f"{self.path(name)}/v={versions[-1]}"
-        elif self.exists(self.path(name)):
-            return self.path(name)
-        if self.exists(f"{self.root}/_written/{name}"):
-            raise FileNotFoundError(f"table {name} was written to {self.path(name)}, and is gone")
-        return None
+    # reading
 
-    def read(self, name: str) -> DataFrame:
-        schema, folder = TABLES[name].schema, self._folder(name)
-        if folder is None:
+    def manifest(self, name: str, as_of: int | None = None) -> Manifest | None:
+        """What the table is now, or was after a batch; None if it was never written."""
+        history = self.history(name)
+        found = history.newest() if as_of is None else history.as_of(as_of)
+        if found is None and as_of is None and self.exists(f"{self.root}/_written/{name}"):
+            raise FileNotFoundError(f"table {name} was written to {self.path(name)}, and is gone")
+        return found
+
+    def _load(self, base: str, folders: Iterable[str], schema: T.StructType | None) -> DataFrame:
+        reader = self.spark.read.option("basePath", base)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.parquet(*[f"{base}/{f}" for f in sorted(set(folders))])
+
+    def read(self, name: str, as_of: int | None = None) -> DataFrame:
+        """The table's rows now, or as they were after batch ``as_of``, if that version is still kept."""
+        schema, found = TABLES[name].schema, self.manifest(name, as_of)
+        if found is None or not found.parts:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
+        rows = self._load(f"{self.path(name)}/data", found.parts.values(), schema)
+        return rows.select(*schema.fieldNames())
+
+    def read_derived(self, name: str) -> DataFrame:
+        """A table outside the registry, with the columns that it was written with."""
+        found = self.manifest(name)
+        if found is None:
+            raise FileNotFoundError(f"table {name} was never written")
+        if not found.parts:  # every partition lost its last row: its files still tell the columns
+            found = next(m for m in map(self.history(name).get, reversed(self.history(name).versions())) if m.parts)
+            return self._load(f"{self.path(name)}/data", found.parts.values(), None).drop("commit").where("false")
+        return self._load(f"{self.path(name)}/data", found.parts.values(), None).drop("commit")
+
+    # writing
+
+    def _commit(
+        self, name: str, batch_id: int, parts: dict[str, str | None],
+        keys: dict[str, str] | None = None, marks: dict[str, int] | None = None,
+    ) -> None:
+        history = self.history(name)
+        before = history.newest() or Manifest(0, batch_id)
+        history.commit(before.changed(batch_id, parts, keys or {}, marks or {}))
+        self.folders.make(f"{self.root}/_written/{name}")
+        for folder in history.drop_before(self.keep_versions):
+            for kind in ("data", "keys"):
+                self.delete(f"{self.path(name)}/{kind}/{folder}")
+
+    def _write(self, name: str, kind: str, rows: DataFrame, partition: str | None) -> dict[str, str]:
+        """Rows in a new folder: the name of each partition written, and where it lies."""
+        commit = f"commit=c{uuid.uuid4().hex}"
+        folder = f"{self.path(name)}/{kind}/{commit}"
+        if partition is None:
+            rows.write.parquet(folder)
+            return {WHOLE: commit}
+        # Rebalancing splits a hot partition over several writers.
+        rows.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(folder)
+        return {part: f"{commit}/{part}" for part in self.folders.names(folder, True)}
 
-    def append(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Add a batch's rows, none merged; the same batch again replaces itself."""
-        table = TABLES[name]
-        folder = f"{self.path(name)}/batch_id={batch_id}"
-        rows.hint("rebalance", F.col(table.partition)).write.mode("overwrite").partitionBy(
-            table.partition
-        ).parquet(folder)
-        return self.spark.read.schema(table.schema).parquet(folder).select(*table.columns)
+    @staticmethod
+    def _part(partition: str, value) -> str:
+        return f"{partition}={NULL_PARTITION if value is None else value}"
 
-    def replace_table(self, name: str, batch_id: int, rows: Callable[[], DataFrame]) -> None:
-        """Write the next snapshot of a table without partitions; the one before it stays.
+    def append(self, name: str, rows: DataFrame, batch_id: int, mark: str | None = None) -> DataFrame:
+        """Add a batch's rows, none merged; the same batch again replaces itself.
 
-        A batch that left a snapshot already is not computed again.
+        ``mark`` names a column whose highest value is kept in the manifest, see :meth:`highest`.
         """
-        if batch_id in self.snapshots(name):
-            return
-        rows().write.mode("overwrite").parquet(f"{self.path(name)}/v={batch_id}")
-        self._mark(name)
-        for old in self.snapshots(name)[:-2]:
-            self.delete(f"{self.path(name)}/v={old}")
-
-    def replace_partitions(self, name: str, batch_id: int, partition: str, rows: Callable[[], DataFrame]) -> None:
-        """Overwrite the partitions that ``rows`` holds, by way of the staged folder."""
-        staged = self._staged(name, batch_id)
-        if not self.exists(f"{staged}/_SUCCESS"):
-            # Rebalancing splits a hot partition over several writers.
-            fresh = rows().hint("rebalance", F.col(partition))
-            fresh.write.mode("overwrite").partitionBy(partition).parquet(staged)
-        self._move_in(name, staged, partition)
-
-    def _move_in(self, name: str, staged: str, partition: str) -> None:
-        if not self._children(staged):  # no partition, so no row
-            self.delete(staged)
+        table = TABLES[name]
+        commit = f"commit=c{uuid.uuid4().hex}"
+        folder = f"{self.path(name)}/data/{commit}"
+        rows.hint("rebalance", F.col(table.partition)).write.partitionBy(table.partition).parquet(folder)
+        written = self.spark.read.schema(table.schema).parquet(folder).select(*table.columns)
+        marks = {f"batch_id={batch_id}": written.agg(F.max(mark)).first()[0] or 0} if mark else {}
+        self._commit(name, batch_id, {f"batch_id={batch_id}": commit}, marks=marks)
+        return written
+
+    def highest(self, name: str, before_batch: int) -> int:
+        """The highest mark that batches before this one left; a replay does not see its own."""
+        found = self.manifest(name)
+        marks = found.marks if found else {}
+        return max((high for part, high in marks.items() if int(part.split("=")[1]) < before_batch), default=0)
+
+    def replace_table(self, name: str, batch_id: int, rows: Callable[[], DataFrame]) -> None:
+        """Write the next version of a table without partitions; a batch that did is not computed again."""
+        found = self.history(name).newest()
+        if found and found.batch == batch_id:
             return
-        reader = self.spark.read
-        if name in TABLES:  # a folder whose partitions are all NULL does not tell the column's type
-            reader = reader.schema(TABLES[name].schema)
-        writer = reader.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(partition).parquet(self.path(name))
-        self._mark(name)
-        self.delete(staged)
-
-    def finish_staged(self) -> None:
-        """Move in what earlier batches staged to the end and did not move in, oldest batch first.
-
-        What they did not finish staging is computed again when they are repeated.
-        """
-        found = [(int(batch), name) for name in self._children(f"{self.root}/_staged")
-                 for batch in self._children(f"{self.root}/_staged/{name}")]
-        for batch, name in sorted(found):
-            if self.exists(f"{self._staged(name, batch)}/_SUCCESS"):
-                self._move_in(name, self._staged(name, batch), TABLES[name].partition if name in TABLES else "date_key")
+        self.put_table(name, batch_id, rows())
+
+    def put_table(self, name: str, batch_id: int, rows: DataFrame) -> None:
+        """The next version of a table without partitions, whatever was there."""
+        self._commit(name, batch_id, self._write(name, "data", rows, None))
+
+    def replace_partitions(self, name: str, batch_id: int, partition: str, days: list, rows: DataFrame) -> None:
+        """Put ``rows`` in place of some partitions; those that get none are gone."""
+        gone = {self._part(partition, day): None for day in days}
+        self._commit(name, batch_id, {**gone, **self._write(name, "data", rows, partition)})
 
     def touched(self, rows: DataFrame, partition: str) -> list:
         """The partitions a batch falls into, NULL among them: calendar days, so a bounded list."""
@@ -144,21 +166,58 @@ class MedallionTables:
     @staticmethod
     def within(rows: DataFrame, partition: str, days: list) -> DataFrame:
         """The rows of some partitions; the scan is pruned, and NULL is a partition like the others."""
-        wanted = F.col(partition).isin([d for d in days if d is not None])
-        return rows.where(wanted | F.col(partition).isNull() if None in days else wanted)
+        return rows.where(_among(partition, days))
 
     def merge(self, name: str, arrivals: DataFrame, batch_id: int) -> list:
         """Fold a batch of arrivals into a partitioned table; gives the partitions touched."""
-        table: Table = TABLES[name]
-        rule = RULES[name]
+        table, rule = TABLES[name], RULES[name]
+        arrivals = arrivals.select(*table.columns)
         days = self.touched(arrivals, table.partition)
+        if not days:
+            return []
+        slices, index = [], None
+        if table.moving:
+            slices = self.touched(arrivals.select(key_slice(table)), "slice")
+            index = self._index(table, slices)
+            here = index.join(arrivals.select(*table.key).distinct(), list(table.key), "left_semi")
+            days = list({*days, *self.touched(here, table.partition)})
+        merged = fold(
+            self.within(self.read(name), table.partition, days), arrivals, rule["keys"],
+            rule["order"], rule.get("guard"), rule.get("keep", ()), rule.get("changed", ()), rule.get("arrival"),
+        )
+        written = self._write(name, "data", merged, table.partition)
+        keys = self._index_after(table, index, written, days, slices) if table.moving else {}
+        self._commit(name, batch_id, {**{self._part(table.partition, d): None for d in days}, **written}, keys)
+        return days
 
-        def merged() -> DataFrame:
-            return fold(
-                self.within(self.read(name), table.partition, days), arrivals.select(*table.columns), rule["keys"],
-                rule["order"], rule.get("guard"), rule.get("keep", ()), rule.get("changed", ()), rule.get("arrival"),
-            )
+    def _index(self, table: Table, slices: list) -> DataFrame:
+        """(key, partition) of the stored rows in some slices of the key."""
+        columns = [*table.key, table.partition]
+        schema = T.StructType([table.schema[c] for c in columns]).add("slice", "long")
+        found = self.manifest(table.name)
+        wanted = [found.keys[p] for p in (self._part("slice", s) for s in slices) if p in found.keys] if found else []
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        return self._load(f"{self.path(table.name)}/keys", wanted, schema).select(*schema.fieldNames())
 
-        if days:
-            self.replace_partitions(name, batch_id, table.partition, merged)
-        return days
+    def _index_after(self, table: Table, index: DataFrame, written: dict[str, str], days: list, slices: list) -> dict[str, str]:
+        """The slices' keys once the partitions ``days`` are what was written."""
+        rows = self._load(f"{self.path(table.name)}/data", written.values(), table.schema)
+        fresh = rows.select(*table.key, table.partition, key_slice(table)).where(_among("slice", slices))
+        elsewhere = index.where(~_among(table.partition, days))
+        return self._write(table.name, "keys", elsewhere.unionByName(fresh), "slice")
+
+
+def _among(partition: str, values: list) -> Column:
+    wanted = F.coalesce(F.col(partition).isin([v for v in values if v is not None]), F.lit(False))
+    if None in values:
+        return wanted | F.col(partition).isNull()
+    return wanted & F.col(partition).isNotNull()
+
+
+def key_slice(table: Table) -> Column:
+    """The slice of the key index that a row's key lies in: whole-number keys in order, others by hash."""
+    kinds = [table.schema[k].dataType for k in table.key]
+    if kinds == [T.LongType()]:
+        return F.shiftright(table.key[0], KEYS_IN_A_SLICE).alias("slice")
+    return F.pmod(F.xxhash64(*table.key), F.lit(HASH_SLICES)).cast("long").alias("slice")

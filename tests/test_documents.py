@@ -130,18 +130,18 @@ def test_repeated_outer_blocks_are_no_object(spark):
 
 def test_json_feed(spark):
     record = {
-        "PPLTN_TIME": "2026-09-14 11:00:00", "AREA_CONGEST_LVL": "보통",
-        "AREA_PPLTN_MIN": "30000", "AREA_PPLTN_MAX": "42000",
+        "PPLTN_TIME": "2024-05-06 07:08:00", "AREA_CONGEST_LVL": "calm",
+        "AREA_PPLTN_MIN": "17", "AREA_PPLTN_MAX": "23",
     }
-    city = {"AREA_NM": "Yongsan", "AREA_CD": "YONGSAN", "LIVE_PPLTN_STTS": [record, {}]}
+    city = {"AREA_NM": "Harbour", "AREA_CD": "H1", "LIVE_PPLTN_STTS": [record, {}]}
     bodies = [{"CITYDATA": city}, {"CITYDATA": {**city, "LIVE_PPLTN_STTS": []}}, {"CITYDATA": None}]
-    rows = [(i, json.dumps(b), "GANGNAM", "Gangnam", True) for i, b in enumerate(bodies)] + [(3, "{x", "G", "G", True)]
+    rows = [(i, json.dumps(b), "asked", "Asked", True) for i, b in enumerate(bodies)] + [(3, "{x", "G", "G", True)]
     df = spark.createDataFrame(rows, "raw_id long, payload string, area_code string, area_name string, is_success boolean")
     checked = gates.json_gate(documents.read_json_documents(df.withColumn("received_at", F.current_timestamp())))
     reasons = {r.raw_id: r.reason for r in gates.rejected(checked).collect()}
     assert reasons == {1: "population_container", 2: "citydata_missing", 3: "json_parse_failed"}
     row = documents.json_populations(gates.accepted(checked)).first()
-    assert (row.area_code, row.population_max, str(row.observed_at)) == ("YONGSAN", 42000, "2026-09-14 02:00:00")
+    assert (row.area_code, row.population_max, str(row.observed_at)) == ("H1", 23, "2024-05-05 22:08:00")
 
 
 def test_acceptance_equals_the_strict_parser(spark):
@@ -153,7 +153,10 @@ def test_acceptance_equals_the_strict_parser(spark):
         good + "<!-- a -- b -->", good + "<!-- a --><!-- b -->\n<?p q?>", "<!-- <foo> -->" + good, "<?style <b>?>" + good, "\n " + good,
         good.replace(f"</{root}>", f"</{root} >"), "x" + good, f"<!DOCTYPE {root}>" + good, "<a/>", "<a b='c'/> ", "<a/><b/>", "<a><a></a></a>",
         "<a><a/></a>", "<a></a><a></a>", "", " ", "<a>", "</a>", "<a></b>", "<?xml version='1.0'?>" + good, good + "<!-- open", "<ab></ab><a></a>",
-        "<a><ab></ab></a>", "<!-- " + "c" * 100_000 + " -->" + good + "<!-- " + "-c" * 100_000 + " -->",
+        "<a><ab></ab></a>", good.replace(f"</{root}>", f"<!-- <{root}> --></{root}>"), good.replace(f"</{root}>", f"<!-- </{root}> --></{root}>"),
+        good.replace(f"</{root}>", f"<X><![CDATA[<{root}>]]></X></{root}>"), good + f"<!-- <{root}></{root}> -->", "<a><a /></a>", "<a><a b='c'/></a>",
+        f"<!DOCTYPE {root} SYSTEM 'x>y'>" + good, f'<!DOCTYPE {root} [<!-- don\'t ] --><!ELEMENT a ANY>]>' + good, f"<!DOCTYPE {root} SYSTEM 'x>" + good,
+        good.replace(f"</{root}>", f"<?p </{root}> ?></{root}>"), "<a><![CDATA[</a>]]>", "<!-- " + "c" * 100_000 + " -->" + good + "<!-- " + "-c" * 100_000 + " -->",
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "raw_id long, payload_xml string")
     found = documents.read_documents(df).select("raw_id", "well_formed", xml_json.xml_to_json("payload_xml").isNotNull().alias("strict"))

@@ -13,6 +13,7 @@ from snapfold.plans import load, marts
 from snapfold.schemas import POPULATION, SUBWAY, TABLES
 from snapfold.session import scratch_folder
 from snapfold.sources import landing as source
+from snapfold.sources.manifest import Conflict
 from snapfold.sources.tables import MedallionTables
 from snapfold.streaming import jobs
 
@@ -200,22 +201,83 @@ def test_a_repeated_batch_changes_nothing(spark):
     assert tables.read("fact_city_snapshot").groupBy("location_id", "observed_at").count().where("count > 1").count() == 0
 
 
-def test_a_merge_is_finished_from_its_staged_rows(spark):
-    """A job that died after staging: the partition is gone, the staged rows are not."""
+def test_readers_see_a_commit_whole_or_not_at_all(spark, monkeypatch):
+    """A reader between the write of the rows and the commit sees the old rows, and a job that dies there loses none."""
     tables = warehouse(spark)
     run(spark, tables, 0, [call(1, document())])
     name = "fact_city_snapshot"
-    good = rows_of(tables.read(name), "*")
-    staged = tables._staged(name, 9)
-    tables.read(name).write.partitionBy("date_key").parquet(staged)
-    tables.read(name).where("false").write.mode("overwrite").parquet(tables.path(name))
-    assert tables.read(name).count() == 0
+    good, held = rows_of(tables.read(name), "*"), tables.read(name)
+    change = tables.read(name).withColumn("population_min", F.lit(7))
 
-    def must_not_run():
-        raise AssertionError("staged rows were computed again")
+    def dies(*args, **more):
+        assert rows_of(tables.read(name), "*") == good
+        raise OSError("lost")
 
-    tables.replace_partitions(name, 9, "date_key", must_not_run)
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_commit", dies)
+        with pytest.raises(OSError):
+            tables.merge(name, change, 1)
     assert rows_of(tables.read(name), "*") == good
+    tables.merge(name, change, 1)
+    assert rows_of(tables.read(name), "population_min") == [(7,)]
+    assert rows_of(held, "*") == good  # a reader that resolved the version before keeps its files
+    assert rows_of(tables.read(name, as_of=0), "*") == good
+
+
+def test_old_versions_are_dropped_with_their_files(spark):
+    tables = MedallionTables(spark, scratch_folder(spark, "versions"), keep_versions=3)
+    schema, name = TABLES["realtime_city_header"].schema, "realtime_city_header"
+    for batch in range(6):
+        row = (1, "POI001", str(batch), DAY, DAY, "INFO-000", "ok", True, DAY, DAY.date())
+        tables.merge(name, spark.createDataFrame([row], schema), batch)
+    history = tables.history(name)
+    assert history.versions() == [4, 5, 6]
+    left = {f"{c}/{p}" for c in tables.folders.names(f"{tables.path(name)}/data", True)
+            for p in tables.folders.names(f"{tables.path(name)}/data/{c}", True)}
+    assert left == {at for v in history.versions() for at in history.get(v).parts.values()}
+    assert [rows_of(tables.read(name, as_of=b), "area_name") for b in (3, 4, 5)] == [[("3",)], [("4",)], [("5",)]]
+    assert tables.manifest(name, as_of=1) is None
+
+
+def test_a_key_that_arrives_for_another_partition_moves(spark):
+    tables = MedallionTables(spark, scratch_folder(spark, "moves"))
+    schema, name = TABLES["realtime_city_header"].schema, "realtime_city_header"
+    days = [DAY.date() + timedelta(days=n) for n in range(3)]
+
+    def arrive(batch, *rows):
+        tables.merge(name, spark.createDataFrame(
+            [(n, "POI001", f"b{batch}", DAY, DAY, "INFO-000", "ok", True, DAY, day) for n, day in rows], schema), batch)
+
+    arrive(0, (1, days[0]), (2, days[0]), (3_000_000, days[1]))
+    arrive(1, (1, days[1]), (2, None))
+    arrive(2, (1, days[2]), (3_000_000, None), (4, days[0]))
+    arrive(2, (1, days[2]), (3_000_000, None), (4, days[0]))
+    assert rows_of(tables.read(name), "ingestion_id", "area_name", "ingest_date") == sorted([
+        (1, "b2", days[2]), (2, "b1", None), (3_000_000, "b2", None), (4, "b2", days[0])], key=str)
+    assert f"ingest_date={days[1]}" not in tables.manifest(name).parts  # its last row has gone
+
+
+def test_two_writers_cannot_commit_one_version(spark):
+    tables = MedallionTables(spark, scratch_folder(spark, "writers"))
+    other = MedallionTables(spark, tables.root)
+    tables.put_table("dim_hour", 0, tables.spark.range(0).selectExpr(
+        "cast(id as smallint) hour_key", "'' hour_start", "'' hour_label"))
+    taken = tables.history("dim_hour").newest()
+    with pytest.raises(Conflict):
+        other.history("dim_hour").commit(taken)
+
+
+def test_runs_do_not_overlap(spark):
+    tables = warehouse(spark)
+    with tables.lease("another run"):
+        with pytest.raises(Conflict):
+            run(spark, tables, 0, [call(1, document())])
+    run(spark, tables, 0, [call(1, document())])
+    tables.lease("a run that died", seconds=-1).__enter__()
+    run(spark, tables, 1, [call(2, document(area="POI002"))])  # its lease ran out
+    assert tables.read("fact_city_snapshot").count() == 2
+    with tables.lease("mine"), tables.lease("mine"):  # a replay takes its own lease again
+        pass
 
 
 def test_a_null_partition_is_merged_like_the_others(spark):
@@ -239,27 +301,13 @@ def test_a_lost_dimension_is_an_error_and_a_half_written_one_is_not_read(spark):
     run(spark, tables, 1, [call(2, document(area="POI001"))])
     good = rows_of(tables.read("dim_location"), "area_code", "location_id")
     assert good == [("POI001", 2), ("POI002", 1)]
-    half = f"{tables.path('dim_location')}/v=7"
-    tables.read("dim_location").where("false").write.parquet(half)
-    tables.delete(f"{half}/_SUCCESS")
+    tables._write("dim_location", "data", tables.read("dim_location").where("false"), None)  # and not committed
     assert rows_of(tables.read("dim_location"), "area_code", "location_id") == good
     tables.delete(tables.path("dim_location"))
     with pytest.raises(FileNotFoundError):
         tables.read("dim_location")
 
 
-def test_what_another_batch_staged_is_finished_first(spark):
-    tables = warehouse(spark)
-    run(spark, tables, 0, [call(1, document())])
-    name = "fact_city_snapshot"
-    good = rows_of(tables.read(name), "*")
-    tables.read(name).write.partitionBy("date_key").parquet(tables._staged(name, 5))
-    tables.read(name).where("false").write.mode("overwrite").parquet(tables.path(name))
-    later = document(area="POI009", inner=people(PPLTN_TIME="2024-03-01 09:00"))
-    run(spark, tables, 6, [call(2, later, at="2024-03-01 00:10:00")])
-    assert set(good) < set(rows_of(tables.read(name), "*"))
-
-
 def test_marts_follow_a_rename_that_comes_on_another_day(spark):
     tables = warehouse(spark)
     run(spark, tables, 0, [call(1, document(name="Old"))])
