@@ -7,10 +7,11 @@ one row.  Phrases are counted inside the distinct chunks, weighted by frequency.
 which is one word shorter than the longest phrase: every phrase lies whole in the chunk that its first word
 stands in before the last window, and is counted there, once.
 
-Counting goes by length.  A phrase can reach ``least`` only if both phrases one word shorter do; a bitmap of
-bounded size over their hashes sifts out most others inside the tasks.  Hashes are counted first, then the texts
-of those that reach ``least``, so the counts are those of texts; with a full bitmap more rows are counted, and
-nothing else changes.
+Counting goes by length.  A phrase can reach ``least`` only if both phrases one word shorter do.  32 bits of each
+phrase's hash and its number are counted first, in packed arrays dealt by ranges whose number grows with the
+dictionary; a bitmap of bounded size over the hashes that reach ``least`` then tells the tasks which phrases to
+count by their texts.  So the counts are those of texts; with a full bitmap more of them are counted, and nothing
+else changes.
 
 Defined results: null texts hold no words; a null language is ``und``; repeated rows count each; ties in the
 ranking go to the phrase that is first by its bytes; an empty table gives no rows; extra columns are not read.
@@ -18,21 +19,22 @@ ranking go to the phrase that is first by its bytes; an empty table gives no row
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import saved, scratch_folder
 from . import common
 
 UNKNOWN = "und"
-PIECES = re.compile(rb"[.,;:!?\n\x0b\x0c\r]+")
+_ENDS = np.zeros(256, bool)  # bytes that end a piece
+_ENDS[list(b".,;:!?\n\x0b\x0c\r")] = True
+_BETWEEN = _ENDS.copy()  # bytes outside of words
+_BETWEEN[list(b" \t")] = True
 
 
 @dataclass(frozen=True)
@@ -42,21 +44,23 @@ class Settings:
     modulus: int = 8  # one window in so many ends a chunk
     cover_percent: int = 50  # of a phrase's occurrences inside one longer candidate
     top: int = 2000  # of each language
+    range_words: int = 1_000_000  # in chunks, for each range of hashes counted at once
 
 
-def cut(texts: list[str | None], hashes: common.WordHashes, settings: Settings) -> Counter:
+def cut(texts: list[str | None], settings: Settings) -> Counter:
     """How often each (chunk, whether its piece ends with it) is in the texts."""
-    words: list[bytes] = []
-    edges = [0]
-    for text in texts:
-        for piece in PIECES.split(text.encode("utf-8", "replace").lower()) if text else ():  # bytes: A-Z only
-            words += piece.split()
-            if len(words) > edges[-1]:
-                edges.append(len(words))
-    if not words:
+    raw = b"\n".join([t.encode("utf-8", "replace") for t in texts if t]) + b"\n"
+    data = common.LOWER[np.frombuffer(raw, np.uint8)]
+    inside = ~_BETWEEN[data]
+    starts, ends, hashed = common.words_of(data, inside)
+    if not len(starts):
         return Counter()
-    overlap, hashed, edge = settings.words - 1, hashes.of(words), np.array(edges)
-    window = hashed
+    piece = np.cumsum(_ENDS[data])[starts]
+    edge = np.append(np.flatnonzero(np.diff(piece, prepend=-1)), len(starts))
+    inside[ends] = True  # with the byte behind each word, as the one space between them
+    data[ends] = 32
+    plain = data[inside].tobytes()
+    overlap, window = settings.words - 1, hashed
     for size in range(2, overlap + 1):
         window = common.longer(window, hashed, size)
     at = np.flatnonzero((common.mixed(window) >> np.uint64(32)) % np.uint64(settings.modulus) == 0)
@@ -66,20 +70,21 @@ def cut(texts: list[str | None], hashes: common.WordHashes, settings: Settings)
     order = np.argsort(begins, kind="stable")
     begins = begins[order]
     ends_piece = np.append(order[1:] < len(edge) - 1, True)
-    ends = np.append(begins[1:], len(words)) + np.where(ends_piece, 0, overlap)
-    return Counter([(b" ".join(words[b:e]), c) for b, e, c in zip(begins.tolist(), ends.tolist(), ends_piece.tolist())])
+    until = np.append(begins[1:], len(starts)) + np.where(ends_piece, 0, overlap)
+    place = np.append(0, np.cumsum(ends - starts + 1))
+    chunks = zip(place[begins].tolist(), (place[until] - 1).tolist(), ends_piece.tolist())
+    return Counter([(plain[a:b], closed) for a, b, closed in chunks])
 
 
 def parse(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Settings = Settings()) -> DataFrame:
     """The dictionary: (lang, chunk, closed: whether its piece ends with it, n: how often it is in the parse)."""
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes(0)
         for batch in batches:
             for part, texts in common.parts(batch, "text"):
                 langs = part.column("lang").to_pylist()
                 for name in dict.fromkeys(langs):
-                    found = cut([t for t, own in zip(texts, langs, strict=True) if own == name], hashes, settings)
+                    found = cut([t for t, own in zip(texts, langs, strict=True) if own == name], settings)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([name] * len(found), pa.string()), pa.array([c for c, _ in found], pa.binary()),
                          pa.array([e for _, e in found], pa.bool_()), pa.array(found.values(), pa.int64())],
@@ -94,25 +99,31 @@ def parse(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Set
 class _Places:
     """The words of some chunks of one language, with the phrases that begin at each."""
 
-    def __init__(self, chunks: list[bytes], closed: np.ndarray, n: np.ndarray, hashes: common.WordHashes, overlap: int) -> None:
-        self.words = b" ".join(chunks).split(b" ")
-        sizes = np.fromiter((c.count(b" ") + 1 for c in chunks), np.int64, len(chunks))
-        ends = np.repeat(np.cumsum(sizes), sizes)
-        self.left = ends - np.arange(len(ends))  # words from here to the chunk's end
+    def __init__(self, lang: str, chunks: list[bytes], closed: np.ndarray, n: np.ndarray, overlap: int) -> None:
+        self.plain = b" ".join(chunks)
+        data = np.frombuffer(self.plain, np.uint8)
+        self.starts, self.ends, hashed = common.words_of(data, data != 32)
+        _, _, seed = common.words_of(name := np.frombuffer(lang.encode("utf-8", "replace") or b" ", np.uint8), np.ones(len(name), bool))
+        self.hashed = common.mixed(hashed ^ seed)
+        until = np.searchsorted(self.starts, np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1))
+        sizes = np.diff(until, prepend=0)
+        self.left = np.repeat(until, sizes) - np.arange(len(self.starts))  # words from here to the chunk's end
         self.begins = self.left > np.repeat(np.where(closed, 0, overlap), sizes)
         self.n = np.repeat(n, sizes)
-        self.hashed = hashes.of(self.words)
+        self._keys = [self.hashed]
 
     def keys(self, size: int) -> np.ndarray:
-        found = self.hashed
-        for s in range(2, size + 1):
-            found = common.longer(found, self.hashed, s)
-        return found
+        while len(self._keys) < size:
+            self._keys.append(common.longer(self._keys[-1], self.hashed, len(self._keys) + 1))
+        return self._keys[size - 1]
 
     def at(self, size: int) -> np.ndarray:
         """Places at which a phrase of ``size`` words begins that is counted in its chunk."""
         return np.flatnonzero(self.begins & (self.left >= size))
 
+    def texts(self, at: np.ndarray, size: int) -> list[str]:
+        return [self.plain[a:b].decode() for a, b in zip(self.starts[at].tolist(), self.ends[at + size - 1].tolist())]
+
     def sum(self, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys of some places, the first place of each, and their weights."""
         distinct, first, place = np.unique(keys[at], return_index=True, return_inverse=True)
@@ -121,64 +132,67 @@ class _Places:
         return distinct, at[first], total
 
 
-def _counted(dictionary: DataFrame, settings: Settings, schema: str, count) -> DataFrame:
-    """Rows that ``count(lang, places)`` gives for the chunks of one language in one batch."""
-    overlap = settings.words - 1
+def _each(batches: Iterator[pa.RecordBatch], settings: Settings, count) -> Iterator[pa.RecordBatch]:
+    """What ``count(lang, places)`` gives for the chunks of one language at a time."""
+    for part in common.gathered(batches, "chunk"):
+        langs, chunks = np.array(part.column("lang").to_pylist(), object), part.column("chunk").to_pylist()
+        closed, n = part.column("closed").to_numpy(False), part.column("n").to_numpy()
+        for name in dict.fromkeys(langs.tolist()):
+            own = np.flatnonzero(langs == name)
+            yield from count(name, _Places(name, [chunks[i] for i in own], closed[own], n[own], settings.words - 1))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: dict[str, common.WordHashes] = {}
-        for batch in batches:
-            for part, chunks in common.parts(batch, "chunk"):
-                langs = np.array(part.column("lang").to_pylist(), object)
-                closed, n = part.column("closed").to_numpy(False), part.column("n").to_numpy()
-                for name in dict.fromkeys(langs.tolist()):
-                    own = np.flatnonzero(langs == name)
-                    if name not in hashes:
-                        # as Spark hashes (lang, word)
-                        hashes[name] = common.WordHashes(xxhash.xxh64_intdigest(name.encode("utf-8", "replace"), 42))
-                    places = _Places([chunks[i] for i in own], closed[own], n[own], hashes[name], overlap)
-                    yield from count(name, places)
 
-    return dictionary.mapInArrow(run, schema)
+def _text_counts(dictionary: DataFrame, settings: Settings, sifts: dict[int, common.Bits]) -> DataFrame:
+    """(lang, phrase, size, a) of the phrases that pass the sift of their size and occur ``least`` times."""
+    def count(name: str, places: _Places) -> Iterator[pa.RecordBatch]:
+        for size, bits in sifts.items():
+            keys, at = places.keys(size), places.at(size)
+            _, first, total = places.sum(keys, at[bits.has(keys[at])])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([name] * len(first), pa.string()), pa.array(places.texts(first, size), pa.string()),
+                 pa.array(np.full(len(first), size, np.int32)), pa.array(total)], ["lang", "phrase", "size", "a"])
 
+    found = dictionary.mapInArrow(lambda batches: _each(batches, settings, count), "lang string, phrase string, size int, a long")
+    return found.groupBy("lang", "phrase", "size").agg(F.sum("a").alias("a")).where(F.col("a") >= settings.least)
 
-def _word_counts(dictionary: DataFrame, settings: Settings) -> DataFrame:
-    def count(name: str, places: _Places) -> Iterator[pa.RecordBatch]:
-        _, first, total = places.sum(places.hashed, places.at(1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(first), pa.string()), pa.array([places.words[i].decode() for i in first], pa.string()),
-             pa.array(total)], ["lang", "word", "n"])
 
-    found = _counted(dictionary, settings, "lang string, word string, n long", count)
-    return found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+def _likely(dictionary: DataFrame, settings: Settings, sizes: tuple[int, ...], shorter: common.Bits | None, ranges: int) -> DataFrame:
+    """(size, key): low bits of the hashes of phrases that may occur ``least`` times, of some sizes."""
+    shift = np.uint64(ranges.bit_length() - 1)
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tallies = {size: common.Tally() for size in sizes}
 
-def _key_counts(dictionary: DataFrame, settings: Settings, size: int, shorter: common.Bits) -> DataFrame:
-    """Hashes of the phrases of ``size`` words whose parts one word shorter are likely frequent."""
-    def count(name: str, places: _Places) -> Iterator[pa.RecordBatch]:
-        likely = shorter.has(places.keys(size - 1))
-        at = places.at(size)
-        at = at[likely[at] & likely[at + 1]]
-        distinct, _, total = places.sum(places.keys(size), at)
-        yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(total)], ["key", "n"])
+        def pack(size: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            own, found = common.packed(ranges, keys, key=(keys >> shift).astype(np.uint32), n=n)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(own), size, np.int32)), pa.array(own), pa.array(found["key"], pa.binary()),
+                 pa.array(found["n"], pa.binary())], ["size", "range", "key", "n"])
 
-    found = _counted(dictionary, settings, "key long, n long", count)
-    return found.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= settings.least)
+        def count(name: str, places: _Places) -> Iterator[pa.RecordBatch]:
+            for size in sizes:
+                at = places.at(size)
+                if shorter:
+                    likely = shorter.has(places.keys(size - 1))
+                    at = at[likely[at] & likely[at + 1]]
+                keys, _, total = places.sum(places.keys(size), at)
+                for merged in tallies[size].add(keys, total):
+                    yield pack(size, *merged)
 
+        yield from _each(batches, settings, count)
+        for size, tally in tallies.items():
+            for merged in tally.rest():
+                yield pack(size, *merged)
 
-def _phrase_counts(dictionary: DataFrame, settings: Settings, frequent: dict[int, common.Bits]) -> DataFrame:
-    def count(name: str, places: _Places) -> Iterator[pa.RecordBatch]:
-        for size, bits in frequent.items():
-            keys, at = places.keys(size), places.at(size)
-            at = at[bits.has(keys[at])]
-            _, first, total = places.sum(keys, at)
-            phrases = [b" ".join(places.words[i:i + size]).decode() for i in first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(phrases), pa.string()), pa.array(phrases, pa.string()),
-                 pa.array([size] * len(phrases), pa.int32()), pa.array(total)], ["lang", "phrase", "size", "a"])
+    def reduce(key: tuple, rows: pa.Table) -> pa.Table:
+        keys, place = np.unique(common.unpacked(rows, "key", np.uint32), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, place, common.unpacked(rows, "n", np.int64))
+        whole = keys[total >= settings.least].astype(np.uint64) << shift | np.uint64(key[1].as_py())
+        return pa.table({"size": np.full(len(whole), key[0].as_py(), np.int32), "key": whole.view(np.int64)})
 
-    found = _counted(dictionary, settings, "lang string, phrase string, size int, a long", count)
-    return found.groupBy("lang", "phrase", "size").agg(F.sum("a").alias("a")).where(F.col("a") >= settings.least)
+    found = dictionary.mapInArrow(scan, "size int, range int, key binary, n binary")
+    return found.groupBy("size", "range").applyInArrow(reduce, "size int, key long")
 
 
 def score(candidates: DataFrame, parts: DataFrame) -> DataFrame:
@@ -208,21 +222,28 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", settin
     """(lang, rank, phrase, a, l, r, n, score) of the first ``top`` phrases of each language."""
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession, "collocations")
     dictionary = saved(parse(docs, text, lang, settings), f"{folder}/dictionary")
-    words = saved(_word_counts(dictionary, settings), f"{folder}/words")
-    frequent = words.where(F.col("n") >= settings.least)
-    shorter, bits = common.Bits.of(frequent.select(F.xxhash64("lang", "word").alias("key"))), {}
-    for size in range(2, settings.words + 1):
-        keys = saved(_key_counts(dictionary, settings, size, shorter), f"{folder}/keys-{size}")
-        shorter = bits[size] = common.Bits.of(keys.select("key"))
-    candidates = saved(_phrase_counts(dictionary, settings, bits), f"{folder}/candidates")
-    parts = frequent.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f")).unionByName(
-        candidates.where(F.col("size") < settings.words).select("lang", "phrase", F.col("a").alias("f")))
+    common.release(spark)
+    plain = F.col("chunk").cast("string")
+    size_of = F.length(plain) - F.length(F.translate(plain, " ", "")) + 1
+    counted = size_of - F.when(F.col("closed"), 0).otherwise(settings.words - 1)
+    totals = saved(dictionary.groupBy(F.col("lang").alias("of")).agg(
+        F.sum(F.col("n") * counted).alias("n"), F.sum(size_of).alias("words")), f"{folder}/totals")
+    total = totals.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]
+    ranges = 1 << max(4, (total // settings.range_words).bit_length())
+    bits: dict[int, common.Bits] = {}
+    for sizes in ((1, 2), *((size,) for size in range(3, settings.words + 1))):
+        keys = saved(_likely(dictionary, settings, sizes, bits.get(sizes[0] - 1), ranges), f"{folder}/keys-{sizes[0]}")
+        bits |= {size: common.Bits.of(keys.where(F.col("size") == size).select("key")) for size in sizes}
+        common.release(spark)
+    phrases = saved(_text_counts(dictionary, settings, bits), f"{folder}/phrases")
+    common.release(spark)
+    candidates = phrases.where("size > 1")
+    parts = phrases.where(F.col("size") < settings.words).select("lang", "phrase", F.col("a").alias("f"))
     found = score(candidates, parts).join(covered(candidates, settings), ["lang", "phrase"], "left")
     found = found.where(F.col("longer").isNull() | (100 * F.col("longer") < settings.cover_percent * F.col("a")))
     ranked = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     found = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= settings.top)
-    totals = words.groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("n"))
-    found = found.join(totals, F.col("lang") == F.col("of"))
+    found = found.join(totals.drop("words"), F.col("lang") == F.col("of"))
     return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Characters that one step inside a Python task holds at once, whatever a batch brings.
@@ -16,34 +16,32 @@ CHARS_AT_ONCE = 2_000_000
 BITMAP = 32768  # bits in one bitmap of Spark's own
 MOST_BITMAPS = 2048  # 8 MB: the bound of what flag() broadcasts
 
-REMEMBERED = 300_000  # word hashes that a task remembers
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+_BYTES = np.random.default_rng(42).integers(0, 1 << 64, 256, np.uint64)  # a value of each byte
 
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32  # A-Z only
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now: its cleaner follows the driver's garbage collector."""
+    gc.collect()
+    spark._jvm.System.gc()
 
-def raw_words(text: str | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8; ``bytes.split`` knows just these six separators."""
-    return text.encode("utf-8", "replace").split() if text else []
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of this run that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-class WordHashes(dict):
-    """XXH64 of words from a seed, remembered within a bound."""
 
-    def __init__(self, seed: int) -> None:
-        super().__init__()
-        self.seed = seed
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return found
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def raw_words(text: str | None) -> list[bytes]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` as UTF-8; ``bytes.split`` knows just these six separators."""
+    return text.encode("utf-8", "replace").split() if text else []
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:
@@ -57,6 +55,85 @@ def longer(keys: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
     return mixed(keys[:len(last)]) ^ last
 
 
+def words_of(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First byte, end and 64-bit hash of each run of bytes that are ``inside`` a word; no object per word."""
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).view(np.int8)))
+    starts, ends = turns[::2], turns[1::2]
+    if not len(starts):
+        return starts, ends, np.zeros(0, np.uint64)
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    powers = np.multiply.accumulate(np.full(int(sizes.max()), _PRIME))
+    values = _BYTES[data[inside]] * powers[np.arange(sizes.sum()) - np.repeat(first, sizes)]
+    return starts, ends, mixed(np.add.reduceat(values, first))
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))] if len(keys) else keys
+
+
+def packed(ranges: int, at: np.ndarray, **columns: np.ndarray) -> tuple[np.ndarray, dict[str, list[bytes]]]:
+    """The ranges (a power of two) that hashes fall in, and for each the entries of every column as bytes."""
+    own = (at & np.uint64(ranges - 1)).astype(np.int32)
+    order = np.argsort(own, kind="stable")
+    own = own[order]
+    edges = np.flatnonzero(np.diff(own, prepend=-1))
+    ends = np.append(edges[1:], len(own))
+    return own[edges], {name: [c[a:b].tobytes() for a, b in zip(edges, ends)]
+                        for name, c in ((name, c[order]) for name, c in columns.items())}
+
+
+class Tally:
+    """Keys that a task counts, merged, and handed out once there are many; columns come with a key's first row."""
+
+    LIMIT = 1_000_000
+
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        if len(keys):
+            self.held.append((keys, n.astype(np.int64), *columns))
+            self.size += len(keys)
+        if self.size > self.LIMIT:
+            self._merge()
+            if self.size > self.LIMIT // 2:
+                yield from self.rest()
+
+    def _merge(self) -> None:
+        keys, n, *columns = (np.concatenate(c) for c in zip(*self.held))
+        distinct, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, place, n)
+        self.held, self.size = [(distinct, total, *(c[first] for c in columns))], len(distinct)
+
+    def rest(self) -> Iterator[tuple[np.ndarray, ...]]:
+        """What is held: keys, counts, columns."""
+        if self.held:
+            self._merge()
+            yield self.held[0]
+        self.held, self.size = [], 0
+
+
+def gathered(batches: Iterator[pa.RecordBatch], column: str, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches put together to about ``size`` bytes of a text column each."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if total >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def unpacked(rows: pa.Table, name: str, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column(name).to_pylist()), kind)
+
+
 def slices(texts: Sequence[str | None], budget: int = CHARS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about ``budget`` characters each, one text at least."""
     start, held = 0, 0

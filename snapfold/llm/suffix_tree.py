@@ -9,8 +9,10 @@ distributions, times the occurrences).  A retained context s gives token x the p
 apiece; rest is what all kept tokens leave of N(s).  So every state's distribution sums to one, with 0.1 of a token
 left to unknown words at the root.
 
-Counts come from the whole corpus and live in tables keyed by 64-bit hashes of word sequences.  Texts are scored
-in blocks: a block asks for the distinct keys of its tokens, a join answers from the model, and the answers meet
+Counts come from the whole corpus and live in tables keyed by 64-bit hashes of word sequences.  Tasks count what
+they read and send packed arrays, dealt by key ranges whose number grows with the corpus, so no key is hot.  Most
+sequences occur once: 32 bits of each key are counted first, and only sequences that may reach ``evidence`` are sent
+whole and counted exactly.  Texts are scored in blocks: a block asks for the distinct keys of its tokens, a join answers from the model, and the answers meet
 the block's texts again.  Bitmaps of bounded size keep most questions without an answer from being asked.
 
 Defined results: null texts are empty, hence the end token alone; rows without an id are learned from; texts are read
@@ -25,15 +27,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import saved, scratch_folder
 from . import common
 
 SEED = 42
-END = xxhash.xxh64_intdigest(b" ", SEED)  # no word holds a space
-SIGNED_END = END - (1 << 64) if END >> 63 else END
+END = 0x6A09E667F3BCC909  # the key of the end token
 STATE, PAIR = np.uint64(0x5DEECE66D1F3A7B9), np.uint64(0xA3C59AC2B7E15163)  # told apart from words, and each other
 ADDED = 0.1
 
@@ -42,10 +42,11 @@ ADDED = 0.1
 class Settings:
     depth: int = 3
     least: int = 10
-    evidence: int = 2
+    evidence: int = 3
     nats: float = 4.0
     discount: float = 0.75
-    block_chars: int = 8_000_000  # of texts scored at once
+    block_chars: int = 24_000_000  # of texts scored at once
+    range_chars: int = 8_000_000  # of texts for each range of keys counted at once
 
 
 @dataclass(frozen=True)
@@ -58,20 +59,22 @@ class Model:
     settings: Settings
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+
+
 class _Tokens:
-    """The tokens of some texts in one array, each text with its end."""
-
-    def __init__(self, texts: list[str | None], hashes: common.WordHashes) -> None:
-        words: list[bytes] = []
-        sizes = np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            if text:
-                own = text.encode("utf-8", "replace").lower().split()  # bytes: A-Z only
-                sizes[i] = len(own)
-                words += own
-        self.sizes = sizes + 1
+    """The hashed tokens of some texts in one array, each text with its end; no object per word."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        raw = [t.encode("utf-8", "replace") if t else b"" for t in texts]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        data = common.LOWER[np.frombuffer(b" ".join(raw) + b" ", np.uint8)]
+        starts, _, words = common.words_of(data, ~_SPACE[data])
+        until = np.searchsorted(starts, np.cumsum(lengths + 1))  # words up to the end of each text
+        self.sizes = np.diff(np.concatenate(([0], until))) + 1
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.hashed = np.insert(hashes.of(words), np.cumsum(sizes), np.uint64(END))
+        self.hashed = np.insert(words, until, np.uint64(END))
         self.place = np.arange(len(self.hashed)) - np.repeat(self.starts, self.sizes)
         self._keys = [self.hashed]
 
@@ -86,62 +89,106 @@ class _Tokens:
         return np.flatnonzero(self.place >= depth)
 
 
-def _summed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First places of the distinct keys, and how often each is there."""
-    _, first, count = np.unique(keys, return_index=True, return_counts=True)
-    return first, count
-
-
-def _counted(docs: DataFrame, schema: str, count) -> DataFrame:
-    """Rows that ``count(tokens)`` gives for some texts at a time."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes(SEED)
-        for batch in batches:
-            for _, texts in common.parts(batch, "text"):
-                yield count(_Tokens(texts, hashes))
-
-    return docs.select("text").mapInArrow(run, schema)
-
-
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    def count(tokens: _Tokens) -> pa.RecordBatch:
-        first, n = _summed(tokens.hashed)
-        return _batch(sym=tokens.hashed[first], n=n)
+WORDS, NEXT, LIKELY = 0, 1, 2
+PACKED = "kind int, range int, key binary, up binary, sym binary, n binary"
+COUNTED = "kind int, key long, up long, sym long, n long"
 
-    return _counted(docs, "sym long, n long", count).groupBy("sym").agg(F.sum("n").alias("n"))
 
+def _packed(kind: int, ranges: int, at: np.ndarray, keys: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row for each range of ``at`` (well-spread hashes) with the entries that fall in it."""
+    own, found = common.packed(ranges, at, key=keys, **columns)
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(own), kind, np.int32)), pa.array(own),
+         *(pa.array(found.get(name, [None] * len(own)), pa.binary()) for name in ("key", "up", "sym", "n"))],
+        ["kind", "range", "key", "up", "sym", "n"])
 
-def _next_counts(docs: DataFrame, depth: int, frequent: common.Bits, evidence: int) -> DataFrame:
-    """(ctx, up: the context one word shorter, sym, n) of contexts that are likely frequent."""
-    def count(tokens: _Tokens) -> pa.RecordBatch:
-        at = tokens.after(depth)
-        at = at[frequent.has(tokens.keys(depth)[at - depth])]
-        first, n = _summed(tokens.keys(depth + 1)[at - depth])
-        at = at[first]
-        up = tokens.keys(depth - 1)[at - depth + 1] if depth > 1 else np.zeros(len(at), np.uint64)
-        return _batch(ctx=tokens.keys(depth)[at - depth], up=up, sym=tokens.hashed[at], n=n)
 
-    found = _counted(docs, "ctx long, up long, sym long, n long", count)
-    return found.groupBy("ctx", "up", "sym").agg(F.sum("n").alias("n")).where(F.col("n") >= evidence)
+def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
+          frequent: common.Bits | None, likely: common.Bits | None) -> DataFrame:
+    """One pass over the texts: the next tokens of contexts of ``depth`` words, and what may be counted in the next.
 
+    Depth 0 counts the words.  The sequences of a depth that are likely to occur often enough are found in the pass
+    before, among those whose context is.
+    """
+    shift = np.uint64(ranges.bit_length() - 1)
 
-def _joined_keys(rows: DataFrame, tag: np.uint64 = np.uint64(0)) -> DataFrame:
+    def count(tokens: _Tokens) -> Iterator[tuple]:
+        if depth == 0:
+            yield WORDS, *np.unique(tokens.hashed, return_counts=True)
+        else:
+            at = tokens.after(depth) - depth
+            at = at[frequent.has(tokens.keys(depth)[at]) & likely.has(tokens.keys(depth + 1)[at])]
+            keys, first, n = np.unique(tokens.keys(depth + 1)[at], return_index=True, return_counts=True)
+            at = at[first]
+            up = tokens.keys(depth - 1)[at + 1] if depth > 1 else np.zeros(len(at), np.uint64)
+            yield NEXT, keys, n, tokens.keys(depth)[at], up, tokens.hashed[at + depth]
+        if depth < settings.depth:
+            at = tokens.after(depth + 1) - depth - 1
+            if depth:
+                at = at[likely.has(tokens.keys(depth + 1)[at])]
+            yield LIKELY, *np.unique(tokens.keys(depth + 2)[at], return_counts=True)
+
+    def pack(kind: int, keys: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if kind == WORDS:
+            yield from _packed(kind, ranges, keys, keys, n=n)
+        elif kind == LIKELY:
+            yield from _packed(kind, ranges, keys, (keys >> shift).astype(np.uint32), n=np.minimum(n, 255).astype(np.uint8))
+        else:
+            yield from _packed(kind, ranges, keys, columns[0], up=columns[1], sym=columns[2], n=n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tallies = {kind: common.Tally() for kind in (WORDS, NEXT, LIKELY)}
+        for batch in batches:
+            for _, texts in common.parts(batch, "text"):
+                for kind, *found in count(_Tokens(texts)):
+                    for merged in tallies[kind].add(*found):
+                        yield from pack(kind, *merged)
+        for kind, tally in tallies.items():
+            for merged in tally.rest():
+                yield from pack(kind, *merged)
+
+    def reduce(key: tuple, rows: pa.Table) -> pa.Table:
+        kind, own = key[0].as_py(), key[1].as_py()
+        if kind == LIKELY:
+            keys, place = np.unique(common.unpacked(rows, "key", np.uint32), return_inverse=True)
+            keys, n, first = keys.astype(np.uint64) << shift | np.uint64(own), common.unpacked(rows, "n", np.uint8), None
+        elif kind == WORDS:
+            keys, place = np.unique(common.unpacked(rows, "key", np.uint64), return_inverse=True)
+            n, first = common.unpacked(rows, "n", np.int64), None
+        else:
+            contexts, symbols = common.unpacked(rows, "key", np.uint64), common.unpacked(rows, "sym", np.uint64)
+            _, first, place = np.unique(common.mixed(contexts) ^ symbols, return_index=True, return_inverse=True)
+            keys, n = contexts[first], common.unpacked(rows, "n", np.int64)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, place, n.astype(np.int64))
+        enough = total >= (1 if kind == WORDS else settings.evidence)
+        nothing = np.zeros(len(keys), np.uint64)
+        more = {"up": nothing if first is None else common.unpacked(rows, "up", np.uint64)[first],
+                "sym": nothing if first is None else symbols[first]}
+        return pa.Table.from_batches([_batch(
+            kind=np.full(int(enough.sum()), kind, np.int32), key=keys[enough],
+            **{name: c[enough] for name, c in more.items()}, n=total[enough])])
+
+    return docs.select("text").mapInArrow(run, PACKED).groupBy("kind", "range").applyInArrow(reduce, COUNTED)
+
+
+def _joined_keys(rows: DataFrame) -> DataFrame:
     """Adds ``key``: that of the context with the symbol behind it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ctx, sym = (batch.column(c).to_numpy().view(np.uint64) for c in ("ctx", "sym"))
-            key = (common.mixed(ctx) ^ sym ^ tag).view(np.int64)
+            key = (common.mixed(ctx) ^ sym).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], [*batch.schema.names, "key"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("key", T.LongType())]))
 
 
-def _gain(settings: Settings) -> Column:
+def _gain() -> Column:
     """Nats that a candidate's own distribution saves over that of the shorter states."""
     rest = F.col("total") - F.col("held")
     apiece = F.col("n_ln_n") - F.col("held") * F.ln("total") - F.col("n_ln_q")
@@ -152,34 +199,45 @@ def _gain(settings: Settings) -> Column:
 def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) -> Model:
     """Learn from all rows of ``docs``."""
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession, "suffix-tree")
-    docs = docs.select(F.col(f"`{text}`").alias("text"))
-    counts = saved(_word_counts(docs), f"{folder}/words")
+    docs, work = docs.select(F.col(f"`{text}`").alias("text")), f"{folder}/work"
+    ranges = 1 << max(4, (_chars(docs) // settings.range_chars).bit_length())
+
+    def scan(depth: int, *sifts: common.Bits | None) -> DataFrame:
+        found = saved(_scan(docs, depth, ranges, settings, *(sifts or (None, None))), f"{work}/counts-{depth}")
+        common.release(spark)
+        return found
+
+    def likely(found: DataFrame) -> common.Bits:
+        return common.Bits.of(found.where(F.col("kind") == LIKELY).select("key"))
+
+    found = scan(0)
+    counts = found.where(F.col("kind") == WORDS).select(F.col("key").alias("sym"), "n")
     tokens, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     rows = counts.select(F.col("sym").alias("key"), F.col("n").cast("double").alias("a"), F.lit(0.0).alias("b"))
     before = counts.select("sym", ((F.col("n") + ADDED) / (tokens + ADDED * (words + 1))).alias("q"))
-    frequent = counts.where((F.col("n") >= settings.least) & (F.col("sym") != SIGNED_END)).select(
+    frequent = counts.where((F.col("n") >= settings.least) & (F.col("sym") != END)).select(
         F.col("sym").alias("ctx"), F.col("n").alias("total"))
     all_states, all_pairs = [], []
     for depth in range(1, settings.depth + 1):
-        likely = common.Bits.of(frequent.select("ctx"))
-        found = saved(_next_counts(docs, depth, likely, settings.evidence), f"{folder}/next-{depth}")
+        found = scan(depth, common.Bits.of(frequent.select("ctx")), likely(found))
+        nexts = found.where(F.col("kind") == NEXT).withColumnRenamed("key", "ctx")
         on = ["sym"] if depth == 1 else ["up", "sym"]
-        known = saved(found.join(before, on).select("ctx", "sym", "n", "q"), f"{folder}/known-{depth}")
+        known = saved(nexts.join(before, on).select("ctx", "sym", "n", "q"), f"{work}/known-{depth}")
         n = F.col("n").cast("double")
         candidates = known.groupBy("ctx").agg(
             F.sum("n").alias("held"), F.sum("q").alias("q"), F.sum(n * F.ln(n)).alias("n_ln_n"),
             F.sum(n * F.ln("q")).alias("n_ln_q"), F.count("*").alias("apiece")).join(frequent, "ctx")
-        states = candidates.where(_gain(settings) >= settings.nats * (F.col("apiece") + 1)).select(
+        states = candidates.where(_gain() >= settings.nats * (F.col("apiece") + 1)).select(
             "ctx", "total", (1 - (F.col("held") - settings.discount * F.col("apiece")) / F.col("total")).alias("b"))
-        states = saved(states, f"{folder}/states-{depth}")
+        states = saved(states, f"{work}/states-{depth}")
         pairs = known.join(states, "ctx", "left").withColumn("a", (F.col("n") - settings.discount) / F.col("total"))
         pairs = pairs.select("ctx", "sym", "n", F.coalesce(F.col("a") + F.col("b") * F.col("q"), "q").alias("q"), "a", "b")
-        pairs = saved(_joined_keys(pairs), f"{folder}/pairs-{depth}")
+        pairs = saved(_joined_keys(pairs), f"{work}/pairs-{depth}")
         all_states.append(states.select(F.col("ctx").bitwiseXOR(F.lit(int(STATE.view(np.int64)))).alias("key"), F.lit(0.0).alias("a"), "b"))
         all_pairs.append(pairs.where("b is not null").select(
             F.col("key").bitwiseXOR(F.lit(int(PAIR.view(np.int64)))).alias("key"), "a", "b"))
         before = pairs.select(F.col("ctx").alias("up"), "sym", "q")
-        frequent = pairs.where((F.col("n") >= settings.least) & (F.col("sym") != SIGNED_END)).select(
+        frequent = pairs.where((F.col("n") >= settings.least) & (F.col("sym") != END)).select(
             F.col("key").alias("ctx"), F.col("n").alias("total"))
     bits = []
     for tables in (all_states, all_pairs):
@@ -188,7 +246,14 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
             joined = joined.unionByName(table)
         bits.append(common.Bits.of(joined.select("key")))
         rows = rows.unionByName(joined)
-    return Model(saved(rows, f"{folder}/model"), tokens, words, *bits, settings)
+    model = Model(saved(rows, f"{folder}/model"), tokens, words, *bits, settings)
+    common.drop_folder(spark, work)
+    common.release(spark)
+    return model
+
+
+def _chars(texts: DataFrame) -> int:
+    return texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -196,29 +261,28 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
     settings, known, distinct = model.settings, model.tokens, model.words
     states, pairs = model.states, model.pairs
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    chars = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    blocks = 1 + chars // settings.block_chars
+    blocks = 1 + _chars(rows) // settings.block_chars
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
     def questions(tokens: _Tokens) -> list[np.ndarray]:
-        found = [np.unique(tokens.hashed)]
+        found = [common.distinct(tokens.hashed)]
         for depth in range(1, settings.depth + 1):
             at = tokens.after(depth) - depth
-            state = np.unique(tokens.keys(depth)[at] ^ STATE)
+            state = common.distinct(tokens.keys(depth)[at] ^ STATE)
             at = at[states.has(tokens.keys(depth)[at] ^ STATE)]
-            pair = np.unique(tokens.keys(depth + 1)[at] ^ PAIR)
+            pair = common.distinct(tokens.keys(depth + 1)[at] ^ PAIR)
             found += [state[states.has(state)], pair[pairs.has(pair)]]
         return found
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held = common.WordHashes(SEED), {}
+        held: dict[int, np.ndarray] = {}
         for batch in batches:
             own = batch.column("block").to_numpy()
             for block in np.unique(own).tolist():
                 texts = batch.filter(pa.array(own == block))
                 for _, some in common.parts(texts, "text"):
-                    asked = np.concatenate(questions(_Tokens(some, hashes)))
-                    held[block] = np.union1d(held[block], asked) if block in held else np.unique(asked)
+                    asked = np.concatenate(questions(_Tokens(some)))
+                    held[block] = common.distinct(np.concatenate((held.get(block, asked), asked)))
         for block, keys in held.items():
             for at in range(0, len(keys), 100_000):
                 some = keys[at:at + 100_000]
@@ -240,10 +304,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
             there = (place < len(keys) - 1) & (keys[place] == wanted)
             return there, a[place], b[place]
 
-        hashes, found = common.WordHashes(SEED), []
+        found = []
         for batch in texts.combine_chunks().to_batches():
             for part, some in common.parts(batch, "text"):
-                tokens = _Tokens(some, hashes)
+                tokens = _Tokens(some)
                 there, count, _ = look(tokens.hashed)
                 p = (np.where(there, count, 0.0) + ADDED) / (known + ADDED * (distinct + 1))
                 base = np.log10(p)

@@ -69,7 +69,7 @@ def corpus(seed, rows=150):
     return out
 
 
-@pytest.mark.parametrize("settings", [op.Settings(least=4, nats=1.0), op.Settings(depth=2, least=6, block_chars=500), op.Settings(depth=4, least=3, nats=0.3, discount=0.5)])
+@pytest.mark.parametrize("settings", [op.Settings(least=4, nats=1.0), op.Settings(depth=2, least=6, evidence=2, block_chars=500, range_chars=300), op.Settings(depth=4, least=3, evidence=2, nats=0.3, discount=0.5)])
 def test_equals_plain_tree(spark, settings):
     train, unseen = corpus(1), corpus(2, 40) + ["p1 p2 p3 never seen"]
     model = op.fit(spark.createDataFrame([(t,) for t in train], "text string").repartition(3), settings=settings)
