@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import clock
 from ..operators import facts
+from ..plans import hour_states
 from ..schemas import FACT_CITY, RAW
 from ..session import scratch_folder
 from ..sources.tables import MedallionTables
 from ..streaming import jobs
 from . import document_queries, feed, warehouse_queries
-from .oracle import KST, ROWS, date_key, with_ctes
+from .oracle import KST, LATE_FIRST, ROWS, date_key, stamp, winner, with_ctes
 from .shape import plain
 
 
@@ -62,7 +63,44 @@ def stream_hourly(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (stream_ingest, stream_upsert, stream_hourly)}
+def _file_per_batch(spark, sf_dir, folder, order):
+    """The events as a stream of one file per micro-batch, in the given order of the day's thirds."""
+    events = feed.table(spark, sf_dir, "events")
+    third = F.floor(F.hour("ts") / 8)
+    for number, part in enumerate(order):
+        events.where(third == part).coalesce(1).write.parquet(f"{folder}/in/{number}")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+
+
+def stream_stale(spark, sf_dir):
+    """City facts over three micro-batches, the latest arrivals first: keyed state stops what comes too late to win."""
+    folder = scratch_folder(spark, "stale")
+    tables = MedallionTables(spark, f"{folder}/tables")
+    rows = feed.population_rows(_file_per_batch(spark, sf_dir, folder, (2, 1, 0)))
+    # a key of a whole day has arrivals in each of the three files
+    rows = rows.withColumn("observed_at", F.date_trunc("day", "observed_at"))
+    arrivals = facts.city_fact_rows(rows, feed.dim_location(spark, sf_dir), F.col("collected_at"))
+    newer = jobs.newer_only(arrivals, ["location_id", "observed_at"], ["collected_at", "source_ingestion_id"])
+    jobs.merge_arrivals(newer, tables, FACT_CITY.name, f"{folder}/checkpoint").awaitTermination()
+    return plain(tables.read(FACT_CITY.name).select(
+        "location_id", "observed_at", "collected_at", "population_max", "source_ingestion_id"))
+
+
+def stream_hourly_late(spark, sf_dir):
+    """Hourly groups over three micro-batches, the latest hours first: late ones are merged into the stored hours."""
+    folder = scratch_folder(spark, "late")
+    tables = MedallionTables(spark, f"{folder}/tables")
+    rows = feed.population_rows(_file_per_batch(spark, sf_dir, folder, (2, 0, 1)))
+    arrivals = facts.city_fact_rows(rows, feed.dim_location(spark, sf_dir), F.col("collected_at"))
+    jobs.merge_hours(arrivals, tables, hour_states.POPULATION, f"{folder}/checkpoint").awaitTermination()
+    states = hour_states.stored_states(tables, hour_states.POPULATION)
+    named = states.join(feed.dim_location(spark, sf_dir), "location_id")
+    return plain(named.select(
+        "area_code", "date_key", "hour_key", F.col("snapshots").alias("snapshot_count"), "peak_population_max",
+        hour_states.mode(F.col("congestion_level")).alias("dominant_level")))
+
+
+QUERIES = {f.__name__: f for f in (stream_ingest, stream_upsert, stream_hourly, stream_stale, stream_hourly_late)}
 
 ORACLE = {
     "stream_ingest": document_queries.ORACLE["raw_classify"],
@@ -79,3 +117,8 @@ FROM (SELECT p.area_code, date_trunc('hour', p.observed_at {KST}) AS h, populati
       ON n.area_code = p.area_code AND n.u = date_trunc('hour', p.observed_at) AND n.place = 1)
 GROUP BY area_code, h"""),
 }
+ORACLE["stream_hourly_late"] = ORACLE["stream_hourly"]
+ORACLE["stream_stale"] = with_ctes(f"""{ROWS},
+days AS (SELECT CAST(substr(area_code, 4) AS INTEGER) + 1 AS location_id, date_trunc('day', observed_at) AS day, * FROM pop)""", f"""
+SELECT location_id, {stamp('day')} AS observed_at, {stamp('collected_at')} AS collected_at, population_max,
+       ingestion_id AS source_ingestion_id FROM {winner('days', 'location_id, day', LATE_FIRST)}""")

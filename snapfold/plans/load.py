@@ -16,7 +16,7 @@ from ..schemas import (
 from ..session import saved, scratch_folder
 from ..sources.landing import number_calls
 from ..sources.tables import MedallionTables
-from . import marts
+from . import hour_states, marts
 
 
 @dataclass
@@ -142,7 +142,8 @@ def _run_batch(
         facts.weather_fact_rows(parsed.weathers, dims[DIM_LOCATION.name], stamp), FACT_WEATHER, "source_ingestion_id", dims)
     city_days = tables.merge(FACT_CITY.name, city, batch_id)
     weather_days = tables.merge(FACT_WEATHER.name, weather, batch_id)
-    refresh_marts(tables, sorted({*city_days, *weather_days}), batch_id)
+    hour_states.update(tables, hour_states.POPULATION, city, city_days, batch_id)
+    hour_states.update(tables, hour_states.WEATHER, weather, weather_days, batch_id)
     broken_areas = broken_areas.select(
         F.lit(None).cast("bigint").alias("ingestion_id"), F.lit(DIM_LOCATION.name).alias("table_name"), "violations")
     refused = parsed.broken_rows
@@ -229,23 +230,18 @@ def _audit(
 
 
 def refresh_marts(tables: MedallionTables, days: list, batch_id: int) -> None:
-    """Recompute the groups behind the marts, for the given days only."""
-    if not days:
-        return
-    city = tables.within(tables.read(FACT_CITY.name), "date_key", days)
-    weather = tables.within(tables.read(FACT_WEATHER.name), "date_key", days)
-    groups = {
-        marts.MARTS[0]: marts.population_groups(city),
-        marts.MARTS[1]: marts.weather_groups(weather),
-        marts.MARTS[2]: marts.population_weather_groups(city, weather),
-    }
-    for name, rows in groups.items():
-        tables.replace_partitions(name, batch_id, "date_key", days, rows)
+    """Compute the states behind the marts again, for the given days only."""
+    if days:
+        for spec in (hour_states.POPULATION, hour_states.WEATHER):
+            hour_states.rebuild(tables, spec, days, batch_id)
 
 
 def read_mart(tables: MedallionTables, name: str) -> DataFrame:
-    """A stored mart with today's labels: groups are stored on keys, so a renamed area is renamed in all hours."""
-    return marts.labelled(tables.read_derived(name), _dims(tables))
+    """A stored mart with today's labels: states are stored on keys, so a renamed area is renamed in all hours."""
+    population = hour_states.population_measures(hour_states.stored_states(tables, hour_states.POPULATION))
+    weather = hour_states.weather_measures(hour_states.stored_states(tables, hour_states.WEATHER))
+    groups = dict(zip(marts.MARTS, (population, weather, marts.together(population, weather))))
+    return marts.labelled(groups[name], _dims(tables))
 
 
 def seed_calendar(tables: MedallionTables, first: str, last: str) -> None:

@@ -88,8 +88,12 @@ def population_weather_groups(city_facts: DataFrame, weather_facts: DataFrame) -
 
     Both groupings are already partitioned by the hour keys, so they meet without a shuffle.
     """
-    weather = weather_groups(weather_facts)
-    population = population_groups(city_facts).withColumnsRenamed(
+    return together(population_groups(city_facts), weather_groups(weather_facts))
+
+
+def together(population: DataFrame, weather: DataFrame) -> DataFrame:
+    """Population hours beside the weather of the same hour."""
+    population = population.withColumnsRenamed(
         {
             "snapshot_count": "population_snapshot_count",
             "latest_fact_loaded_at": "latest_population_fact_loaded_at",

@@ -87,11 +87,8 @@ class MedallionTables:
     def read_derived(self, name: str) -> DataFrame:
         """A table outside the registry, with the columns that it was written with."""
         found = self.manifest(name)
-        if found is None:
-            raise FileNotFoundError(f"table {name} was never written")
-        if not found.parts:  # every partition lost its last row: its files still tell the columns
-            found = next(m for m in map(self.history(name).get, reversed(self.history(name).versions())) if m.parts)
-            return self._load(f"{self.path(name)}/data", found.parts.values(), None).drop("commit").where("false")
+        if found is None or not found.parts:
+            raise FileNotFoundError(f"table {name} has no rows that tell its columns")
         return self._load(f"{self.path(name)}/data", found.parts.values(), None).drop("commit")
 
     # writing

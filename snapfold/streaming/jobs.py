@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import documents
 from ..operators.upsert import latest
+from ..plans import hour_states
 from ..plans.load import run_batch
 from ..sources.tables import MedallionTables
 
@@ -44,7 +47,56 @@ def merge_arrivals(
     def merge(batch: DataFrame, batch_id: int) -> None:
         tables.merge(name, batch, batch_id)
 
-    return _start(arrivals, checkpoint).foreachBatch(merge).start()
+    # timeouts wait for the next batch with rows: else a stream that has read all would run empty batches for ever
+    spark, setting = tables.spark, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return _start(arrivals, checkpoint).outputMode("update").foreachBatch(merge).start()
+    finally:
+        spark.conf.set(setting, before)
+
+
+def newer_only(arrivals: DataFrame, keys: list[str], order: list[str], forget_after_ms: int = 7 * 86_400_000) -> DataFrame:
+    """The guarded fold as arbitrary state: of each key's arrivals those newer than all before, one per micro-batch.
+
+    The state of a key is what it was last ordered by; ``order`` names times and whole numbers and leaves no ties
+    between different arrivals.  A key that nothing arrives for is forgotten after a while: its newest row is in the
+    table by then, whose merge is guarded as well.
+    """
+    def rank(row: pd.DataFrame) -> tuple[int, ...]:
+        values = (row[c].iloc[0] for c in order)
+        return tuple(int(v.value) if isinstance(v, pd.Timestamp) else int(v) for v in values)
+
+    def guard(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        held, best = (tuple(state.get) if state.exists else None), None
+        for batch in batches:
+            last = batch.sort_values(order).iloc[[-1]]
+            if held is None or rank(last) > held:
+                held, best = rank(last), last
+        state.update(held)
+        state.setTimeoutDuration(forget_after_ms)
+        if best is not None:
+            yield best
+
+    state = T.StructType([T.StructField(c, T.LongType()) for c in order])
+    return arrivals.groupBy(*keys).applyInPandasWithState(
+        guard, arrivals.schema, state, "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def merge_hours(arrivals: DataFrame, tables: MedallionTables, spec: hour_states.Spec, checkpoint: str) -> StreamingQuery:
+    """Hourly groups that lose nothing: each micro-batch's states are added to the stored hours, however late its rows.
+
+    The stream keeps no state of its own; a replayed micro-batch is known by its number and adds nothing twice.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        hour_states.add(tables, spec, batch, batch_id)
+
+    return _start(arrivals, checkpoint).foreachBatch(add).start()
 
 
 def newest_per_key(arrivals: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
