@@ -4,9 +4,9 @@ Base spans are found by pattern and length alone.  Weaker candidates (a login, a
 endpoint) are far too common to be reported alone; one is reported if the parts that complete a
 credential stand near it.  Spans are intervals over the text's code points; the ones that complete each
 other are found by an interval join: the text is cut into scopes of ``SCOPE`` code points, spans are
-joined by the scopes they touch, and per scope and role only the first start and the last end are kept,
-which decide whether a span of that role overlaps the candidate's surroundings.  No pair is emitted, and
-nothing but spans is shuffled.
+joined by the scopes they touch, and a candidate looks for a span of a role in its surroundings that shares no
+character with it, so that no string completes itself.  A scope holds a bounded number of spans, as those of a
+kind don't overlap.  No pair is emitted, and nothing but spans is shuffled.
 
 Positions come from the gaps and the matches of a pattern: the text split at it, and all it matched.
 
@@ -109,12 +109,12 @@ def linked(rows: DataFrame, folder: str) -> DataFrame:
     parts = texts.select("key", F.inline(F.concat("base", "weak"))).withColumn("role", role)
     roles = (IDENTIFIER, SECRET, PLACE)
     scopes = parts.withColumn("scope", _scopes(F.col("start"), F.col("end"))).groupBy("key", "scope").agg(
-        *[F.min(F.when(F.col("role") == r, F.col("start"))).alias(f"{r}_first") for r in roles],
-        *[F.max(F.when(F.col("role") == r, F.col("end"))).alias(f"{r}_last") for r in roles])
+        *[F.collect_set(F.when(F.col("role") == r, F.struct("start", "end"))).alias(f"{r}_spans") for r in roles])
     scopes = saved(scopes, f"{folder}/scopes")
     low, high = F.col("start") - SCOPE, F.col("end") + SCOPE
     weak = texts.select("key", F.inline("weak")).withColumn("scope", _scopes(low, high)).join(scopes, ["key", "scope"])
-    near = {r: (F.col(f"{r}_last") > low) & (F.col(f"{r}_first") < high) for r in roles}
+    near = {r: F.exists(f"{r}_spans", lambda s: ((s["end"] <= F.col("start")) & (s["end"] > low))
+                        | ((s["start"] >= F.col("end")) & (s["start"] < high))) for r in roles}
     found = weak.groupBy("key", "start", "kind", "end").agg(
         *[F.coalesce(F.max(near[r]), F.lit(False)).alias(r) for r in roles])
     complete = F.lit(False)
@@ -174,6 +174,7 @@ m as (
 ), n as (
   select w.doc_id, w.kind, w.start, w.stop, bool_or(o.role = 'identifier') as a, bool_or(o.role = 'secret') as b, bool_or(o.role = 'place') as c
   from p w join p o on o.doc_id = w.doc_id and o.stop > w.start - {SCOPE} and o.start < w.stop + {SCOPE}
+    and (o.stop <= w.start or o.start >= w.stop)
   where w.kind > {BASE} group by all
 ), z as (
   select doc_id, kind, start, stop from p where kind <= {BASE} union all
