@@ -12,13 +12,13 @@ results; ties between languages go to the first by name; extra columns are not r
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -26,7 +26,7 @@ from . import common
 
 UNKNOWN = "und"
 SLOTS = 64  # parts that a language's sample is drawn in first
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
