@@ -45,8 +45,8 @@ class Bands:
     sf0.1 labelled quality 1 that pass the base rule.  The highest leave a sixth or more above the 99.5 % quantile,
     as no labelled text is bad that way.  Under 64 bytes the frame itself outweighs the text, and nothing is said.
 
-    ``chunk``: (from this length of the document, ...); clean chunks lie between 0.436 and 0.513.  No text of 128 KB
-    or more is labelled, so that there only loops and noise are refused by chunks.
+    ``chunk``: (from this length of the document, ...); clean chunks lie between 0.436 and 0.513.  A chunk is as long
+    in any document, so one band holds for all.
     """
 
     document: tuple[tuple[int, float, float], ...] = (
@@ -54,7 +54,7 @@ class Bands:
         (1448, 0.480, 0.68), (2048, 0.467, 0.64), (2896, 0.456, 0.62), (4096, 0.441, 0.60), (5793, 0.428, 0.58),
         (8192, 0.420, 0.57), (11585, 0.414, 0.56), (16384, 0.406, 0.55), (32768, 0.391, 0.55), (131072, 0.36, 0.55),
     )
-    chunk: tuple[tuple[int, float, float], ...] = ((0, 0.43, 0.60), (131072, 0.24, 0.72))
+    chunk: tuple[tuple[int, float, float], ...] = ((0, 0.43, 0.60),)
     chunk_bytes: int = 4096
     chunk_share: float = 0.25  # of a document's chunks, out of band, that it may not pass
     level: int = 3
