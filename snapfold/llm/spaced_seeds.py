@@ -136,6 +136,8 @@ class Benchmark:
         return i, words, int(agrees[i:j].sum())
 
 
+NO_ID = -(1 << 63)  # stands for the id of an item that has none
+
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "item_id", "first_word", "n_words", "n_equal")])
 
 
@@ -145,12 +147,12 @@ def blocks(benchmark: DataFrame, settings: Settings, text: str, id_column: str)
     size = 0
     for row in benchmark.select(F.col(id_column).cast("long"), text).toLocalIterator():
         words = tokens(row[1])
-        if row[0] is None or not words:
+        if not words:
             continue
         if held and size + len(words) > settings.block_words:
             yield Benchmark(held, settings)
             held, size = [], 0
-        held.append((row[0], words))
+        held.append((NO_ID if row[0] is None else row[0], words))
         size += len(words)
     if held:
         yield Benchmark(held, settings)
@@ -170,6 +172,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_colum
                 for part, texts in common.parts(batch, "text"):
                     ids = part.column(0)
                     hits = [(ids[t].as_py(), *rest) for t, *rest in sent.value.search(texts)]
+                    hits = [(doc, None if item == NO_ID else item, *rest) for doc, item, *rest in hits]
                     columns = list(zip(*hits, strict=True)) or [()] * 5
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], FOUND.names)
 
