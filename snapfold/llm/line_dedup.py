@@ -185,16 +185,22 @@ def dedup_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id")
         F.col(id_column).alias("__doc"), "__t1", "__t2", F.col("dropped").alias("__dropped"),
         F.xxhash64(id_column, "__t1").alias("__hash"))
     gone = saved(gone, scratch_folder(docs.sparkSession, "lines-gone"))
-    t1, t2 = text_hash(text)
+    # the other columns travel in one, so that none of them can have the name of a column made here
+    others = [c for c in docs.columns if c not in (text, id_column)]
+    packed = docs.select(F.col(f"`{id_column}`").alias("__id"), F.col(f"`{text}`").alias("__text"),
+                         (F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)).alias("__others"))
+    t1, t2 = text_hash("__text")
     # rows that surely lose no line are not shuffled
-    rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column], t1)), gone, "__hash", "__touched").drop("__hash")
-    touched = rows.where("__touched").join(gone.drop("__hash"), _same(id_column, t1, t2), "left")
-    lines = F.split(F.col(text), "\n")
+    rows = common.flag(packed.withColumn("__hash", F.xxhash64("__id", t1)), gone, "__hash", "__touched").drop("__hash")
+    touched = rows.where("__touched").join(gone.drop("__hash"), _same("__id", t1, t2), "left")
+    lines = F.split("__text", "\n")
     left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__dropped", i)), "\n")
-    new = F.when(F.col("__dropped").isNull(), F.col(text)).otherwise(left)
+    new = F.when(F.col("__dropped").isNull(), F.col("__text")).otherwise(left)
     touched = once(touched, __left=new).where("__dropped is null or __left rlike '[^\\\\x20\\\\x09-\\\\x0D]'")
-    changed = touched.select(*[F.col("__left").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
-    return rows.where("not __touched").drop("__touched").unionByName(changed)
+    changed = touched.select("__id", F.col("__left").alias("__text"), "__others")
+    found = rows.where("not __touched").drop("__touched").unionByName(changed)
+    own = {text: F.col("__text"), id_column: F.col("__id")}
+    return found.select(*[(own[c] if c in own else F.col("__others").getField(c)).alias(c) for c in docs.columns])
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,14 +208,20 @@ def keep_first(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -
     # only ids that go, or stand on several rows, need their rows looked at; the others are not shuffled
     special = named.groupBy("id").agg(F.min("__stays").alias("stays"), F.sum("rows").alias("rows"))
     special = saved(special.where("not stays or rows > 1").select(F.xxhash64("id").alias("__hash")), f"{folder}/special")
-    rows = common.flag(docs.withColumn("__hash", F.xxhash64(docs[id_column])), special, "__hash", "__special").drop("__hash")
-    rows = rows.withColumn("__special", F.col("__special") & F.col(id_column).isNotNull())
+    # the other columns travel in one, so that none of them can have the name of a column made here
+    others = [c for c in docs.columns if c not in (text, id_column)]
+    packed = docs.select(F.col(f"`{id_column}`").alias("__own"), F.col(f"`{text}`").alias("__text"),
+                         (F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(0)).alias("__others"))
+    rows = common.flag(packed.withColumn("__hash", F.xxhash64("__own")), special, "__hash", "__special").drop("__hash")
+    rows = rows.withColumn("__special", F.col("__special") & F.col("__own").isNotNull())
     verdicts = named.select(F.col("id").alias("__id"), F.col("fp").alias("__print"), F.col("root").alias("__root"), "__stays")
-    looked_at = rows.where("__special").withColumn("__fp", fingerprint(F.col(text))).join(
+    looked_at = rows.where("__special").withColumn("__fp", fingerprint(F.col("__text"))).join(
         common.likely(verdicts.withColumn("__hash", F.xxhash64("__id")), special, "__hash").drop("__hash"),
-        (F.col(id_column) == F.col("__id")) & (F.col("__fp") == F.col("__print")))
-    stay = looked_at.where("__stays").dropDuplicates([id_column, "__root"]).drop("__fp", "__id", "__print", "__root", "__stays")
-    return rows.where("not __special").unionByName(stay).drop("__special")
+        (F.col("__own") == F.col("__id")) & (F.col("__fp") == F.col("__print")))
+    stay = looked_at.where("__stays").dropDuplicates(["__own", "__root"]).select("__own", "__text", "__others", "__special")
+    found = rows.where("not __special").unionByName(stay)
+    own = {text: F.col("__text"), id_column: F.col("__own")}
+    return found.select(*[(own[c] if c in own else F.col("__others").getField(c)).alias(c) for c in docs.columns])
 
 
 def op4_simhash_covering(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ import re
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from snapfold.llm import line_dedup as op
 
 SF = "/root/testdata/sf0.001"
@@ -107,3 +109,14 @@ def test_texts_that_share_an_id_or_have_none_are_judged_for_themselves(spark, tm
     found = [(r.doc_id, r.n_lines, r.n_dropped) for r in op.op1_line_dedup(spark, str(tmp_path)).collect()]
     assert len(found) == 6 and {n for _, n, _ in found} == {2}
     assert sum(n for _, _, n in found) == 12 - len(lines) and sum(n for i, _, n in found if i is None) in (1, 2)
+
+
+def test_columns_with_any_name_are_kept(spark):
+    names = ("__hash", "__touched", "__dropped", "__bucket", "__marks", "__doc", "__others", "col1", "__id", "__text")
+    line = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(i, line + f"\nown {i}") for i in range(2)], "doc_id long, text string")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    rows = sorted(op.dedup_lines(docs).collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in rows] == [line + "\nown 0", "own 1"]
+    assert [[r[n] for n in names] for r in rows] == [[f"{n}{r.doc_id}" for n in names] for r in rows]

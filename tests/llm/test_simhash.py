@@ -108,3 +108,13 @@ def test_texts_that_share_an_id_each_speak_for_their_component(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = sorted((r.doc_id, r.text) for r in op.keep_first(docs).collect())
     assert kept == sorted([(1, text(3)), (2, text(5)), (4, text(7)), (4, text(11))])
+
+
+def test_columns_with_any_name_are_kept(spark):
+    names = ("__hash", "__special", "__bucket", "__marks", "__own", "__others", "col1", "__fp")
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "quite another text of some words")], "doc_id long, text string")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    rows = sorted(op.keep_first(docs).collect(), key=lambda r: r.doc_id)
+    assert [r.doc_id for r in rows] == [1, 3]
+    assert [[r[n] for n in names] for r in rows] == [[f"{n}{r.doc_id}" for n in names] for r in rows]
