@@ -40,7 +40,7 @@ ADDED = 0.1
 
 @dataclass(frozen=True)
 class Settings:
-    depth: int = 3
+    depth: int = 2
     least: int = 10
     evidence: int = 3
     nats: float = 4.0
@@ -51,7 +51,7 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    rows: DataFrame  # (key, a, b): words' counts, states' and pairs' factors
+    rows: DataFrame  # (key, n, a, b): words' counts, states' and pairs' factors
     tokens: int
     words: int
     states: common.Bits
@@ -213,7 +213,7 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
     found = scan(0)
     counts = found.where(F.col("kind") == WORDS).select(F.col("key").alias("sym"), "n")
     tokens, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    rows = counts.select(F.col("sym").alias("key"), F.col("n").cast("double").alias("a"), F.lit(0.0).alias("b"))
+    rows = counts.select(F.col("sym").alias("key"), "n", F.lit(0.0).cast("float").alias("a"), F.lit(0.0).cast("float").alias("b"))
     before = counts.select("sym", ((F.col("n") + ADDED) / (tokens + ADDED * (words + 1))).alias("q"))
     frequent = counts.where((F.col("n") >= settings.least) & (F.col("sym") != END)).select(
         F.col("sym").alias("ctx"), F.col("n").alias("total"))
@@ -245,7 +245,9 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
         for table in tables[1:]:
             joined = joined.unionByName(table)
         bits.append(common.Bits.of(joined.select("key")))
-        rows = rows.unionByName(joined)
+        # single precision is ample for a factor, and halves what the answers weigh
+        rows = rows.unionByName(joined.select(
+            "key", F.lit(0).cast("long").alias("n"), F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")))
     model = Model(saved(rows, f"{folder}/model"), tokens, words, *bits, settings)
     common.drop_folder(spark, work)
     common.release(spark)
@@ -289,7 +291,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
                 yield _batch(block=np.full(len(some), block, np.int32), key=some)
 
     asked = dealt.mapInArrow(ask, "block int, key long")
-    answers = asked.join(model.rows, "key").select("block", "key", "a", "b")
+    answers = asked.join(model.rows, "key").select("block", "key", "n", "a", "b")
     schema = T.StructType().add("id", docs.schema[id_column].dataType)
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
@@ -297,25 +299,26 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
     def answer(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
         keys = told.column("key").to_numpy().view(np.uint64)
         order = np.argsort(keys)
-        keys, a, b = np.append(keys[order], 0), *(np.append(told.column(c).to_numpy()[order], 0.0) for c in ("a", "b"))
+        keys = np.append(keys[order], 0)
+        n, a, b = (np.append(told.column(c).to_numpy()[order], 0).astype(np.float64) for c in ("n", "a", "b"))
 
-        def look(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def look(wanted: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
             place = np.searchsorted(keys[:-1], wanted)
             there = (place < len(keys) - 1) & (keys[place] == wanted)
-            return there, a[place], b[place]
+            return there, *(c[place] for c in columns)
 
         found = []
         for batch in texts.combine_chunks().to_batches():
             for part, some in common.parts(batch, "text"):
                 tokens = _Tokens(some)
-                there, count, _ = look(tokens.hashed)
+                there, count = look(tokens.hashed, n)
                 p = (np.where(there, count, 0.0) + ADDED) / (known + ADDED * (distinct + 1))
                 base = np.log10(p)
                 for depth in range(1, settings.depth + 1):
                     at = tokens.after(depth)
-                    retained, _, back = look(tokens.keys(depth)[at - depth] ^ STATE)
+                    retained, back = look(tokens.keys(depth)[at - depth] ^ STATE, b)
                     at, back = at[retained], back[retained]
-                    apiece, own, _ = look(tokens.keys(depth + 1)[at - depth] ^ PAIR)
+                    apiece, own = look(tokens.keys(depth + 1)[at - depth] ^ PAIR, a)
                     p[at] = back * p[at] + np.where(apiece, own, 0.0)
                 sums = [np.add.reduceat(x, tokens.starts) for x in (there.astype(np.int64), base, np.log10(p))]
                 found.append(pa.Table.from_arrays(

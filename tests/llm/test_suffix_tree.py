@@ -69,7 +69,7 @@ def corpus(seed, rows=150):
     return out
 
 
-@pytest.mark.parametrize("settings", [op.Settings(least=4, nats=1.0), op.Settings(depth=2, least=6, evidence=2, block_chars=500, range_chars=300), op.Settings(depth=4, least=3, evidence=2, nats=0.3, discount=0.5)])
+@pytest.mark.parametrize("settings", [op.Settings(depth=3, least=4, nats=1.0), op.Settings(depth=2, least=6, evidence=2, block_chars=500, range_chars=300), op.Settings(depth=4, least=3, evidence=2, nats=0.3, discount=0.5)])
 def test_equals_plain_tree(spark, settings):
     train, unseen = corpus(1), corpus(2, 40) + ["p1 p2 p3 never seen"]
     model = op.fit(spark.createDataFrame([(t,) for t in train], "text string").repartition(3), settings=settings)
@@ -84,11 +84,11 @@ def test_equals_plain_tree(spark, settings):
         n, known, base, score = plain.score(text)
         r = got[number]
         assert (r.n_tokens, r.n_known) == (n, known)
-        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-9)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score == pytest.approx(score, rel=1e-6)
 
 
 def test_states_sum_to_one():
-    plain = Plain(corpus(3), op.Settings(least=4, nats=0.5))
+    plain = Plain(corpus(3), op.Settings(depth=3, least=4, nats=0.5))
     for ctx in [(), *list(plain.states)[:60]]:
         total = sum(plain.p(ctx, x) for x in [*plain.next[()], "unknown"])
         assert total == pytest.approx(1, abs=1e-9)
