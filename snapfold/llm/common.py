@@ -172,13 +172,16 @@ def flag(rows: DataFrame, wanted: DataFrame, hashed: str, name: str) -> DataFram
     while bitmaps * BITMAP < 64 * count and bitmaps < MOST_BITMAPS:
         bitmaps *= 2
     bucket = F.pmod(F.shiftright(hashed, 15), F.lit(bitmaps))
-    marks = wanted.groupBy(bucket.alias("__bucket")).agg(
-        F.bitmap_construct_agg(F.pmod(F.col(hashed), F.lit(BITMAP))).alias("__marks"))
+    word, bit = F.pmod(F.shiftright(hashed, 6), F.lit(BITMAP // 64)).cast("int"), F.col(hashed).bitwiseAND(F.lit(63)).cast("int")
+    words = wanted.select(bucket.alias("__bucket"), word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+    words = words.groupBy("__bucket", "word").agg(F.bit_or("bit").alias("bits"))
+    held = words.groupBy("__bucket").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
+    marks = held.select("__bucket", F.transform(
+        F.sequence(F.lit(0), F.lit(BITMAP // 64 - 1)),
+        lambda i: F.coalesce(F.try_element_at("held", i), F.lit(0).cast("long"))).alias("__marks"))
     found = rows.withColumn("__bucket", bucket).join(F.broadcast(marks), "__bucket", "left")
-    byte = F.expr(f"conv(hex(substring(__marks, int(pmod({hashed}, {BITMAP}) div 8) + 1, 1)), 16, 10)").cast("int")
-    found = found.withColumn("__byte", byte)
-    bit = F.expr(f"shiftright(__byte, int(pmod({hashed}, 8))) & 1") == 1
-    return found.withColumn(name, F.coalesce(bit, F.lit(False))).drop("__bucket", "__marks", "__byte")
+    is_set = F.call_function("shiftright", F.get("__marks", word), bit).bitwiseAND(F.lit(1)) == 1
+    return found.withColumn(name, F.coalesce(is_set, F.lit(False))).drop("__bucket", "__marks")
 
 
 def likely(rows: DataFrame, wanted: DataFrame, hashed: str) -> DataFrame:
