@@ -33,7 +33,7 @@ from . import common
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 150_000  # words, and parts of words, that a task keeps; past that it forgets all and goes on
+REMEMBERED = 75_000  # words, and parts of words, in each of the two generations that a task keeps
 
 # Fixed values of the model format: field numbers and kinds.
 PIECES, TRAINER, NORMALISER = 1, 2, 3
@@ -68,6 +68,32 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class Recent(dict):
+    """What was used lately, in two generations: when the young one is full it becomes the old one, which is dropped.
+
+    What is found in the old one is young again, so that frequent words are never encoded twice.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict[str, tuple[int, ...]] = {}
+
+    def get(self, key: str) -> tuple[int, ...] | None:
+        try:
+            return self[key]
+        except KeyError:
+            found = self.old.get(key)
+            if found is not None:
+                self[key] = found
+            return found
+
+    def __setitem__(self, key: str, value: tuple[int, ...]) -> None:
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        super().__setitem__(key, value)
+
+
 class Transducer:
     """Compiled from the bytes of a model file."""
 
@@ -109,8 +135,7 @@ class Transducer:
             raise ValueError("a piece runs over a word start")
         self.raw = np.array([bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(SPACE, " ").encode()
                              for t, k in zip(self.text, self.kind, strict=True)], object)
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.words, self.parts = Recent(), Recent()
         self.pairs: list[dict[int, bool]] = [{} for _ in self.text]  # as many as neighbours occur
         self.origins: dict[str, tuple[float, str, str]] = {}
 
@@ -242,8 +267,6 @@ class Transducer:
         cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joints]
         if not cuts:
             return self.shortest_path(word)
-        if len(parts) >= REMEMBERED:
-            parts.clear()
         ids: tuple[int, ...] = ()
         for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True):
             part = parts.get(word[a:b])
@@ -267,8 +290,6 @@ class Transducer:
             if spaces == 1:
                 ids = words.get(word)
                 if ids is None:
-                    if len(words) >= REMEMBERED:
-                        words.clear()
                     ids = words[word] = self.path(SPACE + word)
             else:
                 ids = self.path(SPACE * spaces + word)
