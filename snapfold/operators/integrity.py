@@ -120,7 +120,15 @@ def _has_no_parent(rows: DataFrame, reference: Reference, parent: DataFrame, fla
 def enforce(
     rows: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None, stored: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every rule of the table, and the others with ``violations``.
+    """Rows that keep every rule of the table, and the others with ``violations``; see :func:`checked`."""
+    found = checked(rows, table, parents, stored)
+    return found.where(F.size("violations") == 0).drop("violations"), found.where(F.size("violations") > 0)
+
+
+def checked(
+    rows: DataFrame, table: Table, parents: Mapping[str, DataFrame] | None = None, stored: DataFrame | None = None
+) -> DataFrame:
+    """Add ``violations``: names of all rules of the table that a row breaks.
 
     References are checked for the parents given.  UNIQUE rules are those of the other keys: the primary key is
     what a merge folds on.  Only rows that keep the row-wise rules are held against other rows, so a refused row
@@ -140,8 +148,6 @@ def enforce(
             kept = _has_no_parent(kept, reference, parents[reference.parent], f"_orphan_{number}")
             flags[f"_orphan_{number}"] = reference_code(reference)
     if not flags:
-        return kept, broken
+        return rule_violations(rows, table)
     found = F.array_distinct(F.array_compact(F.array(*[F.when(F.col(f), F.lit(code)) for f, code in flags.items()])))
-    checked = once(kept, violations=found).drop(*flags)
-    refused = checked.where(F.size("violations") > 0)
-    return checked.where(F.size("violations") == 0).drop("violations"), broken.unionByName(refused)
+    return once(kept, violations=found).drop(*flags).unionByName(broken)

@@ -31,9 +31,13 @@ class Parsed:
     broken_rows: DataFrame  # (ingestion_id, table_name, violations): accepted by the gates, refused by a table rule
 
 
-def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder: str | None = None) -> Parsed:
+def parse(
+    raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder: str | None = None, checked: str | None = None
+) -> Parsed:
     """Parse and gate raw rows; rows that still carry their parts are not parsed again.
 
+    With ``checked``, a folder, the rows of each table are checked once and written there.
+
     With a ``folder`` the parts are written there once, and everything after reads
     those columns instead of parsing the documents again.
     """
@@ -42,24 +46,31 @@ def parse(raw: DataFrame, stamp: Column, source_name: str = SOURCE_NAME, folder:
     parts = raw.drop("payload_xml", "payload")
     if folder:
         parts = saved(parts, folder)
+
+    def at(name: str) -> str | None:
+        return f"{checked}/{name}" if checked else None
+
     gated = gates.document_gate(parts, source_name)
     valid = gates.accepted(gated)
     weather_gated = gates.weather_gate(valid)
-    headers, no_header = _kept(documents.headers(valid, stamp), HEADER, parents={RAW.name: parts.select("raw_id")})
+    headers, no_header = _kept(documents.headers(valid, stamp), HEADER, parents={RAW.name: parts.select("raw_id")}, folder=at("headers"))
     staged = {HEADER.name: headers.select("ingestion_id")}
-    populations, no_population = _kept(documents.populations(valid, stamp, with_call=True), POPULATION, parents=staged)
+    populations, no_population = _kept(documents.populations(valid, stamp, with_call=True), POPULATION, parents=staged, folder=at("populations"))
     weathers, no_weather = _kept(
-        documents.weathers(gates.accepted(weather_gated), stamp, with_call=True), WEATHER, parents=staged)
+        documents.weathers(gates.accepted(weather_gated), stamp, with_call=True), WEATHER, parents=staged, folder=at("weathers"))
     refused = no_header.unionByName(no_population).unionByName(no_weather)
     return Parsed(gated, weather_gated, headers, populations, weathers, refused)
 
 
 def _kept(
     rows: DataFrame, table: Table, ingestion: str = "ingestion_id",
-    parents: Mapping[str, DataFrame] | None = None, stored: DataFrame | None = None,
+    parents: Mapping[str, DataFrame] | None = None, stored: DataFrame | None = None, folder: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep a table's rules, and what the others break."""
-    kept, broken = integrity.enforce(rows, table, parents, stored)
+    """Rows that keep a table's rules, and what the others break; with a ``folder`` they are checked once."""
+    found = integrity.checked(rows, table, parents, stored)
+    if folder:
+        found = saved(found, folder)
+    kept, broken = found.where(F.size("violations") == 0).drop("violations"), found.where(F.size("violations") > 0)
     return kept, broken.select(F.col(ingestion).alias("ingestion_id"), F.lit(table.name).alias("table_name"), "violations")
 
 
@@ -124,9 +135,10 @@ def _run_batch(
     stored, broken_calls = _kept(classified, RAW, "raw_id")
     tables.append(RAW.name, stored.select(*RAW.columns), batch_id, mark="raw_id")
 
-    parsed = parse(stored, stamp, source_name)
+    parsed = parse(stored, stamp, source_name, checked=parsed_folder)
     tables.merge(HEADER.name, parsed.headers, batch_id)
-    populations, twice = _kept(parsed.populations, POPULATION, stored=tables.read(POPULATION.name))
+    populations, twice = _kept(
+        parsed.populations, POPULATION, stored=tables.read(POPULATION.name), folder=f"{parsed_folder}/new")
     tables.merge(POPULATION.name, populations, batch_id)
     weather_staged = tables.merge(WEATHER.name, parsed.weathers, batch_id)
 
@@ -137,9 +149,11 @@ def _run_batch(
     )
     dims = dict(zip((DIM_LOCATION.name, DIM_DATE.name, DIM_HOUR.name), _dims(tables)))
     city, broken_city = _kept(
-        facts.city_fact_rows(parsed.populations, dims[DIM_LOCATION.name], stamp), FACT_CITY, "source_ingestion_id", dims)
+        facts.city_fact_rows(parsed.populations, dims[DIM_LOCATION.name], stamp), FACT_CITY, "source_ingestion_id", dims,
+        folder=f"{parsed_folder}/city")
     weather, broken_weather = _kept(
-        facts.weather_fact_rows(parsed.weathers, dims[DIM_LOCATION.name], stamp), FACT_WEATHER, "source_ingestion_id", dims)
+        facts.weather_fact_rows(parsed.weathers, dims[DIM_LOCATION.name], stamp), FACT_WEATHER, "source_ingestion_id",
+        dims, folder=f"{parsed_folder}/weather")
     city_days = tables.merge(FACT_CITY.name, city, batch_id)
     weather_days = tables.merge(FACT_WEATHER.name, weather, batch_id)
     hour_states.update(tables, hour_states.POPULATION, city, city_days, batch_id)
