@@ -12,8 +12,10 @@ left to unknown words at the root.
 Counts come from the whole corpus and live in tables keyed by 64-bit hashes of word sequences.  Tasks count what
 they read and send packed arrays, dealt by key ranges whose number grows with the corpus, so no key is hot.  Most
 sequences occur once: 32 bits of each key are counted first, and only sequences that may reach ``evidence`` are sent
-whole and counted exactly.  Texts are scored in blocks: a block asks for the distinct keys of its tokens, a join answers from the model, and the answers meet
-the block's texts again.  Bitmaps of bounded size keep most questions without an answer from being asked.
+whole and counted exactly.  Texts are scored in blocks: a block asks for the distinct keys of its tokens, packed by
+key range; each range answers from its part of the model with one number for each key, in the order asked; and the
+answers meet the block's texts again, which give the same keys in the same order.  Bitmaps of bounded size keep most
+questions without an answer from being asked.
 
 Defined results: null texts are empty, hence the end token alone; rows without an id are learned from; texts are read
 whole; repeated rows count and score each; with nothing to learn from, every token has probability 1; an empty table
@@ -27,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import saved, scratch_folder
@@ -51,9 +54,10 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    rows: DataFrame  # (key, n, a, b): words' counts, states' and pairs' factors
+    rows: DataFrame  # (key, n, f): words' counts, states' and pairs' factors
     tokens: int
     words: int
+    ranges: int  # of keys, by the size of what was learned from
     states: common.Bits
     pairs: common.Bits
     settings: Settings
@@ -177,6 +181,87 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
     return docs.select("text").mapInArrow(run, PACKED).groupBy("kind", "range").applyInArrow(reduce, COUNTED)
 
 
+WORD, FACTOR = 0, 1  # what is asked for
+KINDS = {WORD: np.int64, FACTOR: np.float32}
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of numbers, first bytes first: those that hardly vary lie together and compress well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().reshape(-1).view(kind)
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _walked(planes: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(planes, np.uint64), dtype=np.uint64)
+
+
+def _by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+    """The ranges, by first bits, that sorted keys fall in, and where the keys of each stand."""
+    own = (keys >> np.uint64(65 - ranges.bit_length())).astype(np.int32)
+    edges = np.flatnonzero(np.diff(own, prepend=-1))
+    for start, end in zip(edges.tolist(), [*edges[1:].tolist(), len(keys)]):
+        yield int(own[start]), slice(start, end)
+
+
+def _packed_model(rows: DataFrame, ranges: int) -> DataFrame:
+    """(kind, range, key, value): the model's keys and numbers, many to a row."""
+    def pack(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, f = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("key", "n", "f"))
+        key = key.view(np.uint64)
+        for kind, of_kind, values in ((WORD, n > 0, n), (FACTOR, n == 0, f)):
+            order = np.flatnonzero(of_kind)
+            order = order[np.argsort(key[order])]
+            keys, numbers = key[order], values[order].astype(KINDS[kind])
+            cut = list(_by_range(keys, ranges))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(len(cut), kind, np.int32)), pa.array([r for r, _ in cut], pa.int32()),
+                pa.array([_steps(keys[at]) for _, at in cut], pa.binary()),
+                pa.array([_planes(numbers[at]) for _, at in cut], pa.binary())], ["kind", "range", "key", "value"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= common.Tally.LIMIT:
+                yield from pack(held)
+                held, size = [], 0
+        if held:
+            yield from pack(held)
+
+    return rows.mapInArrow(run, "kind int, range int, key binary, value binary")
+
+
+def _tell(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
+    """For each block that asks in one range of keys, the number of each of its keys in order; 0 if there is none."""
+    own, number = key[0].as_py(), key[1].as_py()
+    keys = [_walked(raw) for raw in known.column("key").to_pylist()]
+    values = [_numbers(raw, KINDS[own]) for raw in known.column("value").to_pylist()]
+    keys = np.concatenate([*keys, np.zeros(0, np.uint64)])
+    values = np.concatenate([*values, np.zeros(0, KINDS[own])])
+    order = np.argsort(keys)
+    keys, values = keys[order], np.append(values[order], KINDS[own](0))
+    told = []
+    for raw in asked.column("key").to_pylist():
+        wanted = _walked(raw)
+        place = np.searchsorted(keys, wanted)
+        there = np.append(keys, np.uint64(0))[place] == wanted
+        told.append(_planes(values[np.where(there & (place < len(keys)), place, len(keys))]))
+    blocks = asked.column("block").to_pylist()
+    return pa.table({
+        "block": pa.array(blocks, pa.int32()), "kind": pa.array([own] * len(blocks), pa.int32()),
+        "range": pa.array([number] * len(blocks), pa.int32()), "value": pa.array(told, pa.binary())})
+
+
 def _joined_keys(rows: DataFrame) -> DataFrame:
     """Adds ``key``: that of the context with the symbol behind it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +285,7 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
     """Learn from all rows of ``docs``."""
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession, "suffix-tree")
     docs, work = docs.select(F.col(f"`{text}`").alias("text")), f"{folder}/work"
-    ranges = 1 << max(4, (_chars(docs) // settings.range_chars).bit_length())
+    ranges = _ranges(_chars(docs), settings)
 
     def scan(depth: int, *sifts: common.Bits | None) -> DataFrame:
         found = saved(_scan(docs, depth, ranges, settings, *(sifts or (None, None))), f"{work}/counts-{depth}")
@@ -213,7 +298,7 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
     found = scan(0)
     counts = found.where(F.col("kind") == WORDS).select(F.col("key").alias("sym"), "n")
     tokens, words = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    rows = counts.select(F.col("sym").alias("key"), "n", F.lit(0.0).cast("float").alias("a"), F.lit(0.0).cast("float").alias("b"))
+    rows = counts.select(F.col("sym").alias("key"), "n", F.lit(0.0).cast("float").alias("f"))
     before = counts.select("sym", ((F.col("n") + ADDED) / (tokens + ADDED * (words + 1))).alias("q"))
     frequent = counts.where((F.col("n") >= settings.least) & (F.col("sym") != END)).select(
         F.col("sym").alias("ctx"), F.col("n").alias("total"))
@@ -233,9 +318,9 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
         pairs = known.join(states, "ctx", "left").withColumn("a", (F.col("n") - settings.discount) / F.col("total"))
         pairs = pairs.select("ctx", "sym", "n", F.coalesce(F.col("a") + F.col("b") * F.col("q"), "q").alias("q"), "a", "b")
         pairs = saved(_joined_keys(pairs), f"{work}/pairs-{depth}")
-        all_states.append(states.select(F.col("ctx").bitwiseXOR(F.lit(int(STATE.view(np.int64)))).alias("key"), F.lit(0.0).alias("a"), "b"))
+        all_states.append(states.select(F.col("ctx").bitwiseXOR(F.lit(int(STATE.view(np.int64)))).alias("key"), F.col("b").alias("f")))
         all_pairs.append(pairs.where("b is not null").select(
-            F.col("key").bitwiseXOR(F.lit(int(PAIR.view(np.int64)))).alias("key"), "a", "b"))
+            F.col("key").bitwiseXOR(F.lit(int(PAIR.view(np.int64)))).alias("key"), F.col("a").alias("f")))
         before = pairs.select(F.col("ctx").alias("up"), "sym", "q")
         frequent = pairs.where((F.col("n") >= settings.least) & (F.col("sym") != END)).select(
             F.col("key").alias("ctx"), F.col("n").alias("total"))
@@ -246,9 +331,8 @@ def fit(docs: DataFrame, text: str = "text", settings: Settings = Settings()) ->
             joined = joined.unionByName(table)
         bits.append(common.Bits.of(joined.select("key")))
         # single precision is ample for a factor, and halves what the answers weigh
-        rows = rows.unionByName(joined.select(
-            "key", F.lit(0).cast("long").alias("n"), F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")))
-    model = Model(saved(rows, f"{folder}/model"), tokens, words, *bits, settings)
+        rows = rows.unionByName(joined.select("key", F.lit(0).cast("long").alias("n"), F.col("f").cast("float").alias("f")))
+    model = Model(saved(rows, f"{folder}/model"), tokens, words, ranges, *bits, settings)
     common.drop_folder(spark, work)
     common.release(spark)
     return model
@@ -258,72 +342,92 @@ def _chars(texts: DataFrame) -> int:
     return texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
 
 
+def _ranges(chars: int, settings: Settings) -> int:
+    return 1 << max(4, (chars // settings.range_chars).bit_length())
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(id, n_tokens, n_known, base_score, score) of every row."""
     settings, known, distinct = model.settings, model.tokens, model.words
     states, pairs = model.states, model.pairs
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"))
-    blocks = 1 + _chars(rows) // settings.block_chars
+    chars = _chars(rows)
+    blocks, ranges = 1 + chars // settings.block_chars, max(model.ranges, _ranges(chars, settings))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
-    def questions(tokens: _Tokens) -> list[np.ndarray]:
-        found = [common.distinct(tokens.hashed)]
+    def questions(tokens: _Tokens) -> tuple[np.ndarray, np.ndarray]:
+        found = []
         for depth in range(1, settings.depth + 1):
             at = tokens.after(depth) - depth
-            state = common.distinct(tokens.keys(depth)[at] ^ STATE)
-            at = at[states.has(tokens.keys(depth)[at] ^ STATE)]
-            pair = common.distinct(tokens.keys(depth + 1)[at] ^ PAIR)
-            found += [state[states.has(state)], pair[pairs.has(pair)]]
-        return found
+            state = tokens.keys(depth)[at] ^ STATE
+            has = states.has(state)
+            pair = tokens.keys(depth + 1)[at[has]] ^ PAIR
+            found += [state[has], pair[pairs.has(pair)]]
+        return common.distinct(tokens.hashed), common.distinct(np.concatenate(found))
+
+    def merged(held: tuple[np.ndarray, ...] | None, more: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        return tuple(common.distinct(np.concatenate(both)) for both in zip(held, more)) if held else more
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, tuple[np.ndarray, ...]] = {}
         for batch in batches:
             own = batch.column("block").to_numpy()
             for block in np.unique(own).tolist():
                 texts = batch.filter(pa.array(own == block))
                 for _, some in common.parts(texts, "text"):
-                    asked = np.concatenate(questions(_Tokens(some)))
-                    held[block] = common.distinct(np.concatenate((held.get(block, asked), asked)))
-        for block, keys in held.items():
-            for at in range(0, len(keys), 100_000):
-                some = keys[at:at + 100_000]
-                yield _batch(block=np.full(len(some), block, np.int32), key=some)
-
-    asked = dealt.mapInArrow(ask, "block int, key long")
-    answers = asked.join(model.rows, "key").select("block", "key", "n", "a", "b")
+                    held[block] = merged(held.get(block), questions(_Tokens(some)))
+        for block, wanted in held.items():
+            for kind, keys in enumerate(wanted):
+                cut = list(_by_range(keys, ranges))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(cut), block, np.int32)), pa.array(np.full(len(cut), kind, np.int32)),
+                    pa.array([r for r, _ in cut], pa.int32()), pa.array([_steps(keys[at]) for _, at in cut], pa.binary()),
+                ], ["block", "kind", "range", "key"])
+
+    asked = dealt.mapInArrow(ask, "block int, kind int, range int, key binary")
+    answers = asked.groupBy("kind", "range").cogroup(_packed_model(model.rows, ranges).groupBy("kind", "range")).applyInArrow(
+        _tell, "block int, kind int, range int, value binary")
     schema = T.StructType().add("id", docs.schema[id_column].dataType)
     for name, kind in (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("score", "double")):
         schema = schema.add(name, kind)
 
     def answer(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
-        keys = told.column("key").to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        keys = np.append(keys[order], 0)
-        n, a, b = (np.append(told.column(c).to_numpy()[order], 0).astype(np.float64) for c in ("n", "a", "b"))
-
-        def look(wanted: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
-            place = np.searchsorted(keys[:-1], wanted)
-            there = (place < len(keys) - 1) & (keys[place] == wanted)
-            return there, *(c[place] for c in columns)
+        parts = [part for batch in texts.combine_chunks().to_batches() for part in common.parts(batch, "text")]
+        wanted = None
+        for _, some in parts:
+            wanted = merged(wanted, questions(_Tokens(some)))
+        told = told.sort_by("range")
+        numbers = {}
+        for kind, dtype in KINDS.items():
+            raw = told.filter(pc.equal(told.column("kind"), kind)).column("value").to_pylist()
+            numbers[kind] = np.concatenate([*(_numbers(r, dtype) for r in raw), np.zeros(1, dtype)]).astype(np.float64)
+
+        def look(kind: int, keys: np.ndarray) -> np.ndarray:
+            """The numbers of keys, 0 for one that was not asked for."""
+            held, place = wanted[kind], np.searchsorted(wanted[kind], keys)
+            there = np.append(held, np.uint64(0))[place] == keys
+            return numbers[kind][np.where(there, place, len(held))]
 
         found = []
-        for batch in texts.combine_chunks().to_batches():
-            for part, some in common.parts(batch, "text"):
-                tokens = _Tokens(some)
-                there, count = look(tokens.hashed, n)
-                p = (np.where(there, count, 0.0) + ADDED) / (known + ADDED * (distinct + 1))
-                base = np.log10(p)
-                for depth in range(1, settings.depth + 1):
-                    at = tokens.after(depth)
-                    retained, back = look(tokens.keys(depth)[at - depth] ^ STATE, b)
-                    at, back = at[retained], back[retained]
-                    apiece, own = look(tokens.keys(depth + 1)[at - depth] ^ PAIR, a)
-                    p[at] = back * p[at] + np.where(apiece, own, 0.0)
-                sums = [np.add.reduceat(x, tokens.starts) for x in (there.astype(np.int64), base, np.log10(p))]
-                found.append(pa.Table.from_arrays(
-                    [pa.chunked_array([part.column("id")]), *(pa.chunked_array([x]) for x in (tokens.sizes, *sums))],
-                    ["id", "n_tokens", "n_known", "base_score", "score"]))
+        for part, some in parts:
+            tokens = _Tokens(some)
+            count = look(WORD, tokens.hashed)
+            base = (count + ADDED) / (known + ADDED * (distinct + 1))
+            p = base.copy()
+            for depth in range(1, settings.depth + 1):
+                at = tokens.after(depth)
+                state = tokens.keys(depth)[at - depth] ^ STATE
+                has = states.has(state)
+                at, back = at[has], look(FACTOR, state[has])
+                at, back = at[back > 0], back[back > 0]
+                pair = tokens.keys(depth + 1)[at - depth] ^ PAIR
+                apiece, own = pairs.has(pair), np.zeros(len(at))
+                own[apiece] = look(FACTOR, pair[apiece])
+                p[at] = back * p[at] + own
+            sums = [np.add.reduceat(x, tokens.starts) for x in ((count > 0).astype(np.int64), np.log10(base), np.log10(p))]
+            found.append(pa.Table.from_arrays(
+                [pa.chunked_array([part.column("id")]), *(pa.chunked_array([x]) for x in (tokens.sizes, *sums))],
+                ["id", "n_tokens", "n_known", "base_score", "score"]))
         return pa.concat_tables(found)
 
     scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, schema)
