@@ -82,6 +82,10 @@ class _Tokens:
         self.place = np.arange(len(self.hashed)) - np.repeat(self.starts, self.sizes)
         self._keys = [self.hashed]
 
+    def forget(self) -> None:
+        """Let go of all keys but those of single tokens."""
+        del self._keys[1:]
+
     def keys(self, size: int) -> np.ndarray:
         """Of the ``size`` tokens that begin at each place."""
         while len(self._keys) < size:
@@ -98,6 +102,33 @@ def _batch(**columns: np.ndarray) -> pa.RecordBatch:
         [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns.values()], list(columns))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """The bytes of numbers, first bytes first: those that hardly vary lie together and compress well."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().reshape(-1).view(kind)
+
+
+def _steps(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them."""
+    return _planes(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def _walked(planes: bytes, kind: type = np.uint64) -> np.ndarray:
+    return np.cumsum(_numbers(planes, kind), dtype=kind)
+
+
+def _by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
+    """The ranges, by first bits, that sorted keys fall in, and where the keys of each stand."""
+    own = (keys >> np.uint64(65 - ranges.bit_length())).astype(np.int32)
+    edges = np.flatnonzero(np.diff(own, prepend=-1))
+    for start, end in zip(edges.tolist(), [*edges[1:].tolist(), len(keys)]):
+        yield int(own[start]), slice(start, end)
+
+
 WORDS, NEXT, LIKELY = 0, 1, 2
 PACKED = "kind int, range int, key binary, up binary, sym binary, n binary"
 COUNTED = "kind int, key long, up long, sym long, n long"
@@ -119,14 +150,14 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
     Depth 0 counts the words.  The sequences of a depth that are likely to occur often enough are found in the pass
     before, among those whose context is.
     """
-    shift = np.uint64(ranges.bit_length() - 1)
+    low = np.uint64(33 - ranges.bit_length())  # bits of a sequence that are not counted: all but 32 behind its range's
 
     def count(tokens: _Tokens) -> Iterator[tuple]:
         if depth == 0:
             yield WORDS, *np.unique(tokens.hashed, return_counts=True)
         else:
             at = tokens.after(depth) - depth
-            at = at[frequent.has(tokens.keys(depth)[at]) & likely.has(tokens.keys(depth + 1)[at])]
+            at = at[frequent.has(tokens.keys(depth)[at]) & likely.has(tokens.keys(depth + 1)[at] >> low)]
             keys, first, n = np.unique(tokens.keys(depth + 1)[at], return_index=True, return_counts=True)
             at = at[first]
             up = tokens.keys(depth - 1)[at + 1] if depth > 1 else np.zeros(len(at), np.uint64)
@@ -134,16 +165,21 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
         if depth < settings.depth:
             at = tokens.after(depth + 1) - depth - 1
             if depth:
-                at = at[likely.has(tokens.keys(depth + 1)[at])]
+                at = at[likely.has(tokens.keys(depth + 1)[at] >> low)]
             yield LIKELY, *np.unique(tokens.keys(depth + 2)[at], return_counts=True)
 
     def pack(kind: int, keys: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if kind == WORDS:
-            yield from _packed(kind, ranges, keys, keys, n=n)
-        elif kind == LIKELY:
-            yield from _packed(kind, ranges, keys, (keys >> shift).astype(np.uint32), n=np.minimum(n, 255).astype(np.uint8))
-        else:
+        if kind == NEXT:
             yield from _packed(kind, ranges, keys, columns[0], up=columns[1], sym=columns[2], n=n)
+            return
+        cut = list(_by_range(keys, ranges))
+        if kind == LIKELY:
+            keys, n = (keys >> low).astype(np.uint32), np.minimum(n, 255).astype(np.uint8)
+        nothing = pa.nulls(len(cut), pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(cut), kind, np.int32)), pa.array([r for r, _ in cut], pa.int32()),
+             pa.array([_steps(keys[at]) for _, at in cut], pa.binary()), nothing, nothing,
+             pa.array([_planes(n[at]) for _, at in cut], pa.binary())], ["kind", "range", "key", "up", "sym", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = {kind: common.Tally() for kind in (WORDS, NEXT, LIKELY)}
@@ -158,12 +194,13 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
 
     def reduce(key: tuple, rows: pa.Table) -> pa.Table:
         kind, own = key[0].as_py(), key[1].as_py()
-        if kind == LIKELY:
-            keys, place = np.unique(common.unpacked(rows, "key", np.uint32), return_inverse=True)
-            keys, n, first = keys.astype(np.uint64) << shift | np.uint64(own), common.unpacked(rows, "n", np.uint8), None
-        elif kind == WORDS:
-            keys, place = np.unique(common.unpacked(rows, "key", np.uint64), return_inverse=True)
-            n, first = common.unpacked(rows, "n", np.int64), None
+        if kind != NEXT:
+            of_key, of_n = (np.uint32, np.uint8) if kind == LIKELY else (np.uint64, np.int64)
+            keys = np.concatenate([_walked(raw, of_key) for raw in rows.column("key").to_pylist()])
+            n, first = np.concatenate([_numbers(raw, of_n) for raw in rows.column("n").to_pylist()]), None
+            keys, place = np.unique(keys, return_inverse=True)
+            if kind == LIKELY:
+                keys = keys.astype(np.uint64) | np.uint64(own << 32)
         else:
             contexts, symbols = common.unpacked(rows, "key", np.uint64), common.unpacked(rows, "sym", np.uint64)
             _, first, place = np.unique(common.mixed(contexts) ^ symbols, return_index=True, return_inverse=True)
@@ -185,33 +222,6 @@ WORD, FACTOR = 0, 1  # what is asked for
 KINDS = {WORD: np.int64, FACTOR: np.float32}
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """The bytes of numbers, first bytes first: those that hardly vary lie together and compress well."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-
-
-def _numbers(planes: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().reshape(-1).view(kind)
-
-
-def _steps(keys: np.ndarray) -> bytes:
-    """Sorted keys as the steps between them."""
-    return _planes(np.diff(keys, prepend=np.uint64(0)))
-
-
-def _walked(planes: bytes) -> np.ndarray:
-    return np.cumsum(_numbers(planes, np.uint64), dtype=np.uint64)
-
-
-def _by_range(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
-    """The ranges, by first bits, that sorted keys fall in, and where the keys of each stand."""
-    own = (keys >> np.uint64(65 - ranges.bit_length())).astype(np.int32)
-    edges = np.flatnonzero(np.diff(own, prepend=-1))
-    for start, end in zip(edges.tolist(), [*edges[1:].tolist(), len(keys)]):
-        yield int(own[start]), slice(start, end)
-
-
 def _packed_model(rows: DataFrame, ranges: int) -> DataFrame:
     """(kind, range, key, value): the model's keys and numbers, many to a row."""
     def pack(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,6 +251,25 @@ def _packed_model(rows: DataFrame, ranges: int) -> DataFrame:
     return rows.mapInArrow(run, "kind int, range int, key binary, value binary")
 
 
+class _Held:
+    """Numbers of sorted, well-spread keys.  A key's first bits say where to begin looking, a step or two away."""
+
+    def __init__(self, keys: np.ndarray, numbers: np.ndarray) -> None:
+        bits = max(1, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.keys, self.numbers = np.append(keys, np.uint64(2**64 - 1)), np.append(numbers, 0)
+
+    def of(self, wanted: np.ndarray) -> np.ndarray:
+        """The numbers of keys; 0 for one that is not held."""
+        place = self.starts[wanted >> self.shift]
+        behind = np.flatnonzero(self.keys[place] < wanted)
+        while len(behind):
+            place[behind] += 1
+            behind = behind[self.keys[place[behind]] < wanted[behind]]
+        return np.where(self.keys[place] == wanted, self.numbers[place], 0)
+
+
 def _tell(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
     """For each block that asks in one range of keys, the number of each of its keys in order; 0 if there is none."""
     own, number = key[0].as_py(), key[1].as_py()
@@ -392,41 +421,33 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
         schema = schema.add(name, kind)
 
     def answer(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
-        parts = [part for batch in texts.combine_chunks().to_batches() for part in common.parts(batch, "text")]
-        wanted = None
-        for _, some in parts:
-            wanted = merged(wanted, questions(_Tokens(some)))
-        told = told.sort_by("range")
-        numbers = {}
+        parts, wanted = [], None
+        for batch in texts.combine_chunks().to_batches():
+            for part, some in common.parts(batch, "text"):
+                tokens = _Tokens(some)
+                wanted = merged(wanted, questions(tokens))
+                tokens.forget()
+                parts.append((part.column("id"), tokens))
+        told, held = told.sort_by("range"), []
         for kind, dtype in KINDS.items():
             raw = told.filter(pc.equal(told.column("kind"), kind)).column("value").to_pylist()
-            numbers[kind] = np.concatenate([*(_numbers(r, dtype) for r in raw), np.zeros(1, dtype)]).astype(np.float64)
-
-        def look(kind: int, keys: np.ndarray) -> np.ndarray:
-            """The numbers of keys, 0 for one that was not asked for."""
-            held, place = wanted[kind], np.searchsorted(wanted[kind], keys)
-            there = np.append(held, np.uint64(0))[place] == keys
-            return numbers[kind][np.where(there, place, len(held))]
+            numbers = np.concatenate([*(_numbers(r, dtype) for r in raw), np.zeros(0, dtype)])
+            held.append(_Held(wanted[kind], numbers.astype(np.float64)))
 
         found = []
-        for part, some in parts:
-            tokens = _Tokens(some)
-            count = look(WORD, tokens.hashed)
+        for ids, tokens in parts:
+            count = held[WORD].of(tokens.hashed)
             base = (count + ADDED) / (known + ADDED * (distinct + 1))
             p = base.copy()
             for depth in range(1, settings.depth + 1):
                 at = tokens.after(depth)
-                state = tokens.keys(depth)[at - depth] ^ STATE
-                has = states.has(state)
-                at, back = at[has], look(FACTOR, state[has])
+                back = held[FACTOR].of(tokens.keys(depth)[at - depth] ^ STATE)
                 at, back = at[back > 0], back[back > 0]
-                pair = tokens.keys(depth + 1)[at - depth] ^ PAIR
-                apiece, own = pairs.has(pair), np.zeros(len(at))
-                own[apiece] = look(FACTOR, pair[apiece])
-                p[at] = back * p[at] + own
+                p[at] = back * p[at] + held[FACTOR].of(tokens.keys(depth + 1)[at - depth] ^ PAIR)
+            tokens.forget()
             sums = [np.add.reduceat(x, tokens.starts) for x in ((count > 0).astype(np.int64), np.log10(base), np.log10(p))]
             found.append(pa.Table.from_arrays(
-                [pa.chunked_array([part.column("id")]), *(pa.chunked_array([x]) for x in (tokens.sizes, *sums))],
+                [pa.chunked_array([ids]), *(pa.chunked_array([x]) for x in (tokens.sizes, *sums))],
                 ["id", "n_tokens", "n_known", "base_score", "score"]))
         return pa.concat_tables(found)
 
