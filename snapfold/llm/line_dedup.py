@@ -44,12 +44,16 @@ def text_hash(text: str) -> list[Column]:
     return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
 
-def lines_of(docs: DataFrame, text: str, id_column: str) -> DataFrame:
-    """(doc, t1, t2, line, words, h1, h2) of every line with a word; h1 and h2 name its content."""
+def bodies_of(docs: DataFrame, text: str, id_column: str) -> DataFrame:
+    """(doc, t1, t2, line, body) of every line."""
     t1, t2 = text_hash(text)
     rows = docs.select(F.col(id_column).alias("doc"), t1.alias("t1"), t2.alias("t2"), F.col(text).alias("body"))
-    rows = rows.select("doc", "t1", "t2", F.posexplode(F.split("body", "\n")).alias("line", "body"))
-    rows = once(rows, words=F.split(F.btrim("body", F.lit(SPACES)), r"[\x20\x09-\x0D]+")).where("words[0] != ''")
+    return rows.select("doc", "t1", "t2", F.posexplode(F.split("body", "\n")).alias("line", "body"))
+
+
+def with_words(bodies: DataFrame) -> DataFrame:
+    """(doc, t1, t2, line, words, h1, h2) of every line with a word; h1 and h2 name its content."""
+    rows = once(bodies, words=F.split(F.btrim("body", F.lit(SPACES)), r"[\x20\x09-\x0D]+")).where("words[0] != ''")
     return rows.select(*PLACE, "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
 
 
@@ -109,7 +113,7 @@ def _without(words: str, place: str) -> Column:
         F.concat(F.slice(words, F.lit(1), F.greatest(p, F.lit(0))), F.slice(words, p + 2, F.size(words))))
 
 
-def near_links(lines: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
+def near_links(bodies: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
     """(h1, h2, near): the earliest place of a content that is one edit from this one."""
     keys = contents.where("halves is not null").select("h1", "h2", F.inline("halves"))
     shared = keys.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo != hi").select("key")
@@ -120,8 +124,8 @@ def near_links(lines: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
     found = sift(contents.select("h1", "h2", "first"), found)
     found = saved(found.withColumn("spot", F.xxhash64(*[f"first.{c}" for c in PLACE])), f"{folder}/likely")
     # the words of each such content, from the line that has it first
-    rows = common.likely(lines.withColumn("spot", F.xxhash64(*PLACE)), found, "spot")
-    rows = rows.drop("spot").join(found.drop("spot"), ["h1", "h2"])
+    rows = with_words(common.likely(bodies.withColumn("spot", F.xxhash64(*PLACE)), found, "spot"))
+    rows = rows.join(found.drop("spot"), ["h1", "h2"])
     rows = rows.where(F.struct(*PLACE).eqNullSafe(F.col("first"))).drop("first")
     rows = saved(rows.dropDuplicates(["h1", "h2"]), f"{folder}/rows")
 
@@ -155,16 +159,18 @@ def near_links(lines: DataFrame, contents: DataFrame, folder: str) -> DataFrame:
 def dropped_lines(docs: DataFrame, text: str = "text", id_column: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """(doc, t1, t2, line, first): each line that goes, and where its earliest copy stands."""
     folder = scratch_folder(docs.sparkSession, "lines")
-    lines = lines_of(docs, text, id_column)
+    bodies = bodies_of(docs, text, id_column)
     halves = F.when(F.size("words") >= min_words, _halves())
-    contents = once(lines, halves=halves).groupBy("h1", "h2").agg(
+    # the hashes of all lines are written, so that what needs no words reads no texts
+    lines = saved(once(with_words(bodies), halves=halves).select(*PLACE, "h1", "h2", "halves"), f"{folder}/hashes")
+    contents = lines.groupBy("h1", "h2").agg(
         F.min(F.struct(*PLACE)).alias("first"), F.count("*").alias("times"), F.first("halves").alias("halves"))
     contents = saved(contents, f"{folder}/contents")
-    near = saved(near_links(lines, contents, folder), f"{folder}/near")
+    near = saved(near_links(bodies, contents, folder), f"{folder}/near")
     several = common.flag(contents.select("h1", "h2", "first", "times"), near, "h1", "linked").where("times > 1 or linked")
     copied = several.join(near, ["h1", "h2"], "left").where("times > 1 or near is not null")
     copied = saved(copied.select("h1", "h2", F.least("first", F.coalesce("near", "first")).alias("first")), f"{folder}/copied")
-    return sift(lines, copied).where(F.col("first") < F.struct(*PLACE)).select(*PLACE, "first")
+    return sift(lines.drop("halves"), copied).where(F.col("first") < F.struct(*PLACE)).select(*PLACE, "first")
 
 
 def per_document(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
