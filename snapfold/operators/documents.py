@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import SUCCESS_CODE, SUCCESS_ROOT
 from ..functions import clock, numbers, text
-from ..functions.once import once
+from ..functions.once import apart, once
 from ..functions.xml_json import xml_to_json
 
 POPULATION_FIELDS = (
@@ -62,6 +62,7 @@ _NO_TAGS = rf"{_COMMENT}|{_INSTRUCTION}|<!\[CDATA\[(?>(?s:.*?)\]\]>)"
 _NAME = r"([A-Za-z_:][^\s/>]*+)"
 ROOT_START = rf"\A\x{{FEFF}}?{_BETWEEN}{_DOCTYPE}{_BETWEEN}<{_NAME}"
 ROOT_END = rf"</([^\s<>]++)\s*+>{_BETWEEN}\z"
+PLAIN_NAME = r"\A[\w.:]+\z"
 EMPTY_ROOT = rf"{ROOT_START}[^<>]*/>{_BETWEEN}\z"
 
 
@@ -70,20 +71,23 @@ def _only(items: Column) -> Column:
     return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
 
 
-def _any_field(record: Column, fields: tuple[str, ...]) -> Column:
-    return F.coalesce(*[record[name] for name in fields]).isNotNull()
+def _texts(record: Column, fields: tuple[str, ...]) -> Column:
+    """The record's leaves in order, stripped; a repeated leaf has no text."""
+    return F.transform(F.array(*[record[name] for name in fields]), lambda items: text.leaf(_only(items)))
 
 
-def _cleaned(record: Column, fields: tuple[str, ...]) -> Column:
-    """The record with every leaf stripped; a repeated leaf has no text."""
-    leaves = F.struct(*[text.leaf(_only(record[name])).alias(name) for name in fields])
-    return F.when(record.isNotNull(), leaves)
+def _any(texts: Column) -> Column:
+    return F.exists(texts, lambda leaf: leaf.isNotNull())
+
+
+def _by_name(texts: Column, fields: tuple[str, ...]) -> dict[str, Column]:
+    return {name: F.get(texts, F.lit(place)) for place, name in enumerate(fields)}
 
 
 def _repeated(record: Column, fields: tuple[str, ...]) -> Column:
     """Whether some leaf of the record is there more than once."""
-    most = F.greatest(F.lit(0), *[F.size(record[name]) for name in fields])
-    return F.coalesce(record.isNotNull() & (most > 1), F.lit(False))
+    sizes = F.array(*[F.size(record[name]) for name in fields])
+    return F.coalesce(record.isNotNull() & F.exists(sizes, lambda size: size > 1), F.lit(False))
 
 
 def _closed(body: Column, root: Column) -> Column:
@@ -92,9 +96,11 @@ def _closed(body: Column, root: Column) -> Column:
     A second root of the same name ends the text as well, so where the name opens again its depth must
     not come back to zero before the end.
     """
-    ended = (F.regexp_extract(body, ROOT_END, 1) == root) | body.rlike(EMPTY_ROOT)
+    # A text that ends with the end tag itself has nothing behind it; the name must not end like a comment.
+    at_once = root.rlike(PLAIN_NAME) & F.endswith(body, F.concat(F.lit("</"), root, F.lit(">")))
+    ended = at_once | (F.regexp_extract(body, ROOT_END, 1) == root) | body.rlike(EMPTY_ROOT)
     opened = F.concat(F.lit("<"), root)
-    several = F.length(body) - F.length(F.replace(body, opened, F.lit(""))) > F.length(opened)
+    several = F.call_function("substring_index", body, opened, F.lit(2)) != body
     tag = F.concat(F.lit(r"<(/?)\Q"), root, F.lit(r"\E(?=[\s>])(?![^<>]*+(?<=/)>)"))
     tags = F.regexp_extract_all(F.regexp_replace(body, _NO_TAGS, ""), tag, F.lit(1))
     depth = F.aggregate(
@@ -118,7 +124,7 @@ def _population_state(block: Column) -> Column:
     )
 
 
-def _typed_population(part: Column) -> Column:
+def _typed_population(part: dict[str, Column]) -> Column:
     """Cleaned texts next to their parsed values, so that gates and loads share them."""
     rates = {
         "male_ratio": part["MALE_PPLTN_RATE"],
@@ -126,9 +132,7 @@ def _typed_population(part: Column) -> Column:
         "resident_ratio": part["RESNT_PPLTN_RATE"],
         "non_resident_ratio": part["NON_RESNT_PPLTN_RATE"],
     }
-    junk = F.lit(False)
-    for value in rates.values():
-        junk = junk | numbers.ratio_is_junk(value, clean=True)
+    junk = F.exists(F.array(*rates.values()), lambda value: numbers.ratio_is_junk(value, clean=True))
     return F.struct(
         part["PPLTN_TIME"].alias("time_text"),
         clock.parse_minute(part["PPLTN_TIME"], clean=True).alias("observed_at"),
@@ -151,14 +155,12 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
     """
     body = F.col(xml)
     root = F.nullif(F.regexp_extract(body, ROOT_START, 1), F.lit(""))
-    parsed = once(df, root=root, doc=F.from_xml(body, DOCUMENT_SCHEMA, {"mode": "PERMISSIVE"}))
+    parsed = apart(df, root=root, doc=F.from_xml(body, DOCUMENT_SCHEMA, {"mode": "PERMISSIVE"}))
 
     well_formed = F.coalesce(F.col("doc._corrupt_record").isNull() & _closed(body, F.col("root")), F.lit(False))
-    envelope = well_formed & F.col("root").eqNullSafe(SUCCESS_ROOT)
-    city = F.when(envelope, _only(F.col("doc.CITYDATA")))
-    opened = once(
-        parsed, has_payload=body.isNotNull(), well_formed=well_formed, is_envelope=envelope, _city=city
-    )
+    closed = apart(parsed, has_payload=body.isNotNull(), well_formed=well_formed)
+    envelope = F.col("well_formed") & F.col("root").eqNullSafe(SUCCESS_ROOT)
+    opened = once(closed, is_envelope=envelope, _city=F.when(envelope, _only(F.col("doc.CITYDATA"))))
     opened = once(
         opened,
         population=_only(_only(F.col("_city.LIVE_PPLTN_STTS"))["LIVE_PPLTN_STTS"]),
@@ -177,7 +179,7 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
         | raw_city["WEATHER_STTS"].isNotNull()
     )
     block = raw_city["LIVE_PPLTN_STTS"]
-    named = once(
+    named = apart(
         opened,
         outcome=F.when(
             F.col("well_formed"),
@@ -189,14 +191,16 @@ def read_documents(df: DataFrame, xml: str = "payload_xml") -> DataFrame:
         weather_repeated=_repeated(F.col("weather"), WEATHER_FIELDS),
     ).drop("root", "doc", "_city")
 
-    # Small steps on purpose: a generated method past 8000 bytes is never compiled by the JVM.
+    # Steps apart on purpose: a generated method past 8000 bytes is never compiled by the JVM.
+    cleaned = apart(
+        named, population=_texts(F.col("population"), POPULATION_FIELDS), weather=_texts(F.col("weather"), WEATHER_FIELDS))
     population, weather = F.col("population"), F.col("weather")
-    cleaned = once(named, population=_cleaned(population, POPULATION_FIELDS))
-    typed = once(
-        cleaned, population=F.when(_any_field(population, POPULATION_FIELDS), _typed_population(population))
+    sky = _by_name(weather, WEATHER_FIELDS)
+    return apart(
+        cleaned,
+        population=F.when(_any(population), _typed_population(_by_name(population, POPULATION_FIELDS))),
+        weather=F.when(_any(weather), F.struct(*[value.alias(name) for name, value in sky.items()])),
     )
-    cleaned = once(typed, weather=_cleaned(weather, WEATHER_FIELDS))
-    return once(cleaned, weather=F.when(_any_field(weather, WEATHER_FIELDS), weather))
 
 
 def classify(landing: DataFrame, with_payload: bool = True, keep_parts: bool = False) -> DataFrame:

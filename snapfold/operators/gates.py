@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import SOURCE_NAME, SUCCESS_CODE
 from ..functions import clock, numbers
-from ..functions.once import once
+from ..functions.once import apart
 from .documents import WEATHER_NUMBERS
 
 
@@ -26,7 +26,7 @@ def _true(condition: Column) -> Column:
 
 def _with_reasons(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     codes = F.array(*[F.when(_true(violated), F.lit(code)) for code, violated in rules.items()])
-    listed = once(df, reasons=F.array_compact(codes))
+    listed = apart(df, reasons=F.array_compact(codes))
     return listed.withColumn("reason", F.get(F.col("reasons"), F.lit(0)))
 
 

@@ -78,3 +78,31 @@ def test_snapshot_id_of_a_time_off_the_minute_is_null(spark):
     at = F.lit("2024-01-01 00:01:00").cast("timestamp")
     assert one(spark, ids.snapshot_id(F.lit(3).cast("long"), at)) == (3 * 2**32 + 28401121,)
     assert one(spark, ids.snapshot_id(F.lit(3).cast("long"), at + F.expr("INTERVAL 1 SECOND"))) == (None,)
+
+
+def test_rows_are_dealt_over_more_tasks_as_they_grow(spark, monkeypatch):
+    from snapfold.functions import once as module
+
+    monkeypatch.setattr(module, "ROWS_IN_A_TASK", 100)
+    rows = spark.range(0, 5000, 1, 20).withColumn("a.b", F.lit(None).cast("string"))
+    held = [sum(1 for _ in part) for part in module.spread(rows.union(rows)).rdd.glom().collect()]
+    assert len(held) == 100 and sum(held) == 10_000 and max(held) < 300
+    # a scan may have partitions enough, and all rows in one of them
+    uneven = rows.coalesce(1).union(spark.range(0, 0, 1, 30).withColumn("a.b", F.lit("")))
+    sizes = module.spread(uneven).rdd.map(lambda _: 1).glom().map(len).collect()
+    assert len(sizes) == 50 and max(sizes) < 300
+
+
+def test_columns_apart_are_computed_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def slow(value):
+        calls.add(1)
+        return value + 1
+
+    from snapfold.functions.once import apart
+
+    counted = F.udf(slow, "long")
+    rows = apart(spark.range(10), n=counted("id")).where("n > 3 and n < 8 and n <> 5")
+    assert sorted(r.n for r in rows.collect()) == [4, 6, 7]
+    assert calls.value == 10
