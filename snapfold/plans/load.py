@@ -89,13 +89,17 @@ def rebuild(
     """
     folder = scratch_folder(raw.sparkSession, "rebuild") if cut else None
     parsed = parse(raw, stamp, source_name, f"{folder}/parts" if cut else None)
+    if cut:  # checked once: the areas, the staging and the facts all read it
+        parsed.populations = saved(parsed.populations, f"{folder}/populations")
     arrivals = dimensions.location_arrivals(parsed.populations, stamp)
     if cut:
         arrivals = saved(arrivals, f"{folder}/areas")
     dim_location = dimensions.upsert_locations(_empty(raw, DIM_LOCATION.name), arrivals)
     if cut:
         dim_location = saved(dim_location, f"{folder}/dim_location")
-    city, _ = _kept(facts.city_fact_rows(parsed.populations, dim_location, stamp), FACT_CITY, "source_ingestion_id")
+    city, _ = _kept(
+        facts.city_fact_rows(parsed.populations, dim_location, stamp), FACT_CITY, "source_ingestion_id",
+        folder=f"{folder}/city" if cut else None)
     weather, _ = _kept(facts.weather_fact_rows(parsed.weathers, dim_location, stamp), FACT_WEATHER, "source_ingestion_id")
     return {
         HEADER.name: folded(parsed.headers, HEADER.name),
@@ -184,7 +188,9 @@ def load_rows(
     """
     table, rule = TABLES[name], RULES[name]
     rows = integrity.conform(integrity.with_defaults(rows, table), table)
-    kept, broken = integrity.enforce(rows, table, parents, tables.read(name))
+    folder = f"{tables.root}/_parsed/{name}-{batch_id}"
+    found = saved(integrity.checked(rows, table, parents, tables.read(name)), folder)
+    kept, broken = found.where(F.size("violations") == 0).drop("violations"), found.where(F.size("violations") > 0)
     refused = tables.write_report(f"refused_{name}", broken.select(*table.key, "violations"), batch_id)
     if table.partition:
         tables.merge(name, kept, batch_id)
@@ -192,6 +198,7 @@ def load_rows(
         tables.replace_table(name, batch_id, lambda: fold(
             tables.read(name), kept, rule["keys"], rule.get("order") or table.columns, rule.get("guard"),
             rule.get("keep", ()), rule.get("changed", ()), rule.get("arrival")))
+    tables.delete(folder)
     return refused
 
 
