@@ -132,7 +132,7 @@ def json_documents(spark, sf_dir):
         F.when(k != 25, people).alias("LIVE_PPLTN_STTS"),
     )
     body = F.to_json(F.struct(F.when(k != 17, city).alias("CITYDATA")))
-    return feed.base(feed.table(spark, sf_dir, "events")).select(
+    return feed.base(feed.spread(feed.table(spark, sf_dir, "events"))).select(
         "raw_id",
         F.when(k == 3, "{broken").when(k != 51, body).alias("payload"),
         F.lit("FEED").alias("area_code"),
