@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import clock
+from ..functions.once import dealt, tasks_for
 from ..operators import facts
 from ..plans import hour_states
 from ..schemas import FACT_CITY, RAW
@@ -25,7 +26,8 @@ def _event_stream(spark, sf_dir):
 def stream_ingest(spark, sf_dir):
     """Documents classified by a stream into a raw folder."""
     folder = scratch_folder(spark, "raw")
-    calls = feed.documents(_event_stream(spark, sf_dir))
+    tasks = tasks_for(feed.table(spark, sf_dir, "events"))
+    calls = feed.documents(dealt(_event_stream(spark, sf_dir), tasks))
     query = jobs.ingest_raw(calls, f"{folder}/raw", f"{folder}/checkpoint")
     query.awaitTermination()
     raw = spark.read.schema(RAW.schema).parquet(f"{folder}/raw")
