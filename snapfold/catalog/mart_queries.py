@@ -10,7 +10,7 @@ from ..operators.documents import classify
 from ..plans import hour_states, load, marts
 from ..plans.load import rebuild
 from ..schemas import TABLES
-from ..session import scratch_folder
+from ..session import saved, scratch_folder
 from ..sources.tables import MedallionTables
 from . import feed
 from .oracle import FACTS, KST, half_up, stamp, with_ctes
@@ -48,7 +48,7 @@ def _incremental(spark, sf_dir, name):
     for batch in range(3):
         part = events.where((F.col("event_id") / third).cast("int") == batch)
         for spec, rows, fact_rows in makers:
-            arrivals = fact_rows(rows(part), dims[0], F.col("collected_at"))
+            arrivals = saved(fact_rows(rows(part), dims[0], F.col("collected_at")), scratch_folder(spark, "arrivals"))
             days = tables.merge(spec.fact, arrivals, batch)
             hour_states.update(tables, spec, arrivals, days, batch)
     return plain(load.read_mart(tables, name))
