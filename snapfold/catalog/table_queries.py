@@ -8,7 +8,7 @@ from ..functions import clock
 from ..operators import facts, integrity
 from ..plans import load
 from ..schemas import DIM_LOCATION, EVENT, FACT_CITY, HEADER, POPULATION, RAW, SUBWAY, WEATHER
-from ..session import scratch_folder
+from ..session import saved, scratch_folder
 from ..sources.tables import MedallionTables
 from . import feed, warehouse_queries as warehouse
 from .oracle import FACTS, ROWS, stamp, winner, with_ctes
@@ -42,7 +42,8 @@ def key_moves_partition(spark, sf_dir):
 def weather_staging_merge(spark, sf_dir):
     """Weather staging after three batches, and one in which every fourth ingestion comes again for the next day."""
     tables = _tables(spark)
-    rows = _k(feed.weather_rows(feed.table(spark, sf_dir, "events")), spark, sf_dir)
+    rows = _k(feed.weather_rows(feed.spread(feed.table(spark, sf_dir, "events"))), spark, sf_dir)
+    rows = saved(rows, scratch_folder(spark, "arrivals"))
     third = feed.table(spark, sf_dir, "events").count() // 3 + 1
     batches = [rows.where((F.col("ingestion_id") / third).cast("int") == batch) for batch in range(3)]
     batches.append(rows.where("k % 4 = 0").withColumn("ingest_date", F.date_add("ingest_date", 1))
@@ -91,7 +92,7 @@ def load_refused(spark, sf_dir):
     parents = {"dim_location": dims[0], "dim_date": dims[1], "dim_hour": dims[2]}
     lines = feed.table(spark, sf_dir, "lineitem")
     calls = lines.where("l_linenumber < 4").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("raw_id"))
-    header = feed.header_rows(feed.table(spark, sf_dir, "events"))
+    header = feed.header_rows(warehouse._events(spark, sf_dir))
     header = header.withColumn("ingest_date", F.col("collected_at").cast("date"))
     known = feed.base(feed.table(spark, sf_dir, "events")).where("k < 70").select("raw_id")
     loads = (
