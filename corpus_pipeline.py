@@ -3,7 +3,8 @@
 Each stage is written as Parquet and read again as the next stage's documents, so a lost executor costs one
 stage at most, and no plan grows over stages.  All stages but the last return the columns of documents;
 the last adds ``token_ids``.  Every stage takes null and empty texts, repeated rows, empty tables and extra
-columns as its operator defines.
+columns as its operator defines.  Stages with Python tasks have whole texts handed over in batches of a few MB
+(``common.small_batches``), so that an executor's memory does not follow the length of the texts.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from snapfold.session import saved, scratch_folder
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
+    common.small_batches(spark)
     return quality_rules.keep_good(docs)
 
 
@@ -29,16 +31,19 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    common.small_batches(spark)
     return simhash_covering.keep_first(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    common.small_batches(spark)
     return spaced_seeds.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids."""
+    common.small_batches(spark)
     return sentencepiece_fst.encode(docs)
 
 

@@ -142,6 +142,7 @@ def quality(text: Column, bands: Bands = Bands()) -> Column:
         names = [part.split()[0] for part in STATS.split(", ")]
         for texts in batches:
             yield pd.DataFrame([judge(t, bands, squeeze) for t in texts], columns=names)
+            common.give_back()
 
     return stats(text)
 

@@ -338,12 +338,13 @@ def encode(df: DataFrame, text: str = "text", target: str = "token_ids", round_t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _compiled(name)
         for batch in batches:
-            for part, texts in common.parts(batch, text):
+            for part, texts in common.parts(batch, text, common.FEW_CHARS):
                 ids = [None if t is None else np.array(machine.encode(t), np.int32) for t in texts]
                 made = [pa.array(ids, pa.list_(pa.int32()))]
                 if round_trip:
                     made.append(pa.array([None if t is None else machine.decode(i) == t for t, i in zip(texts, ids, strict=True)], pa.bool_()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *made], [*part.schema.names, *[f.name for f in new]])
+            common.give_back()
 
     return rest.mapInArrow(run, T.StructType([*rest.schema.fields, *new]))
 

@@ -82,8 +82,9 @@ def fingerprint(text: Column, words: int = SHINGLE) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             texts, found = list(texts), []
-            for a, b in common.slices(texts):
+            for a, b in common.slices(texts, common.FEW_CHARS):
                 found.append(majorities([shingle_hashes(t, words) for t in texts[a:b]]).view(np.int64))
+            common.give_back()
             yield pd.Series(np.concatenate(found) if found else np.zeros(0, np.int64))
 
     return of(text)

@@ -80,7 +80,7 @@ class Benchmark:
             order = np.argsort(flat, kind="stable")
             filter_ = np.zeros(1 << 22, bool)
             filter_[flat >> np.uint64(42)] = True
-            self.tables.append((mask, flat[order], item[order], place[order], filter_))
+            self.tables.append((mask, flat[order], item[order], place[order], np.packbits(filter_, bitorder="little")))
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(text, item, first word in the text, words, agreeing words): the longest stretch of each pair."""
@@ -94,7 +94,8 @@ class Benchmark:
         for mask, hashes, item, place, filter_ in self.tables:
             got = seed_hashes(flat, mask)
             looked = [k for k, c in enumerate(mask) if c == "1"]
-            at = np.flatnonzero(filter_[got >> np.uint64(42)]) if len(got) else np.zeros(0, np.int64)
+            slot = got >> np.uint64(42)
+            at = np.flatnonzero(filter_[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
             at = at[owner[at] == owner[at + len(mask) - 1]] if len(at) else at  # within one text
             for k in looked:  # no word that the benchmark lacks
                 at = at[flat[at + k] != 0]
@@ -191,9 +192,10 @@ def keep_clean(text_rows: DataFrame, benchmark: DataFrame, settings: Settings =
 
         def clean(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for part, texts in common.parts(batch, "text"):
+                for part, texts in common.parts(batch, "text", common.FEW_CHARS):
                     hit = {t for t, *_ in sent.value.search(texts)}
                     yield part.filter(pa.array([i not in hit for i in range(len(texts))], pa.bool_()))
+                common.give_back()
 
         kept = kept.mapInArrow(clean, kept.schema)
     return kept
