@@ -134,15 +134,6 @@ PACKED = "kind int, range int, key binary, up binary, sym binary, n binary"
 COUNTED = "kind int, key long, up long, sym long, n long"
 
 
-def _packed(kind: int, ranges: int, at: np.ndarray, keys: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each range of ``at`` (well-spread hashes) with the entries that fall in it."""
-    own, found = common.packed(ranges, at, key=keys, **columns)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(own), kind, np.int32)), pa.array(own),
-         *(pa.array(found.get(name, [None] * len(own)), pa.binary()) for name in ("key", "up", "sym", "n"))],
-        ["kind", "range", "key", "up", "sym", "n"])
-
-
 def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
           frequent: common.Bits | None, likely: common.Bits | None) -> DataFrame:
     """One pass over the texts: the next tokens of contexts of ``depth`` words, and what may be counted in the next.
@@ -169,8 +160,15 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
             yield LIKELY, *np.unique(tokens.keys(depth + 2)[at], return_counts=True)
 
     def pack(kind: int, keys: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if kind == NEXT:
-            yield from _packed(kind, ranges, keys, columns[0], up=columns[1], sym=columns[2], n=n)
+        if kind == NEXT:  # by context, so that what a context's entries share is a step of zero
+            order = np.argsort(columns[0])
+            contexts, ups, symbols = (c[order] for c in columns)
+            n, cut = n[order], list(_by_range(contexts, ranges))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(cut), kind, np.int32)), pa.array([r for r, _ in cut], pa.int32()),
+                 *(pa.array([packing(c[at]) for _, at in cut], pa.binary())
+                   for c, packing in ((contexts, _steps), (ups, _steps), (symbols, np.ndarray.tobytes), (n, _planes)))],
+                ["kind", "range", "key", "up", "sym", "n"])
             return
         cut = list(_by_range(keys, ranges))
         if kind == LIKELY:
@@ -202,14 +200,16 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
             if kind == LIKELY:
                 keys = keys.astype(np.uint64) | np.uint64(own << 32)
         else:
-            contexts, symbols = common.unpacked(rows, "key", np.uint64), common.unpacked(rows, "sym", np.uint64)
+            contexts = np.concatenate([_walked(raw) for raw in rows.column("key").to_pylist()])
+            ups = np.concatenate([_walked(raw) for raw in rows.column("up").to_pylist()])
+            symbols = common.unpacked(rows, "sym", np.uint64)
             _, first, place = np.unique(common.mixed(contexts) ^ symbols, return_index=True, return_inverse=True)
-            keys, n = contexts[first], common.unpacked(rows, "n", np.int64)
+            keys, n = contexts[first], np.concatenate([_numbers(raw, np.int64) for raw in rows.column("n").to_pylist()])
         total = np.zeros(len(keys), np.int64)
         np.add.at(total, place, n.astype(np.int64))
         enough = total >= (1 if kind == WORDS else settings.evidence)
         nothing = np.zeros(len(keys), np.uint64)
-        more = {"up": nothing if first is None else common.unpacked(rows, "up", np.uint64)[first],
+        more = {"up": nothing if first is None else ups[first],
                 "sym": nothing if first is None else symbols[first]}
         return pa.Table.from_batches([_batch(
             kind=np.full(int(enough.sum()), kind, np.int32), key=keys[enough],

@@ -1,5 +1,6 @@
 """What bounds the memory of Python workers."""
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -48,3 +49,13 @@ def test_the_filter_of_a_benchmark_is_small():
     block = spaced_seeds.Benchmark([(1, spaced_seeds.tokens(" ".join(f"w{i}" for i in range(40))))], spaced_seeds.Settings())
     assert all(table[-1].nbytes <= 1 << 19 for table in block.tables)
     assert len(block.search([" ".join(f"w{i}" for i in range(40)), "", None])) == 1
+
+
+def test_a_filled_bitmap_lets_few_strangers_pass(spark, monkeypatch):
+    monkeypatch.setattr(common, "MOST_BITMAPS", 1)
+    keys = np.random.default_rng(7).integers(0, 1 << 64, 23_000, np.uint64)
+    held, strangers = keys[:3000], keys[3000:]
+    rows = spark.createDataFrame([(int(k),) for k in held.view(np.int64)], "key long")
+    bits = common.Bits.of(rows)
+    assert bits.has(held).all() and bits.has(held[:0]).tolist() == []
+    assert bits.has(strangers).mean() < 0.05  # one place a hash: 0.09
