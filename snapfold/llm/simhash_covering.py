@@ -216,9 +216,10 @@ def keep_first(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -
     rows = common.flag(packed.withColumn("__hash", F.xxhash64("__own")), special, "__hash", "__special").drop("__hash")
     rows = rows.withColumn("__special", F.col("__special") & F.col("__own").isNotNull())
     verdicts = named.select(F.col("id").alias("__id"), F.col("fp").alias("__print"), F.col("root").alias("__root"), "__stays")
+    # null-safe, as no fingerprint is null: else Spark tests that of every row for null, in a second Python task beside the first
     looked_at = rows.where("__special").withColumn("__fp", fingerprint(F.col("__text"))).join(
         common.likely(verdicts.withColumn("__hash", F.xxhash64("__id")), special, "__hash").drop("__hash"),
-        (F.col("__own") == F.col("__id")) & (F.col("__fp") == F.col("__print")))
+        (F.col("__own") == F.col("__id")) & F.col("__fp").eqNullSafe(F.col("__print")))
     stay = looked_at.where("__stays").dropDuplicates(["__own", "__root"]).select("__own", "__text", "__others", "__special")
     found = rows.where("not __special").unionByName(stay)
     own = {text: F.col("__text"), id_column: F.col("__own")}

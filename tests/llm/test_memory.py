@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from snapfold.llm import common, spaced_seeds
+from snapfold.llm import common, simhash_covering, spaced_seeds
 
 
 @pytest.fixture
@@ -59,3 +59,10 @@ def test_a_filled_bitmap_lets_few_strangers_pass(spark, monkeypatch):
     bits = common.Bits.of(rows)
     assert bits.has(held).all() and bits.has(held[:0]).tolist() == []
     assert bits.has(strangers).mean() < 0.05  # one place a hash: 0.09
+
+
+def test_fingerprints_of_special_rows_are_taken_once(spark):
+    """Two Python tasks in one take two workers a core, and the first read the texts of all rows."""
+    docs = spark.createDataFrame([(i, f"some words of text number {i // 2} here", "en") for i in range(40)], "doc_id long, text string, lang string")
+    plan = simhash_covering.keep_first(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
