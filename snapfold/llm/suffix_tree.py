@@ -24,6 +24,7 @@ gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -48,7 +49,7 @@ class Settings:
     evidence: int = 3
     nats: float = 4.0
     discount: float = 0.75
-    block_chars: int = 24_000_000  # of texts scored at once
+    block_chars: int = 16_000_000  # of texts scored at once
     range_chars: int = 8_000_000  # of texts for each range of keys counted at once
 
 
@@ -79,7 +80,6 @@ class _Tokens:
         self.sizes = np.diff(np.concatenate(([0], until))) + 1
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.hashed = np.insert(words, until, np.uint64(END))
-        self.place = np.arange(len(self.hashed)) - np.repeat(self.starts, self.sizes)
         self._keys = [self.hashed]
 
     def forget(self) -> None:
@@ -94,7 +94,10 @@ class _Tokens:
 
     def after(self, depth: int) -> np.ndarray:
         """Places with ``depth`` words before them in their text."""
-        return np.flatnonzero(self.place >= depth)
+        there = np.ones(len(self.hashed), bool)
+        for place in range(depth):
+            there[self.starts[self.sizes > place] + place] = False
+        return np.flatnonzero(there)
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
@@ -151,8 +154,8 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
             at = at[frequent.has(tokens.keys(depth)[at]) & likely.has(tokens.keys(depth + 1)[at] >> low)]
             keys, first, n = np.unique(tokens.keys(depth + 1)[at], return_index=True, return_counts=True)
             at = at[first]
-            up = tokens.keys(depth - 1)[at + 1] if depth > 1 else np.zeros(len(at), np.uint64)
-            yield NEXT, keys, n, tokens.keys(depth)[at], up, tokens.hashed[at + depth]
+            up = [tokens.keys(depth - 1)[at + 1]] if depth > 1 else []
+            yield NEXT, keys, n, tokens.keys(depth)[at], *up
         if depth < settings.depth:
             at = tokens.after(depth + 1) - depth - 1
             if depth:
@@ -162,7 +165,9 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
     def pack(kind: int, keys: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         if kind == NEXT:  # by context, so that what a context's entries share is a step of zero
             order = np.argsort(columns[0])
-            contexts, ups, symbols = (c[order] for c in columns)
+            contexts, *up = (c[order] for c in columns)
+            ups = up[0] if up else np.zeros(len(order), np.uint64)
+            symbols = keys[order] ^ common.mixed(contexts)  # a key is made of these two
             n, cut = n[order], list(_by_range(contexts, ranges))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(cut), kind, np.int32)), pa.array([r for r, _ in cut], pa.int32()),
@@ -191,31 +196,33 @@ def _scan(docs: DataFrame, depth: int, ranges: int, settings: Settings,
                 yield from pack(kind, *merged)
 
     def reduce(key: tuple, rows: pa.Table) -> pa.Table:
+        counted = total(key, rows)
+        common.give_back()
+        return counted
+
+    def total(key: tuple, rows: pa.Table) -> pa.Table:
         kind, own = key[0].as_py(), key[1].as_py()
         if kind != NEXT:
             of_key, of_n = (np.uint32, np.uint8) if kind == LIKELY else (np.uint64, np.int64)
             keys = np.concatenate([_walked(raw, of_key) for raw in rows.column("key").to_pylist()])
-            n, first = np.concatenate([_numbers(raw, of_n) for raw in rows.column("n").to_pylist()]), None
-            keys, place = np.unique(keys, return_inverse=True)
+            keys, times, _ = common.summed(keys, np.concatenate([_numbers(raw, of_n) for raw in rows.column("n").to_pylist()]))
             if kind == LIKELY:
                 keys = keys.astype(np.uint64) | np.uint64(own << 32)
         else:
             contexts = np.concatenate([_walked(raw) for raw in rows.column("key").to_pylist()])
             ups = np.concatenate([_walked(raw) for raw in rows.column("up").to_pylist()])
             symbols = common.unpacked(rows, "sym", np.uint64)
-            _, first, place = np.unique(common.mixed(contexts) ^ symbols, return_index=True, return_inverse=True)
-            keys, n = contexts[first], np.concatenate([_numbers(raw, np.int64) for raw in rows.column("n").to_pylist()])
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, n.astype(np.int64))
-        enough = total >= (1 if kind == WORDS else settings.evidence)
+            _, times, first = common.summed(
+                common.mixed(contexts) ^ symbols, np.concatenate([_numbers(raw, np.int64) for raw in rows.column("n").to_pylist()]))
+            keys, ups, symbols = contexts[first], ups[first], symbols[first]
+        enough = times >= (1 if kind == WORDS else settings.evidence)
         nothing = np.zeros(len(keys), np.uint64)
-        more = {"up": nothing if first is None else ups[first],
-                "sym": nothing if first is None else symbols[first]}
+        more = {"up": ups, "sym": symbols} if kind == NEXT else {"up": nothing, "sym": nothing}
         return pa.Table.from_batches([_batch(
             kind=np.full(int(enough.sum()), kind, np.int32), key=keys[enough],
-            **{name: c[enough] for name, c in more.items()}, n=total[enough])])
+            **{name: c[enough] for name, c in more.items()}, n=times[enough])])
 
-    return docs.select("text").mapInArrow(run, PACKED).groupBy("kind", "range").applyInArrow(reduce, COUNTED)
+    return docs.select("text").mapInArrow(common.lean(run), PACKED).groupBy("kind", "range").applyInArrow(reduce, COUNTED)
 
 
 WORD, FACTOR = 0, 1  # what is asked for
@@ -248,7 +255,32 @@ def _packed_model(rows: DataFrame, ranges: int) -> DataFrame:
         if held:
             yield from pack(held)
 
-    return rows.mapInArrow(run, "kind int, range int, key binary, value binary")
+    return rows.mapInArrow(common.lean(run), "kind int, range int, key binary, value binary")
+
+
+class _Asked:
+    """The distinct keys of each kind that a block asks for.  What comes in is merged once it is half of what is held."""
+
+    LEAST = 500_000
+
+    def __init__(self) -> None:
+        self.held: list[list[np.ndarray]] = [[] for _ in KINDS]
+
+    def add(self, wanted: tuple[np.ndarray, ...]) -> None:
+        for held, keys in zip(self.held, wanted):
+            held.append(keys)
+            if sum(map(len, held[1:])) > max(len(held[0]) // 2, self.LEAST):
+                self._merge(held)
+
+    def _merge(self, held: list[np.ndarray]) -> None:
+        keys = np.concatenate([*held, np.zeros(0, np.uint64)])
+        held.clear()
+        held.append(common.distinct(keys))
+
+    def all(self) -> list[np.ndarray]:
+        for held in self.held:
+            self._merge(held)
+        return [keys for keys, in self.held]
 
 
 class _Held:
@@ -257,21 +289,32 @@ class _Held:
     def __init__(self, keys: np.ndarray, numbers: np.ndarray) -> None:
         bits = max(1, len(keys).bit_length())
         self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
+        self.starts = np.empty(1 << bits, np.int32)
+        for low in range(0, 1 << bits, common.STEP):
+            high = min(low + common.STEP, 1 << bits)
+            self.starts[low:high] = np.searchsorted(keys, np.arange(low, high, dtype=np.uint64) << self.shift)
         self.keys, self.numbers = np.append(keys, np.uint64(2**64 - 1)), np.append(numbers, 0)
 
     def of(self, wanted: np.ndarray) -> np.ndarray:
         """The numbers of keys; 0 for one that is not held."""
-        place = self.starts[wanted >> self.shift]
-        behind = np.flatnonzero(self.keys[place] < wanted)
+        place = np.take(self.starts, (wanted >> self.shift).view(np.int64))
+        there = np.take(self.keys, place)
+        behind = np.flatnonzero(there < wanted)
         while len(behind):
             place[behind] += 1
-            behind = behind[self.keys[place[behind]] < wanted[behind]]
-        return np.where(self.keys[place] == wanted, self.numbers[place], 0)
+            there[behind] = now = self.keys[place[behind]]
+            behind = behind[now < wanted[behind]]
+        return np.where(there == wanted, np.take(self.numbers, place), 0)
 
 
 def _tell(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
     """For each block that asks in one range of keys, the number of each of its keys in order; 0 if there is none."""
+    told = _told(key, asked, known)
+    common.give_back()
+    return told
+
+
+def _told(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
     own, number = key[0].as_py(), key[1].as_py()
     keys = [_walked(raw) for raw in known.column("key").to_pylist()]
     values = [_numbers(raw, KINDS[own]) for raw in known.column("value").to_pylist()]
@@ -392,28 +435,25 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
             has = states.has(state)
             pair = tokens.keys(depth + 1)[at[has]] ^ PAIR
             found += [state[has], pair[pairs.has(pair)]]
-        return common.distinct(tokens.hashed), common.distinct(np.concatenate(found))
-
-    def merged(held: tuple[np.ndarray, ...] | None, more: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
-        return tuple(common.distinct(np.concatenate(both)) for both in zip(held, more)) if held else more
+        return common.distinct(tokens.hashed.copy()), common.distinct(np.concatenate(found))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, ...]] = {}
+        held: dict[int, _Asked] = defaultdict(_Asked)
         for batch in batches:
             own = batch.column("block").to_numpy()
             for block in np.unique(own).tolist():
                 texts = batch.filter(pa.array(own == block))
                 for _, some in common.parts(texts, "text"):
-                    held[block] = merged(held.get(block), questions(_Tokens(some)))
+                    held[block].add(questions(_Tokens(some)))
         for block, wanted in held.items():
-            for kind, keys in enumerate(wanted):
+            for kind, keys in enumerate(wanted.all()):
                 cut = list(_by_range(keys, ranges))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(cut), block, np.int32)), pa.array(np.full(len(cut), kind, np.int32)),
                     pa.array([r for r, _ in cut], pa.int32()), pa.array([_steps(keys[at]) for _, at in cut], pa.binary()),
                 ], ["block", "kind", "range", "key"])
 
-    asked = dealt.mapInArrow(ask, "block int, kind int, range int, key binary")
+    asked = dealt.mapInArrow(common.lean(ask), "block int, kind int, range int, key binary")
     answers = asked.groupBy("kind", "range").cogroup(_packed_model(model.rows, ranges).groupBy("kind", "range")).applyInArrow(
         _tell, "block int, kind int, range int, value binary")
     schema = T.StructType().add("id", docs.schema[id_column].dataType)
@@ -421,18 +461,25 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_column: str = "d
         schema = schema.add(name, kind)
 
     def answer(key: tuple, texts: pa.Table, told: pa.Table) -> pa.Table:
-        parts, wanted = [], None
-        for batch in texts.combine_chunks().to_batches():
+        found = answered(texts, told)
+        common.give_back()
+        return found
+
+    def answered(texts: pa.Table, told: pa.Table) -> pa.Table:
+        parts, asked = [], _Asked()
+        for batch in texts.to_batches():
             for part, some in common.parts(batch, "text"):
                 tokens = _Tokens(some)
-                wanted = merged(wanted, questions(tokens))
+                asked.add(questions(tokens))
                 tokens.forget()
                 parts.append((part.column("id"), tokens))
+        wanted = asked.all()
         told, held = told.sort_by("range"), []
         for kind, dtype in KINDS.items():
             raw = told.filter(pc.equal(told.column("kind"), kind)).column("value").to_pylist()
             numbers = np.concatenate([*(_numbers(r, dtype) for r in raw), np.zeros(0, dtype)])
             held.append(_Held(wanted[kind], numbers.astype(np.float64)))
+        del asked, wanted
 
         found = []
         for ids, tokens in parts:
@@ -461,6 +508,7 @@ def held_out(id_column: str = "doc_id") -> Column:
 
 
 def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    common.small_batches(spark)
     docs = common.table(spark, sf_dir, "documents")
     model = fit(docs.where(~held_out()))
     return score(docs, model).select(
