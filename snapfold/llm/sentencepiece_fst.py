@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,9 @@ from . import common
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-REMEMBERED = 75_000  # words, and parts of words, in each of the two generations that a task keeps
+REMEMBERED = 150_000  # words in each of the two generations that a task keeps
+PARTS = 50_000  # parts of words, likewise
+WHOLE = 64  # letters of a word that is tried before it is cut
 
 # Fixed values of the model format: field numbers and kinds.
 PIECES, TRAINER, NORMALISER = 1, 2, 3
@@ -68,30 +70,30 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+def _bytes(ids: Sequence[int]) -> bytes:
+    return struct.pack(f"{len(ids)}i", *ids)
+
+
 class Recent(dict):
     """What was used lately, in two generations: when the young one is full it becomes the old one, which is dropped.
 
-    What is found in the old one is young again, so that frequent words are never encoded twice.
+    What is found in the old one is young again, so that frequent words are never encoded twice.  What neither has is made.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, make: Callable[[str], bytes], most: int) -> None:
         super().__init__()
-        self.old: dict[str, tuple[int, ...]] = {}
-
-    def get(self, key: str) -> tuple[int, ...] | None:
-        try:
-            return self[key]
-        except KeyError:
-            found = self.old.get(key)
-            if found is not None:
-                self[key] = found
-            return found
+        self.make, self.most = make, most
+        self.old: dict[str, bytes] = {}
 
-    def __setitem__(self, key: str, value: tuple[int, ...]) -> None:
-        if len(self) >= REMEMBERED:
+    def __missing__(self, key: str) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
-        super().__setitem__(key, value)
+        self[key] = found
+        return found
 
 
 class Transducer:
@@ -125,18 +127,28 @@ class Transducer:
         self.bytes = {int(t[3:5], 16): i for i, (t, k) in enumerate(zip(self.text, self.kind, strict=True)) if k == BYTE}
         self.unknown = self.kind.index(UNKNOWN)
         self.joints = {t[k - 1:k + 1] for t in self.arcs for k in range(1, len(t))}
+        self.letters = set().union(*self.arcs)
         self.trie: dict = {}
         for t, i in self.arcs.items():
             node = self.trie
             for letter in t:
                 node = node.setdefault(letter, {})
             node[None] = i
+        self.pairs: list[dict[int, bool]] = [{} for _ in self.text]  # as many as neighbours occur
+        self.longest = max(map(len, self.arcs), default=0)
+        open_: list[tuple[dict, int, tuple]] = [(self.trie, 0, ())]
+        while open_:  # each node holds the arcs on the way to it as well, longest first
+            node, size, arcs = open_.pop()
+            if None in node:
+                arcs = ((size, node[None], self.pairs[node[None]]), *arcs)
+            open_ += [(child, size + 1, arcs) for letter, child in node.items() if letter is not None]
+            node[""] = arcs
         if any(SPACE in t.lstrip(SPACE) for t in self.arcs):
             raise ValueError("a piece runs over a word start")
         self.raw = np.array([bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else t.replace(SPACE, " ").encode()
                              for t, k in zip(self.text, self.kind, strict=True)], object)
-        self.words, self.parts = Recent(), Recent()
-        self.pairs: list[dict[int, bool]] = [{} for _ in self.text]  # as many as neighbours occur
+        self.words = Recent(lambda word: self.path(SPACE + word), REMEMBERED)
+        self.parts = Recent(lambda part: _bytes(self.shortest_path(part)), PARTS)
         self.origins: dict[str, tuple[float, str, str]] = {}
 
     def merged(self, symbols: list[str]) -> tuple[list[str], tuple[str, str] | None]:
@@ -166,19 +178,12 @@ class Transducer:
             self.origins[text] = found
         return found
 
-    def meets(self, left: int, right: int) -> bool:
+    def meets(self, a: str, b: str) -> bool:
         """Whether the weight between two neighbouring arcs is zero, not infinite.
 
         It is infinite if some merge over their border comes before the merges beside it; those are
         undone from the latest to the earliest.
         """
-        row = self.pairs[left]
-        found = row.get(right)
-        if found is None:
-            found = row[right] = self._meets(self.text[left], self.text[right])
-        return found
-
-    def _meets(self, a: str, b: str) -> bool:
         if a[-1] == SPACE == b[0]:  # pieces of spaces alone share one score, so their order is the place's
             return self.merged(list(a + b))[0] == [a, b]
         before = math.inf
@@ -228,27 +233,45 @@ class Transducer:
 
         One finite path at most leads to a place, so a place that was left for good is not tried again.
         """
-        size, path, places, open_ = len(word), [], [0], {}
-        while places:
-            start = places[-1]
-            if start == size:
-                return path
-            arcs = open_.get(start)
-            if arcs is None:
-                arcs = open_[start] = self.arcs_from(word, start)
-            while arcs:
-                end, piece = arcs.pop()
-                if end in open_ and not open_[end]:
-                    continue
-                if not path or self.meets(path[-1], piece):
+        size, trie, longest = len(word), self.trie, self.longest
+        start, path, row = 0, [], None  # row: what is known of the neighbours of the last arc
+        untried: list[Iterator] = []  # of each place on the path, the arcs that were not tried yet
+        left: set[int] = set()
+        while start < size:
+            node = trie
+            for letter in word[start:start + longest]:
+                further = node.get(letter)
+                if further is None:
+                    break
+                node = further
+            if node is trie and word[start] not in self.letters:
+                return None
+            arcs = iter(node[""])
+            while True:
+                for step, piece, after in arcs:
+                    if left and start + step in left:
+                        continue
+                    if row is not None:
+                        met = row.get(piece)
+                        if met is None:
+                            met = row[piece] = self.meets(self.text[path[-1]], self.text[piece])
+                        if not met:
+                            continue
+                    untried.append(arcs)
                     path.append(piece)
-                    places.append(end)
+                    start += step
+                    row = after
                     break
-            else:
-                places.pop()
-                if path:
-                    path.pop()
-        return None
+                else:
+                    if not path:
+                        return None
+                    left.add(start)
+                    start -= len(self.text[path.pop()])
+                    row = self.pairs[path[-1]] if path else None
+                    arcs = untried.pop()
+                    continue
+                break
+        return path
 
     def shortest_path(self, word: str) -> tuple[int, ...]:
         """Piece ids of the least path through one word's lattice."""
@@ -260,44 +283,40 @@ class Transducer:
         raw = word.encode("utf-8", "replace")
         return tuple(self.bytes[b] for b in raw) if len(self.bytes) == 256 else (self.unknown,)
 
-    def path(self, word: str) -> tuple[int, ...]:
+    def path(self, word: str) -> bytes:
         """Ids of a word with the spaces before it; parts between cuts are remembered."""
-        joints, parts = self.joints, self.parts
+        if self.merges and len(word) <= WHOLE:
+            found = self.finite(word)
+            if found is not None:
+                return _bytes(found)
         # no piece holds the two letters at such a border, so every path passes it
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in joints]
-        if not cuts:
-            return self.shortest_path(word)
-        ids: tuple[int, ...] = ()
-        for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True):
-            part = parts.get(word[a:b])
-            if part is None:
-                part = parts[word[a:b]] = self.shortest_path(word[a:b])
-            ids += part
-        return ids
+        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.joints]
+        return b"".join([self.parts[word[a:b]] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)])
 
-    def encode(self, text: str) -> list[int]:
+    def ids(self, text: str) -> np.ndarray:
+        """Piece ids of a text; read only."""
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
         if not text:
-            return []
+            return np.zeros(0, np.int32)
         text = text.replace(SPACE, " ")
-        out: list[int] = []
-        words, spaces = self.words, int(self.prefix)
-        for word in text.split(" "):
+        words, split = self.words, text.split(" ")
+        if self.prefix and "" not in split:  # one space before each word
+            return np.frombuffer(b"".join(map(words.__getitem__, split)), np.int32)
+        out: list[bytes] = []
+        spaces = int(self.prefix)
+        for word in split:
             if not word:
                 spaces += 1
                 continue
-            if spaces == 1:
-                ids = words.get(word)
-                if ids is None:
-                    ids = words[word] = self.path(SPACE + word)
-            else:
-                ids = self.path(SPACE * spaces + word)
-            out += ids
+            out.append(words[word] if spaces == 1 else self.path(SPACE * spaces + word))
             spaces = 1
         if spaces > 1:
-            out += self.path(SPACE * (spaces - 1))
-        return out
+            out.append(self.path(SPACE * (spaces - 1)))
+        return np.frombuffer(b"".join(out), np.int32)
+
+    def encode(self, text: str) -> list[int]:
+        return self.ids(text).tolist()
 
     def decode(self, ids: np.ndarray) -> str:
         body = b"".join(self.raw[ids])
@@ -339,7 +358,7 @@ def encode(df: DataFrame, text: str = "text", target: str = "token_ids", round_t
         machine = _compiled(name)
         for batch in batches:
             for part, texts in common.parts(batch, text):
-                ids = [None if t is None else np.array(machine.encode(t), np.int32) for t in texts]
+                ids = [None if t is None else machine.ids(t) for t in texts]
                 made = [pa.array(ids, pa.list_(pa.int32()))]
                 if round_trip:
                     made.append(pa.array([None if t is None else machine.decode(i) == t for t, i in zip(texts, ids, strict=True)], pa.bool_()))

@@ -70,3 +70,28 @@ def test_edges_of_input(spark, library):
     assert got == {i: None if t is None else library.encode(t) for i, t in enumerate(texts)}
     assert {r.doc_id: r.decoded for r in op.decode(made).collect()} == dict(enumerate(texts))
     assert op.decode(op.encode(df.limit(0))).count() == 0
+
+
+def test_short_words_are_searched_whole_and_once(machine, library, monkeypatch):
+    """A word is one search, not one for each of its parts, unless a letter is in no piece; its ids are those of the parts."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice(["en", "st", "the", "é", ",", "9", "qx", "ß", "\n", "😀"]) for _ in range(rng.randrange(1, 9))) for _ in range(2000)]
+    calls, finite = [], machine.finite
+    monkeypatch.setattr(machine, "finite", lambda word: calls.append(word) or finite(word))
+    monkeypatch.setattr(machine, "words", op.Recent(machine.words.make, 100_000))
+    plain = [w for w in words if "\n" not in w and "😀" not in w]
+    assert machine.ids(" ".join(plain)).tolist() == library.encode(" ".join(plain))
+    assert sorted(calls) == sorted({op.SPACE + w for w in plain})
+    assert machine.ids(" ".join(words)).tolist() == library.encode(" ".join(words))
+    whole = [machine.path(w) for w in words]
+    monkeypatch.setattr(op, "WHOLE", 0)
+    assert [machine.path(w) for w in words] == whole
+
+
+def test_remembered_words_are_bounded():
+    made = []
+    recent = op.Recent(lambda key: made.append(key) or key.encode(), 3)
+    for key in "abcadaea":
+        assert recent[key] == key.encode()
+        assert len(recent) <= 3 and len(recent.old) <= 3
+    assert made == list("abcde")
