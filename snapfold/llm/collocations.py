@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import saved, scratch_folder
@@ -99,13 +100,15 @@ def parse(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Set
 class _Places:
     """The words of some chunks of one language, with the phrases that begin at each."""
 
-    def __init__(self, lang: str, chunks: list[bytes], closed: np.ndarray, n: np.ndarray, overlap: int) -> None:
-        self.plain = b" ".join(chunks)
+    def __init__(self, lang: str, chunks: list[bytes] | pa.BinaryArray, closed: np.ndarray, n: np.ndarray, overlap: int) -> None:
+        if isinstance(chunks, list):
+            chunks = pa.array(chunks, pa.binary())
+        self.plain = pc.binary_join(pa.ListArray.from_arrays([0, len(chunks)], chunks), pa.scalar(b" ", chunks.type))[0].as_py()
         data = np.frombuffer(self.plain, np.uint8)
         self.starts, self.ends, hashed = common.words_of(data, data != 32)
         _, _, seed = common.words_of(name := np.frombuffer(lang.encode("utf-8", "replace") or b" ", np.uint8), np.ones(len(name), bool))
         self.hashed = common.mixed(hashed ^ seed)
-        until = np.searchsorted(self.starts, np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1))
+        until = np.searchsorted(self.starts, np.cumsum(pc.binary_length(chunks).to_numpy().astype(np.int64) + 1))
         sizes = np.diff(until, prepend=0)
         self.left = np.repeat(until, sizes) - np.arange(len(self.starts))  # words from here to the chunk's end
         self.begins = self.left > np.repeat(np.where(closed, 0, overlap), sizes)
@@ -126,20 +129,19 @@ class _Places:
 
     def sum(self, keys: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys of some places, the first place of each, and their weights."""
-        distinct, first, place = np.unique(keys[at], return_index=True, return_inverse=True)
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, place, self.n[at])
+        distinct, total, first = common.summed(keys[at], self.n[at])
         return distinct, at[first], total
 
 
 def _each(batches: Iterator[pa.RecordBatch], settings: Settings, count) -> Iterator[pa.RecordBatch]:
-    """What ``count(lang, places)`` gives for the chunks of one language at a time."""
+    """What ``count(lang, places)`` gives for the chunks of one language at a time; no object per chunk."""
     for part in common.gathered(batches, "chunk"):
-        langs, chunks = np.array(part.column("lang").to_pylist(), object), part.column("chunk").to_pylist()
+        langs = part.column("lang").dictionary_encode()
+        codes, chunks = langs.indices.to_numpy(), part.column("chunk")
         closed, n = part.column("closed").to_numpy(False), part.column("n").to_numpy()
-        for name in dict.fromkeys(langs.tolist()):
-            own = np.flatnonzero(langs == name)
-            yield from count(name, _Places(name, [chunks[i] for i in own], closed[own], n[own], settings.words - 1))
+        for code, name in enumerate(langs.dictionary.to_pylist()):
+            own = np.flatnonzero(codes == code)
+            yield from count(name, _Places(name, chunks.take(pa.array(own)), closed[own], n[own], settings.words - 1))
 
 
 def _text_counts(dictionary: DataFrame, settings: Settings, sifts: dict[int, common.Bits]) -> DataFrame:
@@ -185,9 +187,7 @@ def _likely(dictionary: DataFrame, settings: Settings, sizes: tuple[int, ...], s
                 yield pack(size, *merged)
 
     def reduce(key: tuple, rows: pa.Table) -> pa.Table:
-        keys, place = np.unique(common.unpacked(rows, "key", np.uint32), return_inverse=True)
-        total = np.zeros(len(keys), np.int64)
-        np.add.at(total, place, common.unpacked(rows, "n", np.int64))
+        keys, total, _ = common.summed(common.unpacked(rows, "key", np.uint32), common.unpacked(rows, "n", np.int64))
         whole = keys[total >= settings.least].astype(np.uint64) << shift | np.uint64(key[1].as_py())
         return pa.table({"size": np.full(len(whole), key[0].as_py(), np.int32), "key": whole.view(np.int64)})
 

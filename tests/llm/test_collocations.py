@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 
 from snapfold.llm import collocations as op, common
 
@@ -79,6 +80,28 @@ def test_chunks_hold_every_phrase_once():
             assert got == wanted
 
 
+def test_places_are_made_of_arrow_columns():
+    """Chunks are read as a column, sliced or not, with no object for each; their places are those of a list."""
+    rng = random.Random(7)
+    rows = [(rng.choice(["en", "", "straße"]), " ".join(rng.choice(["é", "b", "new"]) for _ in range(rng.randrange(1, 9))).encode(),
+             rng.random() < 0.5, rng.randrange(1, 5)) for _ in range(400)]
+    names = ["lang", "chunk", "closed", "n"]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+    assert isinstance(op._Places("en", whole.column("chunk"), np.ones(400, bool), np.ones(400, np.int64), 2).plain, bytes)
+    got = []
+    for name, places in op._each(iter([whole.slice(3, 150), whole.slice(153, 0), whole.slice(153)]), op.Settings(), lambda *found: [found]):
+        own = [r for r in rows[3:] if r[0] == name]
+        wanted = op._Places(name, [r[1] for r in own], np.array([r[2] for r in own]), np.array([r[3] for r in own]), 2)
+        for size in (1, 2, 3):
+            at = places.at(size)
+            assert at.tolist() == wanted.at(size).tolist() and places.texts(at, size) == wanted.texts(at, size)
+            keys, first, total = places.sum(places.keys(size), at)
+            assert total.sum() == wanted.n[at].sum() and len(keys) == len(set(wanted.texts(at, size))) == len(set(places.texts(first, size)))
+        got.append(name)
+    assert got == list(dict.fromkeys(r[0] for r in rows[3:]))
+    assert list(op._each(iter([whole.slice(0, 0)]), op.Settings(), lambda *found: [found])) == []
+
+
 def test_copies_share_chunks():
     rng = random.Random(6)
     passage = " ".join(f"x{rng.randrange(1000)}" for _ in range(400))
