@@ -291,6 +291,8 @@ class Transducer:
                 return _bytes(found)
         # no piece holds the two letters at such a border, so every path passes it
         cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.joints]
+        if not cuts:
+            return _bytes(self.shortest_path(word))
         return b"".join([self.parts[word[a:b]] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)])
 
     def ids(self, text: str) -> np.ndarray:

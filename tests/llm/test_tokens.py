@@ -86,6 +86,8 @@ def test_short_words_are_searched_whole_and_once(machine, library, monkeypatch):
     whole = [machine.path(w) for w in words]
     monkeypatch.setattr(op, "WHOLE", 0)
     assert [machine.path(w) for w in words] == whole
+    monkeypatch.setattr(machine, "parts", op.Recent(machine.parts.make, 10))
+    assert machine.path("x" * 3000) and not machine.parts  # held once, as a word
 
 
 def test_remembered_words_are_bounded():
